@@ -9,7 +9,6 @@ from ..operators.project import only_series
 from ..series import SeriesSpec, nan_to_null
 
 SPEC = SeriesSpec()
-REPLACEMENT = "�"     # what a decoder leaves where bytes are not valid in the encoding
 QUARANTINE = "_corrupt_record"
 
 # Media types by file extension.
@@ -37,7 +36,7 @@ def read_measurements_csv(spark: SparkSession, path: str, series: str | None = N
 
     ``series`` filters on the key, which ``drop_key`` then removes.  ``bad_rows`` is ``fail``, or
     ``quarantine`` to keep malformed rows with their text in ``_corrupt_record``.  Without
-    ``encoding`` UTF-8 is tried and Latin-1 taken if that leaves undecodable text.  A missing or
+    ``encoding`` UTF-8 is taken if every line is valid UTF-8, else Latin-1.  A missing or
     empty file and a missing time column raise ``ValueError``.
     """
     options = {"header": True, "enforceSchema": False, "nanValue": "NaN"}
@@ -72,7 +71,7 @@ def read_measurements_csv(spark: SparkSession, path: str, series: str | None = N
 def _decodes(spark: SparkSession, path: str) -> bool:
     try:
         lines = spark.read.text(path)
-        return lines.where(F.col("value").contains(REPLACEMENT)).limit(1).count() == 0
+        return lines.where(~F.is_valid_utf8("value")).limit(1).count() == 0
     except AnalysisException as error:
         raise ValueError(f"cannot read {path}: {error}") from error
 
