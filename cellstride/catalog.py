@@ -556,9 +556,12 @@ def batch_ids(spark, sf):
     return lags.batch_ids(raw_series(spark, sf).select("District", "time"), 32)
 
 
-@query()
-def batch_ids_shuffled(spark, sf):
-    return lags.batch_ids(raw_series(spark, sf).select("District", "time"), 32, shuffle_seed=7)
+@query(f"""WITH {R_SQL}, N AS (SELECT "District", CAST((row_number() OVER ({IN_ORDER}) - 1) // 32 AS BIGINT) AS batch_id FROM R)
+SELECT "District", batch_id, count(*) AS n_rows FROM N GROUP BY 1, 2""")
+def batch_sizes_shuffled(spark, sf):
+    """A shuffle moves rows between batches but leaves the sizes of the batches."""
+    shuffled = lags.batch_ids(raw_series(spark, sf).select("District", "time"), 32, shuffle_seed=7)
+    return shuffled.groupBy("District", "batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query(f"""WITH {R_SQL} SELECT {KEYTIME}, coalesce(lag(up, 2) OVER w, 0) AS x_0_0, coalesce(lag(down, 2) OVER w, 0) AS x_0_1,
@@ -585,10 +588,10 @@ def y_history(spark, sf):
   {r('sin(2*pi()*hour(time)/24)', 'exog_0')}, {r('cos(2*pi()*minute(time)/60)', 'exog_3')}, down AS y_0, up AS y_1,
   CAST(3 AS INT) AS n_lags FROM R WINDOW w AS ({IN_ORDER}) QUALIFY row_number() OVER w > 3""", "examples")
 def model_examples(spark, sf):
-    return _examples(spark, sf).select(
+    return tidy(_examples(spark, sf).select(
         "District", "time", F.col("x")[0][1].alias("oldest"), F.col("x")[2][0].alias("newest"),
-        (F.round(F.col("exog")[0], 6) + 0.0).alias("exog_0"), (F.round(F.col("exog")[3], 6) + 0.0).alias("exog_3"),
-        F.col("y")[0].alias("y_0"), F.col("y")[1].alias("y_1"), F.size("x").alias("n_lags"))
+        F.col("exog")[0].alias("exog_0"), F.col("exog")[3].alias("exog_3"),
+        F.col("y")[0].alias("y_0"), F.col("y")[1].alias("y_1"), F.size("x").alias("n_lags")))
 
 
 STATS_SQL = {"mean": "list_avg(v)", "median": "list_median(v)", "std": "list_stddev_samp(v)",
@@ -811,10 +814,15 @@ def pca_variance(spark, sf):
     return tidy(multivar.Components(line_items(spark, sf), PCA_COLS).variance(spark))
 
 
-@query()
+@query(f"""WITH {L_SQL}, B AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq, avg(l_extendedprice) AS me,
+  stddev_pop(l_extendedprice) AS se, sign(corr(l_quantity, l_extendedprice)) AS s FROM L),
+Z AS (SELECT l_quantity, l_extendedprice, (l_quantity - mq) / sq AS q, s * (l_extendedprice - me) / se AS e FROM L, B)
+SELECT {rs('l_quantity', 'l_extendedprice')}, {r('abs(q + e) / sqrt(2)', 'pc_1')}, {r('abs(q - e) / sqrt(2)', 'pc_2')} FROM Z""")
 def pca_project(spark, sf):
-    rows = line_items(spark, sf)
-    return multivar.Components(rows).project(rows)
+    """Two standardised features have the components (1, ±1)/√2; signs are left out."""
+    rows = line_items(spark, sf).select(*LINE[:2])
+    scored = multivar.Components(rows).project(rows, 2)
+    return tidy(scored.select(*LINE[:2], F.abs("PC_1").alias("pc_1"), F.abs("PC_2").alias("pc_2")))
 
 
 @query()

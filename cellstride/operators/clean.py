@@ -8,7 +8,7 @@ from ..plans.layout import Layout, neighbours, plan_layout
 from ..plans.params import attach, settle
 from ..plans.ranks import MAX_GROUP, melt, percentiles
 from ..series import US, SeriesSpec, numeric_columns
-from .project import drop_empty_columns, drop_sparse_rows
+from .project import drop_sparse_rows
 
 SPEC = SeriesSpec()
 
@@ -28,8 +28,11 @@ def fill_constant(df: DataFrame, constant: float = 0.0, columns: list[str] | Non
 def fill_mean(df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec = SPEC) -> DataFrame:
     """Missing cells take the mean of their column."""
     columns = columns or numeric_columns(df, spec.keys)
-    means = df.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
-    return df.select(*[F.coalesce(F.col(c), F.lit(means[c])).alias(c) if c in columns and means[c] is not None
+    return _filled(df, df.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict())
+
+
+def _filled(df: DataFrame, values: dict[str, float | None]) -> DataFrame:
+    return df.select(*[F.coalesce(F.col(c), F.lit(values[c])).alias(c) if values.get(c) is not None
                        else F.col(c) for c in df.columns])
 
 
@@ -37,7 +40,10 @@ def clean_missing(df: DataFrame, threshold: float = 0.33, no_drop: bool = False,
                   spec: SeriesSpec = SPEC) -> DataFrame:
     """Sparse rows out, empty columns out, remaining gaps to the column mean."""
     kept = df if no_drop else drop_sparse_rows(df, threshold, spec=spec)
-    return fill_mean(drop_empty_columns(kept, spec=spec), spec=spec)
+    columns = numeric_columns(kept, spec.keys)
+    # A column without values has no mean, so one pass answers both questions.
+    means = kept.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
+    return _filled(kept.drop(*[c for c in columns if means[c] is None]), means)
 
 
 def fill_by_time(df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec = SPEC,

@@ -75,15 +75,16 @@ class Forecaster:
 def load_forecaster(spark, path: str) -> Forecaster:
     saved = json.loads(spark.read.text(f"{path}/settings").first()[0])
     config = {k: tuple(v) if isinstance(v, list) else v for k, v in saved["config"].items()}
+    spec = {**saved["spec"], "ties": tuple(saved["spec"]["ties"])}
     return Forecaster(ForecastConfig(**config), tuple(saved["features"]),
-                      PipelineModel.load(f"{path}/models"), SeriesSpec(**saved["spec"]))
+                      PipelineModel.load(f"{path}/models"), SeriesSpec(**spec))
 
 
 def _design(df: DataFrame, config: ForecastConfig, features, spec: SeriesSpec,
             layout: Layout | None) -> DataFrame:
     """Targets and the flat lag vector per row, lags in model input order."""
     columns = list(dict.fromkeys([*features, *config.targets]))
-    lagged = row_lags(df.select(*spec.keys, spec.time, *columns), config.n_lags, columns, "both", spec, layout)
+    lagged = row_lags(df.select(*dict.fromkeys([*spec.keys, spec.time, *spec.ties, *columns])), config.n_lags, columns, "both", spec, layout)
     return lagged.select(*spec.keys, spec.time, *[F.col(t).cast("double").alias(t) for t in config.targets],
                          *lag_columns(list(features), config.n_lags))
 
@@ -112,7 +113,7 @@ def fit_forecaster(df: DataFrame, config: ForecastConfig = ForecastConfig(), spe
 def naive_forecast(df: DataFrame, targets: list[str], spec: SeriesSpec = SPEC,
                    layout: Layout | None = None) -> DataFrame:
     """``(key, time, dim, y_true, y_pred)`` where the prediction is the previous row."""
-    lagged = row_lags(df.select(*spec.keys, spec.time, *targets), 1, list(targets), "both", spec, layout)
+    lagged = row_lags(df.select(*dict.fromkeys([*spec.keys, spec.time, *spec.ties, *targets])), 1, list(targets), "both", spec, layout)
     paired = lagged.select(*spec.keys, spec.time,
                            F.array(*[F.col(t).cast("double") for t in targets]).alias("y_true"),
                            F.array(*[F.col(f"{t}_lag_1") for t in targets]).alias("y_pred"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ..plans.layout import Layout, halo, instants_at, over_rows, plan_layout, row_index
+from ..plans.layout import Layout, halo, instants_at, over_rows, plan_layout, row_index, rows_before_slot
 from ..plans.params import attach, settle
-from ..series import US, SeriesSpec, epoch_us, numeric_columns
+from ..series import US, SeriesSpec, epoch_us, numeric_columns, require_unique_instants
 
 SPEC = SeriesSpec()
 TOLERANCE_US = 10_000          # fixed value: steps this close to the modal period count as equal
@@ -71,28 +71,35 @@ def time_lags(df: DataFrame, n_lags: int, step: int = 1, columns: list[str] | No
         method = "frame" if period_us and _copies(layout, steps[-1] * period_us) <= MAX_COPIES else "join"
     if method == "frame" and period_us is None:
         raise ValueError("the series differ in period; use method='join'")
-    lagged = (_lags_by_frame(df, layout, steps, columns, period_us) if method == "frame"
-              else _lags_by_join(df, layout, steps, columns, period_us, periods))
-    return _drop_first(lagged, df, layout, n_lags)
+    if method == "frame":
+        return _lags_by_frame(df, layout, steps, columns, period_us, n_lags)
+    require_unique_instants(df, spec)
+    return _drop_first(_lags_by_join(df, layout, steps, columns, period_us, periods), df, layout, n_lags)
 
 
 def _copies(layout: Layout, horizon_us: int) -> int:
     if not layout.sliced:
         return 1
-    narrowest = layout.cuts.df.agg(F.min("width").alias("w")).first()["w"]
+    narrowest = layout.cuts.df.agg(F.min("__width").alias("w")).first()["w"]
     return horizon_us // narrowest + 1
 
 
 def _lags_by_frame(df: DataFrame, layout: Layout, steps: list[int], columns: list[str],
-                   period_us: int) -> DataFrame:
-    placed = halo(df, layout, steps[-1] * period_us)
+                   period_us: int, skip: int) -> DataFrame:
+    """Lags, the position that decides on the first rows, and the check for equal instants, all
+    in the one sorted window."""
+    placed = rows_before_slot(halo(df, layout, steps[-1] * period_us), df, layout, skip)
+    w = layout.window
 
     def at(n: int):
-        return layout.window.rangeBetween(-n * period_us, -n * period_us)
+        return w.rangeBetween(-n * period_us, -n * period_us)
 
-    lagged = placed.select("*", *[F.first(c).over(at(n)).alias(lag_name(c, n))
-                                  for n in steps for c in columns])
-    return lagged.where("not __copy").drop("__copy")
+    own = F.sum(F.when(F.col("__copy"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    lagged = placed.select("*", *[F.first(c).over(at(n)).alias(lag_name(c, n)) for n in steps for c in columns],
+                           own.alias("__own"), F.lag(US).over(w).alias("__last"))
+    twice = F.raise_error(F.lit("duplicate rows for an instant; downsample first")).cast("boolean")
+    deep = F.when(F.col("__last") == F.col(US), twice).otherwise(F.col("__before") + F.col("__own") > skip)
+    return layout.strip(lagged.where(~F.col("__copy") & deep))
 
 
 def _lags_by_join(df: DataFrame, layout: Layout, steps: list[int], columns: list[str],
@@ -137,7 +144,7 @@ def time_differences(df: DataFrame, spec: SeriesSpec = SPEC, layout: Layout | No
         extra = [c for c in rows.columns if c.startswith("__")]
         return rows.select(*spec.keys, spec.time, (F.col(US) - F.lag(US).over(w)).alias("diff_us"), *extra)
 
-    return over_rows(df.select(*spec.keys, spec.time), layout, 1, build)
+    return over_rows(df.select(*spec.keys, spec.time, *spec.ties), layout, 1, build)
 
 
 def difference_counts(df: DataFrame, spec: SeriesSpec = SPEC, layout: Layout | None = None) -> DataFrame:

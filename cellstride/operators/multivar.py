@@ -19,6 +19,8 @@ from .scale import fit_scaler
 
 SPEC = SeriesSpec()
 BLOCK_ROWS = 50_000
+MAX_RANGES = 2_000     # range partitions; the driver samples about 100 points for each
+MAX_BLOCKS = 1 << 30   # block numbers set aside for each range partition
 KDE_POINTS = 200       # fixed values: grid size and how many bandwidths it extends past the data
 KDE_CUT = 3
 KDE_REACH = 39         # beyond 39 bandwidths exp(-z²/2) is 0 in double precision
@@ -62,13 +64,12 @@ def pair_distance_correlation(df: DataFrame, pairs: list[tuple[str, str]],
     sized = scaled.agg(*[F.approx_count_distinct(F.struct(a, b)).alias(f"p{i}")
                          for i, (a, b) in enumerate(pairs)]).first()
     points = sum(sized)
-    blocks = max(1, ceil(points / max(block_rows, sqrt(points))))
+    per_block = ceil(max(block_rows, sqrt(points)))
     weighted = (scaled.select(F.explode(cells).alias("c")).select("c.*")
                 .groupBy("pair", "x", "y").agg(F.count(F.lit(1)).cast("double").alias("w")))
-    placed = stage(
-        weighted.repartitionByRange(blocks, "pair", "x", "y").withColumn("bx", F.spark_partition_id())
-        .repartitionByRange(blocks, "pair", "y", "x").withColumn("by", F.spark_partition_id()),
-        "dcor")
+    ranges = min(MAX_RANGES, max(1, ceil(points / per_block)))
+    placed = stage(_in_blocks(_in_blocks(weighted, "x", "y", "bx", ranges, per_block),
+                              "y", "x", "by", ranges, per_block), "dcor")
 
     means = _with_row_means(_with_row_means(placed, "x", "bx"), "y", "by")
     sums = means.groupBy("pair").agg(
@@ -94,6 +95,20 @@ def pair_distance_correlation(df: DataFrame, pairs: list[tuple[str, str]],
             .select("f.feature_x", "f.feature_y", F.least(value, F.lit(1.0)).alias("dcor")))
 
 
+def _in_blocks(points: DataFrame, axis: str, other: str, name: str, ranges: int, per_block: int) -> DataFrame:
+    """Add a block number that rises with ``axis``, for blocks of at most ``per_block`` points.
+
+    Range partitions follow a sample, so each is cut once more by its row positions; the sample,
+    which the driver holds, stays small when there are many blocks.  (pair, x, y) is unique, so a
+    frequent value cannot outgrow a range.
+    """
+    ordered = points.repartitionByRange(ranges, "pair", axis, other).sortWithinPartitions("pair", axis, other)
+    at = F.monotonically_increasing_id()           # partition number in the upper bits, row in the lower 33
+    return (ordered.withColumn("__at", at)
+            .withColumn(name, F.expr(f"shiftright(__at, 33) * {MAX_BLOCKS} + "
+                                     f"(__at & {(1 << 33) - 1}) div {per_block}")).drop("__at"))
+
+
 def _with_row_means(placed: DataFrame, axis: str, block: str) -> DataFrame:
     """Add ``mean_{axis}``: the mean distance of a point to all rows along one axis."""
     running = Window.partitionBy("pair", block).orderBy(axis).rowsBetween(Window.unboundedPreceding, 0)
@@ -145,11 +160,11 @@ def _grid_concordance(placed: DataFrame) -> DataFrame:
     cells = placed.groupBy("pair", "bx", "by").agg(
         F.sum("w").alias("w"), F.sum(F.expr("w*x")).alias("wx"), F.sum(F.expr("w*y")).alias("wy"),
         F.sum(F.expr("w*x*y")).alias("wxy"))
-    # Every (bx, by) of a pair needs a prefix, occupied or not; block numbers are contiguous.
-    ranges = placed.groupBy("pair").agg(F.min("by").alias("lo"), F.max("by").alias("hi"))
-    empty = (placed.select("pair", "bx").distinct().join(ranges, "pair")
-             .select("pair", "bx", F.explode(F.sequence("lo", "hi")).alias("by"),
-                     *[F.lit(0.0).alias(s) for s in sums]))
+    # Every (bx, by) of a pair needs a prefix, occupied or not.  A pair has at most about √points
+    # blocks per axis, so the list of block numbers is short and the grid no larger than the data.
+    columns = cells.groupBy("pair").agg(F.collect_set("by").alias("bys"))
+    empty = (cells.select("pair", "bx").distinct().join(columns, "pair")
+             .select("pair", "bx", F.explode("bys").alias("by"), *[F.lit(0.0).alias(s) for s in sums]))
     grid = cells.unionByName(empty).groupBy("pair", "bx", "by").agg(*[F.sum(s).alias(s) for s in sums])
     left = Window.partitionBy("pair", "bx").orderBy("by").rowsBetween(Window.unboundedPreceding, -1)
     below = Window.partitionBy("pair", "by").orderBy("bx").rowsBetween(Window.unboundedPreceding, -1)

@@ -32,8 +32,9 @@ def quality_report(df: DataFrame) -> DataFrame:
 def modes(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(feature, mode)``, the smallest of ties, by counting equal values before comparing."""
     counts = melt(df, [], columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("m"))
-    top = F.max(F.struct(F.col("m"), (-F.col("value")).alias("neg")))
-    return counts.groupBy("feature").agg((-top["neg"] + F.lit(0.0)).alias("mode"))
+    # One row per feature, so the broadcast is bounded by the schema.
+    most = F.broadcast(counts.groupBy("feature").agg(F.max("m").alias("m")))
+    return counts.join(most, ["feature", "m"]).groupBy("feature").agg((F.min("value") + F.lit(0.0)).alias("mode"))
 
 
 def statistics(df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec = SPEC,
@@ -99,15 +100,16 @@ def autocorrelation(df: DataFrame, max_lag: int = 15, columns: list[str] | None
     Autocovariances divide by n.  The lag products are summed on the map side.
     """
     columns = columns or numeric_columns(df, spec.keys)
-    keys = spec.keys
-    full = drop_any_missing(df, columns).select(*keys, spec.time, *columns)
+    keys, ties = spec.keys, [t for t in spec.ties if t not in columns]
+    full = drop_any_missing(df, columns).select(*dict.fromkeys([*keys, spec.time, *spec.ties, *columns]))
     layout = layout or plan_layout(full, spec)
     means = settle(full.groupBy(*keys).agg(*[F.avg(c).alias(f"__m_{c}") for c in columns]))
     if keys:
         centred = attach(full, means, keys, [spec.time])
-        centred = centred.select(*keys, spec.time, *[(F.col(c) - F.col(f"__m_{c}")).alias(c) for c in columns])
+        centred = centred.select(*keys, spec.time, *ties, *[(F.col(c) - F.col(f"__m_{c}")).alias(c) for c in columns])
     else:
-        centred = full.select(spec.time, *[(F.col(c) - F.lit(means.one()[f"__m_{c}"])).alias(c) for c in columns])
+        centred = full.select(spec.time, *ties, *[(F.col(c) - F.lit(means.one()[f"__m_{c}"])).alias(c)
+                                                  for c in columns])
 
     def build(rows: DataFrame, w) -> DataFrame:
         extra = [c for c in rows.columns if c.startswith("__")]

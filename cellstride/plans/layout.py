@@ -25,13 +25,14 @@ from .params import Settled, attach, settle
 
 ROWS_PER_SLOT = 1_000_000
 SLOT = "__slot"
+CUT = ["__t0", "__t1", "__width"]
 
 
 @dataclass(frozen=True)
 class Layout:
     spec: SeriesSpec
     rows_per_slot: int
-    cuts: Settled | None = None      # key, t0, t1, width of the series that need cutting
+    cuts: Settled | None = None      # key, first and last instant, slot width of the cut series
 
     @property
     def key(self) -> str:
@@ -47,23 +48,25 @@ class Layout:
 
     @property
     def window(self) -> WindowSpec:
-        return Window.partitionBy(*self.parts).orderBy(US)
+        return Window.partitionBy(*self.parts).orderBy(US, *self.spec.ties)
 
     @property
     def series_window(self) -> WindowSpec:
-        return Window.partitionBy(self.key).orderBy(US)
+        return Window.partitionBy(self.key).orderBy(US, *self.spec.ties)
 
-    def place(self, df: DataFrame) -> DataFrame:
+    def place(self, df: DataFrame, keep_cut: bool = False) -> DataFrame:
         """Add the order coordinate and, for cut series, the slot of each row."""
         out = _coordinates(df, self.spec)
         if not self.sliced:
             return out
         if self.spec.key is None:
             cut = self.cuts.one()
-            return out.withColumn(SLOT, F.expr(f"({US} - {cut['t0']}) div {cut['width']}"))
-        return (attach(out, self.cuts, [self.key], [US])
-                .withColumn(SLOT, F.coalesce(F.expr(f"({US} - t0) div width"), F.lit(0)))
-                .drop("t0", "t1", "width"))
+            out = out.select("*", *[F.lit(cut[c]).alias(c) for c in CUT])
+        else:
+            out = attach(out, self.cuts, [self.key], [US])
+        slot = F.coalesce(F.expr(f"({US} - __t0) div __width"), F.lit(0))
+        placed = out.withColumn(SLOT, slot)
+        return placed if keep_cut else placed.drop(*CUT)
 
     def slots(self, df: DataFrame) -> DataFrame:
         """Rows per slot, rows before it in the series, and rows of the series."""
@@ -97,14 +100,15 @@ def plan_layout(df: DataFrame, spec: SeriesSpec = SeriesSpec(),
     key = spec.key or SERIES
     long_series = (
         base.groupBy(*spec.keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(US).alias("t0"), F.max(US).alias("t1"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(US).alias("__t0"), F.max(US).alias("__t1"))
         .where(F.col("n") > per_slot)
-        .select(*spec.keys, "t0", "t1", F.greatest(
-            F.lit(1), F.ceil((F.col("t1") - F.col("t0") + 1) / F.col("n") * per_slot)
-        ).cast("long").alias("width")))
+        .select(*spec.keys, "__t0", "__t1", F.greatest(
+            F.lit(1), F.ceil((F.col("__t1") - F.col("__t0") + 1) / F.col("n") * per_slot)
+        ).cast("long").alias("__width")))
     cuts = settle(long_series)
     if cuts.empty:
         return Layout(spec, per_slot)
+    narrow = F.greatest(F.lit(1), F.expr("__width div 8"))
     while True:
         layout = Layout(spec, per_slot, cuts)
         placed = layout.place(base)
@@ -112,20 +116,19 @@ def plan_layout(df: DataFrame, spec: SeriesSpec = SeriesSpec(),
         if spec.key is None:
             worst = counts.agg(F.max("n").alias("n")).first()["n"]
             cut = cuts.one()
-            if worst <= 4 * per_slot or cut["width"] == 1:
+            if worst <= 4 * per_slot or cut["__width"] == 1:
                 return layout
-            narrower = cuts.df.withColumn("width", F.greatest(F.lit(1), F.expr("width div 8")))
+            narrower = cuts.df.withColumn("__width", narrow)
         else:
             crowded = settle(counts.where(F.col("n") > 4 * per_slot).select(key).distinct()
                              .withColumn("__crowded", F.lit(True)))
             if crowded.empty:
                 return layout
             joined = cuts.df.join(crowded.df, key, "left")
-            if not joined.where("__crowded and width > 1").limit(1).count():
+            if not joined.where("__crowded and __width > 1").limit(1).count():
                 return layout
-            narrower = joined.withColumn("width", F.when(
-                F.col("__crowded"), F.greatest(F.lit(1), F.expr("width div 8"))
-            ).otherwise(F.col("width"))).drop("__crowded")
+            narrower = joined.withColumn("__width", F.when(F.col("__crowded"), narrow)
+                                         .otherwise(F.col("__width"))).drop("__crowded")
         cuts = settle(narrower)
 
 
@@ -155,23 +158,29 @@ def halo(df: DataFrame, layout: Layout, horizon_us: int) -> DataFrame:
 
     Copies carry ``__copy``; drop them after the window.
     """
-    placed = layout.place(df)
+    placed = layout.place(df, keep_cut=True)
     if not layout.sliced:
         return placed.withColumn("__copy", F.lit(False))
-    if layout.spec.key is None:
-        cut = layout.cuts.one()
-        placed = placed.select("*", F.lit(cut["t0"]).alias("__t0"), F.lit(cut["t1"]).alias("__t1"),
-                               F.lit(cut["width"]).alias("__width"))
-    else:
-        renamed = Settled(layout.cuts.df.select(
-            layout.key, F.col("t0").alias("__t0"), F.col("t1").alias("__t1"),
-            F.col("width").alias("__width")), layout.cuts.bounded)
-        placed = attach(placed, renamed, [layout.key], [US])
     last = F.coalesce(F.expr(f"(least({US} + {horizon_us}, __t1) - __t0) div __width"), F.col(SLOT))
     return (placed.withColumn("__own", F.col(SLOT))
             .withColumn(SLOT, F.explode(F.sequence(F.col("__own"), F.greatest(F.col("__own"), last))))
             .withColumn("__copy", F.col(SLOT) != F.col("__own"))
-            .drop("__own", "__t0", "__t1", "__width"))
+            .drop("__own", *CUT))
+
+
+def rows_before_slot(placed: DataFrame, df: DataFrame, layout: Layout, n: int) -> DataFrame:
+    """Add ``__before``: rows of the series ahead of the row's slot, counted up to ``n``.
+
+    Only later slots of a cut series with fewer than ``n`` rows ahead need a look-up; there are
+    less than ``n`` of them per cut series.
+    """
+    if not layout.sliced:
+        return placed.withColumn("__before", F.lit(0))
+    early = (layout.slots(df).where((F.col(SLOT) > 0) & (F.col("offset") < n))
+             .select(*layout.parts, F.col("offset").alias("__offset")))
+    return attach(placed, settle(early), layout.parts, [US]).withColumn(
+        "__before", F.when(F.col(SLOT) > 0, F.coalesce(F.col("__offset"), F.lit(n))).otherwise(F.lit(0))
+    ).drop("__offset")
 
 
 def neighbours(df: DataFrame, layout: Layout, columns: list[str]) -> DataFrame:
@@ -195,16 +204,23 @@ def neighbours(df: DataFrame, layout: Layout, columns: list[str]) -> DataFrame:
         *[F.last(known(c), ignorenulls=True).over(ahead).alias(f"__next_{c}") for c in columns])
     if not layout.sliced:
         return found
-    ends = placed.groupBy(*layout.parts).agg(
-        *[F.max(known(c)).alias(f"__hi_{c}") for c in columns],
-        *[F.min(known(c)).alias(f"__lo_{c}") for c in columns])
+    # max_by and min_by keep primitive buffers, so these ends combine in a hash table per task.
+    ends = placed.groupBy(*layout.parts).agg(*[
+        end for c in columns for at in [F.when(F.col(c).isNotNull(), F.col(US))] for end in (
+            F.max(at).alias(f"__hi_us_{c}"), F.max_by(c, at).alias(f"__hi_{c}"),
+            F.min(at).alias(f"__lo_us_{c}"), F.min_by(c, at).alias(f"__lo_{c}"))])
+
+    def end(side: str, c: str):
+        us = F.col(f"__{side}_us_{c}")
+        return F.when(us.isNotNull(), F.struct(us.alias("us"), F.col(f"__{side}_{c}").alias("value")))
+
     by_slot = Window.partitionBy(layout.key)
     earlier = by_slot.orderBy(SLOT).rowsBetween(*grown)
     later = by_slot.orderBy(F.desc(SLOT)).rowsBetween(*grown)
     carried = ends.select(
         *layout.parts,
-        *[F.last(f"__hi_{c}", ignorenulls=True).over(earlier).alias(f"__before_{c}") for c in columns],
-        *[F.last(f"__lo_{c}", ignorenulls=True).over(later).alias(f"__after_{c}") for c in columns])
+        *[F.last(end("hi", c), ignorenulls=True).over(earlier).alias(f"__before_{c}") for c in columns],
+        *[F.last(end("lo", c), ignorenulls=True).over(later).alias(f"__after_{c}") for c in columns])
     joined = found.join(carried, layout.parts, "left")
     for c in columns:
         joined = (joined.withColumn(f"__prev_{c}", F.coalesce(f"__prev_{c}", f"__before_{c}"))

@@ -13,10 +13,15 @@ UTC_ZONES = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00"}
 
 @dataclass(frozen=True)
 class SeriesSpec:
-    """Names of the time and key columns.  ``key=None`` treats the frame as one series."""
+    """Names of the time and key columns.
+
+    ``key=None`` treats the frame as one series.  ``ties`` orders rows of the same instant where
+    an operator goes by rows; operators that go by time refuse such rows.
+    """
 
     time: str = "time"
     key: str | None = "District"
+    ties: tuple[str, ...] = ()
 
     @property
     def keys(self) -> list[str]:

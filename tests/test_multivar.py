@@ -31,9 +31,10 @@ def wide(spark):
     return data, spark.createDataFrame([tuple(map(float, r)) for r in zip(*data.values())], list(data)).repartition(5)
 
 
-@pytest.mark.parametrize("block_rows", [50_000, 60])
-def test_distance_correlation_matches_brute_force(wide, block_rows, monkeypatch):
+@pytest.mark.parametrize("block_rows, ranges", [(50_000, 2_000), (60, 2_000), (60, 3)])
+def test_distance_correlation_matches_brute_force(wide, block_rows, ranges, monkeypatch):
     data, df = wide
+    monkeypatch.setattr(multivar, "MAX_RANGES", ranges)
     monkeypatch.setattr(multivar, "sqrt", lambda v: 1.0)      # let tiny blocks through
     got = multivar.distance_correlation(df, list(data), block_rows=block_rows).collect()
     assert len(got) == 15

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cellstride.functions import timefeat
 from cellstride.operators import clean, examples, lags, metrics, profile, project, scale
 from cellstride.plans import jobs
+from cellstride.plans.layout import plan_layout
 from cellstride.series import SeriesSpec, duplicate_instants, nan_to_null, require_unique_instants
 from helpers import EPOCH, rows_of, series_table
 
@@ -144,6 +145,20 @@ def test_duplicate_instants(spark, five):
     assert duplicate_instants(twice).count() == 1
     with pytest.raises(ValueError):
         require_unique_instants(twice)
+    with pytest.raises(Exception, match="duplicate rows"):
+        lags.time_lags(twice, 1, period_us=120_000_000).collect()
+    with pytest.raises(ValueError):
+        lags.time_lags(twice, 1, period_us=120_000_000, method="join")
+
+
+def test_ties_follow_the_given_columns(spark):
+    rows = [("a", at(60 * (i // 3)), i, float(i)) for i in range(30)]
+    df = spark.createDataFrame(rows, "District string, time timestamp_ntz, seq int, v double").repartition(5)
+    spec = SeriesSpec(ties=("seq",))
+    for per_slot in (None, 4):
+        lay = plan_layout(df, spec, per_slot)
+        got = lags.row_lags(df, 1, ["v"], "both", spec, lay).collect()
+        assert len(got) == 29 and all(r["v_lag_1"] == r["v"] - 1 for r in got)
 
 
 def test_regular_series_row_and_time_lags_agree(spark):
