@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.moments import array_statistics
+from ..functions.moments import row_statistics
 from ..functions.timefeat import FROM_ONE, PERIODS, calendar_part, cyclical
 from ..plans.layout import Layout, over_rows, plan_layout
 from ..series import US, SeriesSpec, numeric_columns
@@ -68,7 +68,6 @@ def lag_statistics(df: DataFrame, targets: list[str], n_lags: int = 10,
     if stats is None or not list(stats) or list(stats)[0] is None:
         return None
     lagged = row_lags(df, n_lags, list(targets), "lags", spec, layout)
-    packed = lagged.select(*spec.keys, spec.time, *[
-        F.array(*[lag_name(c, n) for n in range(1, n_lags + 1)]).alias(f"__{c}") for c in targets])
-    return packed.select(*spec.keys, spec.time, *[
-        array_statistics(F.col(f"__{c}"), n_lags)[s].alias(f"{s}_{c}") for c in targets for s in stats])
+    for c in targets:
+        lagged = row_statistics(lagged, [lag_name(c, n) for n in range(1, n_lags + 1)], c, list(stats))
+    return lagged.select(*spec.keys, spec.time, *[f"{s}_{c}" for c in targets for s in stats])

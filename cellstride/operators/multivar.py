@@ -23,7 +23,7 @@ MAX_RANGES = 2_000     # range partitions; the driver samples about 100 points f
 MAX_BLOCKS = 1 << 30   # block numbers set aside for each range partition
 KDE_POINTS = 200       # fixed values: grid size and how many bandwidths it extends past the data
 KDE_CUT = 3
-KDE_REACH = 39         # beyond 39 bandwidths exp(-z²/2) is 0 in double precision
+KDE_REACH = 10         # bandwidths; beyond, a term is under 2e-22 of the kernel's peak and cannot show
 
 
 def pearson(df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec = SPEC) -> DataFrame:
@@ -61,7 +61,7 @@ def pair_distance_correlation(df: DataFrame, pairs: list[tuple[str, str]],
     scaled = fit_scaler(df, "standard", columns).apply(df.select(columns))
     cells = F.array(*[F.struct(F.lit(i).alias("pair"), (F.col(a) + F.lit(0.0)).alias("x"),
                                (F.col(b) + F.lit(0.0)).alias("y")) for i, (a, b) in enumerate(pairs)])
-    sized = scaled.agg(*[F.approx_count_distinct(F.struct(a, b)).alias(f"p{i}")
+    sized = scaled.agg(*[F.approx_count_distinct(F.xxhash64(a, b)).alias(f"p{i}")
                          for i, (a, b) in enumerate(pairs)]).first()
     points = sum(sized)
     per_block = ceil(max(block_rows, sqrt(points)))

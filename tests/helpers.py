@@ -13,7 +13,7 @@ def series_table(spark, sizes=None, seed=1, missing=0.2, step_s=120, gaps=0.1):
     """Irregular keyed series with missing cells; one series holds most of the rows."""
     rng = np.random.default_rng(seed)
     rows = []
-    for key, n in (sizes or {"ElBorn": 400, "LesCorts": 60, "PobleSec": 7, "Sants": 1}).items():
+    for key, n in (sizes or {"north": 400, "east": 60, "south": 7, "west": 1}).items():
         at = 0
         for _ in range(n):
             at += step_s * (1 + int(rng.random() < gaps) * int(rng.integers(1, 6)))

@@ -61,7 +61,7 @@ def test_scaled_train_is_standard_and_val_uses_train_parameters(spark):
     df = series_table(spark, missing=0.0)
     train, val = lags.split_train_val(df, 0.7)
     strain, sval, fitted = scale.scale_train_val(train, val, "standard", per_series=True)
-    moments = strain.where("District = 'ElBorn'").agg(F.avg("down"), F.stddev_pop("down")).first()
+    moments = strain.where("District = 'north'").agg(F.avg("down"), F.stddev_pop("down")).first()
     np.testing.assert_allclose(tuple(moments), (0, 1), atol=1e-9)
     by_key = {r["District"]: r for r in fitted.table().where("feature = 'down'").collect()}
     raw = {(r["District"], r["time"]): r["down"] for r in val.collect()}
@@ -172,7 +172,7 @@ def test_split_sizes_and_order(spark):
     df = series_table(spark)
     train, val = lags.split_train_val(df, 0.8)
     sizes = {r["District"]: r["n_train"] for r in lags.split_report(lags.mark_split(df)).collect()}
-    assert sizes == {"ElBorn": 320, "LesCorts": 48, "PobleSec": 6, "Sants": 1, None: 375}
+    assert sizes == {"north": 320, "east": 48, "south": 6, "west": 1, None: 375}
     last = train.groupBy("District").agg(F.max("time").alias("t"))
     assert val.join(last, "District").where("time <= t").count() == 0
 
@@ -323,9 +323,9 @@ def test_projections(spark):
     assert dict(project.cast_features(df, "float").dtypes)["down"] == "float"
     project.require_same_keys(df, df)
     with pytest.raises(ValueError):
-        project.require_same_keys(df, df.where("District <> 'Sants'"))
+        project.require_same_keys(df, df.where("District <> 'west'"))
     with pytest.raises(ValueError):
-        project.exogenous_by_series(df, df.where("District <> 'Sants'"))
+        project.exogenous_by_series(df, df.where("District <> 'west'"))
 
 
 def test_batches(spark):
