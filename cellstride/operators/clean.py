@@ -22,12 +22,12 @@ def missing_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame
 
 def fill_constant(df: DataFrame, constant: float = 0.0, columns: list[str] | None = None,
                   spec: SeriesSpec = SPEC) -> DataFrame:
-    return df.na.fill(float(constant), subset=columns or numeric_columns(df, spec.keys))
+    return df.na.fill(float(constant), subset=columns or numeric_columns(df, spec))
 
 
 def fill_mean(df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec = SPEC) -> DataFrame:
     """Missing cells take the mean of their column."""
-    columns = columns or numeric_columns(df, spec.keys)
+    columns = columns or numeric_columns(df, spec)
     return _filled(df, df.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict())
 
 
@@ -40,7 +40,7 @@ def clean_missing(df: DataFrame, threshold: float = 0.33, no_drop: bool = False,
                   spec: SeriesSpec = SPEC) -> DataFrame:
     """Sparse rows out, empty columns out, remaining gaps to the column mean."""
     kept = df if no_drop else drop_sparse_rows(df, threshold, spec=spec)
-    columns = numeric_columns(kept, spec.keys)
+    columns = numeric_columns(kept, spec)
     # A column without values has no mean, so one pass answers both questions.
     means = kept.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
     return _filled(kept.drop(*[c for c in columns if means[c] is None]), means)
@@ -52,7 +52,7 @@ def fill_by_time(df: DataFrame, columns: list[str] | None = None, spec: SeriesSp
 
     At the ends of a series the one known side is taken.
     """
-    columns = columns or numeric_columns(df, spec.keys)
+    columns = columns or numeric_columns(df, spec)
     layout = layout or plan_layout(df, spec)
     found = neighbours(df, layout, columns)
 
@@ -73,7 +73,7 @@ def missing_runs(df: DataFrame, columns: list[str] | None = None, spec: SeriesSp
     All cells of a run share the known cell before them, so grouping by its time finds the runs
     with map-side counting, whatever their length.
     """
-    columns = columns or numeric_columns(df, spec.keys)
+    columns = columns or numeric_columns(df, spec)
     layout = layout or plan_layout(df, spec)
     found = neighbours(df, layout, columns)
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).isNull().alias("missing"),
@@ -90,7 +90,7 @@ def missing_runs(df: DataFrame, columns: list[str] | None = None, spec: SeriesSp
 def load_rule(df: DataFrame, columns: list[str] | None = None,
               spec: SeriesSpec = SPEC) -> tuple[DataFrame, DataFrame]:
     """Drop rows with any missing indicator; also report what was dropped per series."""
-    columns = columns or numeric_columns(df, spec.keys)
+    columns = columns or numeric_columns(df, spec)
     gap = F.lit(False)
     for c in columns:
         gap = gap | F.col(c).isNull()
@@ -125,7 +125,7 @@ def cap(df: DataFrame, columns: list[str], low: float = 10, high: float = 90,
 def cap_all_cells(df: DataFrame, columns: list[str] | None = None, low: float = 10,
                   high: float = 90, spec: SeriesSpec = SPEC) -> DataFrame:
     """Floor and cap at one pair of percentiles taken over all cells of all columns."""
-    columns = columns or numeric_columns(df, spec.keys)
+    columns = columns or numeric_columns(df, spec)
     pair = percentiles(melt(df, [], columns), ["value"], [low / 100, high / 100]).first()["q"]
     return df.select(*[clip(F.col(c).cast("double"), F.lit(pair[0]), F.lit(pair[1])).alias(c)
                        if c in columns else F.col(c) for c in df.columns])

@@ -22,7 +22,7 @@ def tensor(columns: list[str], n_lags: int) -> Column:
 def sequences(df: DataFrame, n_lags: int = 10, columns: list[str] | None = None,
               spec: SeriesSpec = SPEC, layout: Layout | None = None) -> DataFrame:
     """``(key, time, x)`` with x an ARRAY<ARRAY<DOUBLE>> of shape lags × features."""
-    columns = columns or numeric_columns(df, spec.keys)
+    columns = columns or numeric_columns(df, spec)
     lagged = row_lags(df, n_lags, columns, "lags", spec, layout)
     return lagged.select(*spec.keys, spec.time, tensor(columns, n_lags).alias("x"))
 
@@ -36,7 +36,7 @@ def examples(df: DataFrame, targets: list[str], n_lags: int = 10, features: list
     ``y_hist`` the targets at t−L−1 … t−2, zero before the series starts.  All come from one
     sorted window, so their sizes agree by construction.
     """
-    features = features or numeric_columns(df, spec.keys)
+    features = features or numeric_columns(df, spec)
     layout = layout or plan_layout(df, spec)
     pairs = [v for p in exogenous
              for v in cyclical(calendar_part(spec.time, p), PERIODS[p], 1 if p in FROM_ONE else 0)]

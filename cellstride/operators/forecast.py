@@ -96,7 +96,7 @@ def fit_forecaster(df: DataFrame, config: ForecastConfig = ForecastConfig(), spe
     The rest is the validation part: GBT watches it for early stopping, the linear model
     leaves it out.
     """
-    features = config.features or tuple(numeric_columns(df, spec.keys))
+    features = config.features or tuple(numeric_columns(df, spec))
     marked = mark_split(_design(df, config, features, spec, layout), config.train_size, spec)
     assembler = VectorAssembler(inputCols=lag_columns(list(features), config.n_lags), outputCol="__x")
     usable = marked.na.drop("any", subset=list(config.targets)).withColumn("__is_val", ~F.col("is_train"))

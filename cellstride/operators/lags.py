@@ -31,7 +31,7 @@ def row_lags(df: DataFrame, n_lags: int = 10, columns: list[str] | None = None,
     ``keep`` chooses the output next to key and time: ``lags`` (input order, see
     ``lag_columns``), ``values`` (the original features) or ``both``.
     """
-    columns = columns or numeric_columns(df, spec.keys)
+    columns = columns or numeric_columns(df, spec)
     layout = layout or plan_layout(df, spec)
     values = columns if keep in ("values", "both") else []
     names = lag_columns(columns, n_lags) if keep in ("lags", "both") else []
@@ -57,14 +57,15 @@ def time_lags(df: DataFrame, n_lags: int, step: int = 1, columns: list[str] | No
     ``period_us`` every series uses its modal period.  ``frame`` reads the lags from one sorted
     window; ``join`` matches on (key, time), which suits horizons much longer than a slot.
     """
-    columns = columns or numeric_columns(df, spec.keys)
+    columns = columns or numeric_columns(df, spec)
     layout = layout or plan_layout(df, spec)
     steps = [step * i for i in range(1, n_lags + 1)]
     periods = None
     if period_us is None:
         periods = settle(modal_periods(df, spec, layout).select(*spec.keys, "period_us"))
-        if periods.bounded and len({r["period_us"] for r in periods.rows}) == 1:
-            period_us = periods.rows[0]["period_us"]
+        common = periods.distinct("period_us") if periods.bounded else []
+        if len(common) == 1:
+            period_us = common[0]
             if period_us is None:
                 raise ValueError("fewer than two rows; no sampling period")
     if method == "auto":
@@ -126,7 +127,7 @@ def _drop_first(lagged: DataFrame, df: DataFrame, layout: Layout, n: int) -> Dat
     """Drop the first ``n`` rows of each series, found by their times."""
     first = first_instants(df, layout, n)
     cut = attach(lagged, first, layout.spec.keys, [US]) if layout.spec.key else \
-        lagged.withColumn("__cut", F.lit(first.rows[0]["__cut"] if first.rows else None).cast("long"))
+        lagged.withColumn("__cut", F.lit(None if first.empty else first.one()["__cut"]).cast("long"))
     return layout.strip(cut.where(F.col(US) > F.col("__cut")))
 
 

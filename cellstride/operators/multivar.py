@@ -28,7 +28,7 @@ KDE_REACH = 10         # bandwidths; beyond, a term is under 2e-22 of the kernel
 
 def pearson(df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec = SPEC) -> DataFrame:
     """``(feature_x, feature_y, corr)`` for every pair, in one aggregation."""
-    columns = columns or numeric_columns(df, spec.keys)
+    columns = columns or numeric_columns(df, spec)
     full = drop_any_missing(df, columns)
     pairs = list(combinations(columns, 2))
     wide = full.agg(*[F.corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
@@ -40,7 +40,7 @@ def pearson(df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec =
 def distance_correlation(df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec = SPEC,
                          block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(feature_x, feature_y, dcor)`` for every pair of columns, after listwise drop."""
-    columns = columns or numeric_columns(df, spec.keys)
+    columns = columns or numeric_columns(df, spec)
     return pair_distance_correlation(drop_any_missing(df, columns), list(combinations(columns, 2)),
                                      block_rows)
 
@@ -180,7 +180,7 @@ def density(df: DataFrame, columns: list[str] | None = None, points: int = KDE_P
     Equal values are counted once, and a value only visits the grid points it can reach, so the
     work falls as the bandwidth narrows with n.
     """
-    columns = columns or numeric_columns(df, spec.keys)
+    columns = columns or numeric_columns(df, spec)
     fitted = df.agg(*[F.struct(F.count(c).alias("n"), F.stddev_samp(c).alias("sd"),
                                F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")
                                ).alias(c) for c in columns]).first()
@@ -218,7 +218,7 @@ def density(df: DataFrame, columns: list[str] | None = None, points: int = KDE_P
 def scatter_bins(df: DataFrame, columns: list[str] | None = None, bins: int = 50,
                  spec: SeriesSpec = SPEC) -> DataFrame:
     """Counts ``(feature_x, feature_y, bin_x, bin_y, n)`` for every pair, on equal-width bins."""
-    columns = columns or numeric_columns(df, spec.keys)
+    columns = columns or numeric_columns(df, spec)
     span = df.agg(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c)
                     for c in columns]).first()
 
@@ -237,7 +237,7 @@ def scatter_bins(df: DataFrame, columns: list[str] | None = None, bins: int = 50
 def scatter_sample(df: DataFrame, fraction: float, seed: int = 0, columns: list[str] | None = None,
                    spec: SeriesSpec = SPEC) -> DataFrame:
     """A seeded sample of the rows to draw as points."""
-    columns = columns or numeric_columns(df, spec.keys)
+    columns = columns or numeric_columns(df, spec)
     return df.select(*columns).sample(fraction, seed)
 
 
@@ -245,7 +245,7 @@ class Components:
     """Principal components of the standardised features."""
 
     def __init__(self, df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec = SPEC):
-        self.columns = columns or numeric_columns(df, spec.keys)
+        self.columns = columns or numeric_columns(df, spec)
         self.spec = spec
         full = drop_any_missing(df, self.columns)
         self.scaler = fit_scaler(full, "standard", self.columns)

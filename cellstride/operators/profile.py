@@ -40,7 +40,7 @@ def modes(df: DataFrame, columns: list[str]) -> DataFrame:
 def statistics(df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec = SPEC,
                max_group: int = MAX_GROUP) -> DataFrame:
     """One row per feature over the rows without missing features."""
-    columns = columns or numeric_columns(df, spec.keys)
+    columns = columns or numeric_columns(df, spec)
     full = drop_any_missing(df, columns).select(*[F.col(c).cast("double").alias(c) for c in columns])
     moments = full.agg(*[F.struct(
         F.lit(c).alias("feature"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("stdev"),
@@ -71,7 +71,7 @@ def date_range(df: DataFrame, spec: SeriesSpec = SPEC) -> DataFrame:
 def describe(df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec = SPEC,
              max_group: int = MAX_GROUP) -> DataFrame:
     """``(feature, type, count, mean, stdev, min, p25, p50, p75, max)`` over non-missing values."""
-    columns = columns or numeric_columns(df, spec.keys)
+    columns = columns or numeric_columns(df, spec)
     kinds = dict(df.dtypes)
     basic = df.agg(*[F.struct(
         F.lit(c).alias("feature"), F.lit(kinds[c]).alias("type"), F.count(c).alias("count"),
@@ -99,7 +99,7 @@ def autocorrelation(df: DataFrame, max_lag: int = 15, columns: list[str] | None
 
     Autocovariances divide by n.  The lag products are summed on the map side.
     """
-    columns = columns or numeric_columns(df, spec.keys)
+    columns = columns or numeric_columns(df, spec)
     keys, ties = spec.keys, [t for t in spec.ties if t not in columns]
     full = drop_any_missing(df, columns).select(*dict.fromkeys([*keys, spec.time, *spec.ties, *columns]))
     layout = layout or plan_layout(full, spec)
@@ -161,7 +161,7 @@ def partial_autocorrelation(df: DataFrame, max_lag: int = 15, columns: list[str]
 def trends(df: DataFrame, columns: list[str] | None = None, every: str | None = None,
            spec: SeriesSpec = SPEC) -> DataFrame:
     """``(key, feature, time, value)`` to chart; ``every`` averages over windows of that length."""
-    columns = columns or numeric_columns(df, spec.keys)
+    columns = columns or numeric_columns(df, spec)
     cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
                                 for c in columns]))
     rows = df.select(*spec.keys, spec.time, cells.alias("cell")).select(*spec.keys, spec.time, "cell.*")

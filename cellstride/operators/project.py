@@ -44,20 +44,20 @@ def drop_key(df: DataFrame, spec: SeriesSpec = SPEC) -> DataFrame:
 
 def drop_any_missing(df: DataFrame, columns: list[str] | None = None,
                      spec: SeriesSpec = SPEC) -> DataFrame:
-    return df.na.drop("any", subset=columns or numeric_columns(df, spec.keys))
+    return df.na.drop("any", subset=columns or numeric_columns(df, spec))
 
 
 def drop_sparse_rows(df: DataFrame, threshold: float = 0.33, columns: list[str] | None = None,
                      spec: SeriesSpec = SPEC) -> DataFrame:
     """Keep rows with at least ``ceil(F * (1 - threshold))`` of their F features present."""
-    features = columns or numeric_columns(df, spec.keys)
+    features = columns or numeric_columns(df, spec)
     return df.na.drop(thresh=ceil(len(features) * (1 - threshold)), subset=features)
 
 
 def drop_empty_columns(df: DataFrame, columns: list[str] | None = None,
                        spec: SeriesSpec = SPEC) -> DataFrame:
     """Drop features without a single value; one aggregate row decides."""
-    features = columns or numeric_columns(df, spec.keys)
+    features = columns or numeric_columns(df, spec)
     seen = df.agg(*[F.count(c).alias(c) for c in features]).first()
     return df.drop(*[c for c in features if seen[c] == 0])
 

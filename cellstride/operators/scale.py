@@ -60,7 +60,7 @@ def fit_scaler(df: DataFrame, kind: str = "standard", features: list[str] | None
     A feature of zero width is divided by 1.
     """
     kind = ALIASES.get(kind, kind)
-    features = features or numeric_columns(df, spec.keys)
+    features = features or numeric_columns(df, spec)
     keys = [key] if key else []
     if kind == "robust":
         quartiles = percentiles(df, features, [0.25, 0.5, 0.75], key, max_group)

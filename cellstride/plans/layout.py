@@ -24,6 +24,7 @@ from ..series import SERIES, US, SeriesSpec, epoch_us
 from .params import Settled, attach, settle
 
 ROWS_PER_SLOT = 1_000_000
+PARTS_PER_SLOT = 64        # the copied end of a slot is about this fraction of it
 SLOT = "__slot"
 CUT = ["__t0", "__t1", "__width"]
 
@@ -136,13 +137,48 @@ def over_rows(df: DataFrame, layout: Layout, reach: int,
               build: Callable[[DataFrame, WindowSpec], DataFrame]) -> DataFrame:
     """Apply ``build(rows, window)``, which may look back up to ``reach`` rows of the series.
 
-    In a cut series the rows at least ``reach`` deep in their slot are complete.  The others are
-    recomputed over the first and last ``reach`` rows of every slot: consecutive there means
-    consecutive in the series for everything such a row can see.
+    In a cut series the end of each slot, holding at least ``reach`` rows, is copied to the front
+    of the next slot, and the copies are dropped after the window.
     """
     placed = layout.place(df)
     if not layout.sliced:
         return layout.strip(build(placed, layout.window))
+    ends = settle(_slot_ends(df, layout, reach))
+    if not ends.bounded or ends.df.where("__next is not null and __from is null").limit(1).count():
+        return _over_edges(placed, layout, reach, build)
+    joined = placed.join(F.broadcast(ends.df), layout.parts, "left").withColumn("__own", F.col(SLOT))
+    both = F.when(F.col(US) >= F.col("__from"), F.array_compact(F.array(SLOT, "__next"))).otherwise(F.array(SLOT))
+    copied = (joined.withColumn(SLOT, F.explode(both)).withColumn("__copy", F.col(SLOT) != F.col("__own"))
+              .drop("__own", "__from", "__next"))
+    return layout.strip(build(copied, layout.window).where("not __copy"))
+
+
+def _slot_ends(df: DataFrame, layout: Layout, reach: int) -> DataFrame:
+    """Per slot of a cut series: where its last ``reach`` rows may start, and the next slot.
+
+    Counts over parts of a slot bracket the place; nothing is sorted.  ``__from`` is NULL for a
+    slot of fewer rows.
+    """
+    placed = layout.place(df, keep_cut=True).where("__width is not null")
+    part = F.expr(f"({US} - __t0 - {SLOT} * __width) div greatest(1, __width div {PARTS_PER_SLOT})")
+    counts = placed.groupBy(*layout.parts, part.alias("__part")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(US).alias("__lo"))
+    from_end = (Window.partitionBy(*layout.parts).orderBy(F.desc("__part"))
+                .rowsBetween(Window.unboundedPreceding, 0))
+    ends = (counts.withColumn("__seen", F.sum("n").over(from_end)).groupBy(*layout.parts)
+            .agg(F.max(F.when(F.col("__seen") >= reach, F.col("__lo"))).alias("__from")))
+    following = F.lead(SLOT).over(Window.partitionBy(layout.key).orderBy(SLOT))
+    return ends.select(*layout.parts, "__from", following.alias("__next"))
+
+
+def _over_edges(placed: DataFrame, layout: Layout, reach: int,
+                build: Callable[[DataFrame, WindowSpec], DataFrame]) -> DataFrame:
+    """``over_rows`` for slots of any size.
+
+    Rows at least ``reach`` deep in their slot are complete.  The others are recomputed over the
+    first and last ``reach`` rows of every slot: consecutive there means consecutive in the series
+    for everything such a row can see.  Sorts twice, hence only where a slot is short of rows.
+    """
     w = layout.window
     marked = placed.select(
         "*", F.lag(US, reach).over(w).isNull().alias("__head"),

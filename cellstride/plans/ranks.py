@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .params import Settled, attach, settle
 
 MAX_GROUP = 1_000_000
+ACCURACY = 10_000
+MARGIN = 3 / ACCURACY
 PROBES = 256
 MAX_ROUNDS = 8
 
@@ -30,7 +32,7 @@ def percentiles(df: DataFrame, columns: list[str], probs: list[float], key: str
     if approximate:
         return _melted(df.groupBy(*keys).agg(*[
             F.struct(F.count(c).alias("n"),
-                     F.transform(F.percentile_approx(c, grid, 10_000), lambda v: v.cast("double"))
+                     F.transform(F.percentile_approx(c, grid, ACCURACY), lambda v: v.cast("double"))
                      .alias("q")).alias(c) for c in columns]), keys, columns)
     counts = df.groupBy(*keys).agg(*[F.count(c).alias(c) for c in columns])
     largest = counts.agg(F.greatest(*[F.max(c) for c in columns], F.lit(0)).alias("n")).first()["n"]
@@ -60,13 +62,44 @@ def _bracketed(df: DataFrame, columns: list[str], probs: list[float], keys: list
                limit: int) -> DataFrame:
     group = [*keys, "feature"]
     rows = melt(df, keys, columns)
+    # One sketch per group brackets every target.  Its rank error is 1/ACCURACY of the group; the
+    # bracket is three times as wide on either side, or the whole range where that is a few rows.
+    sides = F.array(*[F.lit(min(1.0, max(0.0, p + s * MARGIN))) for p in probs for s in (-1, 1)])
     targets = F.array(*[F.struct(F.lit(i).alias("target"), F.lit(float(p)).alias("p"))
                         for i, p in enumerate(probs)])
-    state = settle(
-        rows.groupBy(*group).agg(F.count("value").alias("n"), F.min("value").alias("lo"),
-                                 F.max("value").alias("hi"))
-        .withColumn("t", F.explode(targets))
-        .select(*group, "n", "lo", "hi", "t.target", (F.col("t.p") * (F.col("n") - 1)).alias("pos")))
+    sketched = (rows.groupBy(*group)
+                .agg(F.count("value").alias("n"), F.min("value").alias("min"), F.max("value").alias("max"),
+                     F.percentile_approx("value", sides, ACCURACY).alias("q"))
+                .withColumn("t", F.explode(targets)))
+    p, few = F.col("t.p"), F.col("n") * MARGIN < 10
+    state = settle(sketched.select(
+        *group, "n", "t.target", (p * (F.col("n") - 1)).alias("pos"),
+        F.when(few | (p <= MARGIN), F.col("min")).otherwise(F.get("q", F.col("t.target") * 2)).alias("lo"),
+        F.when(few | (p >= 1 - MARGIN), F.col("max")).otherwise(F.get("q", F.col("t.target") * 2 + 1)).alias("hi")))
+    widest = state.df.agg(F.max(F.when(F.col("lo") < F.col("hi"), F.col("n")))).first()[0] or 0
+    if widest * 4 * MARGIN > limit:
+        state = _narrowed(rows, state, group, limit)
+    # Rows below a bracket collapse to one key before the shuffle, so they travel as a count.
+    kept = (_with_state(rows, state, group).where(F.col("value") <= F.col("hi"))
+            .withColumn("value", F.when(F.col("value") >= F.col("lo"), F.col("value"))))
+    counts = kept.groupBy(*group, "target", "n", "pos", "value").agg(F.count(F.lit(1)).alias("m"))
+    upto = F.sum("m").over(Window.partitionBy(*group, "target").orderBy("value")
+                           .rowsBetween(Window.unboundedPreceding, 0))
+    picked = (counts.withColumn("upto", upto).groupBy(*group, "target", "n", "pos")
+              .agg(F.min(F.when(F.col("upto") > F.floor("pos"), F.col("value"))).alias("v0"),
+                   F.min(F.when(F.col("upto") > F.ceil("pos"), F.col("value"))).alias("v1"),
+                   F.coalesce(F.max(F.when(F.col("value").isNull(), F.col("m"))), F.lit(0)).alias("below")))
+    missed = (F.col("below") > F.floor("pos")) | F.col("v1").isNull()
+    value = F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("pos") - F.floor("pos"))
+    picked = picked.select(*group, "n", "target", F.when(
+        missed, F.raise_error(F.lit("a percentile lies outside its bracket")).cast("double")).otherwise(value).alias("v"))
+    return (picked.groupBy(*group, "n")
+            .agg(F.sort_array(F.collect_list(F.struct("target", "v"))).alias("s"))
+            .select(*group, "n", F.transform("s", lambda s: s["v"]).alias("q")))
+
+
+def _narrowed(rows: DataFrame, state: Settled, group: list[str], limit: int) -> Settled:
+    """Brackets of at most about ``limit`` distinct values, by exact counts and sketches inside."""
     probes = F.array(*[F.lit(i / PROBES) for i in range(PROBES + 1)])
     for _ in range(MAX_ROUNDS):
         inside = F.col("value").between(F.col("lo"), F.col("hi"))
@@ -76,33 +109,16 @@ def _bracketed(df: DataFrame, columns: list[str], probs: list[float], keys: list
                  F.first("hi").alias("hi"), F.count_if(F.col("value") < F.col("lo")).alias("below"),
                  F.count_if(inside).alias("inside"),
                  F.approx_count_distinct(F.when(inside, F.col("value"))).alias("distinct"),
-                 F.percentile_approx(F.when(inside, F.col("value")), probes, 10_000).alias("q")))
-        wide = measured.df.where((F.col("distinct") > limit) & (F.col("lo") < F.col("hi")))
-        if not wide.limit(1).count():
+                 F.percentile_approx(F.when(inside, F.col("value")), probes, ACCURACY).alias("q")))
+        small = (F.col("distinct") <= limit) | (F.col("lo") >= F.col("hi"))
+        if not measured.df.where(~small).limit(1).count():
             break
         at = F.floor((F.floor("pos") - F.col("below")) / F.col("inside") * PROBES).cast("int")
-        small = (F.col("distinct") <= limit) | (F.col("lo") >= F.col("hi"))
         state = settle(measured.df.select(
             *group, "n", "target", "pos",
-            F.when(small, F.col("lo")).otherwise(
-                F.get("q", F.greatest(at - 2, F.lit(0)))).alias("lo"),
-            F.when(small, F.col("hi")).otherwise(
-                F.get("q", F.least(at + 3, F.lit(PROBES)))).alias("hi")))
-    # Rows below a bracket collapse to one key before the shuffle, so they travel as a count.
-    kept = (_with_state(rows, state, group).where(F.col("value") <= F.col("hi"))
-            .withColumn("value", F.when(F.col("value") >= F.col("lo"), F.col("value"))))
-    counts = kept.groupBy(*group, "target", "n", "pos", "value").agg(F.count(F.lit(1)).alias("m"))
-    upto = F.sum("m").over(Window.partitionBy(*group, "target").orderBy("value")
-                           .rowsBetween(Window.unboundedPreceding, 0))
-    picked = (counts.withColumn("upto", upto).groupBy(*group, "target", "n", "pos")
-              .agg(F.min(F.when(F.col("upto") > F.floor("pos"), F.col("value"))).alias("v0"),
-                   F.min(F.when(F.col("upto") > F.ceil("pos"), F.col("value"))).alias("v1"))
-              .select(*group, "n", "target",
-                      (F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("pos") - F.floor("pos")))
-                      .alias("v")))
-    return (picked.groupBy(*group, "n")
-            .agg(F.sort_array(F.collect_list(F.struct("target", "v"))).alias("s"))
-            .select(*group, "n", F.transform("s", lambda s: s["v"]).alias("q")))
+            F.when(small, F.col("lo")).otherwise(F.get("q", F.greatest(at - 2, F.lit(0)))).alias("lo"),
+            F.when(small, F.col("hi")).otherwise(F.get("q", F.least(at + 3, F.lit(PROBES)))).alias("hi")))
+    return state
 
 
 def _with_state(rows: DataFrame, state: Settled, group: list[str]) -> DataFrame:

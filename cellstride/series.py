@@ -28,16 +28,16 @@ class SeriesSpec:
         return [self.key] if self.key else []
 
 
-def numeric_columns(df: DataFrame, exclude: tuple[str, ...] | list[str] = ()) -> list[str]:
-    """Numeric column names, from the schema alone."""
+def numeric_columns(df: DataFrame, spec: SeriesSpec = SeriesSpec()) -> list[str]:
+    """Names of the numeric features, from the schema alone; key, time and tie columns are none."""
     return [f.name for f in df.schema
-            if isinstance(f.dataType, T.NumericType) and f.name not in exclude
+            if isinstance(f.dataType, T.NumericType) and f.name not in (*spec.keys, spec.time, *spec.ties)
             and not f.name.startswith("__")]
 
 
 def select_numeric(df: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFrame:
     """Key, time and the numeric features; key and time are kept so that order survives."""
-    return df.select(*spec.keys, spec.time, *numeric_columns(df, spec.keys))
+    return df.select(*spec.keys, spec.time, *numeric_columns(df, spec))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

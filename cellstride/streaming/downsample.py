@@ -18,7 +18,7 @@ def downsample(df: DataFrame, indicators: list[str] | None = None, every: str =
     shuffle key contains the window, so a busy series spreads over its windows.
     """
     if aggregates is None:
-        aggregates = {c: F.avg(c) for c in indicators or numeric_columns(df, spec.keys)}
+        aggregates = {c: F.avg(c) for c in indicators or numeric_columns(df, spec)}
     grouped = df.groupBy(*spec.keys, F.window(spec.time, every).alias("w"))
     return grouped.agg(*[a.alias(name) for name, a in aggregates.items()]).select(
         *spec.keys, F.col("w.start").alias(spec.time), *aggregates)
@@ -43,7 +43,7 @@ def dropped_minutes(windows: DataFrame, columns: list[str] | None = None, window
                     spec: SeriesSpec = SPEC) -> DataFrame:
     """Minutes per series that the any-missing rule removes."""
     gap = F.lit(False)
-    for c in columns or numeric_columns(windows, spec.keys):
+    for c in columns or numeric_columns(windows, spec):
         gap = gap | F.col(c).isNull()
     return windows.groupBy(*spec.keys).agg(
         F.count(F.lit(1)).alias("n_windows"), F.count_if(gap).alias("n_dropped"),

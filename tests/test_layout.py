@@ -64,6 +64,15 @@ def test_cut_whole_frame_gives_the_same_rows(single, name):
     assert rows_of(run(df, cut, WHOLE)) == rows_of(run(df, plan_layout(df, WHOLE), WHOLE))
 
 
+@pytest.mark.parametrize("per_slot, sorts_twice", [(3, True), (40, False)])
+def test_both_ways_over_rows_are_taken(keyed, per_slot, sorts_twice, monkeypatch):
+    used = []
+    plain = layouts._over_edges
+    monkeypatch.setattr(layouts, "_over_edges", lambda *args: used.append(1) or plain(*args))
+    lags.row_lags(keyed, 4, layout=plan_layout(keyed, rows_per_slot=per_slot))
+    assert bool(used) == sorts_twice
+
+
 def test_crowded_slots_are_narrowed(spark):
     burst = [("a", i) for i in range(500)] + [("a", 10**12 + i * 10**9) for i in range(500)]
     df = spark.createDataFrame(burst, "District string, time long").withColumn("down", F.col("time") * 1.0)
@@ -84,7 +93,7 @@ def test_large_parameter_tables_join_the_same(keyed, spark, monkeypatch):
                 rows_of(percentiles(keyed, ["down"], [0.1, 0.5], "District")),
                 rows_of(lags.row_lags(keyed, 2, layout=plan_layout(keyed, rows_per_slot=20)))]
     expected = results()
-    monkeypatch.setattr(params, "MAX_ROWS", 1)
+    monkeypatch.setattr(params, "MAX_BYTES", 1)
     monkeypatch.setattr(params, "SALTS", 3)
     assert results() == expected
 
