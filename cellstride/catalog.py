@@ -508,9 +508,9 @@ DIFF_SQL = f"""{M_SQL}, D AS (SELECT "District", time,
   CAST(epoch_us(time) - lag(epoch_us(time)) OVER ({IN_ORDER}) AS BIGINT) AS diff_us FROM M)"""
 
 
-@query(f"WITH {DIFF_SQL} SELECT * FROM D")
+@query(f"WITH {DIFF_SQL} SELECT {KEYTIME}, coalesce(diff_us, -1) AS diff_us FROM D")
 def time_differences(spark, sf):
-    return lags.time_differences(grid_series(spark, sf))
+    return lags.time_differences(grid_series(spark, sf)).na.fill(-1, ["diff_us"])
 
 
 @query(f'WITH {DIFF_SQL} SELECT "District", diff_us, count(*) AS n FROM D WHERE diff_us IS NOT NULL GROUP BY 1, 2')
@@ -817,12 +817,16 @@ def pca_variance(spark, sf):
 @query(f"""WITH {L_SQL}, B AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq, avg(l_extendedprice) AS me,
   stddev_pop(l_extendedprice) AS se, sign(corr(l_quantity, l_extendedprice)) AS s FROM L),
 Z AS (SELECT l_quantity, l_extendedprice, (l_quantity - mq) / sq AS q, s * (l_extendedprice - me) / se AS e FROM L, B)
-SELECT {rs('l_quantity', 'l_extendedprice')}, {r('abs(q + e) / sqrt(2)', 'pc_1')}, {r('abs(q - e) / sqrt(2)', 'pc_2')} FROM Z""")
+SELECT {rs('l_quantity', 'l_extendedprice')}, round(abs(q + e) / sqrt(2), 3) AS pc_1, round(abs(q - e) / sqrt(2), 3) AS pc_2 FROM Z""")
 def pca_project(spark, sf):
-    """Two standardised features have the components (1, ±1)/√2; signs are left out."""
+    """Two standardised features have the components (1, ±1)/√2; signs are left out.
+
+    Three decimals: nearly uncorrelated features leave the directions less sharp than the rest.
+    """
     rows = line_items(spark, sf).select(*LINE[:2])
     scored = multivar.Components(rows).project(rows, 2)
-    return tidy(scored.select(*LINE[:2], F.abs("PC_1").alias("pc_1"), F.abs("PC_2").alias("pc_2")))
+    return tidy(scored.select(
+        *LINE[:2], F.round(F.abs("PC_1"), 3).alias("pc_1"), F.round(F.abs("PC_2"), 3).alias("pc_2")))
 
 
 @query()
@@ -854,10 +858,10 @@ def metrics_by_series(spark, sf):
     return tidy(metrics.metrics_by_dim(naive(spark, sf), ["District"]))
 
 
-@query(f"""WITH {P_SQL} SELECT dim, count(*) AS n, {r('avg((y_true - y_pred)^2)', 'mse')},
+@query(f"""WITH {P_SQL} SELECT coalesce(dim, -1) AS dim, count(*) AS n, {r('avg((y_true - y_pred)^2)', 'mse')},
   {r('sqrt(avg((y_true - y_pred)^2))', 'rmse')}, {r('avg(abs(y_true - y_pred))', 'mae')} FROM P GROUP BY ROLLUP(dim)""")
 def metrics_rollup(spark, sf):
-    return tidy(metrics.dim_and_overall(naive(spark, sf)))
+    return tidy(metrics.dim_and_overall(naive(spark, sf)).na.fill(-1, ["dim"]))
 
 
 @query(f"""WITH {P_SQL} SELECT {r('sqrt(avg((y_true - y_pred)^2)) / avg(y_true)', 'nrmse')} FROM P WHERE dim = 1""")

@@ -132,7 +132,7 @@ def cap_all_cells(df: DataFrame, columns: list[str] | None = None, low: float =
 
 
 def cap_by_series(df: DataFrame, columns: list[str], pairs: dict[str, tuple[float, float]] | None = None,
-                  exclude: list[str] | None = None, spec: SeriesSpec = SPEC,
+                  exclude: list[str] | None = None, spec: SeriesSpec = SPEC, approximate: bool = False,
                   max_group: int = MAX_GROUP) -> DataFrame:
     """Floor and cap per series, each with its own percentile pair (default 10/90).
 
@@ -141,7 +141,7 @@ def cap_by_series(df: DataFrame, columns: list[str], pairs: dict[str, tuple[floa
     wanted = sorted({p for pair in (pairs or {}).values() for p in pair} or {10, 90})
     if pairs:
         _require_known(df, list(pairs), spec)
-    table = percentiles(df, columns, [p / 100 for p in wanted], spec.key, max_group)
+    table = percentiles(df, columns, [p / 100 for p in wanted], spec.key, max_group, approximate)
 
     def pick(side: int) -> Column:
         if not pairs:

@@ -48,7 +48,10 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def epoch_us(df: DataFrame, column: str) -> Column:
-    """Microseconds since 1970-01-01 of a time column, read as wall-clock for TIMESTAMP_NTZ."""
+    """Microseconds since 1970-01-01 of a time column, read as wall-clock for TIMESTAMP_NTZ.
+
+    Wall-clock times pass through no zone: in one with summer time, two of them could meet.
+    """
     kind = df.schema[column].dataType
     if isinstance(kind, (T.LongType, T.IntegerType)):
         return F.col(column).cast("long")
@@ -58,7 +61,14 @@ def epoch_us(df: DataFrame, column: str) -> Column:
         return F.unix_micros(column)
     if df.sparkSession.conf.get("spark.sql.session.timeZone") in UTC_ZONES:
         return F.unix_micros(F.col(column).cast("timestamp"))
-    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{column}`)")
+    since = f"`{column}` - TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    return F.expr(f"cast(cast(cast({since} as interval second) as decimal(18, 6)) * 1000000 as bigint)")
+
+
+def wall_clock(instant: Column) -> Column:
+    """The TIMESTAMP_NTZ whose ``epoch_us`` equals that of an instant."""
+    seconds = (F.unix_micros(instant).cast("decimal(20, 0)") / 1_000_000).cast("decimal(18, 6)")
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
 
 
 def duplicate_instants(df: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..series import SeriesSpec, numeric_columns
+from ..series import SeriesSpec, epoch_us, numeric_columns, wall_clock
 
 SPEC = SeriesSpec()
 
@@ -60,11 +60,12 @@ def downsample_stream(stream: DataFrame, out: str, checkpoint: str, every: str =
     a restarted query continues without loss or duplicates.
     """
     naive = isinstance(stream.schema[spec.time].dataType, T.TimestampNTZType)
-    timed = stream.withColumn(spec.time, F.col(spec.time).cast("timestamp"))
+    # A watermark needs instants; wall-clock times travel as if they were UTC.
+    timed = stream.withColumn(spec.time, F.timestamp_micros(epoch_us(stream, spec.time))) if naive else stream
     windows = downsample(timed.withWatermark(spec.time, lateness), every=every,
                          aggregates=aggregates, spec=spec)
     if naive:
-        windows = windows.withColumn(spec.time, F.col(spec.time).cast("timestamp_ntz"))
+        windows = windows.withColumn(spec.time, wall_clock(F.col(spec.time)))
     writer = (windows.writeStream.format("parquet").outputMode("append")
               .option("path", out).option("checkpointLocation", checkpoint))
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -10,7 +10,7 @@ from cellstride.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("cellstride-tests", "local[*]", spark__sql__shuffle__partitions="8",
+    session = build_session("cellstride-tests", "local[*]", spark__sql__shuffle__partitions="4",
                             spark__ui__enabled="false", spark__driver__memory="8g",
                             spark__ui__showConsoleProgress="false")
     session.sparkContext.setLogLevel("ERROR")

@@ -8,6 +8,7 @@ import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
+from cellstride.operators import lags, scale
 from cellstride.operators.forecast import ForecastConfig, fit_forecaster, load_forecaster
 from cellstride.operators.metrics import long_predictions, metrics_overall
 from cellstride.session import scratch_root
@@ -137,6 +138,37 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path):
     assert rows_of(got) == rows_of(windows.downsample(make(rows), ["down"]))
 
 
+def test_wall_clock_times_pass_no_zone(spark, tmp_path):
+    """02:30 does not exist in New York on that day; series there keep it all the same."""
+    start = dt.datetime(2018, 3, 11, 1, 0)
+    df = spark.createDataFrame([("a", start + dt.timedelta(minutes=10 * i), float(i)) for i in range(20)],
+                               "District string, time timestamp_ntz, down double")
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    df.write.parquet(source)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        lagged = lags.time_lags(df, 1).collect()
+        assert len(lagged) == 19 and all(r["down_lag_1"] == r["down"] - 1 for r in lagged)
+        stream = spark.readStream.schema(df.schema).parquet(source)
+        windows.downsample_stream(stream, out, state, "20 minutes", "0 seconds", available_now=True).awaitTermination()
+        got = spark.read.parquet(out).orderBy("time").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [(r["time"], r["down"]) for r in got] == [
+        (start + dt.timedelta(minutes=20 * i), 2 * i + 0.5) for i in range(9)]
+
+
+def test_fitted_scaler_applies_to_a_stream(spark, tmp_path):
+    df = series_table(spark, missing=0.0)
+    df.write.parquet(str(tmp_path / "in"))
+    fitted = scale.fit_scaler(df, "robust", key="District")
+    stream = fitted.apply(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")))
+    query = (stream.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+             .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert rows_of(spark.read.parquet(str(tmp_path / "out"))) == rows_of(fitted.apply(df))
+
+
 @pytest.fixture(scope="module")
 def wave(spark):
     """A noiseless autoregression: each value is a fixed combination of the two before it."""
