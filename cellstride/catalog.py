@@ -884,7 +884,7 @@ Y AS (SELECT {KEYTIME}, down AS y_true, a + b * x AS y_pred FROM S, B)"""
 
 @query(f"WITH {AR1_SQL} SELECT {KEYTIME}, {rs('y_true', 'y_pred')} FROM Y")
 def fit_score_linear(spark, sf):
-    scored = fit_forecaster(raw_series(spark, sf), AR1).score(raw_series(spark, sf))
+    scored = jobs.train_and_evaluate(raw_series(spark, sf), AR1)[1]
     return tidy(scored.select("District", "time", F.get("y_true", 0).alias("y_true"), F.get("y_pred", 0).alias("y_pred")))
 
 
@@ -898,7 +898,7 @@ def train_and_evaluate(spark, sf):
 @query()
 def fit_score_gbt(spark, sf):
     config = ForecastConfig(targets=("down",), features=("down", "up"), n_lags=3, kind="gbt", max_iter=5)
-    return fit_forecaster(raw_series(spark, sf), config).score(raw_series(spark, sf))
+    return jobs.train_and_evaluate(raw_series(spark, sf), config)[1]
 
 
 @query(f"WITH {AR1_SQL} SELECT {KEYTIME}, {rs('y_pred')} FROM Y")

@@ -10,9 +10,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..plans.layout import Layout
+from ..plans.layout import Layout, plan_layout
 from ..series import SeriesSpec, numeric_columns
-from .lags import lag_columns, mark_split, row_lags
+from .lags import lag_columns, mark_split, row_lags, split_points
 from .metrics import long_predictions
 
 SPEC = SeriesSpec()
@@ -97,7 +97,10 @@ def fit_forecaster(df: DataFrame, config: ForecastConfig = ForecastConfig(), spe
     leaves it out.
     """
     features = config.features or tuple(numeric_columns(df, spec))
-    marked = mark_split(_design(df, config, features, spec, layout), config.train_size, spec)
+    layout = layout or plan_layout(df, spec)
+    # The cut is found on the plain rows, so the lag window runs once, for the fit.
+    points = split_points(df, config.train_size, spec, layout, skip=config.n_lags)
+    marked = mark_split(_design(df, config, features, spec, layout), spec=spec, points=points)
     assembler = VectorAssembler(inputCols=lag_columns(list(features), config.n_lags), outputCol="__x")
     usable = marked.na.drop("any", subset=list(config.targets)).withColumn("__is_val", ~F.col("is_train"))
     if config.kind != "gbt" or not config.early_stop:

@@ -62,8 +62,8 @@ def time_lags(df: DataFrame, n_lags: int, step: int = 1, columns: list[str] | No
     steps = [step * i for i in range(1, n_lags + 1)]
     periods = None
     if period_us is None:
-        periods = settle(modal_periods(df, spec, layout).select(*spec.keys, "period_us"))
-        common = periods.distinct("period_us") if periods.bounded else []
+        periods = settle(modal_periods(df, spec, layout).select(*spec.keys, F.col("period_us").alias("__period")))
+        common = periods.distinct("__period") if periods.bounded else []
         if len(common) == 1:
             period_us = common[0]
             if period_us is None:
@@ -114,7 +114,7 @@ def _lags_by_join(df: DataFrame, layout: Layout, steps: list[int], columns: list
     if period_us is not None:
         placed = placed.withColumn("__period", F.lit(period_us))
     else:
-        placed = attach(placed, periods, layout.spec.keys, [US]).withColumnRenamed("period_us", "__period")
+        placed = attach(placed, periods, layout.spec.keys, [US])
     out = placed
     for n in steps:
         seen = placed.select(F.col(key), (F.col(US) + n * F.col("__period")).alias(US),
@@ -189,25 +189,29 @@ def sampling_report(df: DataFrame, spec: SeriesSpec = SPEC, layout: Layout | Non
 
 
 def split_points(df: DataFrame, train_size: float = 0.8, spec: SeriesSpec = SPEC,
-                 layout: Layout | None = None) -> DataFrame:
-    """Time coordinate of the last training row per series."""
+                 layout: Layout | None = None, skip: int = 0) -> DataFrame:
+    """Time coordinate of the last training row per series; the first ``skip`` rows do not count."""
     layout = layout or plan_layout(df, spec)
-    at = instants_at(df, layout, lambda total: F.ceil(F.lit(float(train_size)) * total))
+    at = instants_at(df, layout, lambda total: F.when(
+        total > skip, skip + F.ceil(F.lit(float(train_size)) * (total - skip))))
     return at.select(*spec.keys, F.col("instant_us").alias("cut_us"))
 
 
 def mark_split(df: DataFrame, train_size: float = 0.8, spec: SeriesSpec = SPEC,
-               layout: Layout | None = None) -> DataFrame:
+               layout: Layout | None = None, points: DataFrame | None = None) -> DataFrame:
     """Add ``is_train``: the first ceil(train_size · n) rows of each series.
 
-    Only the cut times are computed by sorting; the rows themselves are compared in place.
+    Only the cut times (``points``) are computed by sorting; the rows themselves are compared in
+    place.  Rows of one instant stay on one side.
     """
-    cuts = settle(split_points(df, train_size, spec, layout))
+    points = split_points(df, train_size, spec, layout) if points is None else points
+    cuts = settle(points.withColumnRenamed("cut_us", "__cut"))
     us = epoch_us(df, spec.time)
     if spec.key is None:
-        return df.withColumn("is_train", us <= F.lit(cuts.one()["cut_us"]))
+        cut = F.lit(None if cuts.empty else cuts.one()["__cut"]).cast("long")
+        return df.withColumn("is_train", F.coalesce(us <= cut, F.lit(False)))
     return (attach(df, cuts, spec.keys, [spec.time])
-            .withColumn("is_train", F.coalesce(us <= F.col("cut_us"), F.lit(False))).drop("cut_us"))
+            .withColumn("is_train", F.coalesce(us <= F.col("__cut"), F.lit(False))).drop("__cut"))
 
 
 def split_train_val(df: DataFrame, train_size: float = 0.8, spec: SeriesSpec = SPEC,

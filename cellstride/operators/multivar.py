@@ -65,7 +65,8 @@ def pair_distance_correlation(df: DataFrame, pairs: list[tuple[str, str]],
                          for i, (a, b) in enumerate(pairs)]).first()
     points = sum(sized)
     per_block = ceil(max(block_rows, sqrt(points)))
-    weighted = (scaled.select(F.explode(cells).alias("c")).select("c.*")
+    # Each row becomes one per pair, so uneven input splits are evened out while rows are narrow.
+    weighted = (scaled.hint("rebalance").select(F.explode(cells).alias("c")).select("c.*")
                 .groupBy("pair", "x", "y").agg(F.count(F.lit(1)).cast("double").alias("w")))
     ranges = min(MAX_RANGES, max(1, ceil(points / per_block)))
     placed = stage(_in_blocks(_in_blocks(weighted, "x", "y", "bx", ranges, per_block),
@@ -282,6 +283,6 @@ def component_correlation(df: DataFrame, columns: list[str] | None = None, thres
     """Distance correlation of every feature with every kept component."""
     fitted = Components(df, columns, spec)
     k = fitted.count_for(threshold)
-    projected = fitted.project(df, k)
+    projected = stage(fitted.project(df, k).select(*fitted.columns, *[f"PC_{i + 1}" for i in range(k)]), "components")
     return pair_distance_correlation(
         projected, [(c, f"PC_{i + 1}") for c in fitted.columns for i in range(k)], block_rows)

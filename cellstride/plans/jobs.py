@@ -12,6 +12,7 @@ from ..operators.lags import time_lags
 from ..operators.metrics import long_predictions, metrics_overall
 from ..operators.scale import scale_frame
 from ..series import SeriesSpec, select_numeric
+from .layout import plan_layout
 
 SPEC = SeriesSpec()
 
@@ -29,8 +30,9 @@ def prepare(df: DataFrame, n_lags: int = 5, scaler: str = "standard", threshold:
 def train_and_evaluate(df: DataFrame, config: ForecastConfig = ForecastConfig(),
                        spec: SeriesSpec = SPEC) -> tuple[Forecaster, DataFrame, DataFrame]:
     """Fit on the first part of every series; predictions and metrics over all scored rows."""
-    forecaster = fit_forecaster(df, config, spec)
-    predictions = forecaster.score(df)
+    layout = plan_layout(df, spec)
+    forecaster = fit_forecaster(df, config, spec, layout)
+    predictions = forecaster.score(df, layout)
     return forecaster, predictions, metrics_overall(long_predictions(predictions, spec=spec))
 
 
