@@ -226,18 +226,15 @@ def neighbours(df: DataFrame, layout: Layout, columns: list[str]) -> DataFrame:
     finds them; across slots one known value per slot and side is carried on.
     """
     placed = layout.place(df)
-    # The look-ahead reads the series backwards: a frame that grows is updated row by row, while
-    # one that shrinks (…, UNBOUNDED FOLLOWING) is recomputed for every row.
-    grown = (Window.unboundedPreceding, -1)
-    back = layout.window.rowsBetween(*grown)
-    ahead = Window.partitionBy(*layout.parts).orderBy(F.desc(US)).rowsBetween(*grown)
-
-    def known(c: str):
-        return F.when(F.col(c).isNotNull(), F.struct(F.col(US).alias("us"), F.col(c).alias("value")))
-
-    found = placed.select(
-        "*", *[F.last(known(c), ignorenulls=True).over(back).alias(f"__prev_{c}") for c in columns],
-        *[F.last(known(c), ignorenulls=True).over(ahead).alias(f"__next_{c}") for c in columns])
+    known = [F.when(F.col(c).isNotNull(), F.struct(F.col(US).alias("us"), F.col(c).alias("value"))).alias(f"__at_{c}")
+             for c in columns]
+    # LAG and LEAD that ignore NULLs share one sort and read on from the last hit; a frame that
+    # shrinks (…, UNBOUNDED FOLLOWING) would be recomputed for every row.
+    over = f"OVER (PARTITION BY {', '.join(f'`{p}`' for p in layout.parts)} ORDER BY {US})"
+    found = placed.select("*", *known).select(
+        "*", *[F.expr(f"lag(`__at_{c}`) IGNORE NULLS {over}").alias(f"__prev_{c}") for c in columns],
+        *[F.expr(f"lead(`__at_{c}`) IGNORE NULLS {over}").alias(f"__next_{c}") for c in columns]
+    ).drop(*[f"__at_{c}" for c in columns])
     if not layout.sliced:
         return found
     # max_by and min_by keep primitive buffers, so these ends combine in a hash table per task.
@@ -250,6 +247,7 @@ def neighbours(df: DataFrame, layout: Layout, columns: list[str]) -> DataFrame:
         us = F.col(f"__{side}_us_{c}")
         return F.when(us.isNotNull(), F.struct(us.alias("us"), F.col(f"__{side}_{c}").alias("value")))
 
+    grown = (Window.unboundedPreceding, -1)
     by_slot = Window.partitionBy(layout.key)
     earlier = by_slot.orderBy(SLOT).rowsBetween(*grown)
     later = by_slot.orderBy(F.desc(SLOT)).rowsBetween(*grown)
