@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bloomlm, bpe, exactdedup, htmltext, langid, mixing, sharding, simhash, vptree
+from . import bloomlm, bpe, exactdedup, htmltext, langid, mixing, secrets, sharding, simhash, vptree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.query,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": sharding.query,
     "op6_html": htmltext.query,
     "op7_bloom_lm": bloomlm.query,
+    "op8_secrets": secrets.query,
     "op9_bpe": bpe.query,
     "op10_exact_dedup": exactdedup.query,
 }
