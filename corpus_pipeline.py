@@ -26,8 +26,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near copies: fingerprints of five-word shingles, linked at three bits or fewer."""
-    return _keep(docs, simhash.near_duplicates(docs, width=5))
+    """One row of each class of near copies: fingerprints of three-word shingles, linked at three bits or fewer."""
+    return _keep(docs, simhash.near_duplicates(docs))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
