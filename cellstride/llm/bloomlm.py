@@ -274,7 +274,7 @@ def _one_pass(df, shared, text_col, prior, total, distinct, contexts, words, gro
         once, first, at = np.unique(grams[able], return_index=True, return_inverse=True)
         b[able] = np.minimum(value_of(model.level(once, ctx_block[able][first]))[at], np.minimum(c, a)[able])
         return np.stack([np.bincount(doc, w, n) for w in (
-            np.ones(len(own)), c > 0, np.log10(p), np.log10((b + prior * p) / (a + prior)))])
+            np.ones(len(own)), c > 0, np.log10(p), np.log10((b + prior * p) / (a + prior)))]).astype(np.float64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, hashing = shared.value, Words()

@@ -31,7 +31,8 @@ def presence(text: str | None) -> np.ndarray | None:
     for n in range(1, max(ORDERS) + 1):
         rolled = rolled[:len(codes) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + codes[n - 1:] + np.uint64(n)
         if n in ORDERS:
-            mixed = rolled ^ (rolled >> np.uint64(31))
+            grams = rolled[codes != ord(" ")] if n == 1 else rolled
+            mixed = grams ^ (grams >> np.uint64(31))
             out[((mixed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(49)).astype(np.int64)] = True
     return out
 

@@ -18,7 +18,7 @@ LEAF = 48
 SHARD_ROWS = 4096
 QUERY_BLOCK = 1024
 #: Slack for rounding when distances are compared.
-EPS = 1e-9
+EPS = 1e-6
 
 
 def _pack(**arrays: np.ndarray) -> bytes:
