@@ -188,18 +188,6 @@ def predictions_sink(spark, sf):
     return spark.read.parquet(path)
 
 
-@query()
-def object_manifest(spark, sf):
-    return tables.object_manifest(spark, sf)
-
-
-@query()
-def upload_receipt(spark, sf):
-    path = scratch_path(spark, "bucket")
-    tables.write_measurements(raw_series(spark, sf), path)
-    return tables.receipt(spark, path, "measurements")
-
-
 # ------------------------------------------------------------- projections and filters
 
 
@@ -545,6 +533,74 @@ def skip_rows(spark, sf):
     return lags.skip_rows(raw_series(spark, sf), 5)
 
 
+def tied_series(spark: SparkSession, sf: str) -> DataFrame:
+    """Many rows an instant: times cut to the hour, told apart by the event's number."""
+    return _events(spark, sf).select("District", F.date_trunc("hour", "time").cast("timestamp_ntz").alias("time"),
+                                     "event_id", F.col("value").alias("down"))
+
+
+TIES = SeriesSpec(ties=("event_id",))
+T_SQL = """T AS (SELECT event_type AS "District", date_trunc('hour', ts) AS time, event_id, value AS down FROM events)"""
+IN_TIES = 'PARTITION BY "District" ORDER BY time, event_id'
+TIED_SPLIT = f"""WITH {T_SQL} SELECT *, row_number() OVER ({IN_TIES}) <= ceil(0.8::DOUBLE * count(*) OVER (
+  PARTITION BY "District")) AS is_train FROM T"""
+TIED_SKIP = f"WITH {T_SQL} SELECT * FROM T QUALIFY row_number() OVER ({IN_TIES}) > 7"
+
+
+@query(TIED_SPLIT)
+def split_with_ties(spark, sf):
+    return lags.mark_split(tied_series(spark, sf), spec=TIES)
+
+
+@query(TIED_SPLIT)
+def split_with_ties_cut(spark, sf):
+    rows = tied_series(spark, sf)
+    return lags.mark_split(rows, spec=TIES, layout=plan_layout(rows, TIES, CUT_ROWS))
+
+
+@query(TIED_SKIP)
+def skip_with_ties(spark, sf):
+    return lags.skip_rows(tied_series(spark, sf), 7, TIES)
+
+
+# The same operators on series cut into slots of a few hundred rows, as long series are.
+CUT_ROWS = 300
+
+
+def _cut(df: DataFrame):
+    return plan_layout(df, rows_per_slot=CUT_ROWS)
+
+
+@query(ORACLES["row_lags"])
+def row_lags_cut(spark, sf):
+    rows = raw_series(spark, sf)
+    return lags.row_lags(rows, 3, layout=_cut(rows))
+
+
+@query(ORACLES["time_lags"])
+def time_lags_cut(spark, sf):
+    rows = grid_series(spark, sf)
+    return lags.time_lags(rows, 3, period_us=2 * MINUTE_US, layout=_cut(rows))
+
+
+@query(ORACLES["impute_time"])
+def impute_time_cut(spark, sf):
+    rows = gappy_series(spark, sf)
+    return tidy(clean.fill_by_time(rows, ["down", "up", "rb_down"], layout=_cut(rows)))
+
+
+@query(ORACLES["train_val_split"])
+def split_cut(spark, sf):
+    rows = raw_series(spark, sf)
+    return lags.mark_split(rows, layout=_cut(rows))
+
+
+@query(ORACLES["cap_params"])
+def percentiles_bracketed(spark, sf):
+    """Percentiles by brackets, as for groups too large to hold."""
+    return tidy(clean.cap_bounds(gappy_series(spark, sf), ["down", "up"], key="District", max_group=1))
+
+
 @query(f"""WITH {R_SQL} SELECT {KEYTIME}, CAST(row_number() OVER ({IN_ORDER}) - 1 AS BIGINT) AS position FROM R""")
 def row_positions(spark, sf):
     rows = raw_series(spark, sf).select("District", "time")
@@ -713,6 +769,13 @@ def acf(spark, sf):
     return tidy(table_.select("District", "feature", F.posexplode("acf").alias("lag", "acf")))
 
 
+@query(ORACLES["acf"])
+def acf_cut(spark, sf):
+    rows = raw_series(spark, sf)
+    table_ = profile.autocorrelation(rows, ACF_LAGS, layout=_cut(rows))
+    return tidy(table_.select("District", "feature", F.posexplode("acf").alias("lag", "acf")))
+
+
 @query(f"""WITH RECURSIVE {ACF_SQL},
 D AS (SELECT "District", feature, n, acf, 1 AS k, [acf[2]] AS phi, acf[2] AS last FROM A
   UNION ALL SELECT "District", feature, n, acf, k + 1,
@@ -797,11 +860,6 @@ def scatter_bins(spark, sf):
     return multivar.scatter_bins(line_items(spark, sf))
 
 
-@query()
-def scatter_sample(spark, sf):
-    return multivar.scatter_sample(line_items(spark, sf), 0.05, seed=3)
-
-
 PCA_COLS = LINE[:3]
 
 
@@ -876,10 +934,11 @@ AR1_SQL = f"""{R_SQL}, X AS (SELECT "District", time, down, coalesce(lag(down) O
   WINDOW w AS ({IN_ORDER}) QUALIFY row_number() OVER w > 1),
 S AS (SELECT *, row_number() OVER ({IN_ORDER}) <= ceil(0.8::DOUBLE * count(*) OVER (PARTITION BY "District")) AS is_train FROM X),
 B AS (SELECT regr_slope(down, x) AS b, regr_intercept(down, x) AS a FROM S WHERE is_train),
-Y AS (SELECT {KEYTIME}, down AS y_true, a + b * x AS y_pred FROM S, B)"""
+Y AS (SELECT {KEYTIME}, down AS y_true, a + b * x AS y_pred, is_train FROM S, B),
+V AS (SELECT * FROM Y WHERE NOT is_train)"""
 
 
-@query(f"WITH {AR1_SQL} SELECT {KEYTIME}, {rs('y_true', 'y_pred')} FROM Y")
+@query(f"WITH {AR1_SQL} SELECT {KEYTIME}, {rs('y_true', 'y_pred')} FROM V")
 def fit_score_linear(spark, sf):
     scored = jobs.train_and_evaluate(raw_series(spark, sf), AR1)[1]
     return tidy(scored.select("District", "time", F.get("y_true", 0).alias("y_true"), F.get("y_pred", 0).alias("y_pred")))
@@ -887,11 +946,35 @@ def fit_score_linear(spark, sf):
 
 @query(f"""WITH {AR1_SQL} SELECT {r('avg((y_true - y_pred)^2)', 'mse')}, {r('sqrt(avg((y_true - y_pred)^2))', 'rmse')},
   {r('avg(abs(y_true - y_pred))', 'mae')}, {r('1 - avg((y_true - y_pred)^2) / var_pop(y_true)', 'r2')},
-  {r('sqrt(avg((y_true - y_pred)^2)) / avg(y_true)', 'nrmse')} FROM Y""")
+  {r('sqrt(avg((y_true - y_pred)^2)) / avg(y_true)', 'nrmse')} FROM V""")
 def train_and_evaluate(spark, sf):
     return tidy(jobs.train_and_evaluate(raw_series(spark, sf), AR1)[2])
 
 
+@query(f"WITH {AR1_SQL}, P AS (SELECT *, 0 AS dim FROM V) " + _dim_metrics('"District", dim'))
+def evaluate_by_series(spark, sf):
+    """Held-out scores of each series and dimension."""
+    scored = jobs.train_and_evaluate(raw_series(spark, sf), AR1)[1]
+    return tidy(metrics.metrics_by_dim(metrics.long_predictions(scored), ["District"]))
+
+
+ARX = ForecastConfig(targets=("down",), features=("down",), exogenous=("sin_hour",), n_lags=1)
+
+
+@query(f"""WITH {R_SQL}, X AS (SELECT "District", time, down, coalesce(lag(down) OVER w, 0) AS x, sin(2*pi()*hour(time)/24) AS z FROM R
+  WINDOW w AS ({IN_ORDER}) QUALIFY row_number() OVER w > 1),
+S AS (SELECT *, row_number() OVER ({IN_ORDER}) <= ceil(0.8::DOUBLE * count(*) OVER (PARTITION BY "District")) AS is_train FROM X),
+C AS (SELECT covar_pop(x, x) AS xx, covar_pop(z, z) AS zz, covar_pop(x, z) AS xz, covar_pop(x, down) AS xy, covar_pop(z, down) AS zy,
+  avg(x) AS mx, avg(z) AS mz, avg(down) AS my FROM S WHERE is_train),
+B AS (SELECT (xy*zz - zy*xz) / (xx*zz - xz*xz) AS b, (zy*xx - xy*xz) / (xx*zz - xz*xz) AS c, mx, mz, my FROM C)
+SELECT {KEYTIME}, {r('down', 'y_true')}, {r('my + b*(x - mx) + c*(z - mz)', 'y_pred')} FROM S, B WHERE NOT is_train""")
+def fit_score_exogenous(spark, sf):
+    """One lag and one time feature, fitted on the first part of each series and scored on the rest."""
+    rows = raw_series(spark, sf).withColumn("sin_hour", F.sin(2 * F.pi() * F.hour("time") / 24))
+    scored = jobs.train_and_evaluate(rows, ARX)[1]
+    return tidy(scored.select("District", "time", F.get("y_true", 0).alias("y_true"), F.get("y_pred", 0).alias("y_pred")))
+
+
 @query()
 def fit_score_gbt(spark, sf):
     config = ForecastConfig(targets=("down",), features=("down", "up"), n_lags=3, kind="gbt", max_iter=5)
@@ -952,16 +1035,16 @@ def dropped_minutes(spark, sf):
     return windows.dropped_minutes(gappy_series(spark, sf))
 
 
-@query(f"""WITH {M_SQL} SELECT * FROM M WHERE epoch_ms(time) + 120000 <= (SELECT max(epoch_ms(ts)) - 600000 FROM events)""")
+@query(f"WITH {M_SQL} SELECT * FROM M")
 def downsample_stream(spark, sf):
-    """The windows a stream over the table has closed when its input ends."""
+    """All windows of a stream over the table, the open ones included."""
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
               .withColumnsRenamed({"event_type": "District", "ts": "time"}))
     out = scratch_path(spark, "stream")
     windows.downsample_stream(stream, out, scratch_path(spark, "stream-state"), available_now=True, aggregates={
         "down": F.max("value"), "up": F.min("value"), "rnti_count": _n_events()}).awaitTermination()
-    return spark.read.parquet(out)
+    return windows.read_windows(spark, out)
 
 
 PREPARED_SQL = CLEAN_SQL + ", Z AS (SELECT District, time, " + ", ".join(

@@ -143,17 +143,16 @@ def cap_by_series(df: DataFrame, columns: list[str], pairs: dict[str, tuple[floa
         _require_known(df, list(pairs), spec)
     table = percentiles(df, columns, [p / 100 for p in wanted], spec.key, max_group, approximate)
 
-    def pick(side: int) -> Column:
-        if not pairs:
-            return F.get("q", side)
-        at = F.lit(None).cast("int")
-        for area, pair in pairs.items():
-            at = F.when(F.col(spec.key) == area, F.lit(wanted.index(pair[side]))).otherwise(at)
-        return F.get("q", at)
-
-    bounds = table.select(spec.key, "feature", pick(0).alias("lo"), pick(1).alias("hi"))
+    spark, kind = df.sparkSession, df.schema[spec.key].dataType.simpleString()
+    if pairs:
+        ranks = spark.createDataFrame([(k, wanted.index(lo), wanted.index(hi)) for k, (lo, hi) in pairs.items()],
+                                      f"`{spec.key}` {kind}, __lo int, __hi int")
+        table = table.join(ranks, spec.key)
+    else:
+        table = table.select("*", F.lit(0).alias("__lo"), F.lit(1).alias("__hi"))
+    bounds = table.select(spec.key, "feature", F.get("q", "__lo").alias("lo"), F.get("q", "__hi").alias("hi"))
     if exclude:
-        bounds = bounds.where(~F.col(spec.key).isin(exclude))
+        bounds = bounds.join(spark.createDataFrame([(k,) for k in exclude], f"`{spec.key}` {kind}"), spec.key, "left_anti")
     wide = bounds.groupBy(spec.key).agg(
         *[F.max(F.when(F.col("feature") == c, F.struct("lo", "hi"))).alias(f"__{c}") for c in columns])
     joined = attach(df, settle(wide), [spec.key], [spec.time])
@@ -168,6 +167,8 @@ def unknown_series(df: DataFrame, known: DataFrame, spec: SeriesSpec = SPEC) ->
 
 
 def _require_known(df: DataFrame, known: list[str], spec: SeriesSpec) -> None:
-    strays = df.select(spec.key).distinct().where(~F.col(spec.key).isin(known)).limit(5).collect()
+    kind = df.schema[spec.key].dataType.simpleString()
+    listed = df.sparkSession.createDataFrame([(k,) for k in known], f"`{spec.key}` {kind}")
+    strays = unknown_series(df, listed, spec).limit(5).collect()
     if strays:
         raise ValueError(f"no parameters for series {[r[0] for r in strays]}")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.layout import Layout, plan_layout
 from ..series import SeriesSpec, numeric_columns
-from .lags import lag_columns, mark_split, row_lags, split_points
+from .lags import lag_columns, mark_split, row_lags
 from .metrics import long_predictions
 
 SPEC = SeriesSpec()
@@ -23,10 +23,11 @@ class ForecastConfig:
     targets: tuple[str, ...] = ("down", "up")
     n_lags: int = 10
     features: tuple[str, ...] | None = None
+    exogenous: tuple[str, ...] = ()  # columns known at the row itself, such as time features; used without lags
     kind: str = "linear"             # linear or gbt
     loss: str = "mse"                # mse or l1; l1 needs gbt
-    l1: float = 0.0                  # penalties of the linear model
-    l2: float = 0.0
+    l1: float = 0.0                  # elastic-net weights of MLlib: penalties on standardised coefficients,
+    l2: float = 0.0                  # l1·|w| + l2·w²/2
     train_size: float = 0.8
     max_iter: int = 20
     early_stop: bool = True          # gbt: stop when the validation loss no longer improves
@@ -57,6 +58,11 @@ class Forecaster:
         """``(key, time, y_true, y_pred)``, one vector per row that has its lags."""
         return self.score_examples(_design(df, self.config, self.features, self.spec, layout))
 
+    def score_held_out(self, df: DataFrame, layout: Layout | None = None) -> DataFrame:
+        """The same for the rows that the fit did not learn from."""
+        design = split_design(df, self.config, self.features, self.spec, layout)
+        return self.score_examples(design.where("not is_train"))
+
     def score_examples(self, design: DataFrame) -> DataFrame:
         scored = self.models.transform(design)
         return scored.select(*self.spec.keys, self.spec.time,
@@ -80,13 +86,26 @@ def load_forecaster(spark, path: str) -> Forecaster:
                       PipelineModel.load(f"{path}/models"), SeriesSpec(**spec))
 
 
+def _inputs(config: ForecastConfig, features) -> list[str]:
+    return [*lag_columns(list(features), config.n_lags), *config.exogenous]
+
+
 def _design(df: DataFrame, config: ForecastConfig, features, spec: SeriesSpec,
-            layout: Layout | None) -> DataFrame:
-    """Targets and the flat lag vector per row, lags in model input order."""
+            layout: Layout | None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Targets and the model inputs per row: lags in model input order, then exogenous columns."""
     columns = list(dict.fromkeys([*features, *config.targets]))
-    lagged = row_lags(df.select(*dict.fromkeys([*spec.keys, spec.time, *spec.ties, *columns])), config.n_lags, columns, "both", spec, layout)
+    along = tuple(dict.fromkeys([*[c for c in config.exogenous if c not in columns], *carry]))
+    rows = df.select(*dict.fromkeys([*spec.keys, spec.time, *spec.ties, *columns, *along]))
+    lagged = row_lags(rows, config.n_lags, columns, "both", spec, layout, along)
     return lagged.select(*spec.keys, spec.time, *[F.col(t).cast("double").alias(t) for t in config.targets],
-                         *lag_columns(list(features), config.n_lags))
+                         *[F.col(c).cast("double").alias(c) for c in config.exogenous if c not in config.targets],
+                         *lag_columns(list(features), config.n_lags), *carry)
+
+
+def split_design(df: DataFrame, config: ForecastConfig, features, spec: SeriesSpec, layout: Layout | None) -> DataFrame:
+    """The design with ``is_train``: the first rows of every series, of those that have their lags."""
+    marked = mark_split(df, config.train_size, spec, layout, config.n_lags)
+    return _design(marked, config, features, spec, layout, ("is_train",))
 
 
 def fit_forecaster(df: DataFrame, config: ForecastConfig = ForecastConfig(), spec: SeriesSpec = SPEC,
@@ -96,12 +115,10 @@ def fit_forecaster(df: DataFrame, config: ForecastConfig = ForecastConfig(), spe
     The rest is the validation part: GBT watches it for early stopping, the linear model
     leaves it out.
     """
-    features = config.features or tuple(numeric_columns(df, spec))
+    features = config.features or tuple(c for c in numeric_columns(df, spec) if c not in config.exogenous)
     layout = layout or plan_layout(df, spec)
-    # The cut is found on the plain rows, so the lag window runs once, for the fit.
-    points = split_points(df, config.train_size, spec, layout, skip=config.n_lags)
-    marked = mark_split(_design(df, config, features, spec, layout), spec=spec, points=points)
-    assembler = VectorAssembler(inputCols=lag_columns(list(features), config.n_lags), outputCol="__x")
+    marked = split_design(df, config, features, spec, layout)
+    assembler = VectorAssembler(inputCols=_inputs(config, features), outputCol="__x")
     usable = marked.na.drop("any", subset=list(config.targets)).withColumn("__is_val", ~F.col("is_train"))
     if config.kind != "gbt" or not config.early_stop:
         usable = usable.where("is_train")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..plans.layout import Layout, halo, instants_at, over_rows, plan_layout, row_index, rows_before_slot
+from ..plans.layout import (Layout, halo, instants_at, over_rows, plan_layout, row_index, row_positions,
+                            rows_before_slot, same_instant)
 from ..plans.params import attach, settle
-from ..series import US, SeriesSpec, epoch_us, numeric_columns, require_unique_instants
+from ..series import US, SeriesSpec, numeric_columns
 
 SPEC = SeriesSpec()
 TOLERANCE_US = 10_000          # fixed value: steps this close to the modal period count as equal
@@ -25,15 +26,15 @@ def lag_columns(columns: list[str], n_lags: int) -> list[str]:
 
 
 def row_lags(df: DataFrame, n_lags: int = 10, columns: list[str] | None = None, keep: str = "lags",
-             spec: SeriesSpec = SPEC, layout: Layout | None = None) -> DataFrame:
+             spec: SeriesSpec = SPEC, layout: Layout | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """The value 1…``n_lags`` rows back, 0 where missing; the first ``n_lags`` rows of a series go.
 
     ``keep`` chooses the output next to key and time: ``lags`` (input order, see
-    ``lag_columns``), ``values`` (the original features) or ``both``.
+    ``lag_columns``), ``values`` (the original features) or ``both``.  Columns in ``carry`` come along as they are.
     """
     columns = columns or numeric_columns(df, spec)
     layout = layout or plan_layout(df, spec)
-    values = columns if keep in ("values", "both") else []
+    values = [*(columns if keep in ("values", "both") else []), *carry]
     names = lag_columns(columns, n_lags) if keep in ("lags", "both") else []
     if keep not in ("lags", "values", "both"):
         raise ValueError(keep)
@@ -74,7 +75,6 @@ def time_lags(df: DataFrame, n_lags: int, step: int = 1, columns: list[str] | No
         raise ValueError("the series differ in period; use method='join'")
     if method == "frame":
         return _lags_by_frame(df, layout, steps, columns, period_us, n_lags)
-    require_unique_instants(df, spec)
     return _drop_first(_lags_by_join(df, layout, steps, columns, period_us, periods), df, layout, n_lags)
 
 
@@ -98,8 +98,7 @@ def _lags_by_frame(df: DataFrame, layout: Layout, steps: list[int], columns: lis
     own = F.sum(F.when(F.col("__copy"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0))
     lagged = placed.select("*", *[F.first(c).over(at(n)).alias(lag_name(c, n)) for n in steps for c in columns],
                            own.alias("__own"), F.lag(US).over(w).alias("__last"))
-    twice = F.raise_error(F.lit("duplicate rows for an instant; downsample first")).cast("boolean")
-    deep = F.when(F.col("__last") == F.col(US), twice).otherwise(F.col("__before") + F.col("__own") > skip)
+    deep = F.when(F.col("__last") == F.col(US), same_instant("boolean")).otherwise(F.col("__before") + F.col("__own") > skip)
     return layout.strip(lagged.where(~F.col("__copy") & deep))
 
 
@@ -110,7 +109,10 @@ def _lags_by_join(df: DataFrame, layout: Layout, steps: list[int], columns: list
     (key, time) is unique, so no task receives more than a few rows per instant.
     """
     key = layout.key
-    placed = layout.place(df)
+    # The same check, at the same moment, as in the frame form.
+    w = layout.window
+    placed = layout.place(df).withColumn("__last", F.lag(US).over(w)).where(
+        F.when(F.col("__last") == F.col(US), same_instant("boolean")).otherwise(True)).drop("__last")
     if period_us is not None:
         placed = placed.withColumn("__period", F.lit(period_us))
     else:
@@ -188,30 +190,16 @@ def sampling_report(df: DataFrame, spec: SeriesSpec = SPEC, layout: Layout | Non
                         .when(F.col("pct") < IRREGULAR_BELOW, "irregular").otherwise("regular")))
 
 
-def split_points(df: DataFrame, train_size: float = 0.8, spec: SeriesSpec = SPEC,
-                 layout: Layout | None = None, skip: int = 0) -> DataFrame:
-    """Time coordinate of the last training row per series; the first ``skip`` rows do not count."""
-    layout = layout or plan_layout(df, spec)
-    at = instants_at(df, layout, lambda total: F.when(
-        total > skip, skip + F.ceil(F.lit(float(train_size)) * (total - skip))))
-    return at.select(*spec.keys, F.col("instant_us").alias("cut_us"))
-
-
 def mark_split(df: DataFrame, train_size: float = 0.8, spec: SeriesSpec = SPEC,
-               layout: Layout | None = None, points: DataFrame | None = None) -> DataFrame:
-    """Add ``is_train``: the first ceil(train_size · n) rows of each series.
+               layout: Layout | None = None, skip: int = 0) -> DataFrame:
+    """Add ``is_train``: the first ceil(train_size · n) rows of each series, by position.
 
-    Only the cut times (``points``) are computed by sorting; the rows themselves are compared in
-    place.  Rows of one instant stay on one side.
+    The first ``skip`` rows of a series do not count towards n and are on the training side.  Rows of one
+    instant are told apart by ``spec.ties``; without ties they are refused.
     """
-    points = split_points(df, train_size, spec, layout) if points is None else points
-    cuts = settle(points.withColumnRenamed("cut_us", "__cut"))
-    us = epoch_us(df, spec.time)
-    if spec.key is None:
-        cut = F.lit(None if cuts.empty else cuts.one()["__cut"]).cast("long")
-        return df.withColumn("is_train", F.coalesce(us <= cut, F.lit(False)))
-    return (attach(df, cuts, spec.keys, [spec.time])
-            .withColumn("is_train", F.coalesce(us <= F.col("__cut"), F.lit(False))).drop("__cut"))
+    placed = row_positions(df, layout or plan_layout(df, spec))
+    n_train = F.ceil(F.lit(float(train_size)) * F.greatest(F.col("__total") - skip, F.lit(0)))
+    return placed.select(*df.columns, (F.col("__position") < skip + n_train).alias("is_train"))
 
 
 def split_train_val(df: DataFrame, train_size: float = 0.8, spec: SeriesSpec = SPEC,
@@ -228,9 +216,10 @@ def split_report(marked: DataFrame, spec: SeriesSpec = SPEC) -> DataFrame:
 
 
 def skip_rows(df: DataFrame, n: int, spec: SeriesSpec = SPEC, layout: Layout | None = None) -> DataFrame:
-    """Rows after the first ``n`` of each series."""
-    layout = layout or plan_layout(df, spec)
-    return _drop_first(layout.place(df), df, layout, n) if n else df
+    """Rows after the first ``n`` of each series, by position; see ``mark_split`` for equal instants."""
+    if not n:
+        return df
+    return row_positions(df, layout or plan_layout(df, spec)).where(F.col("__position") >= n).select(*df.columns)
 
 
 def batch_ids(df: DataFrame, batch_size: int, shuffle_seed: int | None = None,

@@ -23,7 +23,6 @@ MAX_RANGES = 2_000     # range partitions; the driver samples about 100 points f
 MAX_BLOCKS = 1 << 30   # block numbers set aside for each range partition
 KDE_POINTS = 200       # fixed values: grid size and how many bandwidths it extends past the data
 KDE_CUT = 3
-KDE_REACH = 10         # bandwidths; beyond, a term is under 2e-22 of the kernel's peak and cannot show
 
 
 def pearson(df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec = SPEC) -> DataFrame:
@@ -178,8 +177,8 @@ def density(df: DataFrame, columns: list[str] | None = None, points: int = KDE_P
             spec: SeriesSpec = SPEC) -> DataFrame:
     """Gaussian kernel density ``(feature, point, x, density)`` with Scott's bandwidth.
 
-    Equal values are counted once, and a value only visits the grid points it can reach, so the
-    work falls as the bandwidth narrows with n.
+    Equal values are counted once; every value adds to every grid point.  The sums of a task are combined
+    before the shuffle, so only ``points`` rows per feature and task travel.
     """
     columns = columns or numeric_columns(df, spec)
     fitted = df.agg(*[F.struct(F.count(c).alias("n"), F.stddev_samp(c).alias("sd"),
@@ -202,36 +201,31 @@ def density(df: DataFrame, columns: list[str] | None = None, points: int = KDE_P
 
     counts = melt(df, [], list(shape)).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("m"))
     known = counts.select("feature", "value", "m", of(0).alias("h"), of(1).alias("g0"), of(2).alias("dx"))
-    first = F.greatest(F.lit(0), F.ceil(F.expr(f"(value - {KDE_REACH}*h - g0) / dx"))).cast("int")
-    last = F.least(F.lit(points - 1), F.floor(F.expr(f"(value + {KDE_REACH}*h - g0) / dx"))).cast("int")
-    hits = known.select("*", F.explode(F.sequence(first, last)).alias("point"))
+    hits = known.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
     z = F.expr("(g0 + point*dx - value) / h")
     sums = hits.groupBy("feature", "point").agg(F.sum(F.col("m") * F.exp(-0.5 * z * z)).alias("s"))
-    # A grid point no value reaches has density 0 but keeps its row.
-    spark = df.sparkSession
-    grid = (spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in shape])).alias("feature"))
-            .select("feature", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")))
-    return grid.join(sums, ["feature", "point"], "left").select(
+    return sums.select(
         "feature", "point", (of(1) + F.col("point") * of(2)).alias("x"),
-        (F.coalesce(F.col("s"), F.lit(0.0)) / (of(3) * of(0) * sqrt(2 * pi))).alias("density"))
+        (F.col("s") / (of(3) * of(0) * sqrt(2 * pi))).alias("density"))
 
 
 def scatter_bins(df: DataFrame, columns: list[str] | None = None, bins: int = 50,
                  spec: SeriesSpec = SPEC) -> DataFrame:
     """Counts ``(feature_x, feature_y, bin_x, bin_y, n)`` for every pair, on equal-width bins."""
     columns = columns or numeric_columns(df, spec)
-    span = df.agg(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c)
+    full = drop_any_missing(df, columns)
+    span = full.agg(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c)
                     for c in columns]).first()
 
     def at(c: str):
-        width = (span[c]["hi"] - span[c]["lo"]) / bins
+        width = (span[c]["hi"] - span[c]["lo"]) / bins if span[c]["lo"] is not None else 0
         if not width:
             return F.when(F.col(c).isNotNull(), F.lit(0)).cast("long")
         return F.least(F.floor((F.col(c) - F.lit(span[c]["lo"])) / F.lit(width)), F.lit(bins - 1)).cast("long")
 
     cells = F.array(*[F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"),
                                at(a).alias("bin_x"), at(b).alias("bin_y")) for a, b in combinations(columns, 2)])
-    return (drop_any_missing(df, columns).select(F.explode(cells).alias("c"))
+    return (full.select(F.explode(cells).alias("c"))
             .groupBy("c.feature_x", "c.feature_y", "c.bin_x", "c.bin_y").agg(F.count(F.lit(1)).alias("n")))
 
 

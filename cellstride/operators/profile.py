@@ -32,9 +32,8 @@ def quality_report(df: DataFrame) -> DataFrame:
 def modes(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(feature, mode)``, the smallest of ties, by counting equal values before comparing."""
     counts = melt(df, [], columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("m"))
-    # One row per feature, so the broadcast is bounded by the schema.
-    most = F.broadcast(counts.groupBy("feature").agg(F.max("m").alias("m")))
-    return counts.join(most, ["feature", "m"]).groupBy("feature").agg((F.min("value") + F.lit(0.0)).alias("mode"))
+    top = F.max(F.struct(F.col("m"), (-F.col("value")).alias("neg")))
+    return counts.groupBy("feature").agg((-top["neg"] + F.lit(0.0)).alias("mode"))
 
 
 def statistics(df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec = SPEC,
@@ -118,10 +117,12 @@ def autocorrelation(df: DataFrame, max_lag: int = 15, columns: list[str] | None
             for c in columns], *extra)
 
     products = over_rows(centred, layout, max_lag, build)
-    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("p")) for c in columns]))
-    sums = (products.select(*keys, cells.alias("cell")).groupBy(*keys, F.col("cell.feature").alias("feature"))
-            .agg(F.count(F.lit(1)).alias("n"),
-                 *[F.sum(F.get("cell.p", k)).alias(f"s{k}") for k in range(max_lag + 1)]))
+    # One wide row per series, melted after the sums.
+    wide = products.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[
+        F.sum(F.get(c, k)).alias(f"{c}__{k}") for c in columns for k in range(max_lag + 1)])
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), *[
+        F.col(f"{c}__{k}").alias(f"s{k}") for k in range(max_lag + 1)]) for c in columns]))
+    sums = wide.select(*keys, "n", cells.alias("cell")).select(*keys, "n", "cell.*").where("n > 0")
     acf = F.array(*[F.try_divide(F.coalesce(F.col(f"s{k}"), F.lit(0.0)), F.col("s0"))
                     for k in range(max_lag + 1)])
     return sums.select(*keys, "feature", "n", acf.alias("acf"))
@@ -129,21 +130,20 @@ def autocorrelation(df: DataFrame, max_lag: int = 15, columns: list[str] | None
 
 def _durbin_levinson():
     """Partial autocorrelations from one short array of autocorrelations per series and feature."""
-    def partial(r):
-        if r is None or any(v is None or np.isnan(v) for v in r):
-            return None
-        r = np.asarray(r, dtype=float)
-        phi, out = np.zeros(0), [1.0]
-        for k in range(1, len(r)):
-            gap = 1.0 - phi @ r[1:k]
-            last = (r[k] - phi @ r[k - 1:0:-1]) / gap if gap else np.nan
-            phi = np.append(phi - last * phi[::-1], last)
-            out.append(last)
-        return out
-
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def apply(acf: pd.Series) -> pd.Series:
-        return acf.map(partial)
+        if not len(acf):
+            return acf
+        r = np.array(acf.tolist(), dtype=float)  # one row per series and feature; missing becomes NaN
+        phi, out = np.zeros((len(r), 0)), [np.ones(len(r))]
+        for k in range(1, r.shape[1]):
+            gap = 1.0 - (phi * r[:, 1:k]).sum(1)
+            gap[gap == 0] = np.nan
+            last = (r[:, k] - (phi * r[:, k - 1:0:-1]).sum(1)) / gap
+            phi = np.concatenate([phi - last[:, None] * phi[:, ::-1], last[:, None]], 1)
+            out.append(last)
+        known = ~np.isnan(r).any(1)
+        return pd.Series([list(x) if ok else None for x, ok in zip(np.stack(out, 1), known)], index=acf.index, dtype=object)
 
     return apply
 

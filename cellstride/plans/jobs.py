@@ -29,10 +29,10 @@ def prepare(df: DataFrame, n_lags: int = 5, scaler: str = "standard", threshold:
 
 def train_and_evaluate(df: DataFrame, config: ForecastConfig = ForecastConfig(),
                        spec: SeriesSpec = SPEC) -> tuple[Forecaster, DataFrame, DataFrame]:
-    """Fit on the first part of every series; predictions and metrics over all scored rows."""
+    """Fit on the first part of every series; predictions and metrics over the held-out rest."""
     layout = plan_layout(df, spec)
     forecaster = fit_forecaster(df, config, spec, layout)
-    predictions = forecaster.score(df, layout)
+    predictions = forecaster.score_held_out(df, layout)
     return forecaster, predictions, metrics_overall(long_predictions(predictions, spec=spec))
 
 

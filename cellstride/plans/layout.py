@@ -273,6 +273,27 @@ def row_index(df: DataFrame, layout: Layout, name: str = "row_index") -> DataFra
                         .withColumn(name, F.col(name) + F.col("__offset")))
 
 
+def row_positions(df: DataFrame, layout: Layout) -> DataFrame:
+    """Add ``__position`` (from 0) and ``__total`` of each row in its series, ties included.
+
+    Rows of one instant need an order of their own: without ties in the spec, they fail the job.
+    """
+    w = layout.window
+    position = (F.row_number().over(w) - 1).cast("long")
+    if not layout.spec.ties:
+        position = F.when(F.lag(US).over(w) == F.col(US), same_instant("long")).otherwise(position)
+    placed = layout.place(df).withColumn("__position", position)
+    if not layout.sliced:
+        return placed.withColumn("__total", F.count(F.lit(1)).over(Window.partitionBy(*layout.parts)))
+    slots = layout.slots(df).select(*layout.parts, F.col("offset").alias("__offset"), F.col("total").alias("__total"))
+    return (placed.join(slots, layout.parts, "left")
+            .withColumn("__position", F.col("__position") + F.col("__offset")).drop("__offset"))
+
+
+def same_instant(kind: str):
+    return F.raise_error(F.lit("duplicate rows for an instant; downsample first or name ties")).cast(kind)
+
+
 def instants_at(df: DataFrame, layout: Layout, rank) -> DataFrame:
     """The time coordinate of the ``rank(total)``-th row (1-based) of every series.
 
@@ -281,7 +302,7 @@ def instants_at(df: DataFrame, layout: Layout, rank) -> DataFrame:
     wanted = (layout.slots(df).withColumn("__rank", rank(F.col("total")))
               .where("__rank > offset and __rank <= offset + n")
               .select(*layout.parts, (F.col("__rank") - F.col("offset")).alias("__rank")))
-    times = layout.place(df).select(*layout.parts, US)
+    times = layout.place(df).select(*dict.fromkeys([*layout.parts, US, *layout.spec.ties]))
     picked = attach(times, settle(wanted), layout.parts, [US], "inner")
     return (picked.withColumn("__at", F.row_number().over(layout.window))
             .where("__at = __rank").select(layout.key, F.col(US).alias("instant_us")))

@@ -16,7 +16,6 @@ MAX_GROUP = 1_000_000
 ACCURACY = 10_000
 MARGIN = 3 / ACCURACY
 PROBES = 256
-MAX_ROUNDS = 8
 
 
 def percentiles(df: DataFrame, columns: list[str], probs: list[float], key: str | None = None,
@@ -73,39 +72,58 @@ def _bracketed(df: DataFrame, columns: list[str], probs: list[float], keys: list
                 .withColumn("t", F.explode(targets)))
     p, few = F.col("t.p"), F.col("n") * MARGIN < 10
     state = settle(sketched.select(
-        *group, "n", "t.target", (p * (F.col("n") - 1)).alias("pos"),
+        *group, "n", "min", "max", "t.target", (p * (F.col("n") - 1)).alias("pos"),
         F.when(few | (p <= MARGIN), F.col("min")).otherwise(F.get("q", F.col("t.target") * 2)).alias("lo"),
         F.when(few | (p >= 1 - MARGIN), F.col("max")).otherwise(F.get("q", F.col("t.target") * 2 + 1)).alias("hi")))
-    widest = state.df.agg(F.max(F.when(F.col("lo") < F.col("hi"), F.col("n")))).first()[0] or 0
-    if widest * 4 * MARGIN > limit:
-        state = _narrowed(rows, state, group, limit)
+    while True:
+        widest = state.df.agg(F.max(F.when(F.col("lo") < F.col("hi"), F.col("n")))).first()[0] or 0
+        if widest * 4 * MARGIN > limit:
+            state = _narrowed(rows, state, group, limit)
+        picked = _picked(rows, state, group)
+        if not picked.df.where("low or high").limit(1).count():
+            break
+        # The sketch missed a rank: look on the side where the counts say it is.
+        state = settle(picked.df.select(
+            *group, "n", "min", "max", "target", "pos",
+            F.when(F.col("low"), F.col("min")).when(F.col("high"), F.col("hi")).otherwise(F.col("lo")).alias("lo"),
+            F.when(F.col("low"), F.col("lo")).when(F.col("high"), F.col("max")).otherwise(F.col("hi")).alias("hi")))
+    return (picked.df.groupBy(*group, "n")
+            .agg(F.sort_array(F.collect_list(F.struct("target", "v"))).alias("s"))
+            .select(*group, "n", F.transform("s", lambda s: s["v"]).alias("q")))
+
+
+def _picked(rows: DataFrame, state: Settled, group: list[str]) -> Settled:
+    """The value of each wanted rank, and whether the rank lies below or above its bracket."""
     # Rows below a bracket collapse to one key before the shuffle, so they travel as a count.
+    spots = ["target", "n", "min", "max", "lo", "hi", "pos"]
     kept = (_with_state(rows, state, group).where(F.col("value") <= F.col("hi"))
             .withColumn("value", F.when(F.col("value") >= F.col("lo"), F.col("value"))))
-    counts = kept.groupBy(*group, "target", "n", "pos", "value").agg(F.count(F.lit(1)).alias("m"))
+    counts = kept.groupBy(*group, *spots, "value").agg(F.count(F.lit(1)).alias("m"))
     upto = F.sum("m").over(Window.partitionBy(*group, "target").orderBy("value")
                            .rowsBetween(Window.unboundedPreceding, 0))
-    picked = (counts.withColumn("upto", upto).groupBy(*group, "target", "n", "pos")
+    picked = (counts.withColumn("upto", upto).groupBy(*group, *spots)
               .agg(F.min(F.when(F.col("upto") > F.floor("pos"), F.col("value"))).alias("v0"),
                    F.min(F.when(F.col("upto") > F.ceil("pos"), F.col("value"))).alias("v1"),
                    F.coalesce(F.max(F.when(F.col("value").isNull(), F.col("m"))), F.lit(0)).alias("below")))
-    missed = (F.col("below") > F.floor("pos")) | F.col("v1").isNull()
     value = F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("pos") - F.floor("pos"))
-    picked = picked.select(*group, "n", "target", F.when(
-        missed, F.raise_error(F.lit("a percentile lies outside its bracket")).cast("double")).otherwise(value).alias("v"))
-    return (picked.groupBy(*group, "n")
-            .agg(F.sort_array(F.collect_list(F.struct("target", "v"))).alias("s"))
-            .select(*group, "n", F.transform("s", lambda s: s["v"]).alias("q")))
+    low, high = F.col("below") > F.floor("pos"), F.col("v1").isNull()
+    both = low & high  # the two neighbours of a rank on either side of the bracket: start from the whole range
+    return settle(picked.select(
+        *group, "n", "min", "max", "target", "pos", F.when(both, F.col("min")).otherwise(F.col("lo")).alias("lo"),
+        F.when(both, F.col("max")).otherwise(F.col("hi")).alias("hi"), low.alias("low"), (high & ~low).alias("high"), value.alias("v")))
 
 
 def _narrowed(rows: DataFrame, state: Settled, group: list[str], limit: int) -> Settled:
-    """Brackets of at most about ``limit`` distinct values, by exact counts and sketches inside."""
+    """Brackets of at most about ``limit`` distinct values, by exact counts and sketches inside.
+
+    Every round narrows each wide bracket or finds that it can get no narrower.
+    """
     probes = F.array(*[F.lit(i / PROBES) for i in range(PROBES + 1)])
-    for _ in range(MAX_ROUNDS):
+    while True:
         inside = F.col("value").between(F.col("lo"), F.col("hi"))
         measured = settle(
             _with_state(rows, state, group).groupBy(*group, "target")
-            .agg(F.first("n").alias("n"), F.first("pos").alias("pos"), F.first("lo").alias("lo"),
+            .agg(F.first("n").alias("n"), F.first("min").alias("min"), F.first("max").alias("max"), F.first("pos").alias("pos"), F.first("lo").alias("lo"),
                  F.first("hi").alias("hi"), F.count_if(F.col("value") < F.col("lo")).alias("below"),
                  F.count_if(inside).alias("inside"),
                  F.approx_count_distinct(F.when(inside, F.col("value"))).alias("distinct"),
@@ -114,10 +132,14 @@ def _narrowed(rows: DataFrame, state: Settled, group: list[str], limit: int) ->
         if not measured.df.where(~small).limit(1).count():
             break
         at = F.floor((F.floor("pos") - F.col("below")) / F.col("inside") * PROBES).cast("int")
-        state = settle(measured.df.select(
-            *group, "n", "target", "pos",
+        inner = settle(measured.df.select(
+            *group, "n", "min", "max", "target", "pos",
             F.when(small, F.col("lo")).otherwise(F.get("q", F.greatest(at - 2, F.lit(0)))).alias("lo"),
             F.when(small, F.col("hi")).otherwise(F.get("q", F.least(at + 3, F.lit(PROBES)))).alias("hi")))
+        # (key, feature, target, lo, hi) as before: only single values are left to split
+        if not inner.df.select(*group, "target", "lo", "hi").exceptAll(state.df.select(*group, "target", "lo", "hi")).limit(1).count():
+            break
+        state = inner
     return state
 
 

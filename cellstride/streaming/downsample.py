@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..series import SeriesSpec, epoch_us, numeric_columns, wall_clock
@@ -35,8 +35,8 @@ def throughput(bits: str, window_seconds: float) -> Column:
 
 
 def user_count(user: str, streaming: bool = False) -> Column:
-    """Distinct users of a window; streams cannot count distinct and use a sketch."""
-    return F.approx_count_distinct(user) if streaming else F.countDistinct(user)
+    """Distinct users of a window, exactly; a stream, which has no distinct counts, keeps the set of a window's users."""
+    return F.size(F.collect_set(user)).cast("long") if streaming else F.countDistinct(user)
 
 
 def dropped_minutes(windows: DataFrame, columns: list[str] | None = None, window_minutes: float = 2,
@@ -55,9 +55,10 @@ def downsample_stream(stream: DataFrame, out: str, checkpoint: str, every: str =
                       spec: SeriesSpec = SPEC, available_now: bool = False) -> StreamingQuery:
     """Start the downsampling of a stream into a Parquet table.
 
-    A window is written once, when the watermark (latest time seen minus ``lateness``) passes its
-    end; state is kept only for open windows.  Source offsets and state live in ``checkpoint``, so
-    a restarted query continues without loss or duplicates.
+    Every micro-batch writes the new versions of the windows it touched to a folder of its own, which a repeated
+    batch replaces; ``read_windows`` gives the newest version of each, open windows included.  State is kept until
+    the watermark (latest time seen minus ``lateness``) passes a window's end; ``late_rows`` counts the rows that
+    came after that.  Source offsets and state live in ``checkpoint``, so a restarted query continues without loss.
     """
     naive = isinstance(stream.schema[spec.time].dataType, T.TimestampNTZType)
     # A watermark needs instants; wall-clock times travel as if they were UTC.
@@ -66,6 +67,23 @@ def downsample_stream(stream: DataFrame, out: str, checkpoint: str, every: str =
                          aggregates=aggregates, spec=spec)
     if naive:
         windows = windows.withColumn(spec.time, wall_clock(F.col(spec.time)))
-    writer = (windows.writeStream.format("parquet").outputMode("append")
-              .option("path", out).option("checkpointLocation", checkpoint))
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    writer = windows.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def read_windows(spark: SparkSession, out: str, spec: SeriesSpec = SPEC) -> DataFrame:
+    """The newest version of every window that ``downsample_stream`` has written."""
+    versions = spark.read.parquet(out)
+    at = [*spec.keys, spec.time]
+    values = [c for c in versions.columns if c not in (*at, "batch")]
+    newest = versions.groupBy(*at).agg(F.max_by(F.struct(*values), "batch").alias("v"))
+    return newest.select(*at, "v.*")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the query left out because their window was closed, as far as its progress reports go back."""
+    return sum(int(s["numRowsDroppedByWatermark"]) for p in query.recentProgress for s in p["stateOperators"])

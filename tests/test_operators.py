@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cellstride.functions import timefeat
 from cellstride.operators import clean, examples, lags, metrics, profile, project, scale
+from cellstride.operators.forecast import ForecastConfig, fit_forecaster
 from cellstride.plans import jobs
 from cellstride.plans.layout import plan_layout
 from cellstride.series import SeriesSpec, duplicate_instants, nan_to_null, require_unique_instants
@@ -344,3 +345,30 @@ def test_prepare_keeps_series_apart(spark):
     first = out.where("District = 'b'").orderBy("time").first()
     scaled = scale.scale_frame(df).where("District = 'b'").orderBy("time").collect()
     assert first["down_lag_5"] == pytest.approx(scaled[0]["down"])
+
+
+def test_split_and_skip_go_by_position(spark):
+    rows = [("a", EPOCH + dt.timedelta(hours=i // 3), i, float(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "District string, time timestamp_ntz, id int, down double").repartition(3)
+    spec = SeriesSpec(ties=("id",))
+    for layout in (None, plan_layout(df, spec, 4)):
+        assert sorted(r["id"] for r in lags.skip_rows(df, 2, spec, layout).collect()) == list(range(2, 12))
+        assert sorted(r["id"] for r in lags.mark_split(df, 0.34, spec, layout).where("is_train").collect()) == list(range(5))
+    with pytest.raises(Exception, match="name ties"):
+        lags.skip_rows(df, 2).collect()
+
+
+def test_held_out_rows_are_scored(spark):
+    df = series_table(spark, {"a": 100, "b": 50}, missing=0.0)
+    config = ForecastConfig(targets=("down",), features=("down",), exogenous=("up",), n_lags=2)
+    model = fit_forecaster(df, config)
+    assert model.score(df).count() == 98 + 48
+    assert model.score_held_out(df).count() == (98 - 79) + (48 - 39)
+
+
+def test_caps_of_many_series(spark):
+    n = 5000
+    df = spark.createDataFrame([(f"s{i}", EPOCH + dt.timedelta(hours=k), float(k)) for i in range(n) for k in range(3)],
+                               "District string, time timestamp_ntz, down double")
+    got = clean.cap_by_series(df, ["down"], {f"s{i}": (0, 50 if i % 2 else 100) for i in range(n)})
+    assert got.groupBy().sum("down").first()[0] == (n // 2) * 3 + (n // 2) * 2
