@@ -24,6 +24,7 @@ from .plans.layout import plan_layout, row_index
 from .series import SeriesSpec, nan_to_null
 from .session import scratch_path
 from .sources import tables
+from .sources.staging import stage
 from .streaming import downsample as windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1058,6 +1059,26 @@ def prepare_job(spark, sf):
     return tidy(jobs.prepare(gappy_series(spark, sf), period_us=2 * MINUTE_US))
 
 
+MODAL_SQL = PREPARED_SQL[:PREPARED_SQL.index(", T AS (")] + f""",
+D AS (SELECT "District", epoch_us(time) - lag(epoch_us(time)) OVER ({IN_ORDER}) AS step FROM Z),
+MO AS (SELECT "District", step FROM D WHERE step IS NOT NULL GROUP BY 1, 2
+  QUALIFY row_number() OVER (PARTITION BY "District" ORDER BY count(*) DESC, step) = 1),
+T AS (SELECT b."District" AS "District", b.time AS time, """ + ", ".join(
+    [r(f"b.{c}", c) for c in G_COLS] + [r(f"l{n}.{c}", f"{c}_lag_{n}") for n in range(1, 6) for c in G_COLS]) + f"""
+FROM (SELECT *, row_number() OVER ({IN_ORDER}) AS rn FROM Z) b LEFT JOIN MO ON MO."District" = b."District" """ + " ".join(
+    f"""LEFT JOIN Z l{n} ON l{n}."District" = b."District" AND epoch_us(l{n}.time) = epoch_us(b.time) - {n} * MO.step"""
+    for n in range(1, 6)) + " WHERE b.rn > 5)"
+
+
+@query(f"""WITH {MODAL_SQL} SELECT *, {_cyclic_sql('hour(time)*60+minute(time)', 1440, 'minute')},
+  {_cyclic_sql('isodow(time)-1', 7, 'dayofweek')}, {_cyclic_sql('dayofyear(time)', 365.25, 'dayofyear')} FROM T""")
+def prepare_csv_job(spark, sf):
+    """The preprocessing job from CSV to CSV, lags at each series' own modal period."""
+    source = scratch_path(spark, "raw-csv")
+    tables.write_csv(gappy_series(spark, sf), source)
+    return tidy(jobs.prepare_csv(spark, source, scratch_path(spark, "prepared-csv")))
+
+
 @query(f"""WITH {M_SQL} SELECT {KEYTIME}, down, up, rnti_count, """ + ", ".join(
     f"coalesce(lag({c}, {n}) OVER w, 0) AS {c}_lag_{n}" for n in (1, 2, 3) for c in ("down", "up", "rnti_count"))
     + f""", {_cyclic_sql('hour(time)*60+minute(time)', 1440, 'minute')}, {_cyclic_sql('isodow(time)-1', 7, 'dayofweek')},
@@ -1065,5 +1086,5 @@ def prepare_job(spark, sf):
   WINDOW w AS ({IN_ORDER}) QUALIFY row_number() OVER w > 3""")
 def flagship(spark, sf):
     """Scan, two-minute downsample, three row lags per series, cyclical time features."""
-    lagged = lags.row_lags(grid_series(spark, sf), 3, keep="both")
+    lagged = lags.row_lags(stage(grid_series(spark, sf), "downsample"), 3, keep="both")
     return tidy(timefeat.with_time_features(lagged))

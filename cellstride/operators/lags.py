@@ -8,6 +8,7 @@ from ..plans.layout import (Layout, halo, instants_at, over_rows, plan_layout, r
                             rows_before_slot, same_instant)
 from ..plans.params import attach, settle
 from ..series import US, SeriesSpec, numeric_columns
+from ..sources.staging import stage
 
 SPEC = SeriesSpec()
 TOLERANCE_US = 10_000          # fixed value: steps this close to the modal period count as equal
@@ -173,7 +174,8 @@ def sampling_report(df: DataFrame, spec: SeriesSpec = SPEC, layout: Layout | Non
     bounds of the verdict do.  A series with fewer than two rows has no period.
     """
     steps = time_differences(df, spec, layout)
-    counts = steps.groupBy(*spec.keys, "diff_us").agg(F.count(F.lit(1)).alias("n"))
+    # Written once: the modes and the matches both read it.
+    counts = stage(steps.groupBy(*spec.keys, "diff_us").agg(F.count(F.lit(1)).alias("n")), "steps")
     modes = _modes(counts.where("diff_us is not null"), spec)
     if spec.key:
         judged = attach(counts, settle(modes), spec.keys, ["diff_us"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.timefeat import with_time_features
 from ..operators import multivar, profile
@@ -12,6 +12,8 @@ from ..operators.lags import time_lags
 from ..operators.metrics import long_predictions, metrics_overall
 from ..operators.scale import scale_frame
 from ..series import SeriesSpec, select_numeric
+from ..sources import tables
+from ..sources.staging import stage
 from .layout import plan_layout
 
 SPEC = SeriesSpec()
@@ -21,12 +23,27 @@ def prepare(df: DataFrame, n_lags: int = 5, scaler: str = "standard", threshold:
             period_us: int | None = None, spec: SeriesSpec = SPEC) -> DataFrame:
     """Clean, scale, add time lags and cyclical time features.
 
-    Fitted values are two one-row aggregates; the rows are shuffled once, for the lags.
+    The input is written once, so a derived frame such as a downsample is not computed again for every
+    fitted value; the rows are shuffled once, for the lags.
     """
-    scaled = scale_frame(clean_missing(select_numeric(df, spec), threshold, spec=spec), scaler, spec)
+    rows = stage(select_numeric(df, spec), "prepare")
+    scaled = scale_frame(clean_missing(rows, threshold, spec=spec), scaler, spec)
     return with_time_features(time_lags(scaled, n_lags, period_us=period_us, spec=spec), spec)
 
 
+def prepare_csv(spark: SparkSession, source: str, target: str, n_lags: int = 5, scaler: str = "standard",
+                threshold: float = 0.33, spec: SeriesSpec = SPEC) -> DataFrame:
+    """The preprocessing job from CSV to CSV: read, clean, scale, lags at each series' modal period, time features, write.
+
+    Returns the table read back from ``target``.
+    """
+    rows = tables.read_measurements_csv(spark, source)
+    done = prepare(rows, n_lags, scaler, threshold, spec=spec)
+    tables.write_csv(done, target)
+    written = done.select(spec.time, *[c for c in done.columns if c != spec.time]).schema
+    return spark.read.csv(target, header=True, schema=written).select(*done.columns)
+
+
 def train_and_evaluate(df: DataFrame, config: ForecastConfig = ForecastConfig(),
                        spec: SeriesSpec = SPEC) -> tuple[Forecaster, DataFrame, DataFrame]:
     """Fit on the first part of every series; predictions and metrics over the held-out rest."""

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..session import scratch_root
 
 MAX_BYTES = 32 << 20
-SALTS = 64
+SALTS = 64   # at least; as many as the session has shuffle partitions, so that a hot key reaches all tasks
 
 
 @dataclass(frozen=True)
@@ -66,6 +66,7 @@ def attach(df: DataFrame, params: Settled, keys: list[str], spread_by: list[str]
     """
     if params.bounded:
         return df.join(F.broadcast(params.df), keys, how)
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
-    salted = params.df.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salts = max(SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    salted = params.df.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return df.withColumn("__salt", salt).join(salted, [*keys, "__salt"], how).drop("__salt")
