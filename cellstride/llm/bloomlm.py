@@ -16,43 +16,40 @@ from . import common
 
 #: Counts are kept by level: level j says "at least BASE^(j-1)".
 BASE = 1.5
-PROBES = 8
-BITS_PER_ENTRY = 12
+PROBES = 6
+BITS_PER_ENTRY = 14
 #: Context words of one block of the filter, roughly.
 BLOCK_TOKENS = 2_000_000
 #: What one pass over the texts may broadcast; with a larger model there are more passes.
-PASS_BYTES = 512 << 20
+PASS_BYTES = 256 << 20
 #: Weight of the words' own frequencies against those behind the context.
 PRIOR = 300.0
 REMEMBERED = 300_000
 CHUNK = 200_000
 #: Hash of the end of a text; no word holds a space.
 END = xxhash.xxh64_intdigest(b" ", 42)
+END_BYTES = END.to_bytes(8, "big")
 
 
-class Words:
-    """Hashes of the words of texts; remembers frequent ones."""
+class Words(dict):
+    """Hashes of words as bytes; remembers the words of recent texts."""
 
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
+    def __missing__(self, word: bytes) -> bytes:
+        out = xxhash.xxh64_digest(word, 42)
+        if len(word) <= 64:
+            self[word] = out
+        return out
 
-    def hashes(self, text: str | None) -> np.ndarray:
-        """64-bit hashes of the lower-cased words and the end."""
+    def hashes(self, text: str | None) -> bytes:
+        """64-bit hashes, eight bytes each, of the lower-cased words and the end."""
+        if len(self) > REMEMBERED:
+            self.clear()
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        out = list(map(known.get, words))
-        for i, h in enumerate(out):
-            if h is None:
-                h = known.get(words[i])
-                if h is None:
-                    h = xxhash.xxh64_intdigest(words[i], 42)
-                    if len(words[i]) <= 64:
-                        known[words[i]] = h
-                out[i] = h
-        out.append(END)
-        return np.array(out, np.uint64)
+        return b"".join(map(self.__getitem__, words)) + END_BYTES
+
+
+def tokens(hashes: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(hashes), ">u8").astype(np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -61,9 +58,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def pairs(words: np.ndarray) -> np.ndarray:
-    """Hash of each word with the one before it; the first stands behind the end of some text."""
-    before = np.concatenate([[np.uint64(END)], words[:-1]])
+def before_of(words: np.ndarray) -> np.ndarray:
+    """The word before each of a run of whole texts; a text's first word stands behind the end of some text."""
+    return np.concatenate([[np.uint64(END)], words[:-1]])
+
+
+def pairs(before: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mix(before * np.uint64(0x9E3779B97F4A7C15) + words)
 
 
@@ -97,18 +97,23 @@ def make_filter(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 class Filter:
-    """Blocks of the filter end to end, with exact word counts beside them."""
+    """Blocks of the filter end to end, with exact word counts beside them; views of plain bytes, which travel well."""
 
-    def __init__(self, blocks: int, bits: dict[int, np.ndarray], words: np.ndarray, counts: np.ndarray):
+    def __init__(self, blocks: int, bits: dict[int, bytes], words: bytes, counts: bytes):
         self.blocks = blocks
-        empty = np.zeros(8, np.uint8)
-        parts = [bits.get(i, empty) for i in range(blocks)]
+        parts = [bits.get(i, bytes(8)) for i in range(blocks)]
         self.sizes = np.array([8 * len(p) for p in parts], np.uint64)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.bits = np.concatenate(parts)
-        self.held = np.isin(np.arange(blocks), list(bits))
+        self.bits = b"".join(parts)
         self.words, self.counts = words, counts
 
+    def view(self) -> Filter:
+        """The same with arrays over the bytes, without a copy."""
+        out = Filter.__new__(Filter)
+        out.__dict__ = {**self.__dict__, "bits": np.frombuffer(self.bits, np.uint8),
+                        "words": np.frombuffer(self.words, np.uint64), "counts": np.frombuffer(self.counts, np.int64)}
+        return out
+
     def count(self, hashes: np.ndarray) -> np.ndarray:
         """Exact counts of words by binary search."""
         at = np.minimum(np.searchsorted(self.words, hashes), max(len(self.words) - 1, 0))
@@ -132,24 +137,31 @@ def block_of(context: np.ndarray, blocks: int) -> np.ndarray:
 
 
 def _counted(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordBatch]:
-    """(block, kind, hash, n): words (kind 0, in their own block) and pairs (1, in that of the context), summed by chunk."""
-    words, todo, held = Words(), [], 0
+    """(block, words, word_counts, pairs, pair_counts): what a run of texts has for each block, summed, as packed arrays.
+
+    Words are in the block of their own hash, pairs in that of their context.
+    """
+    known, todo, held = Words(), [], 0
 
     def out() -> pa.RecordBatch:
-        unigrams, ctx, bigrams = (np.concatenate(x) for x in zip(*todo))
-        u, n = np.unique(unigrams, return_counts=True)
-        b, first, m = np.unique(bigrams, return_index=True, return_counts=True)
-        block = np.concatenate([block_of(u, blocks), block_of(ctx[first], blocks)])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(block.astype(np.int32)), pa.array(np.repeat(np.array([0, 1], np.int8), [len(u), len(b)])),
-             pa.array(np.concatenate([u, b]).view(np.int64)), pa.array(np.concatenate([n, m]).astype(np.int32))],
-            ["block", "kind", "hash", "n"])
+        own = tokens(todo)
+        before = before_of(own)
+        u, n = np.unique(own, return_counts=True)
+        g, first, m = np.unique(pairs(before, own), return_index=True, return_counts=True)
+        home = block_of(before[first], blocks)
+        order = np.argsort(home, kind="stable")
+        g, m, home = g[order], m[order], home[order]
+        edges = np.arange(blocks + 1)
+        at, by = np.searchsorted(block_of(u, blocks), edges), np.searchsorted(home, edges)
+        cut = lambda x, e: [x[i:j].tobytes() for i, j in zip(e[:-1], e[1:])]
+        n, m = n.astype(np.uint32), m.astype(np.uint32)
+        return pa.RecordBatch.from_arrays([pa.array(edges[:-1].astype(np.int32)), *[
+            pa.array(cut(x, e), pa.binary()) for x, e in ((u, at), (n, at), (g, by), (m, by))]], PACKED)
 
     for batch in batches:
         for text in batch.column(0):
-            h = words.hashes(text.as_py())
-            todo.append((h, np.concatenate([[np.uint64(END)], h[:-1]]), pairs(h)))
-            held += len(h)
+            todo.append(known.hashes(text.as_py()))
+            held += len(todo[-1]) // 8
             if held > 5 * CHUNK:
                 yield out()
                 todo, held = [], 0
@@ -157,11 +169,20 @@ def _counted(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.Reco
         yield out()
 
 
+PACKED = ["block", "words", "word_counts", "pairs", "pair_counts"]
+
+
+def _summed(hashes: pd.Series, counts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    h, n = (np.frombuffer(b"".join(x), kind) for x, kind in ((hashes, np.uint64), (counts, np.uint32)))
+    own, at = np.unique(h, return_inverse=True)
+    return own, np.bincount(at, n, len(own)).astype(np.int64)
+
+
 def count_model(df: DataFrame, text_col: str = "text", blocks: int | None = None) -> DataFrame:
     """(block, bits, words, counts): per block the packed filter of its pairs and the exact counts of its words.
 
-    Counts cover all texts of ``df``.  They are summed by chunk before the one shuffle, which deals them out by block; a
-    frequent context's pairs share a block, but a pair costs one row per chunk however often it occurs.
+    Counts cover all texts of ``df``.  They are summed by runs of about a million words before the one shuffle, which
+    deals them out by block in packed form; a frequent pair costs one entry per run however often it occurs.
     """
     texts = df.select(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     if blocks is None:
@@ -172,34 +193,27 @@ def count_model(df: DataFrame, text_col: str = "text", blocks: int | None = None
         return _counted(batches, blocks)
 
     def build(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        kind, hashes, n = part["kind"].to_numpy(), part["hash"].to_numpy().view(np.uint64), part["n"].to_numpy(np.int64)
-        summed = []
-        for k in (0, 1):
-            own, at = np.unique(hashes[kind == k], return_inverse=True)
-            summed.append((own, np.bincount(at, n[kind == k], len(own)).astype(np.int64)))
-        (words, counts), (grams, times) = summed
+        words, counts = _summed(part["words"], part["word_counts"])
+        grams, times = _summed(part["pairs"], part["pair_counts"])
         return pd.DataFrame({"block": [key[0]], "blocks": [blocks], "bits": [make_filter(grams, times).tobytes()],
                              "words": [words.tobytes()], "counts": [counts.tobytes()]})
 
-    counted = texts.mapInArrow(count, "block int, kind tinyint, hash bigint, n int")
+    counted = texts.mapInArrow(count, "block int, words binary, word_counts binary, pairs binary, pair_counts binary")
     return stage(counted.groupBy("block").applyInPandas(
         build, "block int, blocks int, bits binary, words binary, counts binary"), "lm-blocks")
 
 
 def _load(model: DataFrame, context_blocks: list[int], word_blocks: list[int], blocks: int) -> Filter:
-    bits, words = {}, []
-    rows = model.where(F.col("block").isin(sorted({*context_blocks, *word_blocks})))
-    contexts, own = set(context_blocks), set(word_blocks)
+    """The filter of these contexts, with the counts of the words of either; its size has been checked."""
+    bits, words, counts = {}, [], []
+    contexts = set(context_blocks)
+    rows = model.where(F.col("block").isin(sorted({*context_blocks, *word_blocks}))).orderBy("block")
     for r in rows.toLocalIterator():
         if r["block"] in contexts:
-            bits[r["block"]] = np.frombuffer(r["bits"], np.uint8)
-        if r["block"] in own | contexts:
-            words.append((np.frombuffer(r["words"], np.uint64), np.frombuffer(r["counts"], np.int64)))
-    if not words:
-        return Filter(blocks, bits, np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    hashes, counts = (np.concatenate(x) for x in zip(*words))
-    order = np.argsort(hashes)
-    return Filter(blocks, bits, hashes[order], counts[order])
+            bits[r["block"]] = bytes(r["bits"])
+        words.append(bytes(r["words"]))  # blocks are ranges of hashes: end to end they are in order
+        counts.append(bytes(r["counts"]))
+    return Filter(blocks, bits, b"".join(words), b"".join(counts))
 
 
 def score(df: DataFrame, model: DataFrame, text_col: str = "text", prior: float = PRIOR,
@@ -258,39 +272,40 @@ def _one_pass(df, shared, text_col, prior, total, distinct, contexts, words, gro
     context_set, word_set = np.array(contexts, np.int64), np.array(words, np.int64)
     floor = total + 0.5 * (distinct + 1)
 
-    def of_chunk(model: Filter, before: np.ndarray, own: np.ndarray, grams: np.ndarray, doc: np.ndarray, n: int):
-        """(n_tokens, n_known, base, score) rows, summed by document, of a run of tokens."""
-        ctx_block, word_block = block_of(before, model.blocks), block_of(own, model.blocks)
-        if groups > 1:
-            mine = np.isin(ctx_block, context_set) & np.isin(word_block, word_set)
-            before, own, grams, ctx_block, doc = before[mine], own[mine], grams[mine], ctx_block[mine], doc[mine]
-        words_, at = np.unique(own, return_inverse=True)
-        c = model.count(words_)[at]
-        contexts_, at = np.unique(before, return_inverse=True)
-        a = model.count(contexts_)[at]
+    def of_texts(model: Filter, own: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """(n_tokens, n_known, base, score) of each of a run of whole texts."""
+        before = before_of(own)
+        once, at = np.unique(own, return_inverse=True)
+        c = model.count(once)[at]
+        a = np.concatenate([model.count(before[:1]), c[:-1]])
         p = (c + 0.5) / floor
         b = np.zeros(len(own))
-        able = np.flatnonzero((c > 0) & (a > 0))
-        once, first, at = np.unique(grams[able], return_index=True, return_inverse=True)
-        b[able] = np.minimum(value_of(model.level(once, ctx_block[able][first]))[at], np.minimum(c, a)[able])
-        return np.stack([np.bincount(doc, w, n) for w in (
-            np.ones(len(own)), c > 0, np.log10(p), np.log10((b + prior * p) / (a + prior)))]).astype(np.float64)
+        ctx_block = block_of(before, model.blocks)
+        mine = np.ones(len(own), bool)
+        if groups > 1:
+            mine = np.isin(ctx_block, context_set) & np.isin(block_of(own, model.blocks), word_set)
+        able = np.flatnonzero((c > 0) & (a > 0) & mine)
+        for i in range(0, len(able), CHUNK):
+            part = able[i:i + CHUNK]
+            grams, first, at = np.unique(pairs(before[part], own[part]), return_index=True, return_inverse=True)
+            found = value_of(model.level(grams, ctx_block[part[first]]))[at]
+            b[part] = np.minimum(found, np.minimum(c, a)[part])
+        terms = (mine, (c > 0) & mine, np.where(mine, np.log10(p), 0.0),
+                 np.where(mine, np.log10((b + prior * p) / (a + prior)), 0.0))
+        return np.stack([np.add.reduceat(np.asarray(t, np.float64), starts) for t in terms])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, hashing = shared.value, Words()
+        model, known = shared.value.view(), Words()
         for batch in batches:
             at = 0
             while at < batch.num_rows:
                 texts, held, begin = [], 0, at
-                while at < batch.num_rows and held < CHUNK:
-                    texts.append(hashing.hashes(batch.column("__text")[at].as_py()))
+                while at < batch.num_rows and held < 8 * CHUNK:
+                    texts.append(known.hashes(batch.column("__text")[at].as_py()))
                     held += len(texts[-1])
                     at += 1
-                doc = np.repeat(np.arange(len(texts)), [len(x) for x in texts])
-                before = np.concatenate([x for t in texts for x in ([np.uint64(END)], t[:-1])])
-                grams, own = np.concatenate([pairs(t) for t in texts]), np.concatenate(texts)
-                sums = sum(of_chunk(model, before[i:i + CHUNK], own[i:i + CHUNK], grams[i:i + CHUNK], doc[i:i + CHUNK],
-                                    len(texts)) for i in range(0, len(own), CHUNK))
+                starts = np.cumsum([0] + [len(t) // 8 for t in texts[:-1]])
+                sums = of_texts(model, tokens(texts), starts)
                 part = batch.slice(begin, at - begin)
                 columns = [pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)),
                            pa.array(np.full(len(texts), total, np.int64)), pa.array(sums[2]), pa.array(sums[3])]
