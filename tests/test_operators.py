@@ -148,8 +148,8 @@ def test_duplicate_instants(spark, five):
         require_unique_instants(twice)
     with pytest.raises(Exception, match="duplicate rows"):
         lags.time_lags(twice, 1, period_us=120_000_000).collect()
-    with pytest.raises(ValueError):
-        lags.time_lags(twice, 1, period_us=120_000_000, method="join")
+    with pytest.raises(Exception, match="duplicate rows"):
+        lags.time_lags(twice, 1, period_us=120_000_000, method="join").collect()
 
 
 def test_ties_follow_the_given_columns(spark):
