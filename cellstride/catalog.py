@@ -814,9 +814,9 @@ def pearson_matrix(spark, sf):
     return tidy(multivar.pearson(line_items(spark, sf)))
 
 
-def _dcor_sql(a: str, b: str) -> str:
+def _dcor_sql(a: str, b: str, source: str = "L") -> str:
     return f"""SELECT '{a}' AS feature_x, '{b}' AS feature_y, {r('sqrt(xy / sqrt(xx * yy))', 'dcor')} FROM (
-  WITH W AS (SELECT {a} AS x, {b} AS y, count(*)::DOUBLE AS w FROM L GROUP BY 1, 2),
+  WITH W AS (SELECT {a} AS x, {b} AS y, count(*)::DOUBLE AS w FROM {source} GROUP BY 1, 2),
   T AS (SELECT sum(w) AS n FROM W),
   I AS (SELECT i.w AS w, sum(j.w * abs(i.x - j.x)) / any_value(n) AS a, sum(j.w * abs(i.y - j.y)) / any_value(n) AS b,
     sum(j.w * abs(i.x - j.x) * abs(i.y - j.y)) / any_value(n) AS ab, sum(j.w * (i.x - j.x)^2) / any_value(n) AS aa,
@@ -827,10 +827,13 @@ def _dcor_sql(a: str, b: str) -> str:
   SELECT mab - 2*pab + ma*mb AS xy, maa - 2*paa + ma*ma AS xx, mbb - 2*pbb + mb*mb AS yy FROM E)"""
 
 
-@query(f"WITH {L_SQL} " + " UNION ALL ".join(
-    _dcor_sql(a, b) for a, b in (("l_quantity", "l_discount"), ("l_quantity", "l_tax"), ("l_discount", "l_tax"))))
+# Prices in steps of 10,000: the SQL needs all pairs of different points.
+@query(f"WITH {L_SQL}, D AS (SELECT * REPLACE (round(l_extendedprice / 10000) * 10000 AS l_extendedprice) FROM L) " + " UNION ALL ".join(
+    _dcor_sql(a, b, "D") for a, b in PAIRS))
 def dcor_discrete(spark, sf):
-    return tidy(multivar.distance_correlation(line_items(spark, sf), ["l_quantity", "l_discount", "l_tax"]))
+    rows = line_items(spark, sf)
+    return tidy(multivar.distance_correlation(
+        rows.withColumn("l_extendedprice", F.round(F.col("l_extendedprice") / 10000) * 10000)))
 
 
 @query()
@@ -885,6 +888,16 @@ def pca_project(spark, sf):
     return tidy(scored.select("gross", "net", F.abs("PC_1").alias("pc_1"), F.abs("PC_2").alias("pc_2")))
 
 
+@query(f"""WITH {L_SQL}, B AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq, avg(l_discount) AS md, stddev_pop(l_discount) AS sd,
+  sign(corr(l_quantity, l_discount)) AS s FROM L),
+D AS (SELECT l_quantity, l_discount, (l_quantity - mq) / sq + s * (l_discount - md) / sd AS "PC_1",
+  (l_quantity - mq) / sq - s * (l_discount - md) / sd AS "PC_2" FROM L, B)
+""" + " UNION ALL ".join(_dcor_sql(c, f"PC_{i}", "D") for c in ("l_quantity", "l_discount") for i in (1, 2)))
+def pca_dcor_discrete(spark, sf):
+    """Two features and their two components, which are their standardised sum and difference."""
+    return tidy(multivar.component_correlation(line_items(spark, sf), ["l_quantity", "l_discount"]))
+
+
 @query()
 def pca_dcor(spark, sf):
     return multivar.component_correlation(line_items(spark, sf))

@@ -42,12 +42,13 @@ def statistics(df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec
     columns = columns or numeric_columns(df, spec)
     full = drop_any_missing(df, columns).select(*[F.col(c).cast("double").alias(c) for c in columns])
     moments = full.agg(*[F.struct(
-        F.lit(c).alias("feature"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("stdev"),
+        F.lit(c).alias("feature"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("stdev"),
         F.min(c).alias("min"), F.max(c).alias("max"), geometric_mean(c).alias("gmean"),
         F.var_samp(c).alias("variance"), adjusted_skewness(c).alias("skewness"),
         adjusted_kurtosis(c).alias("kurtosis")).alias(c) for c in columns])
-    table = moments.select(F.explode(F.array(*columns)).alias("s")).select("s.*")
-    ranks = percentiles(full, columns, [0.1, 0.5, 0.9], max_group=max_group).select(
+    fitted = settle(moments.select(F.explode(F.array(*columns)).alias("s")).select("s.*"))
+    table = fitted.df
+    ranks = percentiles(full, columns, [0.1, 0.5, 0.9], max_group=max_group, largest=max(fitted.distinct("n"))).select(
         "feature", F.get("q", 1).alias("median"), F.get("q", 0).alias("p10"), F.get("q", 2).alias("p90"))
     return (table.join(ranks, "feature").join(modes(full, columns), "feature")
             .select("feature", "mean", "stdev", "median", "mode", "min", "max", "gmean", "variance",
@@ -76,8 +77,9 @@ def describe(df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec =
         F.lit(c).alias("feature"), F.lit(kinds[c]).alias("type"), F.count(c).alias("count"),
         F.avg(c).alias("mean"), F.stddev_samp(c).alias("stdev"), F.min(c).cast("double").alias("min"),
         F.max(c).cast("double").alias("max")).alias(c) for c in columns])
-    table = basic.select(F.explode(F.array(*columns)).alias("s")).select("s.*")
-    ranks = percentiles(df, columns, [0.25, 0.5, 0.75], max_group=max_group).select(
+    fitted = settle(basic.select(F.explode(F.array(*columns)).alias("s")).select("s.*"))
+    table = fitted.df
+    ranks = percentiles(df, columns, [0.25, 0.5, 0.75], max_group=max_group, largest=max(fitted.distinct("count"))).select(
         "feature", F.get("q", 0).alias("p25"), F.get("q", 1).alias("p50"), F.get("q", 2).alias("p75"))
     return table.join(ranks, "feature")
 

@@ -19,11 +19,11 @@ PROBES = 256
 
 
 def percentiles(df: DataFrame, columns: list[str], probs: list[float], key: str | None = None,
-                max_group: int | None = None, approximate: bool = False) -> DataFrame:
+                max_group: int | None = None, approximate: bool = False, largest: int | None = None) -> DataFrame:
     """Linearly interpolated percentiles of the non-missing values.
 
     Returns ``(key?, feature, n, q)`` with ``q`` in the order of ``probs``.  ``approximate``
-    trades exactness for a single pass.
+    trades exactness for a single pass.  ``largest``, the largest group's count where known, saves counting.
     """
     keys = [key] if key else []
     limit = MAX_GROUP if max_group is None else max(max_group, 4 * PROBES)
@@ -34,7 +34,8 @@ def percentiles(df: DataFrame, columns: list[str], probs: list[float], key: str
                      F.transform(F.percentile_approx(c, grid, ACCURACY), lambda v: v.cast("double"))
                      .alias("q")).alias(c) for c in columns]), keys, columns)
     counts = df.groupBy(*keys).agg(*[F.count(c).alias(c) for c in columns])
-    largest = counts.agg(F.greatest(*[F.max(c) for c in columns], F.lit(0)).alias("n")).first()["n"]
+    if largest is None:
+        largest = counts.agg(F.greatest(*[F.max(c) for c in columns], F.lit(0)).alias("n")).first()["n"]
     if (largest or 0) <= limit:
         return _melted(df.groupBy(*keys).agg(*[
             F.struct(F.count(c).alias("n"),
