@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
 
 from ..series import SERIES, US, SeriesSpec, epoch_us
+from ..sources.staging import stage
 from .params import Settled, attach, settle
 
 ROWS_PER_SLOT = 1_000_000
@@ -51,10 +52,6 @@ class Layout:
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.parts).orderBy(US, *self.spec.ties)
 
-    @property
-    def series_window(self) -> WindowSpec:
-        return Window.partitionBy(self.key).orderBy(US, *self.spec.ties)
-
     def place(self, df: DataFrame, keep_cut: bool = False) -> DataFrame:
         """Add the order coordinate and, for cut series, the slot of each row."""
         out = _coordinates(df, self.spec)
@@ -137,56 +134,45 @@ def over_rows(df: DataFrame, layout: Layout, reach: int,
               build: Callable[[DataFrame, WindowSpec], DataFrame]) -> DataFrame:
     """Apply ``build(rows, window)``, which may look back up to ``reach`` rows of the series.
 
-    In a cut series the end of each slot, holding at least ``reach`` rows, is copied to the front
-    of the next slot, and the copies are dropped after the window.
+    In a cut series the last rows of each slot are copied to the front of the slots that look back at them, usually just
+    the next one, and the copies are dropped after the window.
     """
     placed = layout.place(df)
     if not layout.sliced:
         return layout.strip(build(placed, layout.window))
     ends = settle(_slot_ends(df, layout, reach))
-    if not ends.bounded or ends.df.where("__next is not null and __from is null").limit(1).count():
-        return _over_edges(placed, layout, reach, build)
-    joined = placed.join(F.broadcast(ends.df), layout.parts, "left").withColumn("__own", F.col(SLOT))
-    both = F.when(F.col(US) >= F.col("__from"), F.array_compact(F.array(SLOT, "__next"))).otherwise(F.array(SLOT))
-    copied = (joined.withColumn(SLOT, F.explode(both)).withColumn("__copy", F.col(SLOT) != F.col("__own"))
-              .drop("__own", "__from", "__next"))
+    joined = attach(placed, ends, layout.parts, [US]).withColumn("__own", F.col(SLOT))
+    later = F.transform(F.filter(F.coalesce("__next", F.array().cast(ends.df.schema["__next"].dataType)),
+                                 lambda t: F.col(US) >= t["from"]), lambda t: t["slot"])
+    copied = (joined.withColumn(SLOT, F.explode(F.concat(F.array(SLOT), later)))
+              .withColumn("__copy", F.col(SLOT) != F.col("__own")).drop("__own", "__next"))
     return layout.strip(build(copied, layout.window).where("not __copy"))
 
 
 def _slot_ends(df: DataFrame, layout: Layout, reach: int) -> DataFrame:
-    """Per slot of a cut series: where its last ``reach`` rows may start, and the next slot.
+    """Per slot of a cut series, ``__next``: the later slots that look back into it, and from which time on.
 
-    Counts over parts of a slot bracket the place; nothing is sorted.  ``__from`` is NULL for a
-    slot of fewer rows.
+    Counts over parts of a slot bracket the place; nothing is sorted.  A slot with rows has at least one, so only the
+    ``reach`` slots behind it can look back into it, and only the first of them does where slots are full.
     """
     placed = layout.place(df, keep_cut=True).where("__width is not null")
     part = F.expr(f"({US} - __t0 - {SLOT} * __width) div greatest(1, __width div {PARTS_PER_SLOT})")
-    counts = placed.groupBy(*layout.parts, part.alias("__part")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(US).alias("__lo"))
+    counts = stage(placed.groupBy(*layout.parts, part.alias("__part")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(US).alias("__lo")), "slot-parts")
     from_end = (Window.partitionBy(*layout.parts).orderBy(F.desc("__part"))
                 .rowsBetween(Window.unboundedPreceding, 0))
-    ends = (counts.withColumn("__seen", F.sum("n").over(from_end)).groupBy(*layout.parts)
-            .agg(F.max(F.when(F.col("__seen") >= reach, F.col("__lo"))).alias("__from")))
-    following = F.lead(SLOT).over(Window.partitionBy(layout.key).orderBy(SLOT))
-    return ends.select(*layout.parts, "__from", following.alias("__next"))
-
-
-def _over_edges(placed: DataFrame, layout: Layout, reach: int,
-                build: Callable[[DataFrame, WindowSpec], DataFrame]) -> DataFrame:
-    """``over_rows`` for slots of any size.
-
-    Rows at least ``reach`` deep in their slot are complete.  The others are recomputed over the
-    first and last ``reach`` rows of every slot: consecutive there means consecutive in the series
-    for everything such a row can see.  Sorts twice, hence only where a slot is short of rows.
-    """
-    w = layout.window
-    marked = placed.select(
-        "*", F.lag(US, reach).over(w).isNull().alias("__head"),
-        F.lead(US, reach).over(w).isNull().alias("__tail"))
-    body = build(marked, w).where("not __head")
-    edges = marked.where("__head or __tail")
-    heads = build(edges, layout.series_window).where("__head")
-    return layout.strip(body.unionByName(heads))
+    parts = counts.select(*layout.parts, "__lo", F.sum("n").over(from_end).alias("__seen"))
+    in_series = Window.partitionBy(layout.key).orderBy(SLOT)
+    slots = counts.groupBy(*layout.parts).agg(F.sum("n").alias("__n")).withColumn(
+        "__end", F.sum("__n").over(in_series.rowsBetween(Window.unboundedPreceding, 0)))
+    following = F.collect_list(F.struct(F.col(SLOT).alias("slot"), (F.col("__end") - F.col("__n")).alias("start")))
+    wanted = (slots.withColumn("__later", following.over(in_series.rowsBetween(1, reach)))
+              .select(*layout.parts, "__end", F.explode("__later").alias("t")).where(F.col("t.start") - F.col("__end") < reach)
+              .select(*layout.parts, F.col("t.slot").alias("__to"), (reach - F.col("t.start") + F.col("__end")).alias("__need")))
+    found = wanted.join(parts, layout.parts).groupBy(*layout.parts, "__to").agg(F.coalesce(
+        F.max(F.when(F.col("__seen") >= F.col("__need"), F.col("__lo"))), F.min("__lo")).alias("__from"))
+    return found.groupBy(*layout.parts).agg(F.collect_list(F.struct(
+        F.col("__to").alias("slot"), F.col("__from").alias("from"))).alias("__next"))
 
 
 def halo(df: DataFrame, layout: Layout, horizon_us: int) -> DataFrame:

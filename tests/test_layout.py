@@ -64,13 +64,12 @@ def test_cut_whole_frame_gives_the_same_rows(single, name):
     assert rows_of(run(df, cut, WHOLE)) == rows_of(run(df, plan_layout(df, WHOLE), WHOLE))
 
 
-@pytest.mark.parametrize("per_slot, sorts_twice", [(3, True), (40, False)])
-def test_both_ways_over_rows_are_taken(keyed, per_slot, sorts_twice, monkeypatch):
-    used = []
-    plain = layouts._over_edges
-    monkeypatch.setattr(layouts, "_over_edges", lambda *args: used.append(1) or plain(*args))
-    lags.row_lags(keyed, 4, layout=plan_layout(keyed, rows_per_slot=per_slot))
-    assert bool(used) == sorts_twice
+def test_look_back_over_several_slots(keyed, monkeypatch):
+    """Slots of fewer rows than the look-back, with slot ends that are broadcast and that are not."""
+    cut, whole = plan_layout(keyed, rows_per_slot=2), rows_of(lags.row_lags(keyed, 7))
+    assert rows_of(lags.row_lags(keyed, 7, layout=cut)) == whole
+    monkeypatch.setattr(params, "MAX_BYTES", 64)
+    assert rows_of(lags.row_lags(keyed, 7, layout=cut)) == whole
 
 
 def test_crowded_slots_are_narrowed(spark):
@@ -105,3 +104,19 @@ def test_uncut_when_series_are_short(keyed):
 
 def test_row_count_default_is_bounded():
     assert layouts.ROWS_PER_SLOT <= 1_000_000
+
+
+def test_a_bursty_series_stays_in_bounds(spark):
+    """A third of all rows in two bursts with a long, thin stretch between them: many slots of a few rows."""
+    burst = [(0, i) for i in range(300)] + [(0, 10_000_000 + i * 50_000) for i in range(40)] + [(0, 90_000_000 + i) for i in range(300)]
+    rows = [(f"s{k}", t, float((k * 7 + t * 13) % 101)) for k, t in burst + [(1 + i % 20, i) for i in range(1280)]]
+    spec = SeriesSpec(time="t", key="key")
+    df = spark.createDataFrame(rows, "key string, t bigint, v double").repartition(5)
+    cut = plan_layout(df, spec, 60)
+    assert cut.sliced
+    sizes = cut.place(df).groupBy(*cut.parts).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 4 * 60
+    assert sizes.where("key = 's0' and count < 8").count() >= 4
+    for run in (lambda lay: lags.row_lags(df, 8, spec=spec, layout=lay), lambda lay: lags.time_differences(df, spec, lay),
+                lambda lay: profile.autocorrelation(df, 5, spec=spec, layout=lay)):
+        assert rows_of(run(cut)) == rows_of(run(None))
