@@ -169,7 +169,8 @@ def search_index(index: DataFrame, queries: DataFrame, k: int = 5, factor: float
                                  "id", "vector").groupBy("block", "width").applyInPandas(pack, "width int, queries binary"),
                    "query-blocks")
     shards = (index.agg(F.max("shard")).first()[0] or 0) + 1
-    sent = packed.select("width", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long").alias("shard"), "queries")
+    sent = packed.select("width", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), "queries")
     pairs = index.join(sent, ["width", "shard"]).select("tree", "queries")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
