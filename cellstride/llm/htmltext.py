@@ -12,6 +12,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..sources.staging import stage
 from . import common
 
 #: Fixed values of HTML: elements whose content is no text, and elements that begin and end a block.
@@ -236,9 +237,12 @@ def extract_text(df: DataFrame, weights: Weights, html_col: str = "html", out: s
 
 def labelled_pages(pages: DataFrame, docs: DataFrame, sample: int = 400) -> DataFrame:
     """Pages whose content is known: the url's number names the document that the page shows."""
-    some = pages.where("url is not null and html is not null").select("html", F.expr(
-        r"try_cast(regexp_extract(url, '/([0-9]+)([/?#]|$)', 1) as bigint)").alias("doc_id")).where("doc_id is not null").limit(sample)
-    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("html", "text")
+    some = stage(pages.where("url is not null and html is not null").select("html", F.expr(
+        r"try_cast(regexp_extract(url, '/([0-9]+)([/?#]|$)', 1) as bigint)").alias("doc_id")).where("doc_id is not null").limit(sample),
+        "labelled-pages")
+    # Only the numbers are broadcast, ``sample`` at most; the texts they pick are joined to the pages after that.
+    known = docs.select("doc_id", "text").join(F.broadcast(some.select("doc_id").distinct()), "doc_id")
+    return some.join(known, "doc_id").select("html", "text")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
