@@ -16,7 +16,7 @@ from . import common
 #: Splits a text into the pieces that merges stay within (fixed value of this tokenizer family).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Encoded pieces a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -38,10 +38,27 @@ def load_vocabulary(path: str) -> dict:
     return {"tokens": tokens, "special": special, "merges": [(ids[a], ids[b], ids[a + b]) for a, b in merges]}
 
 
-class Codec:
-    """Encoder and decoder of one vocabulary; each Python worker builds one."""
+class Decoder:
+    """The offset table: all tokens laid end to end, and where each begins."""
 
     def __init__(self, vocabulary: dict):
+        every = {**vocabulary["tokens"], **{i: t.encode() for t, i in vocabulary["special"].items()}}
+        size = max(every) + 1
+        self.sizes = np.array([len(every.get(i, b"")) for i in range(size)], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.text = np.frombuffer(b"".join(every.get(i, b"") for i in range(size)), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> str:
+        n = self.sizes[ids]
+        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n - self.starts[ids], n)
+        return self.text[at].tobytes().decode("utf-8", "replace")
+
+
+class Codec(Decoder):
+    """Encoder and decoder of one vocabulary; each Python worker builds what it needs."""
+
+    def __init__(self, vocabulary: dict):
+        super().__init__(vocabulary)
         self.tokens, self.special = vocabulary["tokens"], vocabulary["special"]
         self.rank, self.left, self.right, self.joined = dict.fromkeys(self.tokens, -1), {}, {}, {}
         for rank, (a, b, whole) in enumerate(vocabulary["merges"]):
@@ -62,12 +79,6 @@ class Codec:
         self.pieces = regex.compile(PIECES)
         names = sorted(self.special, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
-        # The offset table: all tokens laid end to end, and where each begins.
-        every = {**self.tokens, **{i: t.encode() for t, i in self.special.items()}}
-        size = max(every) + 1
-        self.sizes = np.array([len(every.get(i, b"")) for i in range(size)], np.int64)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.text = np.frombuffer(b"".join(every.get(i, b"") for i in range(size)), np.uint8)
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether the merges leave these two tokens side by side.
@@ -175,13 +186,8 @@ class Codec:
                  for i, x in enumerate(self.split.split(text)) if x]
         return np.frombuffer(b"".join(parts), np.int32)
 
-    def decode(self, ids: np.ndarray) -> str:
-        n = self.sizes[ids]
-        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n - self.starts[ids], n)
-        return self.text[at].tobytes().decode("utf-8", "replace")
-
 
-def _over(df: DataFrame, path: str, source: str, out: T.StructField, make) -> DataFrame:
+def _over(df: DataFrame, path: str, source: str, out: T.StructField, kind: type, make) -> DataFrame:
     """``df`` with one more column, made from column ``source`` by a codec in each worker."""
     vocabulary = df.sparkSession.sparkContext.broadcast(load_vocabulary(path))
     kept = common.without(df, out.name)
@@ -189,7 +195,7 @@ def _over(df: DataFrame, path: str, source: str, out: T.StructField, make) -> Da
     at = "__source"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(vocabulary.value)
+        codec = kind(vocabulary.value)
         for batch in batches:
             for i in range(0, batch.num_rows, 1000):
                 part = batch.slice(i, 1000)
@@ -206,7 +212,7 @@ def _encode_column(codec: Codec, texts: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*ids, np.zeros(0, np.int32)])))
 
 
-def _decode_column(codec: Codec, ids: pa.Array) -> pa.Array:
+def _decode_column(codec: Decoder, ids: pa.Array) -> pa.Array:
     flat, offsets = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
     return pa.array([codec.decode(flat[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], pa.string())
 
@@ -218,13 +224,13 @@ def encode(df: DataFrame, path: str, text_col: str = "text", out: str = "ids") -
     become their own ids.  A null or empty text gives an empty array.  A column of the new name is replaced.
     """
     return _over(df.withColumn(text_col, F.col(f"`{text_col}`").cast("string")), path, text_col,
-                 T.StructField(out, T.ArrayType(T.IntegerType())), _encode_column)
+                 T.StructField(out, T.ArrayType(T.IntegerType())), Codec, _encode_column)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the text that token ids stand for, special tokens included; null or no ids give an empty text."""
     ids = F.coalesce(F.col(f"`{ids_col}`"), F.array().cast("array<int>"))
-    return _over(df.withColumn(ids_col, ids), path, ids_col, T.StructField(out, T.StringType()), _decode_column)
+    return _over(df.withColumn(ids_col, ids), path, ids_col, T.StructField(out, T.StringType()), Decoder, _decode_column)
 
 
 def default_path() -> str:
