@@ -16,8 +16,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..sources.staging import stage
 from . import common
 
-#: A run of characters that keys and tokens are made of, with a digit in it.
-CANDIDATE = regex.compile(r"(?<![A-Za-z0-9+/_=.\-])(?=[A-Za-z+/_=.\-]*[0-9])[A-Za-z0-9+/_=.\-]{12,}")
+#: Runs of characters that keys and tokens are made of, and the name that a run may begin with.
+RUN = regex.compile(r"(?<![A-Za-z0-9+/_=.\-])[A-Za-z0-9+/_=.\-]{12,}")
+LEADING_NAME = regex.compile(r"-{0,2}[A-Za-z_][A-Za-z0-9_.\-]*=+(?=[^=])")
+#: A run without a digit is a candidate from this many letters on, of so many kinds, or where a capital follows a small letter.
+LONG, DIFFERENT = 20, 6
+CAMEL = regex.compile(r"[a-z][^A-Z]*[A-Z]")
+#: Values assigned to a credential's name count from this length on.
+SHORT = 4
+NAME = (r"(?:token|secret|passw(?:or)?d|passphrase|pwd|api[ _-]?key|access[ _-]?key|private[ _-]?key|secret[ _-]?key|credential)"
+        r"s?[0-9]*")
+#: What stands between name and value; the same text as a Java regular expression in ``label_findings``.
+ASSIGN = r"\\?[\"'`]?\s*(?::=|=>|={1,3}|:)\s*"
+_ON_LINE = ASSIGN.replace(r"\s", r"[^\S\r\n]")
+#: A value in quotes ends at the same quote, another one at white space, a quote or the next ``name=``.
+ASSIGNED = regex.compile(
+    rf"{NAME}{_ON_LINE}(?!{NAME}{_ON_LINE}\S)" r"""(?:(?P<quote>\\?["'`])(?P<in>(?:(?!(?P=quote))[^\r\n])+)(?P=quote)"""
+    r"""|\\?["'`]?(?P<bare>(?:(?![&,;]\w+=)[^\s"'`])+))""", regex.IGNORECASE)
 #: Kinds of characters, for transitions: lower, upper, digit, other.
 KINDS = 4
 REACH = 48
@@ -29,10 +44,50 @@ def _kind(c: str) -> int:
     return 2 if c.isdigit() else 0 if c.islower() else 1 if c.isupper() else 3
 
 
+def _assigned(text: str) -> Iterator[tuple[int, int, int]]:
+    """(start, end, where the name starts) of values assigned to a credential's name."""
+    if "=" in text or ":" in text:
+        for m in ASSIGNED.finditer(text):
+            kind = "in" if m["in"] is not None else "bare"
+            start, end = m.span(kind)
+            if kind == "bare":
+                end = start + len(m[kind].rstrip(",;.)]}>\\"))
+            if end - start >= SHORT:
+                yield start, end, m.start()
+
+
+def _run_counts(run: str) -> bool:
+    return any(map(str.isdigit, run)) or bool(CAMEL.search(run)) or (
+        len(run) >= LONG and sum(map(str.isalpha, run)) >= LONG and len(set(filter(str.isalpha, run))) >= DIFFERENT)
+
+
 def candidates(text: str | None) -> Iterator[tuple[int, str, str, str]]:
-    """(start, candidate, what stands before it, what after) over the whole text."""
-    for m in CANDIDATE.finditer(text or ""):
-        yield m.start(), m[0], text[max(0, m.start() - REACH):m.start()], text[m.end():m.end() + REACH]
+    """(start, candidate, what stands before it, what after) over the whole text, by start.
+
+    Candidates are the values assigned to a credential's name, four characters or more of any kind, and runs of 12 or
+    more of [A-Za-z0-9+/_=.-] with a digit, 20 letters of six kinds or a capital after a small letter.  A name that a run begins with
+    (``name=``) is no part of the candidate but stands before it.  A run within an assigned value is not told again.
+    """
+    text = text or ""
+    found = {start: (end, name) for start, end, name in _assigned(text)}
+    values, at = sorted((start, end) for start, (end, _) in found.items()), 0
+    for m in RUN.finditer(text):
+        if not _run_counts(m[0]):
+            continue
+        start, end = m.span()
+        if name := LEADING_NAME.match(m[0]):
+            start += name.end()
+        while at < len(values) and values[at][1] <= start:
+            at += 1
+        if at < len(values):  # the value may end before dots that the run has with it
+            last = start + len(text[start:end].rstrip("."))
+            inside = values[at][0] <= start and last <= values[at][1]
+        else:
+            inside = False
+        if end - start >= SHORT and not inside:
+            found.setdefault(start, (end, start))
+    for start, (end, name) in sorted(found.items()):
+        yield start, text[start:end], text[max(0, min(name, start - REACH)):start], text[end:end + REACH]
 
 
 def find_candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
@@ -176,9 +231,7 @@ def scan(df: DataFrame, knowledge, forest: RandomForestClassificationModel | Non
 
 def label_findings(found: DataFrame) -> DataFrame:
     """Labels for findings where nobody has labelled any: a value assigned to a credential's name is a secret."""
-    before = F.lower("before")
-    name = r"(token|secret|passw(or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential)s?[\"']?\s*(=|:|=>)\s*[\"']?$"
-    return found.withColumn("label", before.rlike(name))
+    return found.withColumn("label", F.lower("before").rlike(NAME + ASSIGN + r"\\?[\"'`]?$"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -322,6 +322,38 @@ def test_secrets_without_labels(spark):
     assert {r.is_secret for r in secrets.scan(df, None, None).collect()} == {True}
 
 
+FORMS = [("password: 'hunter2x'", "hunter2x"), ("password=P@ssw0rd!2024secure", "P@ssw0rd!2024secure"), ("api_key=sk_live_abc123def456", "sk_live_abc123def456"),
+         ("export AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMIK7MDENG/bPxRfiCY", "wJalrXUtnFEMIK7MDENG/bPxRfiCY"), ('"passwd": "a b, c!"', "a b, c!"),
+         ("https://a.b/?token=abc123&page=2", "abc123"), ("f(pwd=hunter2x)", "hunter2x"), ("token = secret: abcd", "abcd"),
+         ("pwd=abcd,token=efgh", "abcd"), ("token" + " " * 90 + "= 'abcd'", "abcd"), ('token = "0123456789abcdef"', "0123456789abcdef")]
+
+
+@pytest.mark.parametrize("text, value", FORMS)
+def test_assigned_forms(spark, text, value):
+    found = secrets.label_findings(secrets.find_candidates(spark.createDataFrame([(1, f"so {text} it", None, "s", None, None, None)], DOCS))).collect()
+    assert (f"so {text} it".index(value), value, True) in [(r.start, r.candidate, r.label) for r in found]
+    assert len(found) == (2 if "efgh" in text else 1)
+
+
+@pytest.mark.parametrize("text, value", [("abcdefgh" * 4, "abcdefgh" * 4), ("session=abc12345", "abc12345"), ("AbcdeFghijklM", "AbcdeFghijklM"),
+                                         ("token abcdef1234567", "abcdef1234567"), ("-" * 40, None), ("Wahrscheinlich", None)])
+def test_runs(text, value):
+    assert [c[1] for c in secrets.candidates(f"so {text} it")] == ([value] if value else [])
+
+
+def test_all_forms_are_secret(spark):
+    rng = random.Random(4)
+    key = lambda: "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFG23456789") for _ in range(rng.choice([8, 20, 32])))
+    rows = []
+    for i in range(400):
+        form = ["password: '{}'", "password={}!x", "api_key={}", "export AWS_SECRET_ACCESS_KEY={}"][i // 2 % 4]
+        rows.append((i, f"river {form.format(key())} house" if i % 2 else f"see version2-of-garden-{i} page", None, "s", None, None, None))
+    df = spark.createDataFrame(rows, DOCS)
+    labelled = secrets.label_findings(secrets.find_candidates(df.where("doc_id % 3 <> 0")))
+    held = [r for r in secrets.scan(df, *secrets.train(labelled, secrets.dictionary(df))).collect() if r.doc_id % 3 == 0]
+    assert {r.doc_id for r in held if r.is_secret} == {i for i in range(400) if i % 3 == 0 and i % 2}
+
+
 def test_coverage():
     known = secrets.Knowledge(["garden", "river"], [])
     assert known.coverage("gardenriver") == 1.0 and known.coverage("x1y2z3") == 0.0
