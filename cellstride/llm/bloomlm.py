@@ -18,9 +18,9 @@ from . import common
 BASE = 1.5
 PROBES = 6
 BITS_PER_ENTRY = 14
-#: Context words of one block of the filter, roughly.
+#: Tokens of the texts for each block of the filter, roughly.
 BLOCK_TOKENS = 2_000_000
-#: What one pass over the texts may broadcast; with a larger model there are more passes.
+#: Largest model that is broadcast; the blocks of a larger one stay on executors and the texts' n-grams go to them.
 PASS_BYTES = 256 << 20
 #: Weight of the words' own frequencies against those behind the context.
 PRIOR = 300.0
@@ -132,31 +132,35 @@ class Filter:
         return out
 
 
-def block_of(context: np.ndarray, blocks: int) -> np.ndarray:
-    return ((context >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
+def block_of(hashes: np.ndarray, blocks: int) -> np.ndarray:
+    """Blocks are ranges of hashes, of words as of pairs: what stands behind one frequent word is in all of them."""
+    return ((hashes >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
+
+
+def _edges(hashes: np.ndarray, blocks: int) -> np.ndarray:
+    """Where each block begins among sorted hashes, and the end."""
+    return np.searchsorted(block_of(hashes, blocks), np.arange(blocks + 1))
+
+
+def _cut(x: np.ndarray, edges: np.ndarray) -> list[bytes]:
+    return [x[i:j].tobytes() for i, j in zip(edges[:-1], edges[1:])]
 
 
 def _counted(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordBatch]:
     """(block, words, word_counts, pairs, pair_counts): what a run of texts has for each block, summed, as packed arrays.
 
-    Words are in the block of their own hash, pairs in that of their context.
+    Words and pairs are in the block of their own hash.
     """
     known, todo, held = Words(), [], 0
 
     def out() -> pa.RecordBatch:
         own = tokens(todo)
-        before = before_of(own)
         u, n = np.unique(own, return_counts=True)
-        g, first, m = np.unique(pairs(before, own), return_index=True, return_counts=True)
-        home = block_of(before[first], blocks)
-        order = np.argsort(home, kind="stable")
-        g, m, home = g[order], m[order], home[order]
-        edges = np.arange(blocks + 1)
-        at, by = np.searchsorted(block_of(u, blocks), edges), np.searchsorted(home, edges)
-        cut = lambda x, e: [x[i:j].tobytes() for i, j in zip(e[:-1], e[1:])]
+        g, m = np.unique(pairs(before_of(own), own), return_counts=True)
+        at, by = _edges(u, blocks), _edges(g, blocks)
         n, m = n.astype(np.uint32), m.astype(np.uint32)
-        return pa.RecordBatch.from_arrays([pa.array(edges[:-1].astype(np.int32)), *[
-            pa.array(cut(x, e), pa.binary()) for x, e in ((u, at), (n, at), (g, by), (m, by))]], PACKED)
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(blocks, dtype=np.int32)), *[
+            pa.array(_cut(x, e), pa.binary()) for x, e in ((u, at), (n, at), (g, by), (m, by))]], PACKED)
 
     for batch in batches:
         for text in batch.column(0):
@@ -169,6 +173,8 @@ def _counted(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.Reco
         yield out()
 
 
+#: What ``score`` adds.
+NEW = {"n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double"}
 PACKED = ["block", "words", "word_counts", "pairs", "pair_counts"]
 
 
@@ -203,14 +209,11 @@ def count_model(df: DataFrame, text_col: str = "text", blocks: int | None = None
         build, "block int, blocks int, bits binary, words binary, counts binary"), "lm-blocks")
 
 
-def _load(model: DataFrame, context_blocks: list[int], word_blocks: list[int], blocks: int) -> Filter:
-    """The filter of these contexts, with the counts of the words of either; its size has been checked."""
+def _load(model: DataFrame, blocks: int) -> Filter:
+    """The whole filter with the counts of all words; its size has been checked."""
     bits, words, counts = {}, [], []
-    contexts = set(context_blocks)
-    rows = model.where(F.col("block").isin(sorted({*context_blocks, *word_blocks}))).orderBy("block")
-    for r in rows.toLocalIterator():
-        if r["block"] in contexts:
-            bits[r["block"]] = bytes(r["bits"])
+    for r in model.orderBy("block").toLocalIterator():
+        bits[r["block"]] = bytes(r["bits"])
         words.append(bytes(r["words"]))  # blocks are ranges of hashes: end to end they are in order
         counts.append(bytes(r["counts"]))
     return Filter(blocks, bits, b"".join(words), b"".join(counts))
@@ -225,9 +228,9 @@ def score(df: DataFrame, model: DataFrame, text_col: str = "text", prior: float
     it, b the count of the pair as the filter has it (no more than either word's).  A null or empty text is the end alone.
     Against an empty corpus N and V are 0.  Columns with the new names are replaced.
 
-    The filter with the word counts is broadcast.  Where it is larger than ``pass_bytes``, its blocks are dealt into
-    groups, and there is one pass over the texts for each group of contexts and each group of words; every token is scored
-    in just one of them.  Memory stays bounded, time grows.
+    The filter with the word counts is broadcast.  Where it is larger than ``pass_bytes``, nothing is: the different words
+    and pairs of each run of texts are shuffled to their blocks, counts and levels come back by run and are summed by row.
+    The texts are read once, and ``df`` must be a stored table then (``common.mark_rows``).
     """
     spark = df.sparkSession
     sizes = model.select("block", "blocks", (F.octet_length("bits") + F.octet_length("words") + F.octet_length("counts"))
@@ -235,29 +238,89 @@ def score(df: DataFrame, model: DataFrame, text_col: str = "text", prior: float
     totals = model.select(F.col("block"), F.expr("counts")).mapInArrow(_sums, "n bigint").agg(F.sum("n")).first()[0]
     total, distinct = int(totals or 0), sum(r["v"] for r in sizes)
     blocks = sizes[0]["blocks"] if sizes else 1
-    groups: list[list[int]] = [[]]
-    room = pass_bytes // 2 if sum(r["bytes"] for r in sizes) > pass_bytes else pass_bytes
-    held = 0
-    for r in sorted(sizes, key=lambda r: r["block"]):
-        if groups[-1] and held + r["bytes"] > room:
-            groups.append([])
-            held = 0
-        groups[-1].append(r["block"])
-        held += r["bytes"]
-    marked = common.mark_rows(df, "__mark") if len(groups) > 1 else df
-    new = {"n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double"}
-    parts = []
-    for i, contexts in enumerate(groups):
-        for words in groups:
-            shared = spark.sparkContext.broadcast(_load(model, contexts, words, blocks))
-            parts.append(_one_pass(marked, shared, text_col, prior, total, distinct, contexts, words, len(groups), new))
-    if len(groups) == 1:
-        return parts[0]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    keys = [c for c in every.columns if c not in new]
-    return every.groupBy(*keys).agg(*[F.sum(c).alias(c) if c != "train_tokens" else F.max(c).alias(c) for c in new]).drop("__mark")
+    if sum(r["bytes"] for r in sizes) > pass_bytes:
+        return _by_blocks(df, model, text_col, prior, total, distinct, blocks)
+    return _one_pass(df, spark.sparkContext.broadcast(_load(model, blocks)), text_col, prior, total, distinct)
+
+
+def _probes(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordBatch]:
+    """What a run of texts asks each block, and at block -1 how its answers make up the texts.
+
+    ``words`` and ``pairs`` hold different hashes in order.  At block -1 they hold, for each pair, where its word and the
+    word before are among the run's words; ``at`` has each token's pair, ``marks`` and ``starts`` the texts.
+    """
+    known, todo, marks, held = Words(), [], [], 0
+
+    def out() -> pa.RecordBatch:
+        own = tokens(todo)
+        before = before_of(own)
+        u, word = np.unique(own, return_inverse=True)
+        g, first, at = np.unique(pairs(before, own), return_index=True, return_inverse=True)
+        starts = np.cumsum([0] + [len(t) // 8 for t in todo[:-1]])
+        rows = [(k, w, p, None, None, None) for k, (w, p) in enumerate(
+            zip(_cut(u, _edges(u, blocks)), _cut(g, _edges(g, blocks)))) if w or p]
+        rows.append((-1, word[first].astype(np.int32).tobytes(), np.searchsorted(u, before[first]).astype(np.int32).tobytes(),
+                     at.astype(np.int32).tobytes(), np.array(marks, np.int64).tobytes(), starts.astype(np.int64).tobytes()))
+        columns = list(zip(*rows))
+        return pa.RecordBatch.from_arrays([pa.array([marks[0]] * len(rows), pa.int64()), pa.array(columns[0], pa.int32()),
+                                           *[pa.array(c, pa.binary()) for c in columns[1:]]], [n.split()[0] for n in PROBE.split(", ")])
+
+    for batch in batches:
+        for mark, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            todo.append(known.hashes(text.as_py()))
+            marks.append(mark)
+            held += len(todo[-1]) // 8
+            if held > 5 * CHUNK:
+                yield out()
+                todo, marks, held = [], [], 0
+    if todo:
+        yield out()
+
+
+PROBE = "run bigint, block int, words binary, pairs binary, at binary, marks binary, starts binary"
+
+
+def _split(answers: np.ndarray, asked: pd.Series, width: int = 8) -> list[bytes]:
+    return _cut(answers, np.concatenate([[0], np.cumsum([len(x) // width for x in asked])]).astype(np.int64))
+
+
+def _by_blocks(df: DataFrame, model: DataFrame, text_col: str, prior: float, total: int, distinct: int, blocks: int) -> DataFrame:
+    marked = common.mark_rows(df, "__mark")
+    texts = marked.select("__mark", F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    asked = stage(texts.mapInArrow(lambda batches: _probes(batches, blocks), PROBE), "lm-probes")
+
+    def answer(key: tuple, part: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        """Counts of the words and levels of the pairs, for every run that asks this block."""
+        made = pd.DataFrame({"run": part["run"], "block": part["block"]})
+        has = len(own) > 0
+        block = Filter(1, {0: own["bits"][0]} if has else {}, own["words"][0] if has else b"", own["counts"][0] if has else b"").view()
+        w, w_at = np.unique(np.frombuffer(b"".join(part["words"]), np.uint64), return_inverse=True)
+        g, g_at = np.unique(np.frombuffer(b"".join(part["pairs"]), np.uint64), return_inverse=True)
+        made["counts"] = _split(block.count(w)[w_at].astype(np.int64), part["words"])
+        made["levels"] = _split(block.level(g, np.zeros(len(g), np.int64))[g_at].astype(np.uint8), part["pairs"])
+        return made
+
+    floor = total + 0.5 * (distinct + 1)
+
+    def sum_up(key: tuple, run: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        """The sums of each text of a run."""
+        told = told.sort_values("block")  # blocks are ranges of hashes: end to end they are in the run's order
+        c = np.frombuffer(b"".join(told["counts"]), np.int64)
+        found = value_of(np.frombuffer(b"".join(told["levels"]), np.uint8).astype(np.int64))
+        word, before, at = (np.frombuffer(run[n][0], np.int32) for n in ("words", "pairs", "at"))
+        marks, starts = (np.frombuffer(run[n][0], np.int64) for n in ("marks", "starts"))
+        p = (c + 0.5) / floor
+        least = np.minimum(c[word], c[before])  # 0 where either word is unknown
+        terms = ((c > 0)[word], np.log10(p)[word], np.log10((np.minimum(found, least) + prior * p[word]) / (c[before] + prior)))
+        known, base, whole = (np.add.reduceat(t[at].astype(np.float64), starts) for t in terms)
+        return pd.DataFrame({"__mark": marks, "n_tokens": np.diff(np.append(starts, len(at))), "n_known": known.astype(np.int64),
+                             "train_tokens": total, "base_score": base, "score": whole})
+
+    told = asked.where("block >= 0").select("run", "block", "words", "pairs").groupBy("block").cogroup(
+        model.groupBy("block")).applyInPandas(answer, "run bigint, block int, counts binary, levels binary")
+    sums = asked.where("block < 0").groupBy("run").cogroup(told.groupBy("run")).applyInPandas(
+        sum_up, "__mark bigint, " + ", ".join(f"{n} {t}" for n, t in NEW.items()))
+    return common.without(marked, text_col, *NEW).join(sums, "__mark").drop("__mark")
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,10 +329,9 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                                     for x in batch.column("counts")], pa.int64())], ["n"])
 
 
-def _one_pass(df, shared, text_col, prior, total, distinct, contexts, words, groups, new) -> DataFrame:
-    kept = common.without(df, text_col, *new)
+def _one_pass(df, shared, text_col, prior, total, distinct) -> DataFrame:
+    kept = common.without(df, text_col, *NEW)
     names = kept.columns
-    context_set, word_set = np.array(contexts, np.int64), np.array(words, np.int64)
     floor = total + 0.5 * (distinct + 1)
 
     def of_texts(model: Filter, own: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -280,18 +342,13 @@ def _one_pass(df, shared, text_col, prior, total, distinct, contexts, words, gro
         a = np.concatenate([model.count(before[:1]), c[:-1]])
         p = (c + 0.5) / floor
         b = np.zeros(len(own))
-        ctx_block = block_of(before, model.blocks)
-        mine = np.ones(len(own), bool)
-        if groups > 1:
-            mine = np.isin(ctx_block, context_set) & np.isin(block_of(own, model.blocks), word_set)
-        able = np.flatnonzero((c > 0) & (a > 0) & mine)
+        able = np.flatnonzero((c > 0) & (a > 0))
         for i in range(0, len(able), CHUNK):
             part = able[i:i + CHUNK]
-            grams, first, at = np.unique(pairs(before[part], own[part]), return_index=True, return_inverse=True)
-            found = value_of(model.level(grams, ctx_block[part[first]]))[at]
+            grams, at = np.unique(pairs(before[part], own[part]), return_inverse=True)
+            found = value_of(model.level(grams, block_of(grams, model.blocks)))[at]
             b[part] = np.minimum(found, np.minimum(c, a)[part])
-        terms = (mine, (c > 0) & mine, np.where(mine, np.log10(p), 0.0),
-                 np.where(mine, np.log10((b + prior * p) / (a + prior)), 0.0))
+        terms = (np.ones(len(own)), c > 0, np.log10(p), np.log10((b + prior * p) / (a + prior)))
         return np.stack([np.add.reduceat(np.asarray(t, np.float64), starts) for t in terms])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,10 +366,10 @@ def _one_pass(df, shared, text_col, prior, total, distinct, contexts, words, gro
                 part = batch.slice(begin, at - begin)
                 columns = [pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)),
                            pa.array(np.full(len(texts), total, np.int64)), pa.array(sums[2]), pa.array(sums[3])]
-                yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], *columns], [*names, *new])
+                yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], *columns], [*names, *NEW])
 
     from pyspark.sql.types import _parse_datatype_string, StructType
-    schema = StructType([*kept.schema.fields, *_parse_datatype_string(", ".join(f"{n} {t}" for n, t in new.items())).fields])
+    schema = StructType([*kept.schema.fields, *_parse_datatype_string(", ".join(f"{n} {t}" for n, t in NEW.items())).fields])
     return df.select(*[F.col(f"`{n}`") for n in names],
                      F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__text")).mapInArrow(run, schema)
 

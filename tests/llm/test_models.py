@@ -208,6 +208,15 @@ def test_passes_agree(spark):
     assert one == many
 
 
+def test_large_model_stays_on_executors(spark, monkeypatch):
+    df = spark.createDataFrame([(i, t, None, None, "x", None, None) for i, t in lm_rows()], DOCS)
+    model = bloomlm.count_model(df.where("doc_id % 5 <> 1"), blocks=5)
+    key = lambda r: (str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6))
+    one = sorted(map(key, bloomlm.score(df, model).collect()))
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", None)  # nothing goes through the driver
+    assert one == sorted(map(key, bloomlm.score(df, model, pass_bytes=0).collect()))
+
+
 def test_filter_levels():
     rng = np.random.default_rng(0)
     hashes, counts = rng.integers(0, 1 << 64, 5000, dtype=np.uint64), rng.integers(1, 100_000, 5000)
