@@ -217,6 +217,12 @@ def test_large_model_stays_on_executors(spark, monkeypatch):
     assert one == sorted(map(key, bloomlm.score(df, model, pass_bytes=0).collect()))
 
 
+def test_frequent_context_spreads(spark):
+    df = spark.createDataFrame([(i, " ".join(f"the w{i}x{k}" for k in range(400)), None, None, "x", None, None) for i in range(10)], DOCS)
+    sizes = [len(r.bits) for r in bloomlm.count_model(df, blocks=8).collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.3 * sum(sizes) / 8
+
+
 def test_filter_levels():
     rng = np.random.default_rng(0)
     hashes, counts = rng.integers(0, 1 << 64, 5000, dtype=np.uint64), rng.integers(1, 100_000, 5000)
