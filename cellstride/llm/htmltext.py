@@ -236,10 +236,15 @@ def extract_text(df: DataFrame, weights: Weights, html_col: str = "html", out: s
 
 
 def labelled_pages(pages: DataFrame, docs: DataFrame, sample: int = 400) -> DataFrame:
-    """Pages whose content is known: the url's number names the document that the page shows."""
-    some = stage(pages.where("url is not null and html is not null").select("html", F.expr(
-        r"try_cast(regexp_extract(url, '/([0-9]+)([/?#]|$)', 1) as bigint)").alias("doc_id")).where("doc_id is not null").limit(sample),
-        "labelled-pages")
+    """Pages whose content is known: the url's number names the document that the page shows.
+
+    The sample is that of the smallest hashes of page_id and url, whatever the order of the table.
+    """
+    numbered = common.mark_rows(pages, "__mark").where("url is not null and html is not null").withColumn("doc_id", F.expr(
+        r"try_cast(regexp_extract(url, '/([0-9]+)([/?#]|$)', 1) as bigint)")).where("doc_id is not null")
+    # Chosen by numbers alone; pages are fetched for the chosen ones.
+    chosen = stage(numbered.select("__mark", F.xxhash64(F.lit(42), "page_id", "url").alias("h")).orderBy("h", "__mark").limit(sample), "chosen-pages")
+    some = stage(numbered.join(F.broadcast(chosen.select("__mark")), "__mark", "left_semi").select("html", "doc_id"), "labelled-pages")
     # Only the numbers are broadcast, ``sample`` at most; the texts they pick are joined to the pages after that.
     known = docs.select("doc_id", "text").join(F.broadcast(some.select("doc_id").distinct()), "doc_id")
     return some.join(known, "doc_id").select("html", "text")

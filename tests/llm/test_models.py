@@ -148,6 +148,13 @@ def test_pages_hold_their_documents(spark):
         assert r.n_chars == len(r.text)
 
 
+def test_sample_is_spread(spark):
+    pages = spark.createDataFrame([(i, f"https://{'a' if i < 300 else 'b'}.org/{i}", f"<p>{i}</p>") for i in range(600)], "page_id bigint, url string, html string")
+    docs = spark.createDataFrame([(i, str(i)) for i in range(600)], "doc_id bigint, text string")
+    got = [int(r.text) for r in htmltext.labelled_pages(pages, docs, 100).collect()]
+    assert len(got) == 100 and 25 < sum(i < 300 for i in got) < 75
+
+
 def test_page_columns(spark):
     schema = "page_id bigint, url string, html string, text string"
     df = spark.createDataFrame([(1, None, PAGE, "old"), (1, None, PAGE, "old"), (None, None, None, None)], schema)
