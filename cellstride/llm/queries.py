@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bloomlm, bpe, exactdedup, htmltext, langid, mixing, secrets, sharding, simhash, vptree
+from . import (bloomlm, bpe, exactdedup, htmltext, langid, mixing, quality, secrets, sharding, simhash, vptree)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.query,
@@ -19,9 +19,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": secrets.query,
     "op9_bpe": bpe.query,
     "op10_exact_dedup": exactdedup.query,
+    "op11_quality": quality.query,
 }
 
 ORACLES: dict[str, str] = {
     "op1_mixing": mixing.SQL,
     "op10_exact_dedup": exactdedup.SQL,
+    "op11_quality": quality.SQL,
 }
