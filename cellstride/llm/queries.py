@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bloomlm, bpe, exactdedup, htmltext, langid, mixing, quality, secrets, sharding, simhash, vptree)
+from . import (bloomlm, bpe, exactdedup, htmltext, langid, mixing, quality, secrets, sharding, simhash, vptree, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.query,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": bpe.query,
     "op10_exact_dedup": exactdedup.query,
     "op11_quality": quality.query,
+    "op12_whitening": whitening.query,
 }
 
 ORACLES: dict[str, str] = {
