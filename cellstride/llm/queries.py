@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bloomlm, bpe, exactdedup, htmltext, langid, mixing, quality, secrets, sharding, simhash, vptree, whitening)
+from . import (bloomlm, bpe, exactdedup, htmltext, langid, lexical, mixing, quality, secrets, sharding,
+               simhash, vptree, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.query,
@@ -21,10 +22,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": exactdedup.query,
     "op11_quality": quality.query,
     "op12_whitening": whitening.query,
+    "op13_lexical": lexical.query,
 }
 
 ORACLES: dict[str, str] = {
     "op1_mixing": mixing.SQL,
     "op10_exact_dedup": exactdedup.SQL,
     "op11_quality": quality.SQL,
+    "op13_lexical": lexical.SQL,
 }
