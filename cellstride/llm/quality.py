@@ -21,6 +21,8 @@ NOTICE = (r"(?i)(?:^|\P{L})(cookies? (policy|settings)|uses cookies|privacy poli
           r"\(c\) [0-9]{4}|copyright|©|licensed under|released under the|enable javascript|lorem ipsum|powered by|"
           r"subscribe to|sign up for)")
 
+RULES = ("punctuation", "navigation", "boilerplate")
+
 
 @dataclass(frozen=True)
 class Rules:
@@ -123,6 +125,10 @@ def _checked_lines(text: Column, rules: Rules) -> Column:
     return _let(F.sort_array(numbered), with_neighbour)
 
 
+def _failing(bad: Column, rule: str) -> Column:
+    return F.size(F.filter(bad, lambda x: x["failed"] == rule))
+
+
 def assess(df: DataFrame, text_col: str = "text", rules: Rules = Rules()) -> DataFrame:
     """``df`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_failed_lines, lost_chars,
     failures (rule to number of lines), clean_text, base_failed and kept.
@@ -157,9 +163,7 @@ def assess(df: DataFrame, text_col: str = "text", rules: Rules = Rules()) -> Dat
         F.array_join(F.transform(good, lambda x: x["line"]), "\n").alias("clean_text"))
     told = counted.select(
         "*", long(F.size("bad")).alias("n_failed_lines"), _sum(F.col("bad"), lambda x: x["chars"]).alias("lost_chars"),
-        F.map_from_arrays(F.array(F.lit("punctuation"), F.lit("navigation"), F.lit("boilerplate")), F.array(*[
-            F.size(F.filter("bad", lambda x, r=r: x["failed"] == r)) for r in ("punctuation", "navigation", "boilerplate")
-        ])).alias("failures"),
+        F.map_from_arrays(F.array(*[F.lit(r) for r in RULES]), F.array(*[_failing(F.col("bad"), r) for r in RULES])).alias("failures"),
         ((F.col("n_words") < rules.min_words)
          | (100 * F.col("n_repeat_words") > rules.repeat_percent * F.col("n_words"))).alias("base_failed"))
     kept = ~F.col("base_failed") & (100 * F.col("lost_chars") <= rules.lost_percent * F.col("word_chars"))
