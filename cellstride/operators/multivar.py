@@ -3,24 +3,21 @@
 from __future__ import annotations
 
 from itertools import combinations
-from math import ceil, pi, sqrt
+from math import pi, sqrt
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..plans.ranks import melt
 from ..series import SeriesSpec, numeric_columns
 from ..sources.staging import stage
+from .dcor import pair_distance_correlation
 from .project import drop_any_missing
 from .scale import fit_scaler
 
 SPEC = SeriesSpec()
-BLOCK_ROWS = 50_000
-MAX_RANGES = 2_000     # range partitions; the driver samples about 100 points for each
-MAX_BLOCKS = 1 << 30   # block numbers set aside for each range partition
 KDE_POINTS = 200       # fixed values: grid size and how many bandwidths it extends past the data
 KDE_CUT = 3
 
@@ -37,140 +34,10 @@ def pearson(df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec =
 
 
 def distance_correlation(df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec = SPEC,
-                         block_rows: int = BLOCK_ROWS) -> DataFrame:
+                         block_rows: int | None = None) -> DataFrame:
     """``(feature_x, feature_y, dcor)`` for every pair of columns, after listwise drop."""
     columns = columns or numeric_columns(df, spec)
-    return pair_distance_correlation(drop_any_missing(df, columns), list(combinations(columns, 2)),
-                                     block_rows)
-
-
-def pair_distance_correlation(df: DataFrame, pairs: list[tuple[str, str]],
-                              block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Exact distance correlation of the given column pairs without forming pairs of rows.
-
-    With a = |xᵢ−xⱼ| and b = |yᵢ−yⱼ|, dCov² = mean(ab) − 2·mean(āᵢ·b̄ᵢ) + ā·b̄.  The row means come
-    from prefix sums along each axis.  For the cross term, Σab = 2·C − S over unordered row pairs,
-    where S is the signed sum (from plain moments) and C sums (xᵢ−xⱼ)(yᵢ−yⱼ) over concordant row
-    pairs.  Both axes are cut into ranges of about ``block_rows`` distinct points; C is then the
-    sum over concordant pairs of grid cells, plus pairs within an x range, plus pairs within a y
-    range whose x ranges differ.  Equal points are counted once with a weight, so a value held by
-    a third of the rows is a few points; blocks never exceed about √(points) in number.
-    """
-    columns = sorted({c for pair in pairs for c in pair})
-    scaled = fit_scaler(df, "standard", columns).apply(df.select(columns))
-    cells = F.array(*[F.struct(F.lit(i).alias("pair"), (F.col(a) + F.lit(0.0)).alias("x"),
-                               (F.col(b) + F.lit(0.0)).alias("y")) for i, (a, b) in enumerate(pairs)])
-    sized = scaled.agg(*[F.approx_count_distinct(F.xxhash64(a, b)).alias(f"p{i}")
-                         for i, (a, b) in enumerate(pairs)]).first()
-    points = sum(sized)
-    per_block = ceil(max(block_rows, sqrt(points)))
-    # Each row becomes one per pair, so uneven input splits are evened out while rows are narrow.
-    weighted = (scaled.hint("rebalance").select(F.explode(cells).alias("c")).select("c.*")
-                .groupBy("pair", "x", "y").agg(F.count(F.lit(1)).cast("double").alias("w")))
-    ranges = min(MAX_RANGES, max(1, ceil(points / per_block)))
-    placed = stage(_in_blocks(_in_blocks(weighted, "x", "y", "bx", ranges, per_block),
-                              "y", "x", "by", ranges, per_block), "dcor")
-
-    means = _with_row_means(_with_row_means(placed, "x", "bx"), "y", "by")
-    sums = means.groupBy("pair").agg(
-        F.sum("w").alias("n"), F.sum(F.expr("w*x")).alias("sx"), F.sum(F.expr("w*y")).alias("sy"),
-        F.sum(F.expr("w*x*x")).alias("sxx"), F.sum(F.expr("w*y*y")).alias("syy"),
-        F.sum(F.expr("w*x*y")).alias("sxy"), F.sum(F.expr("w*mean_x")).alias("a"),
-        F.sum(F.expr("w*mean_y")).alias("b"), F.sum(F.expr("w*mean_x*mean_x")).alias("aa"),
-        F.sum(F.expr("w*mean_y*mean_y")).alias("bb"), F.sum(F.expr("w*mean_x*mean_y")).alias("ab"))
-
-    schema = "pair int, c double"
-    within = (placed.groupBy("pair", "bx").applyInPandas(_block_concordance("x"), schema)
-              .unionByName(placed.groupBy("pair", "by")
-                           .applyInPandas(_block_concordance("bx"), schema))
-              .unionByName(_grid_concordance(placed)))
-    concordant = within.groupBy("pair").agg(F.sum("c").alias("c"))
-    names = F.array(*[F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y")) for a, b in pairs])
-    dcov = F.expr("2*(2*c - (n*sxy - sx*sy))/(n*n) - 2*ab/n + (a/n)*(b/n)")
-    dvar_x = F.expr("2*(sxx/n - (sx/n)*(sx/n)) - 2*aa/n + (a/n)*(a/n)")
-    dvar_y = F.expr("2*(syy/n - (sy/n)*(sy/n)) - 2*bb/n + (b/n)*(b/n)")
-    scale = F.sqrt(F.greatest(dvar_x, F.lit(0.0)) * F.greatest(dvar_y, F.lit(0.0)))
-    value = F.when(scale > 0, F.sqrt(F.greatest(dcov, F.lit(0.0)) / scale)).otherwise(F.lit(0.0))
-    return (sums.join(concordant, "pair").withColumn("f", F.get(names, F.col("pair")))
-            .select("f.feature_x", "f.feature_y", F.least(value, F.lit(1.0)).alias("dcor")))
-
-
-def _in_blocks(points: DataFrame, axis: str, other: str, name: str, ranges: int, per_block: int) -> DataFrame:
-    """Add a block number that rises with ``axis``, for blocks of at most ``per_block`` points.
-
-    Range partitions follow a sample, so each is cut once more by its row positions; the sample,
-    which the driver holds, stays small when there are many blocks.  (pair, x, y) is unique, so a
-    frequent value cannot outgrow a range.
-    """
-    ordered = points.repartitionByRange(ranges, "pair", axis, other).sortWithinPartitions("pair", axis, other)
-    at = F.monotonically_increasing_id()           # partition number in the upper bits, row in the lower 33
-    return (ordered.withColumn("__at", at)
-            .withColumn(name, F.expr(f"shiftright(__at, 33) * {MAX_BLOCKS} + "
-                                     f"(__at & {(1 << 33) - 1}) div {per_block}")).drop("__at"))
-
-
-def _with_row_means(placed: DataFrame, axis: str, block: str) -> DataFrame:
-    """Add ``mean_{axis}``: the mean distance of a point to all rows along one axis."""
-    running = Window.partitionBy("pair", block).orderBy(axis).rowsBetween(Window.unboundedPreceding, 0)
-    series = Window.partitionBy("pair")
-    before = series.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    totals = (placed.groupBy("pair", block)
-              .agg(F.sum("w").alias("bw"), F.sum(F.col("w") * F.col(axis)).alias("bs"))
-              .select("pair", block, F.coalesce(F.sum("bw").over(before), F.lit(0.0)).alias("w0"),
-                      F.coalesce(F.sum("bs").over(before), F.lit(0.0)).alias("s0"),
-                      F.sum("bw").over(series).alias("wt"), F.sum("bs").over(series).alias("st")))
-    upto = (placed.withColumn("cw", F.sum("w").over(running))
-            .withColumn("cs", F.sum(F.col("w") * F.col(axis)).over(running))
-            .join(totals, ["pair", block]))
-    mean = F.expr(f"({axis} * (2*(w0+cw) - wt) + st - 2*(s0+cs)) / wt")
-    return upto.withColumn(f"mean_{axis}", mean).drop("cw", "cs", "w0", "s0", "wt", "st")
-
-
-def _block_concordance(order: str):
-    """Σ w·w'·(x−x')(y−y') over the pairs of one block that ``order`` and ``y`` rank alike.
-
-    Halving by the bits of the rank: at each bit, points in the upper half of a group meet the
-    prefix sums, along y, of the points in its lower half.  A closure, so that executors need not
-    have this package installed.
-    """
-    def kernel(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("y", kind="stable")
-        rank = np.unique(block[order].to_numpy(), return_inverse=True)[1]
-        x, y, w = (block[c].to_numpy() for c in ("x", "y", "w"))
-        terms = np.stack([w, w * x, w * y, w * x * y])
-        total = 0.0
-        for bit in range(int(rank.max()).bit_length()):
-            group = rank >> (bit + 1)
-            at = np.argsort(group, kind="stable")
-            upper = ((rank[at] >> bit) & 1).astype(bool)
-            lower = np.cumsum(np.where(upper, 0.0, terms[:, at]), axis=1)
-            start = np.searchsorted(group[at], group[at][upper])
-            base = np.where(start > 0, lower[:, start - 1], 0.0)
-            n, sx, sy, sxy = lower[:, upper] - base
-            xu, yu, wu = x[at][upper], y[at][upper], w[at][upper]
-            total += float(np.sum(wu * (xu * yu * n - xu * sy - yu * sx + sxy)))
-        return pd.DataFrame({"pair": [int(block["pair"].iloc[0])], "c": [total]})
-
-    return kernel
-
-
-def _grid_concordance(placed: DataFrame) -> DataFrame:
-    """The same sum over pairs of grid cells, by prefix sums along both block axes."""
-    sums = ["w", "wx", "wy", "wxy"]
-    cells = placed.groupBy("pair", "bx", "by").agg(
-        F.sum("w").alias("w"), F.sum(F.expr("w*x")).alias("wx"), F.sum(F.expr("w*y")).alias("wy"),
-        F.sum(F.expr("w*x*y")).alias("wxy"))
-    # Every (bx, by) of a pair needs a prefix, occupied or not.  A pair has at most about √points
-    # blocks per axis, so the list of block numbers is short and the grid no larger than the data.
-    columns = cells.groupBy("pair").agg(F.collect_set("by").alias("bys"))
-    empty = (cells.select("pair", "bx").distinct().join(columns, "pair")
-             .select("pair", "bx", F.explode("bys").alias("by"), *[F.lit(0.0).alias(s) for s in sums]))
-    grid = cells.unionByName(empty).groupBy("pair", "bx", "by").agg(*[F.sum(s).alias(s) for s in sums])
-    left = Window.partitionBy("pair", "bx").orderBy("by").rowsBetween(Window.unboundedPreceding, -1)
-    below = Window.partitionBy("pair", "by").orderBy("bx").rowsBetween(Window.unboundedPreceding, -1)
-    rows = grid.select("*", *[F.coalesce(F.sum(s).over(left), F.lit(0.0)).alias(f"r_{s}") for s in sums])
-    both = rows.select("*", *[F.coalesce(F.sum(f"r_{s}").over(below), F.lit(0.0)).alias(f"d_{s}") for s in sums])
-    return both.groupBy("pair").agg(F.sum(F.expr("wxy*d_w - wx*d_wy - wy*d_wx + w*d_wxy")).alias("c"))
+    return pair_distance_correlation(drop_any_missing(df, columns), list(combinations(columns, 2)), block_rows)
 
 
 def density(df: DataFrame, columns: list[str] | None = None, points: int = KDE_POINTS,
@@ -273,7 +140,7 @@ class Components:
 
 
 def component_correlation(df: DataFrame, columns: list[str] | None = None, threshold: float = 0.95,
-                          spec: SeriesSpec = SPEC, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                          spec: SeriesSpec = SPEC, block_rows: int | None = None) -> DataFrame:
     """Distance correlation of every feature with every kept component."""
     fitted = Components(df, columns, spec)
     k = fitted.count_for(threshold)

@@ -1,10 +1,12 @@
 """Multivariate statistics against brute force."""
 
+from itertools import combinations
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cellstride.operators import multivar
+from cellstride.operators import dcor, multivar
 from cellstride.plans import jobs
 from helpers import series_table
 
@@ -31,18 +33,35 @@ def wide(spark):
     return data, spark.createDataFrame([tuple(map(float, r)) for r in zip(*data.values())], list(data)).repartition(5)
 
 
-@pytest.mark.parametrize("block_rows, ranges", [(50_000, 2_000), (60, 2_000), (60, 3)])
-def test_distance_correlation_matches_brute_force(wide, block_rows, ranges, monkeypatch):
+@pytest.mark.parametrize("block_rows, own_block, cells", [(None, 4_096, 1 << 22), (60, 4_096, 1 << 22), (60, 5, 40), (7, 20, 300), (1, 700, 2)])
+def test_distance_correlation_matches_brute_force(wide, block_rows, own_block, cells):
+    """Few and many ranges, frequent values alone or not, grids in one task or strip by strip."""
     data, df = wide
-    monkeypatch.setattr(multivar, "MAX_RANGES", ranges)
-    monkeypatch.setattr(multivar, "sqrt", lambda v: 1.0)      # let tiny blocks through
-    got = multivar.distance_correlation(df, list(data), block_rows=block_rows).collect()
+    got = dcor.pair_distance_correlation(df, list(combinations(data, 2)), block_rows, own_block, cells).collect()
     assert len(got) == 15
     for r in got:
         expected = brute_dcor(data[r["feature_x"]], data[r["feature_y"]])
         assert r["dcor"] == pytest.approx(expected, abs=1e-7), (r["feature_x"], r["feature_y"])
 
 
+def test_dominance_sums():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 9, 60):
+        order, y = rng.integers(0, 9, n), rng.integers(0, 7, n) / 2
+        w, x, z = rng.random((3, n))
+        below = (order[:, None] < order) & (y[:, None] < y)
+        expected = (below * w[:, None] * w * (x - x[:, None]) * (z - z[:, None])).sum()
+        assert dcor.dominance(order, y, np.stack([w, w * x, w * z, w * x * z])) == pytest.approx(expected)
+
+
+def test_rows_travel_once_per_column_of_many_values(wide, monkeypatch):
+    data, df = wide
+    moved, whole = [], dcor._moved
+    monkeypatch.setattr(dcor, "_moved", lambda rows, c, *rest: moved.append(c) or whole(rows, c, *rest))
+    multivar.distance_correlation(df, ["coin", "noise", "x"]).collect()
+    assert moved == [1, 2]
+
+
 def test_distance_correlation_of_constants_and_order(wide):
     _, df = wide
     flat = df.withColumn("flat", F.lit(3.0))
