@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 from math import pi, sqrt
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from ..plans.ranks import melt
 from ..series import SeriesSpec, numeric_columns
 from ..sources.staging import stage
 from .dcor import pair_distance_correlation
@@ -20,6 +21,7 @@ from .scale import fit_scaler
 SPEC = SeriesSpec()
 KDE_POINTS = 200       # fixed values: grid size and how many bandwidths it extends past the data
 KDE_CUT = 3
+KDE_BLOCK = 256        # values that meet the grid at once; their terms stay in a core's cache
 
 
 def pearson(df: DataFrame, columns: list[str] | None = None, spec: SeriesSpec = SPEC) -> DataFrame:
@@ -44,8 +46,8 @@ def density(df: DataFrame, columns: list[str] | None = None, points: int = KDE_P
             spec: SeriesSpec = SPEC) -> DataFrame:
     """Gaussian kernel density ``(feature, point, x, density)`` with Scott's bandwidth.
 
-    Equal values are counted once; every value adds to every grid point.  The sums of a task are combined
-    before the shuffle, so only ``points`` rows per feature and task travel.
+    Every value adds to every grid point: a task multiplies blocks of its values with the grid and adds up, so only
+    ``points`` sums per feature and task travel.
     """
     columns = columns or numeric_columns(df, spec)
     fitted = df.agg(*[F.struct(F.count(c).alias("n"), F.stddev_samp(c).alias("sd"),
@@ -60,17 +62,26 @@ def density(df: DataFrame, columns: list[str] | None = None, points: int = KDE_P
     if not shape:
         raise ValueError("no feature with two different values")
 
-    def of(i: int, feature="feature"):
-        out = F.lit(None).cast("double")
-        for c, values in shape.items():
-            out = F.when(F.col(feature) == c, F.lit(float(values[i]))).otherwise(out)
-        return out
-
-    counts = melt(df, [], list(shape)).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("m"))
-    known = counts.select("feature", "value", "m", of(0).alias("h"), of(1).alias("g0"), of(2).alias("dx"))
-    hits = known.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-    z = F.expr("(g0 + point*dx - value) / h")
-    sums = hits.groupBy("feature", "point").agg(F.sum(F.col("m") * F.exp(-0.5 * z * z)).alias("s"))
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {c: np.zeros(points) for c in shape}
+        for batch in batches:
+            for c, (h, start, step, _) in shape.items():
+                values, m = np.unique(batch.column(c).drop_null().to_numpy(zero_copy_only=False), return_counts=True)
+                grid = (start + step * np.arange(points)[:, None]) / h
+                for i in range(0, len(values), KDE_BLOCK):
+                    z = grid - values[i:i + KDE_BLOCK] / h
+                    z *= z
+                    z *= -0.5
+                    sums[c] += np.exp(z, out=z) @ m[i:i + KDE_BLOCK].astype(float)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array(list(sums.values()))], ["feature", "sums"])
+
+    def of(i: int):
+        return F.element_at(F.create_map(*[x for c in shape for x in (F.lit(c), F.lit(float(shape[c][i])))]), F.col("feature"))
+
+    # Files of one row group would keep one task busy: narrow rows are evened out first.
+    narrow = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in shape]).hint("rebalance")
+    parts = narrow.mapInArrow(add_up, "feature string, sums array<double>")
+    sums = parts.select("feature", F.posexplode("sums").alias("point", "s")).groupBy("feature", "point").agg(F.sum("s").alias("s"))
     return sums.select(
         "feature", "point", (of(1) + F.col("point") * of(2)).alias("x"),
         (F.col("s") / (of(3) * of(0) * sqrt(2 * pi))).alias("density"))
