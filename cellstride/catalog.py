@@ -12,6 +12,7 @@ Computed doubles are compared at six decimals, from 1000 on at nine significant
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -995,6 +996,33 @@ def fit_score_gbt(spark, sf):
     return jobs.train_and_evaluate(raw_series(spark, sf), config)[1]
 
 
+PENALTY = 0.5
+
+
+@query(f"""WITH {AR1_SQL}, C AS (SELECT covar_pop(x, down) AS xy, var_pop(x) AS xx, avg(x) AS mx, avg(down) AS my FROM S WHERE is_train),
+W AS (SELECT sign(xy) * greatest(abs(xy) - {2 * PENALTY} / 2, 0) / xx AS w, mx, my FROM C)
+SELECT {KEYTIME}, {r('down', 'y_true')}, {r('my + w * (x - mx)', 'y_pred')} FROM S, W WHERE NOT is_train""")
+def fit_score_norms(spark, sf):
+    """Both plain norms as penalties; of one coefficient they are the same, and the fit has a closed form."""
+    config = replace(AR1, norm1=PENALTY, norm2=PENALTY)
+    scored = jobs.train_and_evaluate(raw_series(spark, sf), config)[1]
+    return tidy(scored.select("District", "time", F.get("y_true", 0).alias("y_true"), F.get("y_pred", 0).alias("y_pred")))
+
+
+@query()
+def fit_score_l1(spark, sf):
+    """Absolute loss, two features with three lags each."""
+    config = ForecastConfig(targets=("down",), features=("down", "up"), n_lags=3, loss="l1", norm1=0.01)
+    return jobs.train_and_evaluate(raw_series(spark, sf), config)[1]
+
+
+@query()
+def fit_rounds_patience(spark, sf):
+    """Validation loss after each round of boosting up to the stop, and the round that is kept."""
+    config = ForecastConfig(targets=("down",), features=("down", "up"), n_lags=3, kind="gbt", max_iter=8, patience=3)
+    return fit_forecaster(raw_series(spark, sf), config).rounds(spark)
+
+
 @query(f"WITH {AR1_SQL} SELECT {KEYTIME}, {rs('y_pred')} FROM Y")
 def model_round_trip(spark, sf):
     path = scratch_path(spark, "model")

@@ -7,12 +7,13 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.layout import Layout, plan_layout
 from ..series import SeriesSpec, numeric_columns
 from .lags import lag_columns, mark_split, row_lags
+from .linear import as_model, fit_linear
 from .metrics import long_predictions
 
 SPEC = SeriesSpec()
@@ -25,13 +26,17 @@ class ForecastConfig:
     features: tuple[str, ...] | None = None
     exogenous: tuple[str, ...] = ()  # columns known at the row itself, such as time features; used without lags
     kind: str = "linear"             # linear or gbt
-    loss: str = "mse"                # mse or l1; l1 needs gbt
+    loss: str = "mse"                # mse or l1
     l1: float = 0.0                  # elastic-net weights of MLlib: penalties on standardised coefficients,
     l2: float = 0.0                  # l1·|w| + l2·w²/2
+    norm1: float = 0.0               # linear: plain norms of the coefficients as they are, added to the mean loss,
+    norm2: float = 0.0               # norm1·‖w‖₁ + norm2·‖w‖₂
     train_size: float = 0.8
     max_iter: int = 20
     early_stop: bool = True          # gbt: stop when the validation loss no longer improves
-    patience_tol: float = 0.01
+    patience: int | None = None      # gbt: keep the best round, stop after so many rounds in a row without ``delta``
+    delta: float = 0.0
+    patience_tol: float = 0.01       # gbt without patience: the relative improvement below which MLlib stops
     seed: int = 0
 
     def estimator(self, target: str):
@@ -39,8 +44,8 @@ class ForecastConfig:
             model = GBTRegressor(featuresCol="__x", labelCol=target, predictionCol=f"__p_{target}",
                                  lossType="absolute" if self.loss == "l1" else "squared",
                                  maxIter=self.max_iter, seed=self.seed, validationTol=self.patience_tol)
-            return model.setValidationIndicatorCol("__is_val") if self.early_stop else model
-        if self.kind != "linear" or self.loss != "mse":
+            return model.setValidationIndicatorCol("__is_val") if self.early_stop and self.patience is None else model
+        if self.kind != "linear" or self.loss not in ("mse", "l1"):
             raise ValueError(f"no model for kind={self.kind}, loss={self.loss}")
         total = self.l1 + self.l2
         return LinearRegression(featuresCol="__x", labelCol=target, predictionCol=f"__p_{target}",
@@ -53,6 +58,7 @@ class Forecaster:
     features: tuple[str, ...]
     models: PipelineModel
     spec: SeriesSpec = field(default=SPEC)
+    history: tuple[tuple[str, tuple[float, ...], int], ...] = ()
 
     def score(self, df: DataFrame, layout: Layout | None = None) -> DataFrame:
         """``(key, time, y_true, y_pred)``, one vector per row that has its lags."""
@@ -69,6 +75,11 @@ class Forecaster:
                              F.array(*self.config.targets).alias("y_true"),
                              F.array(*[f"__p_{t}" for t in self.config.targets]).alias("y_pred"))
 
+    def rounds(self, spark: SparkSession) -> DataFrame:
+        """``(target, round, loss, kept)``: the validation loss after each round up to the stop, of models fitted with patience."""
+        rows = [(t, i + 1, float(x), i == best) for t, losses, best in self.history for i, x in enumerate(losses)]
+        return spark.createDataFrame(rows, "target string, round int, loss double, kept boolean")
+
     def save(self, path: str) -> None:
         """Models and settings under ``path``, on any file system Spark writes to."""
         self.models.write().overwrite().save(f"{path}/models")
@@ -108,26 +119,78 @@ def split_design(df: DataFrame, config: ForecastConfig, features, spec: SeriesSp
     return _design(marked, config, features, spec, layout, ("is_train",))
 
 
+def stopping_round(losses: list[float], patience: int, delta: float = 0.0) -> tuple[int, int]:
+    """Best round and last round (from 0) of a training that watches ``losses``.
+
+    A round is the best so far if its loss is at least ``delta`` below the best before it; training stops after
+    ``patience`` rounds in a row that are not.
+    """
+    best, without = 0, 0
+    for i, loss in enumerate(losses):
+        if i and loss > losses[best] - delta:
+            without += 1
+            if without >= patience:
+                return best, i
+        else:
+            best, without = i, 0
+    return best, len(losses) - 1
+
+
+def _with_patience(ready: DataFrame, config: ForecastConfig, target: str) -> tuple[GBTRegressionModel, tuple[str, tuple[float, ...], int]]:
+    """The boosted model cut after its best round, and the losses that chose it.
+
+    The loss after every round is that of the validation rows, in one pass over them; without validation rows the last round
+    is kept.  Rounds are never refitted: a prefix of the ensemble is the model after that round.
+    """
+    whole = config.estimator(target).fit(ready.where("not __is_val"))
+    held = ready.where("__is_val")
+    if held.isEmpty():
+        return whole, (target, (), -1)
+    losses = list(whole.evaluateEachIteration(held, "absolute" if config.loss == "l1" else "squared"))
+    best, last = stopping_round(losses, config.patience, config.delta)
+    spark = ready.sparkSession
+    types, jvm = spark.sparkContext._gateway.new_array, spark._jvm
+    trees = types(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, best + 1)
+    weights = types(jvm.double, best + 1)
+    for i, (tree, weight) in enumerate(zip(whole._java_obj.trees(), whole.treeWeights)):
+        if i <= best:
+            trees[i], weights[i] = tree, float(weight)
+    cut = GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(whole.uid, trees, weights, whole.numFeatures))
+    return (cut.setFeaturesCol("__x").setPredictionCol(f"__p_{target}"), (target, tuple(losses[:last + 1]), best))
+
+
 def fit_forecaster(df: DataFrame, config: ForecastConfig = ForecastConfig(), spec: SeriesSpec = SPEC,
                    layout: Layout | None = None) -> Forecaster:
     """One model per target on the chronologically first part of every series.
 
-    The rest is the validation part: GBT watches it for early stopping, the linear model
-    leaves it out.
+    The rest is the validation part: GBT watches it for early stopping (with ``patience``, round by round), the linear
+    model leaves it out.
     """
     features = config.features or tuple(c for c in numeric_columns(df, spec) if c not in config.exogenous)
     layout = layout or plan_layout(df, spec)
     marked = split_design(df, config, features, spec, layout)
     assembler = VectorAssembler(inputCols=_inputs(config, features), outputCol="__x")
     usable = marked.na.drop("any", subset=list(config.targets)).withColumn("__is_val", ~F.col("is_train"))
-    if config.kind != "gbt" or not config.early_stop:
+    patient = config.kind == "gbt" and config.patience is not None
+    if config.kind != "gbt" or not (config.early_stop or patient):
         usable = usable.where("is_train")
     ready = assembler.transform(usable).select("__x", "__is_val", *config.targets).persist()
     try:
-        fitted = [config.estimator(t).fit(ready) for t in config.targets]
+        pairs = [_with_patience(ready, config, t) if patient else (_fitted(ready, config, t), None) for t in config.targets]
     finally:
         ready.unpersist()
-    return Forecaster(config, features, PipelineModel([assembler, *fitted]), spec)
+    history = tuple(h for _, h in pairs if h)
+    return Forecaster(config, features, PipelineModel([assembler, *[m for m, _ in pairs]]), spec, history)
+
+
+def _fitted(ready: DataFrame, config: ForecastConfig, target: str):
+    estimator = config.estimator(target)
+    if config.kind == "linear" and (config.loss == "l1" or config.norm1 or config.norm2):
+        if config.l1 or config.l2:
+            raise ValueError("l1 and l2 are MLlib's, for squared loss alone; use norm1 and norm2")
+        found = fit_linear(ready, target, config.loss, config.norm1, config.norm2)
+        return as_model(ready.sparkSession, *found, "__x", f"__p_{target}")
+    return estimator.fit(ready)
 
 
 def naive_forecast(df: DataFrame, targets: list[str], spec: SeriesSpec = SPEC,

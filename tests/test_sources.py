@@ -208,6 +208,6 @@ def test_penalties_and_unknown_models(wave):
     strong = ForecastConfig(targets=("down",), n_lags=2, features=("down",), l1=1e6)
     assert set(fit_forecaster(wave, strong).models.stages[1].coefficients) == {0.0}
     with pytest.raises(ValueError):
-        fit_forecaster(wave, ForecastConfig(kind="linear", loss="l1"))
+        fit_forecaster(wave, ForecastConfig(kind="linear", loss="l1", l1=0.1))
     with pytest.raises(ValueError):
         fit_forecaster(wave, ForecastConfig(kind="lstm"))
