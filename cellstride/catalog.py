@@ -1077,12 +1077,25 @@ def dropped_minutes(spark, sf):
     return windows.dropped_minutes(gappy_series(spark, sf))
 
 
+def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+            .withColumnsRenamed({"event_type": "District", "ts": "time"}))
+
+
+@query(f"SELECT {BUCKET}, count(DISTINCT user_id) AS rnti_count FROM events GROUP BY 1, 2")
+def user_counter_stream(spark, sf):
+    """Distinct users per hour of a stream over the table."""
+    out = scratch_path(spark, "users")
+    windows.count_users_stream(_event_stream(spark, sf), out, scratch_path(spark, "users-state"), "user_id", every="1 hour",
+                               available_now=True).awaitTermination()
+    return windows.read_user_counts(spark, out)
+
+
 @query(f"WITH {M_SQL} SELECT * FROM M")
 def downsample_stream(spark, sf):
     """All windows of a stream over the table, the open ones included."""
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-              .withColumnsRenamed({"event_type": "District", "ts": "time"}))
+    stream = _event_stream(spark, sf)
     out = scratch_path(spark, "stream")
     windows.downsample_stream(stream, out, scratch_path(spark, "stream-state"), available_now=True, aggregates={
         "down": F.max("value"), "up": F.min("value"), "rnti_count": _n_events()}).awaitTermination()

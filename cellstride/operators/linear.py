@@ -34,34 +34,36 @@ def _sums(rows: DataFrame, size: int, of) -> np.ndarray:
 
 
 def _shrunk(w: np.ndarray, norm1: float, norm2: float) -> np.ndarray:
-    """The proximal point of norm1·‖w‖₁ + norm2·‖w‖₂; the intercept, which comes last, goes free."""
-    v = np.sign(w[:-1]) * np.maximum(np.abs(w[:-1]) - norm1, 0)
+    """The proximal point of norm1·‖w‖₁ + norm2·‖w‖₂."""
+    v = np.sign(w) * np.maximum(np.abs(w) - norm1, 0)
     length = float(np.linalg.norm(v))
-    return np.append(v * max(0.0, 1 - norm2 / length) if length else v, w[-1])
+    return v * max(0.0, 1 - norm2 / length) if length else v
 
 
 def minimise_quadratic(h: np.ndarray, c: np.ndarray, norm1: float, norm2: float, start: np.ndarray, rounds: int = 50_000) -> np.ndarray:
-    """argmin of w·h·w/2 − c·w + norm1·‖w‖₁ + norm2·‖w‖₂ over all but the intercept: accelerated proximal steps with restarts.
+    """argmin of w·h·w/2 − c·w + norm1·‖w‖₁ + norm2·‖w‖₂ over all but the intercept, which comes last and goes free.
 
-    Without penalties it is one solve.
+    Without penalties it is one solve.  With them the intercept is eliminated, and accelerated proximal steps with restarts find
+    the rest.
     """
-    scale = max(float(np.trace(h)) / len(h), 1e-300)
-    h = h + 1e-12 * scale * np.eye(len(h))
     if not norm1 and not norm2:
-        return np.linalg.solve(h, c)
-    step = 1 / float(np.linalg.norm(h, 2))
-    w, ahead, t = start, start, 1.0
+        return np.linalg.lstsq(h, c, rcond=1e-14)[0]  # constant columns get nothing
+    side, corner = h[:-1, -1], h[-1, -1]
+    inner, goal = h[:-1, :-1] - np.outer(side, side) / corner, c[:-1] - side * c[-1] / corner
+    step = 1 / max(float(np.linalg.norm(inner, 2)), 1e-300)
+    w = ahead = start[:-1]
+    t, still = 1.0, 0
     for _ in range(rounds):
-        new = _shrunk(ahead - step * (h @ ahead - c), step * norm1, step * norm2)
+        new = _shrunk(ahead - step * (inner @ ahead - goal), step * norm1, step * norm2)
         if float((ahead - new) @ (new - w)) > 0:
             t = 1.0
         grown = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        ahead = new + (t - 1) / grown * (new - w)
         moved = float(np.abs(new - w).max())
-        w, t = new, grown
-        if moved <= 1e-14 * max(1.0, float(np.abs(w).max())) and t > 2:
+        ahead, w, t = new + (t - 1) / grown * (new - w), new, grown
+        still = still + 1 if moved <= 1e-15 * max(1e-3, float(np.abs(w).max())) else 0
+        if still > 3:
             break
-    return w
+    return np.append(w, (c[-1] - side @ w) / corner)
 
 
 def fit_linear(rows: DataFrame, target: str, loss: str = "mse", norm1: float = 0.0, norm2: float = 0.0, features: str = "__x",

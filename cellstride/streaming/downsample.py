@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..series import SeriesSpec, epoch_us, numeric_columns, wall_clock
 
@@ -34,9 +36,9 @@ def throughput(bits: str, window_seconds: float) -> Column:
     return F.sum(bits) / F.lit(float(window_seconds))
 
 
-def user_count(user: str, streaming: bool = False) -> Column:
-    """Distinct users of a window, exactly; a stream, which has no distinct counts, keeps the set of a window's users."""
-    return F.size(F.collect_set(user)).cast("long") if streaming else F.countDistinct(user)
+def user_count(user: str) -> Column:
+    """Distinct users of a window, exactly; for streams see ``count_users_stream``."""
+    return F.countDistinct(user)
 
 
 def dropped_minutes(windows: DataFrame, columns: list[str] | None = None, window_minutes: float = 2,
@@ -60,21 +62,55 @@ def downsample_stream(stream: DataFrame, out: str, checkpoint: str, every: str =
     the watermark (latest time seen minus ``lateness``) passes a window's end; ``late_rows`` counts the rows that
     came after that.  Source offsets and state live in ``checkpoint``, so a restarted query continues without loss.
     """
-    naive = isinstance(stream.schema[spec.time].dataType, T.TimestampNTZType)
-    # A watermark needs instants; wall-clock times travel as if they were UTC.
-    timed = stream.withColumn(spec.time, F.timestamp_micros(epoch_us(stream, spec.time))) if naive else stream
+    timed, naive = _instants(stream, spec)
     windows = downsample(timed.withWatermark(spec.time, lateness), every=every,
                          aggregates=aggregates, spec=spec)
     if naive:
         windows = windows.withColumn(spec.time, wall_clock(F.col(spec.time)))
 
+    return _started(windows.writeStream.outputMode("update"), out, checkpoint, available_now, lambda batch: batch)
+
+
+def _instants(stream: DataFrame, spec: SeriesSpec) -> tuple[DataFrame, bool]:
+    """The stream with instants, which a watermark needs; wall-clock times travel as if they were UTC."""
+    naive = isinstance(stream.schema[spec.time].dataType, T.TimestampNTZType)
+    return stream.withColumn(spec.time, F.timestamp_micros(epoch_us(stream, spec.time))) if naive else stream, naive
+
+
+def _started(writer: DataStreamWriter, out: str, checkpoint: str, available_now: bool,
+             shape: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        shape(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    writer = windows.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def count_users_stream(stream: DataFrame, out: str, checkpoint: str, user: str, every: str = "2 minutes", lateness: str = "10 minutes",
+                       name: str = "rnti_count", spec: SeriesSpec = SPEC, available_now: bool = False) -> StreamingQuery:
+    """Start the exact count of a stream's distinct users per series and window; ``read_user_counts`` gives the result.
+
+    Two stages: the state holds one small row per (series, window, user), spread over all tasks and dropped once the watermark
+    passes the window, so no set of users is ever one value; each micro-batch then counts the users that are new to their
+    window.  Counts of batches add up, and a repeated batch replaces its folder.  Set the state store to RocksDB where
+    the users of all open windows exceed memory.
+    """
+    timed, naive = _instants(stream, spec)
+    placed = timed.withWatermark(spec.time, lateness).select(*spec.keys, F.window(spec.time, every).alias("w"), F.col(user).alias("__user"))
+    new = placed.where(F.col("__user").isNotNull()).dropDuplicates([*spec.keys, "w", "__user"])
+
+    def count(batch: DataFrame) -> DataFrame:
+        at = wall_clock(F.col("w.start")) if naive else F.col("w.start")
+        return batch.groupBy(*spec.keys, at.alias(spec.time)).agg(F.count(F.lit(1)).alias(name))
+
+    return _started(new.writeStream.outputMode("append"), out, checkpoint, available_now, count)
+
+
+def read_user_counts(spark: SparkSession, out: str, name: str = "rnti_count", spec: SeriesSpec = SPEC) -> DataFrame:
+    """Distinct users of every window that ``count_users_stream`` has seen, open windows included."""
+    return spark.read.parquet(out).groupBy(*spec.keys, spec.time).agg(F.sum(name).alias(name))
+
+
 def read_windows(spark: SparkSession, out: str, spec: SeriesSpec = SPEC) -> DataFrame:
     """The newest version of every window that ``downsample_stream`` has written."""
     versions = spark.read.parquet(out)
@@ -84,6 +120,15 @@ def read_windows(spark: SparkSession, out: str, spec: SeriesSpec = SPEC) -> Data
     return newest.select(*at, "v.*")
 
 
+def compact_windows(spark: SparkSession, out: str, target: str, spec: SeriesSpec = SPEC) -> DataFrame:
+    """Write the newest version of every window to ``target``, once each, as the table's batch −1.
+
+    A later query over the same checkpoint may go on writing to ``target``: its versions win over the compacted ones.
+    """
+    read_windows(spark, out, spec).write.mode("overwrite").parquet(f"{target}/batch=-1")
+    return read_windows(spark, target, spec)
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows that the query left out because their window was closed, as far as its progress reports go back."""
     return sum(int(s["numRowsDroppedByWatermark"]) for p in query.recentProgress for s in p["stateOperators"])

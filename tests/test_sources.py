@@ -5,6 +5,7 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
@@ -138,6 +139,29 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path):
     assert rows_of(got) == rows_of(windows.downsample(make(rows), ["down"]))
 
 
+def test_users_of_a_stream(spark, tmp_path):
+    """Users are counted once per window over restarts; late windows stay closed; compacted windows are the same."""
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "District string, time timestamp_ntz, user string, down double"
+    make = lambda rows: spark.createDataFrame([(d, EPOCH + dt.timedelta(seconds=t), u, 1.0) for d, t, u in rows], schema)
+    parts = [[("a", 10, "x"), ("a", 20, "x"), ("a", 30, "y"), ("b", 30, "x"), ("b", 35, None), ("a", 130, "x")],
+             [("a", 40, "x"), ("a", 50, "z"), ("b", 3000, "q")], [("a", 60, "late"), ("b", 3001, "q"), ("b", 2990, "r")]]
+    for part in parts:
+        make(part).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(make(part).schema).parquet(source)
+        windows.count_users_stream(stream, out, state, "user", lateness="1 minute", available_now=True).awaitTermination()
+    got = windows.read_user_counts(spark, out)
+    assert dict(got.dtypes)["time"] == "timestamp_ntz"
+    at = lambda s: EPOCH + dt.timedelta(seconds=s)
+    found = {(r.District, r.time): r.rnti_count for r in got.collect()}
+    assert found == {("a", at(0)): 3, ("b", at(0)): 1, ("a", at(120)): 1, ("b", at(3000)): 1, ("b", at(2880)): 1}
+    windows.downsample(make(parts[0])).write.parquet(f"{tmp_path}/v/batch=0")
+    windows.downsample(make(parts[0]).withColumn("down", F.lit(3.0))).write.parquet(f"{tmp_path}/v/batch=1")
+    whole = rows_of(windows.read_windows(spark, f"{tmp_path}/v"))
+    assert rows_of(windows.compact_windows(spark, f"{tmp_path}/v", f"{tmp_path}/w")) == whole
+    assert spark.read.parquet(f"{tmp_path}/w").count() == len(whole)
+
+
 def test_wall_clock_times_pass_no_zone(spark, tmp_path):
     """02:30 does not exist in New York on that day; series there keep it all the same."""
     start = dt.datetime(2018, 3, 11, 1, 0)
