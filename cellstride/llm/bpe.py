@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import re
+import sys
 from collections.abc import Iterator
+from functools import cache
 
 import ahocorasick
 import numpy as np
@@ -35,7 +38,24 @@ def load_vocabulary(path: str) -> dict:
     merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in data["model"]["merges"]]
     ids = data["model"]["vocab"]
     tokens = {i: bytes(letters[c] for c in t) for t, i in ids.items() if t not in special}
-    return {"tokens": tokens, "special": special, "merges": [(ids[a], ids[b], ids[a + b]) for a, b in merges]}
+    return {"tokens": tokens, "special": special, "merges": [(ids[a], ids[b], ids[a + b]) for a, b in merges], "later": later_letters()}
+
+
+@cache
+def later_letters() -> str:
+    """Letters and digits that ``regex`` knows and the library does not, as its Unicode tables are older: to the library they
+    are symbols.
+
+    The library is asked for the pieces of a text in which each of them follows a letter, and a digit.
+    """
+    from tokenizers import pre_tokenizers
+
+    splitter, out = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True), []
+    for lead, kind in (("a", r"\p{L}"), ("1", r"\p{N}")):
+        known = regex.findall(kind, "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, sys.maxunicode + 1)])))
+        begins = {a for _, (a, _) in splitter.pre_tokenize_str("".join(f"!{lead}{c}" for c in known))}
+        out += [c for i, c in enumerate(known) if 3 * i + 2 in begins]
+    return "".join(sorted(out))
 
 
 class Decoder:
@@ -66,6 +86,8 @@ class Codec(Decoder):
             if self.rank[whole] < 0:
                 self.rank[whole], self.left[whole], self.right[whole] = rank, a, b
         by_text = {t: i for i, t in self.tokens.items() if len(t) == 1 or self.rank[i] >= 0}
+        self.by_text = {t.decode("latin-1"): i for t, i in by_text.items()}
+        self.longest = max(map(len, by_text))
         self.shorter, self.length = {}, {i: len(t) for i, t in self.tokens.items()}
         self.matches = ahocorasick.Automaton()
         for text, i in by_text.items():
@@ -77,6 +99,10 @@ class Codec(Decoder):
         self.units: dict[str, bytes] = {}
         self.doubled = regex.compile(r"\s\s|^\s|\s$|\s\Z")
         self.pieces = regex.compile(PIECES)
+        later = vocabulary["later"]
+        # Most texts hold nothing from the first of these letters on, which a plain range tells fast.
+        self.high = re.compile(f"[{later[0]}-\U0010ffff]") if later else None
+        self.later = regex.compile(f"[{later}]") if later else None
         names = sorted(self.special, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
 
@@ -101,6 +127,15 @@ class Codec(Decoder):
         self.fits[a << 20 | b] = fits
         return fits
 
+    def _longest_at(self, text: str, at: int) -> int:
+        """The longest token that begins here: down the trie as far as the text leads, then back to the last whole token."""
+        part, by_text = text[at:at + self.longest], self.by_text
+        for n in range(self.matches.longest_prefix(part), 0, -1):
+            token = by_text.get(part[:n])
+            if token is not None:
+                return token
+        raise KeyError(part[:1])
+
     def encode_piece(self, piece: str) -> list[int]:
         """Take the longest match; where it does not fit behind the last token try shorter ones, else step back."""
         text = piece.encode("utf-8").decode("latin-1")
@@ -140,13 +175,13 @@ class Codec(Decoder):
                     if end == n:
                         return out
                     at = end
-                    token = next(longest(text, at))[1][1]
+                    token = self._longest_at(text, at)
                     continue
             token = shorter[token]
 
-    def _pieces(self, text: str) -> bytes:
+    def _pieces(self, text: str, spans: list[tuple[int, int]] | None = None) -> bytes:
         known, out = self.known, []
-        for piece in self.pieces.findall(text):
+        for piece in self.pieces.findall(text) if spans is None else [text[a:b] for a, b in spans]:
             ids = known.get(piece)
             if ids is None:
                 if len(known) >= REMEMBERED:
@@ -159,6 +194,8 @@ class Codec(Decoder):
 
     def _plain(self, text: str) -> bytes:
         """A piece never reaches over a lone space: text between such spaces is encoded, and remembered, by itself."""
+        if self.high and self.high.search(text) and self.later.search(text):
+            return self._pieces(text, [m.span() for m in self.pieces.finditer(self.later.sub("§", text))])
         if self.doubled.search(text):
             return self._pieces(text)
         words, units = text.split(" "), self.units
@@ -192,7 +229,7 @@ def _over(df: DataFrame, path: str, source: str, out: T.StructField, kind: type,
     vocabulary = df.sparkSession.sparkContext.broadcast(load_vocabulary(path))
     kept = common.without(df, out.name)
     names = kept.columns
-    at = "__source"
+    at = "source"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = kind(vocabulary.value)
@@ -200,10 +237,12 @@ def _over(df: DataFrame, path: str, source: str, out: T.StructField, kind: type,
             for i in range(0, batch.num_rows, 1000):
                 part = batch.slice(i, 1000)
                 made = make(codec, part.column(at))
-                yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], made], [*names, out.name])
+                yield pa.RecordBatch.from_arrays([part.column("row"), made], ["row", out.name])
 
-    schema = T.StructType([*kept.schema.fields, out])
-    return df.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{source}`").alias(at)).mapInArrow(run, schema)
+    # The other columns travel as one struct, so no name of theirs can clash.
+    rows = df.select(F.struct(*[F.col(f"`{n}`") for n in names], F.lit(0).alias("__")).alias("row"), F.col(f"`{source}`").alias(at))
+    done = rows.mapInArrow(run, T.StructType([rows.schema["row"], out]))
+    return done.select(*[F.col("row").getField(n).alias(n) for n in names], out.name)
 
 
 def _encode_column(codec: Codec, texts: pa.Array) -> pa.Array:
@@ -221,7 +260,8 @@ def encode(df: DataFrame, path: str, text_col: str = "text", out: str = "ids") -
     """``df`` with the token ids of a text as array<int>.
 
     The ids are those of the file's tokenizer without added special tokens; special tokens spelled out in the text
-    become their own ids.  A null or empty text gives an empty array.  A column of the new name is replaced.
+    become their own ids.  A null or empty text gives an empty array; long texts are encoded whole, in time that grows with
+    their length; repeated rows are coded each, an empty table gives an empty result.  A column of the new name is replaced.
     """
     return _over(df.withColumn(text_col, F.col(f"`{text_col}`").cast("string")), path, text_col,
                  T.StructField(out, T.ArrayType(T.IntegerType())), Codec, _encode_column)

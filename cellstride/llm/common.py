@@ -9,7 +9,15 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of rows that go to a Python worker at once, where the session names no bound: whole texts can be long.
+BATCH_BYTES = 16 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; batches that go to Python are bounded in bytes from here on, if the session does not bound them."""
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound, None) is None or int(spark.conf.get(bound)) > 1 << 30:
+        spark.conf.set(bound, str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

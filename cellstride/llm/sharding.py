@@ -18,7 +18,8 @@ def shard(df: DataFrame, n_shards: int = 8, seed: int = 42, bucket_bytes: int =
     First pass: rows are scattered uniformly into buckets by a seeded hash of their number in the table (see
     ``mark_rows``), so that no key, source or group of copies fills a bucket.  Second pass: each bucket is put in
     the order of the hash, shuffled by Fisher-Yates (``shuffle`` of Spark) and laid behind the buckets before it.
-    A row's place in the whole decides: row counts of the shards differ by one at most, slots have no gaps.
+    A row's place in the whole decides: row counts of the shards differ by one at most, slots have no gaps.  The number of
+    buckets follows the bytes alone, so the same table gives the same shards whatever the session's partitions.
 
     Nulls, empty texts and repeated rows are rows like others.  Columns of ``df`` named shard or slot are
     replaced.  An empty table gives an empty result.
@@ -26,14 +27,17 @@ def shard(df: DataFrame, n_shards: int = 8, seed: int = 42, bucket_bytes: int =
     spark = df.sparkSession
     marked = common.mark_rows(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")), "mark")
     total = df.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")) + 1)).first()[0] or 0
-    n = max(-(-total // bucket_bytes), 4 * common.partitions(spark), 1)
+    n = max(-(-total // bucket_bytes), 1)
     scattered = marked.select("row", F.xxhash64(F.lit(seed), "mark").alias("h")).select(
-        F.pmod("h", F.lit(n)).alias("bucket"), "h", "row")
+        F.pmod("h", F.lit(n)).cast("int").alias("bucket"), "h", "row")
     sizes = scattered.groupBy("bucket").agg(F.count("*").alias("n"))
     starts = stage(sizes.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("start")),
                    "bucket-starts")
-    shuffled = scattered.groupBy("bucket").agg(F.collect_list(F.struct("h", "row")).alias("rows")).select(
-        "bucket", F.shuffle(F.array_sort("rows"), F.lit(seed)).alias("rows"))
+    # One task per bucket: it holds one bucket and no other, and a repeated task deals the same order, since the generator
+    # of ``shuffle`` starts anew with each task.
+    held = scattered.repartitionById(n, F.col("bucket"))
+    shuffled = held.groupBy("bucket").agg(F.collect_list(F.struct("h", "row")).alias("rows")).select(
+        "bucket", F.shuffle(F.sort_array("rows"), F.lit(seed)).alias("rows"))
     placed = shuffled.join(starts, "bucket").select("start", F.posexplode("rows").alias("pos", "item")).select(
         "item.row", (F.col("start") + F.col("pos")).alias("place"))
     old = [F.col("row")[c].alias(c) for c in df.columns if c.lower() not in ("shard", "slot")]

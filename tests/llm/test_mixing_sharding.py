@@ -1,6 +1,7 @@
 """Mixing and sharding against their laws, on skewed and awkward rows."""
 
 import re
+import zlib
 
 import pytest
 
@@ -86,6 +87,35 @@ def test_shards(spark):
     assert other != order
 
 
+def test_same_shards_whatever_the_session(spark, tmp_path):
+    """Partitions of a shuffle, and whether small ones are joined, move no row; a bucket is one task's."""
+    table(spark, 900).write.parquet(str(tmp_path / "docs"))
+    docs, seen = spark.read.parquet(str(tmp_path / "docs")), []
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"]
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for n, joined in ((4, "true"), (8, "true"), (16, "false"), (4, "false")):
+            spark.conf.set(names[0], n)
+            spark.conf.set(names[1], joined)
+            seen.append(sorted((r.doc_id, r.shard, r.slot) for r in sharding.shard(docs, 8, bucket_bytes=4000).collect()))
+    finally:
+        for n, value in zip(names, before):
+            spark.conf.set(n, value)
+    assert all(s == seen[0] for s in seen)
+    held = sharding.shard(docs, 8, bucket_bytes=4000)._jdf.queryExecution().executedPlan().toString()
+    assert held.count("REPARTITION_BY_NUM") == 1 and "Python" not in held
+
+
+def test_query_values(spark, small):
+    rows = sharding.query(spark, small).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    for r in rows:
+        data = (texts[r.doc_id] or "").encode()
+        assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(data) + 1, zlib.crc32(data), "rows", None)
+    again = sharding.query(spark, small).collect()
+    assert sorted((r.doc_id, r.shard, r.slot) for r in again) == sorted((r.doc_id, r.shard, r.slot) for r in rows)
+
+
 def test_shards_of_repeated_rows(spark):
     """Rows alike in all columns fill no bucket: they are scattered by their number."""
     df = spark.createDataFrame([(None, None, "s", "x", 1, 2)] * 300 + [(5, "t" * 100_000, "s", "x", 1, 2)], SCHEMA)

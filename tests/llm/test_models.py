@@ -2,11 +2,13 @@
 
 import math
 import random
+import time
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 import tokenizers
 
 from cellstride.llm import bloomlm, bpe, htmltext, langid, secrets, vptree
@@ -47,6 +49,25 @@ def test_every_code_point(codec, library):
         assert codec.encode(t).tolist() == library.encode(t, add_special_tokens=False).ids
 
 
+def test_letters_and_digits_of_any_unicode_version(codec, library):
+    """Whatever follows them: an ending, a digit, a letter."""
+    kinds = regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)])))
+    for ending in ("'s", "'ll", "7", "a"):
+        for start in range(0, len(kinds), 4000):
+            t = " ".join(c + ending for c in kinds[start:start + 4000])
+            assert codec.encode(t).tolist() == library.encode(t, add_special_tokens=False).ids, (ending, start)
+
+
+def test_one_long_piece(codec, library):
+    """A piece of many tokens that do not fit at first takes time in proportion to its length."""
+    for unit in ("ab", "é", "-_"):
+        text = unit * 60_000
+        begun = time.perf_counter()
+        ids = codec.encode(text).tolist()
+        assert time.perf_counter() - begun < 5
+        assert ids == library.encode(text, add_special_tokens=False).ids
+
+
 def test_forgetting_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 5)
     small = bpe.Codec(bpe.load_vocabulary(bpe.default_path()))
