@@ -6,6 +6,7 @@ import html
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 from math import log
 
 import pyarrow as pa
@@ -18,6 +19,7 @@ from . import common
 #: Fixed values of HTML: elements whose content is no text, and elements that begin and end a block.
 RAW = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "head", "title", "textarea", "select",
        "button"}
+FOREIGN = {"svg", "math"}  # of the raw elements, those that may end in their own tag
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "div", "dl", "dt", "fieldset",
           "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "li",
           "main", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
@@ -38,8 +40,13 @@ TOKEN = regex.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
     r"""|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*+)>"""
     r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)(?:>|\Z)", regex.S)
-ATTRIBUTE = regex.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", regex.I)
-NAME_PART = regex.compile(r"[a-z]+")
+#: One attribute at a time, so that nothing inside another's name or value is taken for one.
+ATTRIBUTE = regex.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+NAME_PART = regex.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+#: Words that say nothing in a compound name beside one of the words above: site-header is a header, no-sidebar is none.
+NEUTRAL = {"site", "main", "page", "top", "bottom", "left", "right", "inner", "outer", "wrap", "wrapper", "container", "block", "box",
+           "area", "list", "section", "item", "items", "bar", "primary", "secondary", "global", "sub", "links", "block", "panel", "row",
+           "col", "module", "region", "user", "post", "article", "js"}
 
 
 def _furniture(name: str, rest: str) -> bool:
@@ -48,14 +55,21 @@ def _furniture(name: str, rest: str) -> bool:
     if name in FURNITURE:
         return True
     for key, *values in ATTRIBUTE.findall(rest) if rest else ():
-        value = "".join(values).lower()
-        if key.lower() == "hidden" or (key.lower() == "aria-hidden" and value == "true"):
+        key, value = key.lower(), "".join(values)
+        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
             return True
-        if not MARKED.isdisjoint(NAME_PART.findall(value)):
+        if key in ("class", "id", "role") and any(map(_names_furniture, value.split())):
             return True
     return False
 
 
+@cache
+def _names_furniture(name: str) -> bool:
+    """Whether a class, id or role is that of page furniture: its parts are words for it, or say nothing."""
+    parts = {x.lower() for x in NAME_PART.findall(name) if not x.isdigit()}
+    return not parts.isdisjoint(MARKED) and parts <= MARKED | NEUTRAL
+
+
 def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
     """(kind, value, furniture): text runs ("text") and tags ("tag", name or /name), in page order.
 
@@ -63,6 +77,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
     declarations does not come out.  Furniture says whether the token stands in page furniture.
     """
     open_: list[tuple[str, bool]] = []
+    names: Counter = Counter()
     at = depth = held = 0
     while True:
         m = TOKEN.search(page, at)
@@ -76,9 +91,10 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
         if not name:
             continue
         if m["close"] or m["close2"]:
-            if any(n == name for n, _ in reversed(open_)):
+            if names[name]:
                 while open_:
                     n, dropped = open_.pop()
+                    names[n] -= 1
                     depth -= dropped
                     held -= n in ("article", "main")
                     if n == name:
@@ -87,7 +103,9 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
             continue
         rest = m["rest"] or m["rest2"] or ""
         yield "held" if held else "tag", name, depth > 0
-        if name in RAW:
+        if name in FOREIGN and rest.rstrip().endswith("/"):
+            yield "held" if held else "tag", "/" + name, depth > 0
+        elif name in RAW:
             # Everything up to the end tag; an unclosed one ends the page, an unclosed head ends at the body.
             end = regex.compile(rf"</{regex.escape(name)}\b[^>]*>" + (r"|(?=<body\b)" if name == "head" else ""), regex.I).search(page, at)
             at = end.end() if end else len(page)
@@ -95,8 +113,10 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
         elif name not in VOID and not rest.rstrip().endswith("/"):
             if name in LOOSE and open_ and open_[-1][0] == name and not open_[-1][1]:
                 open_.pop()
+                names[name] -= 1
             dropped = _furniture(name, rest)
             open_.append((name, dropped))
+            names[name] += 1
             depth += dropped
             held += name in ("article", "main")
 
@@ -220,19 +240,23 @@ def extract_text(df: DataFrame, weights: Weights, html_col: str = "html", out: s
     """``df`` with the main text of each whole page.
 
     Words in page furniture (menus, headers, footers, sidebars, notices, adverts, forms, comments) score nothing and are left
-    out of the text; the other words score ``weights.word``, tags what the labelled pages taught.  A null or empty page, or
-    one without words, gives an empty text.  A column of the new name is replaced.
+    out of the text; the other words score ``weights.word``, tags what the labelled pages taught.  Furniture is told by element, by a
+    true ``hidden`` attribute and by names of class, id or role that say nothing else.  A null or empty page, or
+    one without words, gives an empty text; long pages are read whole in one scan, repeated rows each, an empty table gives an
+    empty result.  A column of the new name is replaced.
     """
     kept = common.without(df, out)
     names = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = pa.array([extract(x.as_py(), weights) for x in batch.column("__html")], pa.string())
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], made], [*names, out])
+            made = pa.array([extract(x.as_py(), weights) for x in batch.column("html")], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), made], ["row", out])
 
-    schema = T.StructType([*kept.schema.fields, T.StructField(out, T.StringType())])
-    return df.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{html_col}`").cast("string").alias("__html")).mapInArrow(run, schema)
+    # The other columns travel as one struct, so no name of theirs can clash.
+    rows = df.select(F.struct(*[F.col(f"`{n}`") for n in names], F.lit(0).alias("__")).alias("row"), F.col(f"`{html_col}`").cast("string").alias("html"))
+    done = rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField(out, T.StringType())]))
+    return done.select(*[F.col("row").getField(n).alias(n) for n in names], out)
 
 
 def labelled_pages(pages: DataFrame, docs: DataFrame, sample: int = 400) -> DataFrame:

@@ -144,6 +144,33 @@ def test_odd_pages(page, text):
     assert htmltext.extract(page, htmltext.Weights()) == text
 
 
+WORDS = " ".join(f"word{i}" for i in range(60)) + "."
+
+
+@pytest.mark.parametrize("page", [
+    '<body><div style="overflow: hidden"><p>{}</p></div></body>', '<article><p data-id="header-3">{}</p></article>',
+    '<main><section class="comment-free"><p>{}</p></section></main>', '<div class="post has-comments"><p>{}</p></div>',
+    '<div id="content" class="no-sidebar"><p>{}</p></div>', '<article><p title="a hidden gem">{}</p></article>',
+    '<article><p data-class="menu" title="id=footer">{}</p></article>', "<article><p>a</p><svg/><p>{}</p></article>",
+    '<article><p>{}</p><svg viewBox="0 0 1 1" /></article>', "<article><p title='class=\"ads\"'>{}</p></article>"])
+def test_articles_are_not_dropped(page):
+    assert WORDS in htmltext.extract(page.format(WORDS), htmltext.Weights())
+
+
+@pytest.mark.parametrize("tag", ['div class="site-header"', 'div id="sidebarLeft"', 'ul class="x main-menu"', "div hidden", 'div role="navigation"',
+                                 'p aria-hidden="true"', 'div class="comments-2"'])
+def test_furniture_is_dropped(tag):
+    page = f"<body><{tag}>gone by</{tag.split()[0]}><article><p>{WORDS}</p></article></body>"
+    assert htmltext.extract(page, htmltext.Weights()) == WORDS
+
+
+def test_many_stray_end_tags():
+    page = "<div>" * 20_000 + "</span>" * 20_000 + WORDS
+    begun = time.perf_counter()
+    assert WORDS in htmltext.extract(page, htmltext.Weights(tags={("tag", "/span"): 0.0, ("tag", "div"): 0.0}))
+    assert time.perf_counter() - begun < 3
+
+
 def brute_region(scores):
     sums = [(sum(scores[i:j]), -i, j) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)]
     return max(sums)[0] if sums else 0
