@@ -71,7 +71,7 @@ def _names_furniture(name: str) -> bool:
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
-    """(kind, value, furniture): text runs ("text") and tags ("tag", name or /name), in page order.
+    """(kind, value, furniture): text runs ("text", within a link "link") and tags ("tag", name or /name), in page order.
 
     Within an article or main element, the kind of a tag is "held".  Text in raw elements, comments and markup
     declarations does not come out.  Furniture says whether the token stands in page furniture.
@@ -83,7 +83,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
         m = TOKEN.search(page, at)
         text = page[at:m.start() if m else len(page)]
         if text:
-            yield "text", html.unescape(text), depth > 0
+            yield "link" if names["a"] else "text", html.unescape(text), depth > 0
         if not m:
             return
         at = m.end()
@@ -123,11 +123,12 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
 
 @dataclass
 class Weights:
-    """Score of a word (positive) and of tags by (kind, name) (negative).
+    """Score of a word (positive), of a word within a link (negative) and of tags by (kind, name) (negative).
 
     A tag not met in its place scores as in the other place, one not met at all as ``other`` of its kind.
     """
     word: float = 1.0
+    link: float = -0.3
     tags: dict[tuple[str, str], float] = field(default_factory=dict)
     other: dict[str, float] = field(default_factory=lambda: {"tag": -0.5, "held": -0.01})
 
@@ -154,12 +155,13 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 def extract(page: str | None, weights: Weights) -> str:
     """Text of the best region: its blocks, white space within a block made one space, joined by newlines."""
     found = list(tokens(page or ""))
-    scores = [weights.tag(k, v) if k != "text" else 0.0 if dropped else weights.word * len(v.split())
+    of_word = {"text": weights.word, "link": weights.link}
+    scores = [weights.tag(k, v) if k not in of_word else 0.0 if dropped else of_word[k] * len(v.split())
               for k, v, dropped in found]
     begin, end = best_region(scores)
     blocks, now = [], []
     for kind, value, dropped in found[begin:end]:
-        if kind == "text":
+        if kind in of_word:
             if not dropped:
                 now.append(value)
         elif value.lstrip("/") in BLOCKS:
@@ -180,7 +182,7 @@ def count_labelled(page: str, text: str) -> Counter:
     found = list(tokens(page))
     wanted, whole, matched, at = text.split(), " ".join(text.split()), [], 0
     for i, (kind, value, _) in enumerate(found):
-        own = value.split() if kind == "text" else []
+        own = value.split() if kind in ("text", "link") else []
         if own and own == wanted[at:at + len(own)]:
             matched.append(i)
             at += len(own)
@@ -191,25 +193,27 @@ def count_labelled(page: str, text: str) -> Counter:
     if matched and 2 * at >= len(wanted):
         for i, (kind, value, _) in enumerate(found):
             inside = matched[0] <= i <= matched[-1]
-            out[kind, "" if kind == "text" else value, inside] += len(value.split()) if kind == "text" else 1
+            words = kind in ("text", "link")
+            out[kind, "" if words else value, inside] += len(value.split()) if words else 1
     return out
 
 
 def fit_weights(counts: dict[tuple[str, str, bool], int]) -> Weights:
-    """Log-likelihood ratios of inside against outside, scaled so that a word scores one; tags stay below zero."""
+    """Log-likelihood ratios of inside against outside, scaled so that a word scores one; tags and words within links stay below zero."""
     total = {side: sum(n for (_, _, s), n in counts.items() if s == side) + 1.0 for side in (True, False)}
 
     def ratio(kind: str, name: str) -> float:
         return (log((counts.get((kind, name, True), 0) + 0.5) / total[True])
                 - log((counts.get((kind, name, False), 0) + 0.5) / total[False]))
     word = max(ratio("text", ""), 0.1)
-    tags = {(k, n): min(ratio(k, n) / word, -0.001) for k, n, _ in counts if k != "text"}
+    link = min(max(ratio("link", "") / word, -1.0), 0.0) if any(k == "link" for k, _, _ in counts) else Weights.link
+    tags = {(k, n): min(ratio(k, n) / word, -0.001) for k, n, _ in counts if k not in ("text", "link")}
     other = dict(Weights().other)
     for kind in other:
         met = sorted(w for (k, _), w in tags.items() if k == kind)
         if met:
             other[kind] = met[len(met) // 2]
-    return Weights(1.0, tags, other)
+    return Weights(1.0, link, tags, other)
 
 
 def learn(labelled: DataFrame, sample: int = 400) -> Weights:

@@ -164,6 +164,14 @@ def test_furniture_is_dropped(tag):
     assert htmltext.extract(page, htmltext.Weights()) == WORDS
 
 
+def test_the_region_leaves_out_unnamed_menus():
+    """Nothing names these lists of links; words in links and the tags between them speak against them."""
+    menu = "<ul>" + "".join(f"<li><a href='/{i}'>Go to place {i}</a></li>" for i in range(12)) + "</ul>"
+    page = f"<body>{menu}<div><p>{WORDS}</p><p>See <a href='/x'>that other page</a> of it. {WORDS}</p></div>{menu}</body>"
+    got = htmltext.extract(page, htmltext.Weights())
+    assert got == f"{WORDS}\nSee that other page of it. {WORDS}"
+
+
 def test_many_stray_end_tags():
     page = "<div>" * 20_000 + "</span>" * 20_000 + WORDS
     begun = time.perf_counter()
