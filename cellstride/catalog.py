@@ -614,6 +614,22 @@ def batch_ids(spark, sf):
     return lags.batch_ids(raw_series(spark, sf).select("District", "time"), 32)
 
 
+def _permuted_sql(seed: int) -> str:
+    """CTEs F0, F1, … that put the positions of the rows of R through the rounds of ``lags.permuted``."""
+    mask = (1 << lags.HALF_BITS) - 1
+    out = f"""F0 AS (SELECT "District", time, p >> {lags.HALF_BITS} AS l, p & {mask} AS r FROM (
+      SELECT *, CAST(row_number() OVER ({IN_ORDER}) - 1 AS BIGINT) AS p FROM R))"""
+    for i, (factor, summand) in enumerate(lags.shuffle_keys(seed), 1):
+        out += f""", F{i} AS (SELECT "District", time, r AS l, xor(l, ((r * {factor} + {summand}) >> 11) & {mask}) AS r FROM F{i - 1})"""
+    return out
+
+
+@query(f"""WITH {R_SQL}, {_permuted_sql(7)}
+SELECT {KEYTIME}, CAST((row_number() OVER (PARTITION BY "District" ORDER BY l, r) - 1) // 32 AS BIGINT) AS batch_id FROM F6""")
+def batch_ids_shuffled(spark, sf):
+    return lags.batch_ids(raw_series(spark, sf).select("District", "time"), 32, shuffle_seed=7)
+
+
 @query(f"""WITH {R_SQL}, N AS (SELECT "District", CAST((row_number() OVER ({IN_ORDER}) - 1) // 32 AS BIGINT) AS batch_id FROM R)
 SELECT "District", batch_id, count(*) AS n_rows FROM N GROUP BY 1, 2""")
 def batch_sizes_shuffled(spark, sf):

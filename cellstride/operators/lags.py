@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..plans.layout import (Layout, halo, instants_at, over_rows, plan_layout, row_index, row_positions,
                             rows_before_slot, same_instant)
@@ -224,13 +224,40 @@ def skip_rows(df: DataFrame, n: int, spec: SeriesSpec = SPEC, layout: Layout | N
     return row_positions(df, layout or plan_layout(df, spec)).where(F.col("__position") >= n).select(*df.columns)
 
 
+#: Half the width, in bits, of the numbers a shuffle permutes, and its rounds.
+HALF_BITS = 24
+
+
+def shuffle_keys(seed: int, rounds: int = 6) -> list[tuple[int, int]]:
+    """Factor (odd) and summand of each round of ``permuted``."""
+    state, out = seed, []
+    for _ in range(rounds):
+        state = (state * 6364136223846793005 + 1442695040888963407) % (1 << 64)
+        out.append((state >> 34 | 1, state >> 16 & (1 << 30) - 1))
+    return out
+
+
+def permuted(position: Column, seed: int) -> Column:
+    """A seeded permutation of the numbers below 2^48 (a Feistel network): different positions give different numbers.
+
+    Plain integer arithmetic, so any SQL engine can repeat it.
+    """
+    mask = F.lit((1 << HALF_BITS) - 1).cast("long")
+    left, right = F.shiftright(position, HALF_BITS), position.bitwiseAND(mask)
+    for factor, summand in shuffle_keys(seed):
+        mixed = F.shiftright(right * F.lit(factor) + F.lit(summand), 11).bitwiseAND(mask)
+        left, right = right, left.bitwiseXOR(mixed)
+    return F.shiftleft(left, HALF_BITS) + right
+
+
 def batch_ids(df: DataFrame, batch_size: int, shuffle_seed: int | None = None,
               spec: SeriesSpec = SPEC, layout: Layout | None = None) -> DataFrame:
-    """Add ``batch_id``: consecutive rows of a series, or a seeded shuffle of them."""
-    if shuffle_seed is None:
-        indexed = row_index(df, layout or plan_layout(df, spec), "batch_row")
-    else:
-        mixed = df.withColumn(US, F.xxhash64(F.lit(shuffle_seed), *spec.keys, spec.time).bitwiseAND(
-            F.lit((1 << 62) - 1)))
+    """Add ``batch_id``: consecutive rows of a series, or a seeded shuffle of them.
+
+    The shuffle orders a series by ``permuted`` row positions, so it depends on the order of the rows and the seed alone.
+    """
+    indexed = row_index(df, layout or plan_layout(df, spec), "batch_row")
+    if shuffle_seed is not None:
+        mixed = indexed.withColumn(US, permuted(F.col("batch_row"), shuffle_seed)).drop("batch_row")
         indexed = row_index(mixed, plan_layout(mixed, spec), "batch_row")
     return indexed.select(*df.columns, F.expr(f"batch_row div {batch_size}").alias("batch_id"))

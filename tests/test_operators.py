@@ -329,6 +329,19 @@ def test_projections(spark):
         project.exogenous_by_series(df, df.where("District <> 'west'"))
 
 
+def test_permuted_positions(spark):
+    """No two positions meet, near ones come apart, and seeds differ."""
+    df = spark.range(5000).select("id", *[lags.permuted(F.col("id") + start, seed).alias(f"p{k}") for k, (start, seed) in enumerate(
+        [(0, 1), (0, 2), ((1 << 48) - 5000, 1)])])
+    rows = df.orderBy("id").collect()
+    for k in range(3):
+        values = [r[f"p{k}"] for r in rows]
+        assert len(set(values)) == 5000 and 0 <= min(values) and max(values) < 1 << 48
+        up = sum(a < b for a, b in zip(values, values[1:]))
+        assert 2300 < up < 2700
+    assert sum(r.p0 == r.p1 for r in rows) < 5
+
+
 def test_batches(spark):
     df = series_table(spark, {"a": 10, "b": 3})
     sizes = lags.batch_ids(df, 4).groupBy("District", "batch_id").count().collect()
