@@ -139,11 +139,9 @@ def cap_by_series(df: DataFrame, columns: list[str], pairs: dict[str, tuple[floa
     With ``pairs`` every series of the data must have one; series in ``exclude`` pass unchanged.
     """
     wanted = sorted({p for pair in (pairs or {}).values() for p in pair} or {10, 90})
-    if pairs:
-        _require_known(df, list(pairs), spec)
-    table = percentiles(df, columns, [p / 100 for p in wanted], spec.key, max_group, approximate)
-
     spark, kind = df.sparkSession, df.schema[spec.key].dataType.simpleString()
+    largest = _largest_of_known(df, columns, list(pairs), spec) if pairs else None
+    table = percentiles(df, columns, [p / 100 for p in wanted], spec.key, max_group, approximate, largest)
     if pairs:
         ranks = spark.createDataFrame([(k, wanted.index(lo), wanted.index(hi)) for k, (lo, hi) in pairs.items()],
                                       f"`{spec.key}` {kind}, __lo int, __hi int")
@@ -166,9 +164,13 @@ def unknown_series(df: DataFrame, known: DataFrame, spec: SeriesSpec = SPEC) ->
     return df.select(spec.key).distinct().join(known.select(spec.key), spec.key, "left_anti")
 
 
-def _require_known(df: DataFrame, known: list[str], spec: SeriesSpec) -> None:
+def _largest_of_known(df: DataFrame, columns: list[str], known: list[str], spec: SeriesSpec) -> int:
+    """The most values a column has in one series, in one job that also refuses series that are not ``known``."""
     kind = df.schema[spec.key].dataType.simpleString()
-    listed = df.sparkSession.createDataFrame([(k,) for k in known], f"`{spec.key}` {kind}")
-    strays = unknown_series(df, listed, spec).limit(5).collect()
-    if strays:
-        raise ValueError(f"no parameters for series {[r[0] for r in strays]}")
+    listed = df.sparkSession.createDataFrame([(k, True) for k in known], f"`{spec.key}` {kind}, __known boolean")
+    counts = df.groupBy(spec.key).agg(F.greatest(*[F.count(c) for c in columns], F.lit(0)).alias("__n"))
+    stray = F.when(F.col("__known").isNull(), F.coalesce(F.col(spec.key).cast("string"), F.lit("NULL")))
+    told = counts.join(F.broadcast(listed), spec.key, "left").agg(F.max("__n").alias("n"), F.min(stray).alias("stray")).first()
+    if told["stray"] is not None:
+        raise ValueError(f"no parameters for series such as {told['stray']}")
+    return told["n"] or 0
