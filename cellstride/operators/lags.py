@@ -105,25 +105,27 @@ def _lags_by_frame(df: DataFrame, layout: Layout, steps: list[int], columns: lis
 
 def _lags_by_join(df: DataFrame, layout: Layout, steps: list[int], columns: list[str],
                   period_us: int | None, periods) -> DataFrame:
-    """Send every row to the instants that look back at it, and gather per instant.
+    """Send every row to the instants that look back at it, and gather per instant, in one shuffle for all lags.
 
-    (key, time) is unique, so no task receives more than a few rows per instant.
+    (key, time) is unique, so an instant receives one row of its own and at most one for each lag; an instant with two
+    rows of its own is refused.
     """
-    key = layout.key
-    # The same check, at the same moment, as in the frame form.
-    w = layout.window
-    placed = layout.place(df).withColumn("__last", F.lag(US).over(w)).where(
-        F.when(F.col("__last") == F.col(US), same_instant("boolean")).otherwise(True)).drop("__last")
+    placed = layout.place(df)
     if period_us is not None:
         placed = placed.withColumn("__period", F.lit(period_us))
     else:
         placed = attach(placed, periods, layout.spec.keys, [US])
-    out = placed
-    for n in steps:
-        seen = placed.select(F.col(key), (F.col(US) + n * F.col("__period")).alias(US),
-                             *[F.col(c).alias(lag_name(c, n)) for c in columns])
-        out = out.join(seen, [key, US], "left")
-    return out.drop("__period")
+    own = [c for c in placed.columns if c != "__period"]
+    sent = placed.select(
+        F.col(layout.key).alias("__to"), F.struct(*own).alias("__row"), "__period", US, F.explode(F.array(*map(F.lit, [0, *steps]))).alias("__n"))
+    is_own = F.col("__n") == 0
+    sent = sent.select("__to", F.when(is_own, F.col(US)).otherwise(F.col(US) + F.col("__n") * F.col("__period")).alias("__at"), "__n",
+                       F.when(is_own, F.col("__row")).alias("__own"), F.when(~is_own, F.struct(*[F.col("__row")[c].alias(c) for c in columns])).alias("__seen"))
+    met = sent.groupBy("__to", "__at").agg(
+        F.count("__own").alias("__owns"), F.first("__own", ignorenulls=True).alias("__own"),
+        *[F.first(F.when(F.col("__n") == n, F.col("__seen")), ignorenulls=True).alias(f"__{n}") for n in steps])
+    lone = F.when(F.col("__owns") > 1, same_instant("boolean")).otherwise(F.col("__owns") == 1)
+    return met.where(lone).select("__own.*", *[F.col(f"__{n}")[c].alias(lag_name(c, n)) for n in steps for c in columns])
 
 
 def _drop_first(lagged: DataFrame, df: DataFrame, layout: Layout, n: int) -> DataFrame:

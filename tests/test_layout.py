@@ -1,5 +1,7 @@
 """Results do not depend on how long series are cut, nor on how parameters are joined."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +10,7 @@ from cellstride.plans import layout as layouts, params
 from cellstride.plans.layout import plan_layout, row_index
 from cellstride.plans.ranks import percentiles
 from cellstride.series import SeriesSpec
-from helpers import rows_of, series_table
+from helpers import EPOCH, rows_of, series_table
 
 WHOLE = SeriesSpec(key=None)
 
@@ -120,3 +122,18 @@ def test_a_bursty_series_stays_in_bounds(spark):
     for run in (lambda lay: lags.row_lags(df, 8, spec=spec, layout=lay), lambda lay: lags.time_differences(df, spec, lay),
                 lambda lay: profile.autocorrelation(df, 5, spec=spec, layout=lay)):
         assert rows_of(run(cut)) == rows_of(run(None))
+
+
+def test_all_lags_in_one_shuffle(spark):
+    """Five lags of series that differ in their periods: the rows are shuffled once."""
+    rows = [(k, EPOCH + dt.timedelta(seconds=step * i), float(i)) for k, step in (("a", 60), ("b", 90)) for i in range(50)]
+    df = spark.createDataFrame(rows, "District string, time timestamp_ntz, down double")
+    layout = layouts.plan_layout(df)
+    periods = params.settle(lags.modal_periods(df).withColumnRenamed("period_us", "__period"))
+    lagged = lags._lags_by_join(df, layout, [1, 2, 3, 4, 5], ["down"], None, periods)
+    plan = lagged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+    for r in lagged.collect():
+        step = 60 if r.District == "a" else 90
+        at = (r.time - EPOCH).total_seconds() / step
+        assert [r[f"down_lag_{n}"] for n in range(1, 6)] == [at - n if at >= n else None for n in range(1, 6)]
