@@ -881,6 +881,24 @@ def scatter_bins(spark, sf):
     return multivar.scatter_bins(line_items(spark, sf))
 
 
+RU_SQL = R_SQL + ", U AS (SELECT 'down' AS feature, down AS v FROM R UNION ALL SELECT 'up', up FROM R)"
+PROFILE_SQL = {
+    "statistics": ORACLES["stat_table"].replace(U_SQL, RU_SQL), "describe": ORACLES["describe"].replace(U_SQL, RU_SQL),
+    "pearson": f"WITH {R_SQL} SELECT 'down' AS feature_x, 'up' AS feature_y, {r('corr(down, up)', 'corr')} FROM R",
+    "pacf": ORACLES["pacf"],
+    "trends": f"""WITH {R_SQL} SELECT "District", feature, time, value FROM (SELECT * FROM R) UNPIVOT INCLUDE NULLS (value FOR feature IN (down, up))""",
+}
+
+
+def _register_profile():
+    """Tables of the exploration job over the raw series."""
+    for name in PROFILE_SQL:
+        def run(spark, sf, name=name):
+            return tidy(jobs.profile_tables(raw_series(spark, sf), ACF_LAGS, names=[name])[name])
+        query(PROFILE_SQL[name], f"profile_job_{name}")(run)
+
+
+_register_profile()
 PCA_COLS = LINE[:3]
 
 

@@ -54,19 +54,19 @@ def train_and_evaluate(df: DataFrame, config: ForecastConfig = ForecastConfig(),
 
 
 def profile_tables(df: DataFrame, max_lag: int = 15, threshold: float = 0.95,
-                   spec: SeriesSpec = SPEC) -> dict[str, DataFrame]:
-    """The tables behind the exploration charts, by name."""
-    fitted = multivar.Components(df, spec=spec)
-    return {
-        "quality": profile.quality_report(df),
-        "statistics": profile.statistics(df, spec=spec),
-        "describe": profile.describe(df, spec=spec),
-        "trends": profile.trends(df, spec=spec),
-        "pacf": profile.partial_autocorrelation(df, max_lag, spec=spec),
-        "pearson": multivar.pearson(df, spec=spec),
-        "distance_correlation": multivar.distance_correlation(df, spec=spec),
-        "density": multivar.density(df, spec=spec),
-        "scatter": multivar.scatter_bins(df, spec=spec),
-        "components": fitted.variance(df.sparkSession),
-        "component_correlation": multivar.component_correlation(df, threshold=threshold, spec=spec),
+                   spec: SeriesSpec = SPEC, names: list[str] | None = None) -> dict[str, DataFrame]:
+    """The tables behind the exploration charts, by name; all of them, or those in ``names``."""
+    tables = {
+        "quality": lambda: profile.quality_report(df),
+        "statistics": lambda: profile.statistics(df, spec=spec),
+        "describe": lambda: profile.describe(df, spec=spec),
+        "trends": lambda: profile.trends(df, spec=spec),
+        "pacf": lambda: profile.partial_autocorrelation(df, max_lag, spec=spec),
+        "pearson": lambda: multivar.pearson(df, spec=spec),
+        "distance_correlation": lambda: multivar.distance_correlation(df, spec=spec),
+        "density": lambda: multivar.density(df, spec=spec),
+        "scatter": lambda: multivar.scatter_bins(df, spec=spec),
+        "components": lambda: multivar.Components(df, spec=spec).variance(df.sparkSession),
+        "component_correlation": lambda: multivar.component_correlation(df, threshold=threshold, spec=spec),
     }
+    return {name: tables[name]() for name in names or tables}
