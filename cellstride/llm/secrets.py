@@ -33,6 +33,18 @@ _ON_LINE = ASSIGN.replace(r"\s", r"[^\S\r\n]")
 ASSIGNED = regex.compile(
     rf"{NAME}{_ON_LINE}(?!{NAME}{_ON_LINE}\S)" r"""(?:(?P<quote>\\?["'`])(?P<in>(?:(?!(?P=quote))[^\r\n])+)(?P=quote)"""
     r"""|\\?["'`]?(?P<bare>(?:(?![&,;]\w+=)[^\s"'`])+))""", regex.IGNORECASE)
+# Published forms of keys, values that stand in for one, and words that such values are made of.
+PUBLISHED = (r"^((AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|npm_[A-Za-z0-9]{36}|glpat-[A-Za-z0-9_\-]{20}|hf_[A-Za-z]{34}|"
+             r"xox[abprs]-[0-9A-Za-z\-]{10,}|[sr]k_live_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_\-]{35}|"
+             r"eyJ[A-Za-z0-9_\-]{8,}\.eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]+|SG\.[A-Za-z0-9_\-]{22}\.[A-Za-z0-9_\-]{43})$")
+STAND_IN = (r"(?i)^([<\[{(].*|\$.*|%.*|.*\(.*\).*|x+|\*+|\.+|-+|null|none|nil|undefined|true|false|todo|tbd|empty|change[_-]?me|redacted|"
+            r"(my|your|test|dummy|fake|example|placeholder|sample|default|insert)[_ -].*|.*(example|placeholder|here|goes here)|"
+            r"(os|process|env|config|settings|self|this)\..*|password|passwd|secret|token|test|dummy|foobar)$")
+STAND_INS = ["changeme", "change_me", "null", "none", "undefined", "<YOUR_NAME>", "<NAME>", "${NAME}", "$NAME", "%NAME%", "{{ NAME }}", "xxxxxxxx",
+             "xxxxxxxxxxxxxxxx", "********", "your-api-key-here", "your_token", "my-secret", "example", "placeholder", "REDACTED",
+             "os.environ['NAME']", "process.env.NAME", "config.secret", "get_secret()", "TODO", "password", "secret", "test", "dummy"]
+STAND_IN_WORDS = ["your", "token", "here", "change", "changeme", "null", "none", "undefined", "example", "password", "secret", "key", "api", "redacted",
+                  "test", "todo", "dummy", "placeholder", "environ", "process", "config", "sample", "default", "name"]
 #: Kinds of characters, for transitions: lower, upper, digit, other.
 KINDS = 4
 REACH = 48
@@ -188,24 +200,34 @@ def _featured(found: DataFrame, shared) -> DataFrame:
     return found.mapInArrow(run, schema)
 
 
-def train(labelled: DataFrame, words: list[str], sample: int = 20_000, trees: int = 30, depth: int = 6, seed: int = 42):
+def train(labelled: DataFrame, words: list[str], sample: int = 20_000, trees: int = 30, depth: int = 8, seed: int = 42,
+          each: int = 0, without: str | None = None):
     """(knowledge, forest) from labelled findings (path, candidate, before, after, label); a bounded sample of them.
 
-    ``sample`` bounds the findings used; they are chosen by a hash of the finding.  Without both labels there is no
-    forest: (None, None).
+    ``sample`` bounds the findings used; they are chosen by a hash of the finding.  ``each`` findings of every published form
+    are made and taught as well, less the form ``without`` (see ``made_findings``).  If the sampled rows have one label only there is
+    no forest: (None, None).
     """
     spark = labelled.sparkSession
+    made = None
+    if each:
+        others = labelled.where(~F.col("label")).select("before", "after").orderBy(F.xxhash64(F.lit(seed), "before", "after")).limit(500)
+        rows = made_findings([(r["before"], r["after"]) for r in others.collect()], each, seed, without)
+        made = spark.createDataFrame([r[1:] for r in rows], "path string, candidate string, before string, after string, label boolean")
     counts = {r["label"]: r["count"] for r in labelled.where("label is not null").groupBy("label").count().collect()}
-    if len(counts) < 2:
+    if len(counts) < 2 and not (made and counts):
         return None, None
     share = min(1.0, sample / sum(counts.values()))
     rare = min(1.0, sample / 2 / min(counts.values()))
     place = F.pmod(F.xxhash64(F.lit(seed), "candidate", "before", "after"), F.lit(1 << 40)) / float(1 << 40)
     few = min(counts, key=counts.get)
-    some = stage(labelled.where(F.when(F.col("label") == few, place < rare).otherwise(place < share)).select(
-        "path", "candidate", "before", "after", "label"), "labelled-findings")
+    taken = labelled.where(F.when(F.col("label") == few, place < rare).otherwise(place < share)).select(
+        "path", "candidate", "before", "after", "label")
+    some = stage(taken.unionByName(made) if made else taken, "labelled-findings")
+    if some.select("label").distinct().count() < 2:
+        return None, None
     rows = some.select("label", "path", "before", "after").limit(2 * sample).collect()
-    known = Knowledge(words, [(r["label"], r["path"], r["before"], r["after"]) for r in rows])
+    known = Knowledge([*words, *STAND_IN_WORDS], [(r["label"], r["path"], r["before"], r["after"]) for r in rows])
     shared = spark.sparkContext.broadcast(known)
     fit = _featured(some, shared).select(array_to_vector("features").alias("v"), F.col("label").cast("double").alias("y"))
     forest = RandomForestClassifier(featuresCol="v", labelCol="y", numTrees=trees, maxDepth=depth, seed=seed).fit(
@@ -230,8 +252,58 @@ def scan(df: DataFrame, knowledge, forest: RandomForestClassificationModel | Non
 
 
 def label_findings(found: DataFrame) -> DataFrame:
-    """Labels for findings where nobody has labelled any: a value assigned to a credential's name is a secret."""
-    return found.withColumn("label", F.lower("before").rlike(NAME + ASSIGN + r"\\?[\"'`]?$"))
+    """Labels for findings where nobody has labelled any.
+
+    Secrets are keys of a published form, wherever they stand, and values assigned to a credential's name, unless they stand in
+    for one: a placeholder, a variable or a call.
+    """
+    assigned = F.lower("before").rlike(NAME + ASSIGN + r"\\?[\"'`]?$")
+    return found.withColumn("label", F.col("candidate").rlike(PUBLISHED) | (assigned & ~F.col("candidate").rlike(STAND_IN)))
+
+
+def _text_of(rng: np.random.Generator, letters: str, n: int) -> str:
+    return "".join(rng.choice(list(letters), n))
+
+
+def made_findings(contexts: list[tuple[str, str]], each: int = 200, seed: int = 42, without: str | None = None) -> list[tuple]:
+    """(form, path, candidate, before, after, label): ``each`` findings of every form, in contexts that do not tell.
+
+    Keys are drawn by their published formats and stand, like digests and identifiers, where other candidates of the
+    corpus stand; stand-ins stand where secrets do.  ``without`` leaves out one form, to see whether the others teach it.
+    """
+    rng = np.random.default_rng(seed)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    every, base = upper + lower + digits, upper + lower + digits + "+/"
+    hexes = digits + "abcdef"
+    text = lambda letters, n: _text_of(rng, letters, n)
+    keys = {
+        "cloud key": lambda: rng.choice(["AKIA", "ASIA"]) + text(upper + digits, 16),
+        "repository token": lambda: rng.choice(["ghp_", "gho_", "ghs_", "npm_"]) + text(every, 36),
+        "project token": lambda: "glpat-" + text(every, 20), "model token": lambda: "hf_" + text(upper + lower, 34),
+        "chat token": lambda: f"xoxb-{text(digits, 11)}-{text(digits, 12)}-{text(every, 24)}",
+        "payment key": lambda: rng.choice(["sk_live_", "rk_live_"]) + text(every, 24),
+        "maps key": lambda: "AIza" + text(every + "_-", 35),
+        "signed token": lambda: f"eyJ{text(every, 30)}.eyJ{text(every, 60)}.{text(every + '_-', 43)}",
+        "mail key": lambda: f"SG.{text(every, 22)}.{text(every + '_-', 43)}", "private key line": lambda: text(base, 64),
+        "access key": lambda: text(base, 40)}
+    others = {
+        "digest": lambda: text(hexes, int(rng.choice([32, 40, 64]))),
+        "identifier": lambda: "-".join(text(hexes, n) for n in (8, 4, 4, 4, 12)),
+        "number": lambda: text(digits, int(rng.integers(12, 20))),
+        "name": lambda: "".join(text(lower, int(rng.integers(3, 8))).title() for _ in range(4)),
+        "path": lambda: "/".join(text(lower, int(rng.integers(3, 9))) for _ in range(4)) + f".v{rng.integers(9)}",
+        "date": lambda: f"20{text(digits, 2)}-0{rng.integers(1, 9)}-1{rng.integers(9)}T12.{text(digits, 2)}"}
+    out = []
+    for label, forms in ((True, keys), (False, others)):
+        for form, draw in forms.items():
+            for _ in range(each if form != without else 0):
+                before, after = contexts[int(rng.integers(len(contexts)))] if contexts else ("", "")
+                out.append((form, None, str(draw()), before, after, label))
+    for _ in range(each if without != "stand-in" else 0):
+        name, word = rng.choice(["password", "api_key", "secret", "token"]), str(rng.choice(STAND_INS))
+        quote = rng.choice(["", '"', "'"])
+        out.append(("stand-in", None, word.replace("NAME", str(name).upper()), f"{name} {rng.choice([':', '='])} {quote}", quote, False))
+    return out
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,7 +311,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     teaching = docs.where(common.crc_bucket("doc_id", 4) != 2)
     labelled = stage(label_findings(find_candidates(teaching)), "findings")
-    found = scan(docs, *train(labelled, dictionary(docs)))
+    found = scan(docs, *train(labelled, dictionary(docs), each=200))
     return found.select("doc_id", "start", F.length("candidate").cast("long").alias("length"),
                         F.sha2("candidate", 256).alias("finding_sha256"), "score", "is_secret",
                         (common.crc_bucket("doc_id", 4) == 2).alias("held_out"))

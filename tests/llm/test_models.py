@@ -432,6 +432,44 @@ def test_all_forms_are_secret(spark):
     assert {r.doc_id for r in held if r.is_secret} == {i for i in range(400) if i % 3 == 0 and i % 2}
 
 
+def _reports(spark, without=None):
+    """Score of made findings of every form, by a forest trained as the query trains it on the given documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source")
+    labelled = secrets.label_findings(secrets.find_candidates(docs.where("doc_id % 4 <> 2")))
+    known, forest = secrets.train(labelled, secrets.dictionary(docs), each=60, without=without)
+    tests = [(f, f"the value {c} was seen" if label else f"{b}{c}{a}" if f == "stand-in" else f"the value {c} was seen", c, label)
+             for f, _, c, b, a, label in secrets.made_findings([], 25, seed=7)]
+    texts = spark.createDataFrame([(i, t[1], "src1") for i, t in enumerate(tests)], "doc_id bigint, text string, source string")
+    found = {(r.doc_id, r.candidate): r.is_secret for r in secrets.scan(texts, known, forest).collect()}
+    out = {}
+    for i, (form, _, value, label) in enumerate(tests):
+        told = any(secret for (doc, c), secret in found.items() if doc == i and (c == value or not label))
+        out.setdefault((form, label), []).append(told)
+    return {k: sum(v) / len(v) for k, v in out.items()}
+
+
+def test_published_forms(spark):
+    """Each form of key found in plain context, what stands in for one and what is none rejected."""
+    rates = _reports(spark)
+    print(rates)
+    keys, others = [v for (_, label), v in rates.items() if label], [v for (_, label), v in rates.items() if not label]
+    assert len(keys) == 11 and len(others) == 7
+    assert sum(keys) / len(keys) >= 0.9 and min(keys) >= 0.6
+    assert sum(others) / len(others) <= 0.1
+
+
+def test_a_form_held_out(spark):
+    """Keys of a form that was not taught are found by their make."""
+    assert _reports(spark, without="repository token")["repository token", True] >= 0.9
+
+
+@pytest.mark.parametrize("value, label", [("changeme", False), ("<YOUR_TOKEN>", False), ("${DB_PASSWORD}", False), ("null", False), ("os.environ['X']", False),
+                                          ("hunter2x", True), ("tr0ub4dor&3", True)])
+def test_stand_ins_teach_nothing_wrong(spark, value, label):
+    found = secrets.label_findings(secrets.find_candidates(spark.createDataFrame([(1, f'password = "{value}" it', None, "s", None, None, None)], DOCS)))
+    assert [(r.candidate, r.label) for r in found.collect()] == [(value, label)]
+
+
 def test_coverage():
     known = secrets.Knowledge(["garden", "river"], [])
     assert known.coverage("gardenriver") == 1.0 and known.coverage("x1y2z3") == 0.0
