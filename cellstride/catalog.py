@@ -1126,6 +1126,26 @@ def user_counter_stream(spark, sf):
     return windows.read_user_counts(spark, out)
 
 
+LATE_BEFORE = "2024-01-15 00:00:00"
+
+
+@query(f"""SELECT {BUCKET}, count(*) AS n_rows, count(*) FILTER (ts >= TIMESTAMP '{LATE_BEFORE}') AS n_counted,
+  count(*) FILTER (ts < TIMESTAMP '{LATE_BEFORE}') AS n_late FROM events GROUP BY 1, 2""")
+def late_rows_stream(spark, sf):
+    """A stream that reads the events' later parts first: the windows of the rest are closed by then.
+
+    A batch drops rows by the watermark that the batch before it began with, so the first late rows come third.
+    """
+    rows = raw_series(spark, sf)
+    source, out = scratch_path(spark, "late-source"), scratch_path(spark, "late-windows")
+    at = [F.col("time") >= F.lit(t).cast("timestamp_ntz") for t in ("2024-01-20 00:00:00", LATE_BEFORE)]
+    for part in (at[0], ~at[0] & at[1], ~at[1]):
+        rows.where(part).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    windows.downsample_stream(stream, out, scratch_path(spark, "late-state"), every="1 hour", available_now=True).awaitTermination()
+    return windows.late_by_window(rows, out, "1 hour")
+
+
 @query(f"WITH {M_SQL} SELECT * FROM M")
 def downsample_stream(spark, sf):
     """All windows of a stream over the table, the open ones included."""

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..series import SeriesSpec, epoch_us, numeric_columns, wall_clock
 
 SPEC = SeriesSpec()
+ROWS = "__rows"     # rows that a written window has counted
 
 
 def downsample(df: DataFrame, indicators: list[str] | None = None, every: str = "2 minutes",
@@ -59,12 +60,14 @@ def downsample_stream(stream: DataFrame, out: str, checkpoint: str, every: str =
 
     Every micro-batch writes the new versions of the windows it touched to a folder of its own, which a repeated
     batch replaces; ``read_windows`` gives the newest version of each, open windows included.  State is kept until
-    the watermark (latest time seen minus ``lateness``) passes a window's end; ``late_rows`` counts the rows that
-    came after that.  Source offsets and state live in ``checkpoint``, so a restarted query continues without loss.
+    the watermark (latest time seen minus ``lateness``) passes a window's end; rows that come after that (from the next
+    micro-batch on) are left out, and ``late_by_window`` accounts for them.  Source offsets and state live in ``checkpoint``, so a restarted query continues without loss.
     """
     timed, naive = _instants(stream, spec)
+    if aggregates is None:
+        aggregates = {c: F.avg(c) for c in numeric_columns(stream, spec)}
     windows = downsample(timed.withWatermark(spec.time, lateness), every=every,
-                         aggregates=aggregates, spec=spec)
+                         aggregates={**aggregates, ROWS: F.count(F.lit(1))}, spec=spec)
     if naive:
         windows = windows.withColumn(spec.time, wall_clock(F.col(spec.time)))
 
@@ -113,6 +116,10 @@ def read_user_counts(spark: SparkSession, out: str, name: str = "rnti_count", sp
 
 def read_windows(spark: SparkSession, out: str, spec: SeriesSpec = SPEC) -> DataFrame:
     """The newest version of every window that ``downsample_stream`` has written."""
+    return _newest(spark, out, spec).drop(ROWS)
+
+
+def _newest(spark: SparkSession, out: str, spec: SeriesSpec) -> DataFrame:
     versions = spark.read.parquet(out)
     at = [*spec.keys, spec.time]
     values = [c for c in versions.columns if c not in (*at, "batch")]
@@ -125,10 +132,25 @@ def compact_windows(spark: SparkSession, out: str, target: str, spec: SeriesSpec
 
     A later query over the same checkpoint may go on writing to ``target``: its versions win over the compacted ones.
     """
-    read_windows(spark, out, spec).write.mode("overwrite").parquet(f"{target}/batch=-1")
+    _newest(spark, out, spec).write.mode("overwrite").parquet(f"{target}/batch=-1")
     return read_windows(spark, target, spec)
 
 
+def late_by_window(rows: DataFrame, out: str, every: str = "2 minutes", spec: SeriesSpec = SPEC) -> DataFrame:
+    """``(key, time, n_rows, n_counted, n_late)`` of every window of the rows a stream has read.
+
+    A window's newest version says how many rows it counted; the rest came when it was closed.  The account follows from the
+    two tables alone, so it is complete whatever restarts and however many batches there were.
+    """
+    at = [*spec.keys, spec.time]
+    whole = downsample(rows, every=every, aggregates={"n_rows": F.count(F.lit(1))}, spec=spec)
+    counted = _newest(rows.sparkSession, out, spec).select(*at, F.col(ROWS).alias("n_counted"))
+    same = [F.col(f"w.{c}").eqNullSafe(F.col(f"c.{c}")) for c in at]
+    joined = whole.alias("w").join(counted.alias("c"), same, "left")
+    n = F.coalesce(F.col("n_counted"), F.lit(0))
+    return joined.select(*[F.col(f"w.{c}").alias(c) for c in at], "n_rows", n.alias("n_counted"), (F.col("n_rows") - n).alias("n_late"))
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows that the query left out because their window was closed, as far as its progress reports go back."""
     return sum(int(s["numRowsDroppedByWatermark"]) for p in query.recentProgress for s in p["stateOperators"])

@@ -137,6 +137,14 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path):
     got = windows.read_windows(spark, out)
     assert dict(got.dtypes)["time"] == "timestamp_ntz"
     assert rows_of(got) == rows_of(windows.downsample(make(rows), ["down"]))
+    # A third run brings rows for closed windows: the windows stay, and each late row is accounted for.
+    late = [(5, 1.0), (6, 2.0), (130, -1.0), (19_999, 3.0)]
+    make(late).coalesce(1).write.mode("append").parquet(source)
+    run()
+    assert rows_of(windows.read_windows(spark, out)) == rows_of(windows.downsample(make(rows + late[3:]), ["down"]))
+    account = windows.late_by_window(make(rows + late), out).collect()
+    assert sum(r.n_late for r in account) == 3 and sum(r.n_rows for r in account) == len(rows) + 4
+    assert {(r.District, r.time): r.n_late for r in account if r.n_late} == {("a", EPOCH): 2, ("b", EPOCH + dt.timedelta(seconds=120)): 1}
 
 
 def test_users_of_a_stream(spark, tmp_path):
