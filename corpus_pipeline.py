@@ -1,6 +1,6 @@
 """A training corpus from raw documents: language, exact and near copies, mix, tokens.
 
-Every stage reads whole texts, keeps columns it does not know, and gives an empty result for an empty table.
+Every stage reads whole texts and gives an empty result for an empty table; all but the last keep the columns they are given.
 """
 
 from __future__ import annotations
