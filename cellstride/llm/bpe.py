@@ -19,7 +19,7 @@ from . import common
 #: Splits a text into the pieces that merges stay within (fixed value of this tokenizer family).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Encoded pieces a worker remembers before it starts afresh.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -58,6 +58,14 @@ def later_letters() -> str:
     return "".join(sorted(out))
 
 
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class Decoder:
     """The offset table: all tokens laid end to end, and where each begins."""
 
@@ -194,7 +202,7 @@ class Codec(Decoder):
 
     def _plain(self, text: str) -> bytes:
         """A piece never reaches over a lone space: text between such spaces is encoded, and remembered, by itself."""
-        if self.high and self.high.search(text) and self.later.search(text):
+        if self.high and not _latin(text) and self.high.search(text) and self.later.search(text):
             return self._pieces(text, [m.span() for m in self.pieces.finditer(self.later.sub("§", text))])
         if self.doubled.search(text):
             return self._pieces(text)
@@ -224,25 +232,35 @@ class Codec(Decoder):
         return np.frombuffer(b"".join(parts), np.int32)
 
 
-def _over(df: DataFrame, path: str, source: str, out: T.StructField, kind: type, make) -> DataFrame:
-    """``df`` with one more column, made from column ``source`` by a codec in each worker."""
+#: The codec of this Python worker: one, kept from task to task.
+_held: dict[tuple, Decoder] = {}
+
+
+def _codec(kind: type, path: str, vocabulary) -> Decoder:
+    if (kind, path) not in _held:
+        _held.clear()
+        _held[kind, path] = kind(vocabulary.value)
+    return _held[kind, path]
+
+
+def _over(df: DataFrame, path: str, source: str, out: list[T.StructField], kind: type, make,
+          less: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with more columns, made from column ``source`` by a codec in each worker, and without the columns ``less``."""
     vocabulary = df.sparkSession.sparkContext.broadcast(load_vocabulary(path))
-    kept = common.without(df, out.name)
+    kept, made_names = common.without(df, *less, *[f.name for f in out]), [f.name for f in out]
     names = kept.columns
-    at = "source"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = kind(vocabulary.value)
+        codec = _codec(kind, path, vocabulary)
         for batch in batches:
             for i in range(0, batch.num_rows, 1000):
                 part = batch.slice(i, 1000)
-                made = make(codec, part.column(at))
-                yield pa.RecordBatch.from_arrays([part.column("row"), made], ["row", out.name])
+                yield pa.RecordBatch.from_arrays([part.column("row"), *make(codec, part.column("source"))], ["row", *made_names])
 
     # The other columns travel as one struct, so no name of theirs can clash.
-    rows = df.select(F.struct(*[F.col(f"`{n}`") for n in names], F.lit(0).alias("__")).alias("row"), F.col(f"`{source}`").alias(at))
-    done = rows.mapInArrow(run, T.StructType([rows.schema["row"], out]))
-    return done.select(*[F.col("row").getField(n).alias(n) for n in names], out.name)
+    rows = df.select(F.struct(*[F.col(f"`{n}`") for n in names], F.lit(0).alias("__")).alias("row"), F.col(f"`{source}`").alias("source"))
+    done = rows.mapInArrow(run, T.StructType([rows.schema["row"], *out]))
+    return done.select(*[F.col("row").getField(n).alias(n) for n in names], *made_names)
 
 
 def _encode_column(codec: Codec, texts: pa.Array) -> pa.Array:
@@ -264,13 +282,27 @@ def encode(df: DataFrame, path: str, text_col: str = "text", out: str = "ids") -
     their length; repeated rows are coded each, an empty table gives an empty result.  A column of the new name is replaced.
     """
     return _over(df.withColumn(text_col, F.col(f"`{text_col}`").cast("string")), path, text_col,
-                 T.StructField(out, T.ArrayType(T.IntegerType())), Codec, _encode_column)
+                 [T.StructField(out, T.ArrayType(T.IntegerType()))], Codec, lambda codec, texts: [_encode_column(codec, texts)])
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the text that token ids stand for, special tokens included; null or no ids give an empty text."""
     ids = F.coalesce(F.col(f"`{ids_col}`"), F.array().cast("array<int>"))
-    return _over(df.withColumn(ids_col, ids), path, ids_col, T.StructField(out, T.StringType()), Decoder, _decode_column)
+    return _over(df.withColumn(ids_col, ids), path, ids_col, [T.StructField(out, T.StringType())], Decoder,
+                 lambda codec, ids_: [_decode_column(codec, ids_)])
+
+
+def encode_and_decode(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """``df`` with ``ids`` and with ``decoded``, the text that the ids stand for, in place of the text, in one visit to a worker.
+
+    Cases as in ``encode``.
+    """
+    def both(codec: Codec, texts: pa.Array) -> list[pa.Array]:
+        ids = _encode_column(codec, texts)
+        return [ids, _decode_column(codec, ids)]
+
+    return _over(df.withColumn(text_col, F.col(f"`{text_col}`").cast("string")), path, text_col,
+                 [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())], Codec, both, (text_col,))
 
 
 def default_path() -> str:
@@ -287,5 +319,5 @@ def digests(coded: DataFrame) -> list:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = default_path()
-    coded = decode(encode(common.table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text"), path)
+    coded = encode_and_decode(common.table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     return coded.select("doc_id", *digests(coded))

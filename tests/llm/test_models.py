@@ -85,6 +85,10 @@ def test_token_columns(spark, library):
     for r in got:
         assert r.ids == library.encode(r.text or "", add_special_tokens=False).ids
     assert bpe.decode(bpe.encode(spark.createDataFrame([], DOCS), path), path).collect() == []
+    once = sorted(((r.doc_id, r.ids, r.decoded) for r in bpe.encode_and_decode(df, path).collect()), key=repr)
+    assert once == sorted(((r.doc_id, r.ids, r.decoded) for r in got), key=repr)
+    clash = bpe.encode_and_decode(df.withColumnsRenamed({"lang": "row", "source": "__source"}), path)
+    assert {"row", "__source", "ids", "decoded"} <= set(clash.columns) and clash.count() == df.count()
 
 
 # --- language ---------------------------------------------------------------------------------------------
