@@ -52,7 +52,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, and digests of them and of the text they decode to; a null text has no ids."""
     path = bpe.default_path()
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), path).drop("text"), path)
+    coded = bpe.encode_and_decode(docs.select("doc_id", "source", "text"), path)
     return coded.select("doc_id", "source", "ids", *bpe.digests(coded))
 
 
