@@ -1,24 +1,36 @@
-"""Nearest neighbours by cosine: one vantage-point tree per shard, searched by blocks of queries."""
+"""Nearest neighbours by cosine: one vantage-point tree per shard of near vectors, searched by blocks of queries."""
 
 from __future__ import annotations
 
 import io
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 from math import ceil
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..sources.staging import stage
 from . import common
 
 LEAF = 48
-SHARD_ROWS = 4096
+#: Vectors of one tree, in bytes.
+SHARD_BYTES = 16 << 20
 QUERY_BLOCK = 1024
+#: Most cells, rows from which their pivots are chosen, bytes of those rows, and pivots that bound every cell.
+MAX_CELLS = 1024
+SAMPLE = 4096
+PIVOT_BYTES = 16 << 20
+MARKS = 32
 #: Slack for rounding when distances are compared.
 EPS = 1e-6
+BOUNDS = pa.schema([("width", pa.int32()), ("cell", pa.int32()), ("n", pa.int64()), ("low", pa.list_(pa.float64())),
+                    ("high", pa.list_(pa.float64()))])
+BLOCK = pa.schema([("width", pa.int32()), ("cell", pa.int32()), ("part", pa.int32()), ("queries", pa.binary())])
+ROUTE = pa.schema([("width", pa.int32()), ("cell", pa.int32()), ("home", pa.int32()), ("queries", pa.binary())])
 
 
 def _pack(**arrays: np.ndarray) -> bytes:
@@ -74,15 +86,17 @@ def build(ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF) -> dict[str, n
     return {"ids": ids[order], "vectors": vectors[order], "nodes": table}
 
 
-def search(tree: dict[str, np.ndarray], query_ids: np.ndarray, queries: np.ndarray, k: int = 5,
-           factor: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+def search(tree: dict[str, np.ndarray], query_ids: np.ndarray, queries: np.ndarray, k: int = 5, factor: float = 1.0,
+           within: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """The k nearest rows of the tree for each query: (query row, vec id, cosine), and how many distances it took.
 
     All queries go down together.  A half is left out for the queries whose distance to it, by the triangle
     inequality, is above ``factor`` times the distance of their k-th best so far; with factor one nothing is lost.
+    ``within`` is a distance per query inside which k rows are known already; rows beyond it are not returned.
     """
     points, goals, nodes, ids = unit(tree["vectors"]), unit(queries), tree["nodes"], tree["ids"]
-    reach = np.full(len(goals), np.inf)
+    limit = np.full(len(goals), np.inf) if within is None else within
+    reach = limit.copy()
     best = np.full((len(goals), k), np.inf)
     found: list[tuple[np.ndarray, np.ndarray]] = []
     work = 0
@@ -100,7 +114,7 @@ def search(tree: dict[str, np.ndarray], query_ids: np.ndarray, queries: np.ndarr
             found.append((active[q], begin + row))
             merged = np.concatenate([best[active], near], 1)
             best[active] = np.partition(merged, k - 1, 1)[:, :k]
-            reach[active] = best[active].max(1)
+            reach[active] = np.minimum(limit[active], best[active].max(1))
             return
         work += len(active)
         away = np.sqrt(((goals[active] - points[vantage]) ** 2).sum(1))
@@ -131,63 +145,261 @@ def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         F.col("id").isNotNull() & F.col("vector").isNotNull() & fine & F.exists("vector", lambda x: x != 0))
 
 
-def build_index(rows: DataFrame, shard_rows: int = SHARD_ROWS, leaf: int = LEAF) -> DataFrame:
-    """(shard, tree) over all of (id, vector): rows are dealt out by a hash of their number, one tree per shard.
+@dataclass(frozen=True)
+class Index:
+    """Trees by (width, cell, part), and what says which cells a query can leave out.
 
-    There are enough shards that none exceeds about ``shard_rows``, and, while they hold some hundred rows, enough to
-    keep all tasks busy.  Vectors of unlike length must not meet: the length is part of the shard's key.
+    A cell holds the vectors nearest to one of the ``pivots`` of their width; ``low`` and ``high`` bound, per cell, the distances of
+    its vectors to the first pivots and to its own.  ``parts`` is the number of trees of a cell; widths without pivots
+    have one cell of ``spread`` parts that is never left out.
     """
-    n = rows.count()
+
+    trees: DataFrame
+    pivots: dict[int, np.ndarray]
+    low: dict[int, np.ndarray]
+    high: dict[int, np.ndarray]
+    parts: dict[tuple[int, int], int]
+    spread: int
+
+
+def spread_points(points: np.ndarray, n: int) -> np.ndarray:
+    """Up to ``n`` different points, each the farthest from those before it."""
+    chosen, away = [0], np.full(len(points), np.inf)
+    while len(chosen) < n:
+        away = np.minimum(away, ((points - points[chosen[-1]]) ** 2).sum(1))
+        far = int(away.argmax())
+        if away[far] <= EPS:
+            break
+        chosen.append(far)
+    return points[chosen]
+
+
+def distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(2 - 2 * points @ pivots.T, 0))
+
+
+def to_marks(away: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """Distances to the first pivots and, last, to the pivot of the cell."""
+    return np.concatenate([away[:, :MARKS], away[np.arange(len(away)), cell][:, None]], 1)
+
+
+def _choose_pivots(rows: DataFrame, n: int, widest: int, cells: int) -> dict[int, np.ndarray]:
+    """Pivots by width from at most ``SAMPLE`` rows of smallest hashes, ``PIVOT_BYTES`` in all: a bound on what the driver holds."""
+    most = min(SAMPLE, PIVOT_BYTES // (8 * max(widest, 1)))
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(most).collect() if most else []
+    by_width: dict[int, list] = {}
+    for r in sample:
+        by_width.setdefault(len(r["vector"]), []).append(r["vector"])
+    return {w: spread_points(unit(np.array(v)), max(1, min(cells, MAX_CELLS) * len(v) // len(sample))) for w, v in by_width.items()}
+
+
+def in_cells(rows: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
+    """(id, vector) with width and cell, the nearest pivot's number."""
+    shared = rows.sparkSession.sparkContext.broadcast(pivots)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            widths, cells = vector_widths(batch), np.zeros(batch.num_rows, np.int32)
+            for width in np.unique(widths):
+                if width in shared.value:
+                    at = np.flatnonzero(widths == width)
+                    cells[at] = distances(unit(matrix(batch, at, width)), shared.value[width]).argmin(1)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("vector"), pa.array(widths.astype(np.int32)),
+                                              pa.array(cells)], ["id", "vector", "width", "cell"])
+
+    return rows.select("id", "vector").mapInArrow(run, "id bigint, vector array<double>, width int, cell int")
+
+
+def vector_widths(batch: pa.RecordBatch) -> np.ndarray:
+    return pc.list_value_length(batch.column("vector")).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def matrix(batch: pa.RecordBatch, at: np.ndarray, width: int) -> np.ndarray:
+    return batch.column("vector").take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(len(at), width)
+
+
+def _cell_bounds(placed: DataFrame, pivots: dict[int, np.ndarray]) -> list:
+    """(width, cell, n, low, high) of the cells that have pivots, at most ``SAMPLE`` of them; tasks send partial bounds."""
+    shared = placed.sparkSession.sparkContext.broadcast(pivots)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], list] = {}
+        for batch in batches:
+            widths, cells = batch.column("width").to_numpy(), batch.column("cell").to_numpy()
+            for width in np.unique(widths):
+                if int(width) not in shared.value:
+                    continue
+                at = np.flatnonzero(widths == width)
+                own = cells[at]
+                away = to_marks(distances(unit(matrix(batch, at, int(width))), shared.value[int(width)]), own)
+                for cell in np.unique(own):
+                    part = away[own == cell]
+                    n, low, high = held.get((int(width), int(cell)), (0, np.inf, -np.inf))
+                    held[int(width), int(cell)] = (n + len(part), np.minimum(low, part.min(0)), np.maximum(high, part.max(0)))
+        rows = [(w, c, n, low.tolist(), high.tolist()) for (w, c), (n, low, high) in held.items()]
+        yield pa.RecordBatch.from_pylist([dict(zip(BOUNDS.names, r)) for r in rows], schema=BOUNDS)
+
+    partial = placed.mapInArrow(run, "width int, cell int, n bigint, low array<double>, high array<double>")
+    return partial.groupBy("width", "cell").agg(
+        F.sum("n").alias("n"), *[F.array(*[f(F.get(c, F.lit(i))) for i in range(MARKS + 1)]).alias(c)
+                                 for f, c in ((F.min, "low"), (F.max, "high"))]).collect()
+
+
+def build_index(rows: DataFrame, shard_rows: int | None = None, leaf: int = LEAF) -> Index:
+    """Trees over all of (id, vector), a stored table.  Vectors go to the cell of their nearest pivot.
+
+    A cell of more rows than a tree may hold is dealt out over several trees by a hash of the row's number, so neither many
+    equal vectors nor a dense region make a tree large.  ``shard_rows`` is the size of a tree, by default
+    ``SHARD_BYTES`` of vectors, or less while that keeps all tasks busy.  Vectors of unlike length never meet.
+    """
+    n, widest = rows.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    shard_rows = shard_rows or max(64, SHARD_BYTES // (8 * (widest or 1)))
     shards = max(1, ceil(n / shard_rows), min(2 * common.partitions(rows.sparkSession), n // 128))
-    dealt = common.mark_rows(rows, "mark").select(
-        F.pmod(F.xxhash64("mark"), F.lit(shards)).alias("shard"), F.size("vector").alias("width"), "id", "vector")
+    pivots = _choose_pivots(rows, n, widest or 1, shards)
+    placed = stage(in_cells(rows, pivots), "vectors-in-cells")
+    low, high, parts = {}, {}, {}
+    for w, p in pivots.items():
+        marks = min(MARKS, len(p)) + 1
+        low[w], high[w] = np.full((len(p), marks), np.inf), np.full((len(p), marks), -np.inf)
+    for r in _cell_bounds(placed, pivots):
+        found = [[x for x in r[side] if x is not None] for side in ("low", "high")]
+        low[r["width"]][r["cell"]], high[r["width"]][r["cell"]] = found
+        parts[r["width"], r["cell"]] = ceil(r["n"] / ceil(n / shards))
+    index = Index(None, pivots, low, high, parts, shards)
+    dealt = _with_parts(common.mark_rows(placed, "mark"), index).select(
+        "width", "cell", F.pmod(F.xxhash64("mark"), F.col("parts")).cast("int").alias("part"), "id", "vector")
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         tree = build(part["id"].to_numpy(np.int64), np.stack(part["vector"].to_numpy()).astype(np.float64), leaf)
-        return pd.DataFrame({"shard": [key[0]], "width": [key[1]], "tree": [_pack(**tree)]})
+        return pd.DataFrame({"width": [key[0]], "cell": [key[1]], "part": [key[2]], "tree": [_pack(**tree)]})
 
-    return stage(dealt.groupBy("shard", "width").applyInPandas(run, "shard bigint, width int, tree binary"), "trees")
+    trees = dealt.groupBy("width", "cell", "part").applyInPandas(run, "width int, cell int, part int, tree binary")
+    return replace(index, trees=stage(trees, "trees"))
 
 
-def search_index(index: DataFrame, queries: DataFrame, k: int = 5, factor: float = 1.0,
-                 block: int = QUERY_BLOCK) -> DataFrame:
-    """The k nearest indexed rows of each query (id, vector): query_id, rank, vec_id, score.
+def _with_parts(df: DataFrame, index: Index) -> DataFrame:
+    """``df`` (width, cell …) with ``parts``, the number of trees of its cell; the table of cells is bounded by the sample."""
+    known = df.sparkSession.createDataFrame([(w, c, p) for (w, c), p in index.parts.items()], "width int, cell int, parts long")
+    joined = df.join(F.broadcast(known), ["width", "cell"], "left")
+    return joined.withColumn("parts", F.coalesce("parts", F.lit(index.spread).cast("long")))
 
-    Queries travel in blocks, one copy of a block per shard.  Each (tree, block) pair gives at most k rows a query, and
-    the best of all shards are ranked: largest cosine first, ties by smaller id.  Rows with the query's own id
-    are no candidates.  A query id that occurs several times is searched once, with its first vector.
-    """
-    single = queries.groupBy("id").agg(F.min("vector").alias("vector"))
-    n = single.count()
-    blocks = max(1, ceil(n / block))
+
+def _packed_queries(single: DataFrame, index: Index, block: int) -> DataFrame:
+    """(width, cell, part, queries): every query at one tree of its own cell, in blocks of about ``block``."""
+    placed = stage(in_cells(single, index.pivots), "queries-in-cells")
+    counts = placed.groupBy("width", "cell").agg(F.count(F.lit(1)).alias("n"))
+    many = stage(counts, "query-counts")
+    sized = _with_parts(placed.join(many, ["width", "cell"]), index)
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / (F.col("parts") * block)))
 
     def pack(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"width": [key[1]], "queries": [_pack(
+        return pd.DataFrame({"width": [key[0]], "cell": [key[1]], "part": [key[2]], "queries": [_pack(
             ids=part["id"].to_numpy(np.int64), vectors=np.stack(part["vector"].to_numpy()).astype(np.float64))]})
 
-    packed = stage(single.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), F.size("vector").alias("width"),
-                                 "id", "vector").groupBy("block", "width").applyInPandas(pack, "width int, queries binary"),
-                   "query-blocks")
-    shards = (index.agg(F.max("shard")).first()[0] or 0) + 1
-    sent = packed.select("width", F.explode(
-        F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), "queries")
-    pairs = index.join(sent, ["width", "shard"]).select("tree", "queries")
+    return sized.select("width", "cell", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"),
+                        F.pmod(F.xxhash64("id", F.lit(1)), blocks).alias("block"), "id", "vector").groupBy(
+        "width", "cell", "part", "block").applyInPandas(pack, "width int, cell int, part int, queries binary")
+
+
+def _found(asked: dict, tree: dict, k: int, factor: float) -> dict[str, np.ndarray]:
+    q, ids, scores, _ = search(tree, asked["ids"], asked["vectors"], k, factor, asked.get("within"))
+    return {"query": q, "found": ids, "scores": scores}
+
+
+def search_at_home(index: Index, queries: DataFrame, k: int = 5, factor: float = 1.0, block: int = QUERY_BLOCK) -> DataFrame:
+    """(width, cell, part, queries): blocks with the k nearest rows of their own tree and the distance they reach.
+
+    A query id that occurs several times is searched once, with its first vector.
+    """
+    single = queries.groupBy("id").agg(F.min("vector").alias("vector"))
+    packed = _packed_queries(single, index, block)
+    trees = index.trees
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                asked = _unpack(row["queries"])
+                reach = np.full(len(asked["ids"]), np.inf)
+                if row["tree"] is not None:
+                    asked.update(_found(asked, _unpack(row["tree"]), k, factor))
+                    n, last = np.bincount(asked["query"], minlength=len(reach)), np.full(len(reach), np.inf)
+                    np.minimum.at(last, asked["query"], asked["scores"])
+                    full = n == k
+                    reach[full] = np.sqrt(np.maximum(2 - 2 * last[full], 0))
+                asked["within"] = reach
+                yield pa.RecordBatch.from_pylist([{"width": row["width"], "cell": row["cell"], "part": row["part"],
+                                                   "queries": _pack(**asked)}], schema=BLOCK)
+
+    homes = packed.join(trees, ["width", "cell", "part"], "left").select("width", "cell", "part", "queries", "tree")
+    return stage(homes.mapInArrow(run, "width int, cell int, part int, queries binary"), "home-blocks")
+
+
+def routes(index: Index, homes: DataFrame, factor: float = 1.0) -> DataFrame:
+    """(width, cell, part, queries): the other trees that each block still has to visit, with the queries that do.
+
+    A query skips a cell whose vectors, by the triangle inequality over the distances to pivots, are farther than ``factor``
+    times the distance that the query has reached in its own tree.
+    """
+    shared = homes.sparkSession.sparkContext.broadcast((index.pivots, index.low, index.high))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivots, low, high = shared.value
+        for batch in batches:
+            for row in batch.to_pylist():
+                asked, width = _unpack(row["queries"]), row["width"]
+                wanted = np.ones((len(asked["ids"]), 1), bool)
+                if width in pivots:
+                    away = distances(unit(asked["vectors"]), pivots[width])
+                    nearest = np.zeros((len(away), len(pivots[width])))
+                    for j in range(low[width].shape[1]):
+                        d = away[:, j:j + 1] if j < low[width].shape[1] - 1 else away
+                        np.maximum(nearest, np.maximum(low[width][:, j] - d, d - high[width][:, j]), out=nearest)
+                    wanted = nearest <= factor * asked["within"][:, None] + EPS
+                    wanted &= np.isfinite(low[width][:, 0])  # cells that hold a vector
+                for cell in np.flatnonzero(wanted.any(0)):
+                    q = np.flatnonzero(wanted[:, cell])
+                    sent = _pack(ids=asked["ids"][q], vectors=asked["vectors"][q], within=asked["within"][q])
+                    yield pa.RecordBatch.from_pylist([{"width": width, "cell": int(cell), "home": row["part"] if cell == row["cell"] else -1,
+                                                       "queries": sent}], schema=ROUTE)
+
+    sent = _with_parts(homes.mapInArrow(run, "width int, cell int, home int, queries binary"), index)
+    return sent.select("width", "cell", "home", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))).alias("part"),
+                       "queries").where("part != home").drop("home")
+
+
+def search_index(index: Index, queries: DataFrame, k: int = 5, factor: float = 1.0, block: int = QUERY_BLOCK) -> DataFrame:
+    """The k nearest indexed rows of each query (id, vector): query_id, rank, vec_id, score.
+
+    Blocks of queries first search the tree at home, then visit the trees that ``routes`` leaves, with the distance reached.
+    The best of all are ranked: largest cosine first, ties by smaller id.  Rows with the query's own id are no candidates.
+    """
+    homes = search_at_home(index, queries, k, factor, block)
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for asked in map(_unpack, batch.column("queries").to_pylist()):
+                if "query" in asked:
+                    yield _hits(asked["ids"], asked)
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for tree, asked in zip(batch.column("tree"), batch.column("queries")):
                 goal = _unpack(asked.as_py())
-                q, ids, scores, _ = search(_unpack(tree.as_py()), goal["ids"], goal["vectors"], k, factor)
-                yield pa.RecordBatch.from_arrays([pa.array(goal["ids"][q]), pa.array(ids), pa.array(scores)],
-                                                 ["query_id", "vec_id", "score"])
+                yield _hits(goal["ids"], _found(goal, _unpack(tree.as_py()), k, factor))
+
+    def _hits(ids: np.ndarray, hits: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(ids[hits["query"]]), pa.array(hits["found"]), pa.array(hits["scores"])],
+                                          ["query_id", "vec_id", "score"])
 
-    found = pairs.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
+    hit = "query_id bigint, vec_id bigint, score double"
+    away = routes(index, homes, factor).join(index.trees, ["width", "cell", "part"]).select("tree", "queries").mapInArrow(visit, hit)
+    found = homes.select("queries").mapInArrow(unpacked, hit).unionAll(away)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.select("query_id", F.row_number().over(best).alias("rank"), "vec_id", "score").where(f"rank <= {k}")
 
 
 def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 50, k: int = 5,
-            factor: float = 1.0, shard_rows: int = SHARD_ROWS) -> DataFrame:
+            factor: float = 1.0, shard_rows: int | None = None) -> DataFrame:
     """The k nearest of all rows for each row whose id is divisible by ``every``: query_id, rank, vec_id, score.
 
     Nearness is the cosine in double precision, ties go to the smaller id.  Vectors that are null, zero or hold

@@ -358,6 +358,30 @@ def test_relaxed_search():
     assert len(same) >= 0.9 * len(exact[0])
 
 
+def test_cells_left_out(spark):
+    """On clustered vectors most trees are not visited, nothing is lost, and a hot cell is dealt out over several trees."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(30, 16))
+    points = np.concatenate([c + rng.normal(size=(60, 16)) * 0.05 for c in centres] + [np.repeat(centres[:1], 900, 0)])
+    rows = [(i, v.tolist()) for i, v in enumerate(points)] + [(5000 + i, [1.0, float(i)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id bigint, vector array<double>").repartition(5)
+    stored = vptree.stage(df, "test-vectors")
+    index = vptree.build_index(stored, 100)
+    trees = index.trees.count()
+    assert sum(r.n for r in index.trees.groupBy("width", "cell").count().withColumnRenamed("count", "n").collect()) == trees > 15
+    assert index.trees.groupBy("width", "cell").count().agg({"count": "max"}).first()[0] > 3
+    asked = stored.where("id % 50 = 0")
+    homes = vptree.search_at_home(index, asked)
+    visits = vptree.routes(index, homes).count()
+    assert visits < 0.5 * homes.count() * trees
+    assert vptree.routes(index, homes, 0.2).count() <= visits
+    expected = {q: near for width in (2, 16) for q, near in brute_nearest([r for r in rows if len(r[1]) == width], 50, 5).items()}
+    for factor, least in ((1.0, 1.0), (0.5, 0.9)):
+        got = {(r.query_id, r["rank"]): r.score for r in vptree.search_index(index, asked, factor=factor).collect()}
+        right = [abs(got.get((q, i), -2) + near[i - 1][0]) < 1e-9 for q, near in expected.items() for i in range(1, len(near) + 1)]
+        assert sum(right) >= least * len(right)
+
+
 def test_neighbours_of_few(spark):
     assert vptree.nearest(spark.createDataFrame([], VECTORS)).collect() == []
     df = spark.createDataFrame([(0, [1.0, 0.0], 1, "", ""), (0, [1.0, 0.0], 1, "", ""), (3, [1.0, 1.0], 1, "", ""), (4, [1.0, 0.0, 0.0], 1, "", "")], VECTORS)
