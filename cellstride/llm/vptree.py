@@ -30,7 +30,7 @@ EPS = 1e-6
 BOUNDS = pa.schema([("width", pa.int32()), ("cell", pa.int32()), ("n", pa.int64()), ("low", pa.list_(pa.float64())),
                     ("high", pa.list_(pa.float64()))])
 BLOCK = pa.schema([("width", pa.int32()), ("cell", pa.int32()), ("part", pa.int32()), ("queries", pa.binary())])
-ROUTE = pa.schema([("width", pa.int32()), ("cell", pa.int32()), ("home", pa.int32()), ("queries", pa.binary())])
+ROUTE = pa.schema([("width", pa.int32()), ("cell", pa.int32()), ("salt", pa.int32()), ("queries", pa.binary())])
 
 
 def _pack(**arrays: np.ndarray) -> bytes:
@@ -334,13 +334,16 @@ def search_at_home(index: Index, queries: DataFrame, k: int = 5, factor: float =
     return stage(homes.mapInArrow(run, "width int, cell int, part int, queries binary"), "home-blocks")
 
 
-def routes(index: Index, homes: DataFrame, factor: float = 1.0) -> DataFrame:
-    """(width, cell, part, queries): the other trees that each block still has to visit, with the queries that do.
+def routes(index: Index, homes: DataFrame, factor: float = 1.0, block: int = QUERY_BLOCK) -> DataFrame:
+    """(width, cell, part, queries): the other trees that queries still have to visit, with the queries that do.
 
     A query skips a cell whose vectors, by the triangle inequality over the distances to pivots, are farther than ``factor``
-    times the distance that the query has reached in its own tree.
+    times the distance that the query has reached in its own tree.  What goes to one cell is put together in blocks of
+    about ``block`` queries at most, sized for the case that every query goes there.
     """
     shared = homes.sparkSession.sparkContext.broadcast((index.pivots, index.low, index.high))
+    asking = homes.mapInArrow(_how_many, "n bigint").agg(F.sum("n")).first()[0] or 0
+    salts = max(1, ceil(asking / block))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivots, low, high = shared.value
@@ -350,21 +353,33 @@ def routes(index: Index, homes: DataFrame, factor: float = 1.0) -> DataFrame:
                 wanted = np.ones((len(asked["ids"]), 1), bool)
                 if width in pivots:
                     away = distances(unit(asked["vectors"]), pivots[width])
-                    nearest = np.zeros((len(away), len(pivots[width])))
-                    for j in range(low[width].shape[1]):
-                        d = away[:, j:j + 1] if j < low[width].shape[1] - 1 else away
+                    nearest, last = np.zeros((len(away), len(pivots[width]))), low[width].shape[1] - 1
+                    for j in range(last + 1):
+                        d = away[:, j:j + 1] if j < last else away
                         np.maximum(nearest, np.maximum(low[width][:, j] - d, d - high[width][:, j]), out=nearest)
                     wanted = nearest <= factor * asked["within"][:, None] + EPS
                     wanted &= np.isfinite(low[width][:, 0])  # cells that hold a vector
                 for cell in np.flatnonzero(wanted.any(0)):
                     q = np.flatnonzero(wanted[:, cell])
-                    sent = _pack(ids=asked["ids"][q], vectors=asked["vectors"][q], within=asked["within"][q])
-                    yield pa.RecordBatch.from_pylist([{"width": width, "cell": int(cell), "home": row["part"] if cell == row["cell"] else -1,
+                    home = np.full(len(q), row["part"] if cell == row["cell"] else -1, np.int32)
+                    sent = _pack(ids=asked["ids"][q], vectors=asked["vectors"][q], within=asked["within"][q], home=home)
+                    yield pa.RecordBatch.from_pylist([{"width": width, "cell": int(cell), "salt": (int(asked["ids"][0]) * 0x9E3779B97F4A7C15 % 2**64 >> 32) % salts,
                                                        "queries": sent}], schema=ROUTE)
 
-    sent = _with_parts(homes.mapInArrow(run, "width int, cell int, home int, queries binary"), index)
-    return sent.select("width", "cell", "home", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))).alias("part"),
-                       "queries").where("part != home").drop("home")
+    def together(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        subsets = [_unpack(x) for x in part["queries"]]
+        return pd.DataFrame({"width": [key[0]], "cell": [key[1]], "queries": [_pack(
+            **{n: np.concatenate([x[n] for x in subsets]) for n in subsets[0]})]})
+
+    sent = homes.mapInArrow(run, "width int, cell int, salt int, queries binary").groupBy("width", "cell", "salt").applyInPandas(
+        together, "width int, cell int, queries binary")
+    return _with_parts(sent, index).select(
+        "width", "cell", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))).alias("part"), "queries")
+
+
+def _how_many(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([len(_unpack(x)["ids"]) for x in batch.column("queries").to_pylist()], pa.int64())], ["n"])
 
 
 def search_index(index: Index, queries: DataFrame, k: int = 5, factor: float = 1.0, block: int = QUERY_BLOCK) -> DataFrame:
@@ -383,8 +398,12 @@ def search_index(index: Index, queries: DataFrame, k: int = 5, factor: float = 1
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for tree, asked in zip(batch.column("tree"), batch.column("queries")):
+            for part, tree, asked in zip(batch.column("part"), batch.column("tree"), batch.column("queries")):
                 goal = _unpack(asked.as_py())
+                new = goal.pop("home") != part.as_py()  # not what has been searched at home
+                if not new.any():
+                    continue
+                goal = {n: x[new] for n, x in goal.items()}
                 yield _hits(goal["ids"], _found(goal, _unpack(tree.as_py()), k, factor))
 
     def _hits(ids: np.ndarray, hits: dict) -> pa.RecordBatch:
@@ -392,7 +411,7 @@ def search_index(index: Index, queries: DataFrame, k: int = 5, factor: float = 1
                                           ["query_id", "vec_id", "score"])
 
     hit = "query_id bigint, vec_id bigint, score double"
-    away = routes(index, homes, factor).join(index.trees, ["width", "cell", "part"]).select("tree", "queries").mapInArrow(visit, hit)
+    away = routes(index, homes, factor, block).join(index.trees, ["width", "cell", "part"]).select("part", "tree", "queries").mapInArrow(visit, hit)
     found = homes.select("queries").mapInArrow(unpacked, hit).unionAll(away)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.select("query_id", F.row_number().over(best).alias("rank"), "vec_id", "score").where(f"rank <= {k}")
