@@ -2,7 +2,7 @@
 
 Derived series (District = event type throughout):
 
-* ``R``  raw events: value as ``down``, user as ``up``, instants distinct;
+* ``R``  raw events: value as ``down``, user as ``up``; rows of one instant go by the event's number;
 * ``M``  two-minute windows of the events: largest and smallest value, number of events;
 * ``G``  the same windows split into large, small and medium values, so that cells are missing.
 
@@ -33,6 +33,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 SPEC = SeriesSpec()
+TIES = SeriesSpec(ties=("event_id",))
 LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 G_COLS = ["down", "up", "rb_down", "rnti_count"]
 MINUTE_US = 60_000_000
@@ -50,6 +51,12 @@ def raw_series(spark: SparkSession, sf: str) -> DataFrame:
         F.col("value").alias("down"), F.col("user_id").cast("double").alias("up"))
 
 
+def ordered_series(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw series with the event's number, which orders the rows of one instant."""
+    return _events(spark, sf).select("District", "time", "event_id", F.col("value").alias("down"),
+                                     F.col("user_id").cast("double").alias("up"))
+
+
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").withColumnsRenamed({"event_type": "District", "ts": "time"})
 
@@ -541,7 +548,6 @@ def tied_series(spark: SparkSession, sf: str) -> DataFrame:
                                      "event_id", F.col("value").alias("down"))
 
 
-TIES = SeriesSpec(ties=("event_id",))
 T_SQL = """T AS (SELECT event_type AS "District", date_trunc('hour', ts) AS time, event_id, value AS down FROM events)"""
 IN_TIES = 'PARTITION BY "District" ORDER BY time, event_id'
 TIED_SPLIT = f"""WITH {T_SQL} SELECT *, row_number() OVER ({IN_TIES}) <= ceil(0.8::DOUBLE * count(*) OVER (
@@ -1047,7 +1053,7 @@ def fit_score_norms(spark, sf):
 def fit_score_l1(spark, sf):
     """Absolute loss, two features with three lags each."""
     config = ForecastConfig(targets=("down",), features=("down", "up"), n_lags=3, loss="l1", norm1=0.01)
-    return jobs.train_and_evaluate(raw_series(spark, sf), config)[1]
+    return jobs.train_and_evaluate(ordered_series(spark, sf), config, TIES)[1]
 
 
 @query()
