@@ -1009,7 +1009,7 @@ def train_and_evaluate(spark, sf):
 @query(f"WITH {AR1_SQL}, P AS (SELECT *, 0 AS dim FROM V) " + _dim_metrics('"District", dim'))
 def evaluate_by_series(spark, sf):
     """Held-out scores of each series and dimension."""
-    scored = jobs.train_and_evaluate(raw_series(spark, sf), AR1)[1]
+    scored = jobs.train_and_evaluate(ordered_series(spark, sf), AR1, TIES)[1]
     return tidy(metrics.metrics_by_dim(metrics.long_predictions(scored), ["District"]))
 
 

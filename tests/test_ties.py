@@ -13,6 +13,7 @@ S AS (SELECT *, row_number() OVER ({catalog.IN_ORDER}) <= ceil(0.8::DOUBLE * cou
 SELECT "District", time, down AS y_true FROM S WHERE NOT is_train"""
 NAMES = [
     "fit_score_l1",
+    "evaluate_by_series",
 ]
 
 
