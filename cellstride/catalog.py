@@ -283,7 +283,7 @@ def union_split(spark, sf):
   {r('cos(2*pi()*hour(time)/24)', 'cos_hour')}, {r('sin(2*pi()*minute(time)/60)', 'sin_minute')},
   {r('cos(2*pi()*minute(time)/60)', 'cos_minute')}, CASE WHEN is_train THEN 'train' ELSE 'val' END AS split FROM S""")
 def exogenous_by_area(spark, sf):
-    train, val = lags.split_train_val(raw_series(spark, sf))
+    train, val = lags.split_train_val(ordered_series(spark, sf), spec=TIES)
     return tidy(project.exogenous_by_series(timefeat.exogenous_time(train), timefeat.exogenous_time(val)))
 
 

@@ -14,6 +14,7 @@ SELECT "District", time, down AS y_true FROM S WHERE NOT is_train"""
 NAMES = [
     "fit_score_l1",
     "evaluate_by_series",
+    "exogenous_by_area",
 ]
 
 
