@@ -1060,7 +1060,7 @@ def fit_score_l1(spark, sf):
 def fit_rounds_patience(spark, sf):
     """Validation loss after each round of boosting up to the stop, and the round that is kept."""
     config = ForecastConfig(targets=("down",), features=("down", "up"), n_lags=3, kind="gbt", max_iter=8, patience=3)
-    return fit_forecaster(raw_series(spark, sf), config).rounds(spark)
+    return fit_forecaster(ordered_series(spark, sf), config, TIES).rounds(spark)
 
 
 @query(f"WITH {AR1_SQL} SELECT {KEYTIME}, {rs('y_pred')} FROM Y")

@@ -15,6 +15,7 @@ NAMES = [
     "fit_score_l1",
     "evaluate_by_series",
     "exogenous_by_area",
+    "fit_rounds_patience",
 ]
 
 
