@@ -1025,8 +1025,8 @@ B AS (SELECT (xy*zz - zy*xz) / (xx*zz - xz*xz) AS b, (zy*xx - xy*xz) / (xx*zz -
 SELECT {KEYTIME}, {r('down', 'y_true')}, {r('my + b*(x - mx) + c*(z - mz)', 'y_pred')} FROM S, B WHERE NOT is_train""")
 def fit_score_exogenous(spark, sf):
     """One lag and one time feature, fitted on the first part of each series and scored on the rest."""
-    rows = raw_series(spark, sf).withColumn("sin_hour", F.sin(2 * F.pi() * F.hour("time") / 24))
-    scored = jobs.train_and_evaluate(rows, ARX)[1]
+    rows = ordered_series(spark, sf).withColumn("sin_hour", F.sin(2 * F.pi() * F.hour("time") / 24))
+    scored = jobs.train_and_evaluate(rows, ARX, TIES)[1]
     return tidy(scored.select("District", "time", F.get("y_true", 0).alias("y_true"), F.get("y_pred", 0).alias("y_pred")))
 
 

@@ -16,6 +16,7 @@ NAMES = [
     "evaluate_by_series",
     "exogenous_by_area",
     "fit_rounds_patience",
+    "fit_score_exogenous",
 ]
 
 
