@@ -17,6 +17,7 @@ NAMES = [
     "exogenous_by_area",
     "fit_rounds_patience",
     "fit_score_exogenous",
+    "fit_score_gbt",
 ]
 
 
