@@ -18,6 +18,7 @@ NAMES = [
     "fit_rounds_patience",
     "fit_score_exogenous",
     "fit_score_gbt",
+    "fit_score_linear",
 ]
 
 
