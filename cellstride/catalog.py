@@ -1045,7 +1045,7 @@ SELECT {KEYTIME}, {r('down', 'y_true')}, {r('my + w * (x - mx)', 'y_pred')} FROM
 def fit_score_norms(spark, sf):
     """Both plain norms as penalties; of one coefficient they are the same, and the fit has a closed form."""
     config = replace(AR1, norm1=PENALTY, norm2=PENALTY)
-    scored = jobs.train_and_evaluate(raw_series(spark, sf), config)[1]
+    scored = jobs.train_and_evaluate(ordered_series(spark, sf), config, TIES)[1]
     return tidy(scored.select("District", "time", F.get("y_true", 0).alias("y_true"), F.get("y_pred", 0).alias("y_pred")))
 
 

@@ -19,6 +19,7 @@ NAMES = [
     "fit_score_exogenous",
     "fit_score_gbt",
     "fit_score_linear",
+    "fit_score_norms",
 ]
 
 
