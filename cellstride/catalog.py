@@ -1066,9 +1066,9 @@ def fit_rounds_patience(spark, sf):
 @query(f"WITH {AR1_SQL} SELECT {KEYTIME}, {rs('y_pred')} FROM Y")
 def model_round_trip(spark, sf):
     path = scratch_path(spark, "model")
-    fit_forecaster(raw_series(spark, sf), AR1).save(path)
+    fit_forecaster(ordered_series(spark, sf), AR1, TIES).save(path)
     loaded: Forecaster = load_forecaster(spark, path)
-    return tidy(loaded.score(raw_series(spark, sf)).select("District", "time", F.get("y_pred", 0).alias("y_pred")))
+    return tidy(loaded.score(ordered_series(spark, sf)).select("District", "time", F.get("y_pred", 0).alias("y_pred")))
 
 
 # ------------------------------------------------------------------- downsampling, jobs

@@ -20,6 +20,7 @@ NAMES = [
     "fit_score_gbt",
     "fit_score_linear",
     "fit_score_norms",
+    "model_round_trip",
 ]
 
 
