@@ -439,9 +439,9 @@ def scaler_params(spark, sf):
 @query(f"""WITH {SPLIT_SQL}, T AS (SELECT * FROM S WHERE is_train), """ + _scaled_sql(
     "standard", "S", "T", True, extra=", CASE WHEN is_train THEN 'train' ELSE 'val' END AS split"))
 def scale_train_val(spark, sf):
-    train, val = lags.split_train_val(raw_series(spark, sf))
-    train, val, _ = scale.scale_train_val(train, val, "standard", per_series=True)
-    return tidy(project.stack_splits(train, val))
+    train, val = lags.split_train_val(ordered_series(spark, sf), spec=TIES)
+    train, val, _ = scale.scale_train_val(train, val, "standard", per_series=True, spec=TIES)
+    return tidy(project.stack_splits(train, val).drop("event_id"))
 
 
 @query(f"WITH {G_SQL} SELECT {KEYTIME}, {rs('down', 'up')} FROM G")

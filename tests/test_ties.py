@@ -21,6 +21,7 @@ NAMES = [
     "fit_score_linear",
     "fit_score_norms",
     "model_round_trip",
+    "scale_train_val",
 ]
 
 
