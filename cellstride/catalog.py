@@ -539,7 +539,7 @@ def split_report(spark, sf):
 
 @query(f"WITH {R_SQL} SELECT {KEYTIME}, down, up FROM R QUALIFY row_number() OVER ({IN_ORDER}) > 5")
 def skip_rows(spark, sf):
-    return lags.skip_rows(raw_series(spark, sf), 5)
+    return lags.skip_rows(ordered_series(spark, sf), 5, TIES).drop("event_id")
 
 
 def tied_series(spark: SparkSession, sf: str) -> DataFrame:

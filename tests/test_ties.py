@@ -22,6 +22,7 @@ NAMES = [
     "fit_score_norms",
     "model_round_trip",
     "scale_train_val",
+    "skip_rows",
 ]
 
 
