@@ -575,8 +575,8 @@ def skip_with_ties(spark, sf):
 CUT_ROWS = 300
 
 
-def _cut(df: DataFrame):
-    return plan_layout(df, rows_per_slot=CUT_ROWS)
+def _cut(df: DataFrame, spec: SeriesSpec = SPEC):
+    return plan_layout(df, spec, CUT_ROWS)
 
 
 @query(ORACLES["row_lags"])
@@ -599,8 +599,8 @@ def impute_time_cut(spark, sf):
 
 @query(ORACLES["train_val_split"])
 def split_cut(spark, sf):
-    rows = raw_series(spark, sf)
-    return lags.mark_split(rows, layout=_cut(rows))
+    rows = ordered_series(spark, sf)
+    return lags.mark_split(rows, spec=TIES, layout=_cut(rows, TIES)).drop("event_id")
 
 
 @query(ORACLES["cap_params"])

@@ -23,6 +23,7 @@ NAMES = [
     "model_round_trip",
     "scale_train_val",
     "skip_rows",
+    "split_cut",
 ]
 
 
