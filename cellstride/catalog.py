@@ -534,7 +534,7 @@ def train_val_split(spark, sf):
 @query(f"""WITH {SPLIT_SQL} SELECT "District", count(*) AS n_total, count(*) FILTER (is_train) AS n_train,
   count(*) FILTER (NOT is_train) AS n_val FROM S GROUP BY ROLLUP("District")""")
 def split_report(spark, sf):
-    return lags.split_report(lags.mark_split(raw_series(spark, sf)))
+    return lags.split_report(lags.mark_split(ordered_series(spark, sf), spec=TIES))
 
 
 @query(f"WITH {R_SQL} SELECT {KEYTIME}, down, up FROM R QUALIFY row_number() OVER ({IN_ORDER}) > 5")

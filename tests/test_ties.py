@@ -24,6 +24,7 @@ NAMES = [
     "scale_train_val",
     "skip_rows",
     "split_cut",
+    "split_report",
 ]
 
 
