@@ -1003,7 +1003,7 @@ def fit_score_linear(spark, sf):
   {r('avg(abs(y_true - y_pred))', 'mae')}, {r('1 - avg((y_true - y_pred)^2) / var_pop(y_true)', 'r2')},
   {r('sqrt(avg((y_true - y_pred)^2)) / avg(y_true)', 'nrmse')} FROM V""")
 def train_and_evaluate(spark, sf):
-    return tidy(jobs.train_and_evaluate(raw_series(spark, sf), AR1)[2])
+    return tidy(jobs.train_and_evaluate(ordered_series(spark, sf), AR1, TIES)[2])
 
 
 @query(f"WITH {AR1_SQL}, P AS (SELECT *, 0 AS dim FROM V) " + _dim_metrics('"District", dim'))

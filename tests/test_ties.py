@@ -25,6 +25,7 @@ NAMES = [
     "skip_rows",
     "split_cut",
     "split_report",
+    "train_and_evaluate",
 ]
 
 
