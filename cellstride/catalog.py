@@ -528,7 +528,7 @@ def sampling_check(spark, sf):
 
 @query(f"WITH {SPLIT_SQL} SELECT {KEYTIME}, down, up, is_train FROM S")
 def train_val_split(spark, sf):
-    return lags.mark_split(raw_series(spark, sf))
+    return lags.mark_split(ordered_series(spark, sf), spec=TIES).drop("event_id")
 
 
 @query(f"""WITH {SPLIT_SQL} SELECT "District", count(*) AS n_total, count(*) FILTER (is_train) AS n_train,

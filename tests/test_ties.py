@@ -26,6 +26,7 @@ NAMES = [
     "split_cut",
     "split_report",
     "train_and_evaluate",
+    "train_val_split",
 ]
 
 
