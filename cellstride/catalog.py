@@ -276,7 +276,7 @@ SPLIT_SQL = f"""{R_SQL}, S AS (SELECT *, row_number() OVER ({IN_ORDER})
 @query(f"""WITH {SPLIT_SQL} SELECT {KEYTIME}, down, up,
   CASE WHEN is_train THEN 'train' ELSE 'val' END AS split FROM S""")
 def union_split(spark, sf):
-    return project.stack_splits(*lags.split_train_val(raw_series(spark, sf)))
+    return project.stack_splits(*lags.split_train_val(ordered_series(spark, sf), spec=TIES)).drop("event_id")
 
 
 @query(f"""WITH {SPLIT_SQL} SELECT {KEYTIME}, {r('sin(2*pi()*hour(time)/24)', 'sin_hour')},

@@ -27,6 +27,7 @@ NAMES = [
     "split_report",
     "train_and_evaluate",
     "train_val_split",
+    "union_split",
 ]
 
 
