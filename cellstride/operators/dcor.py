@@ -11,12 +11,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..plans.ranks import melt
 from ..sources.staging import stage
-from .scale import fit_scaler
 
-BLOCK_ROWS, MOST_BLOCK_ROWS = 50_000, 1_000_000   # rows of a block, for small and for large tables
-OWN_BLOCK = 4_096                                 # a value with more than this share of the rows is a block of its own
+BLOCK_ROWS, MOST_BLOCK_ROWS = 50_000, 1_000_000   # points of a block, for small and for large tables
+OWN_BLOCK = 4_096                                 # a value with more than one part in so many of the points is a block of its own
 CELLS = 1 << 22                                   # grid cells that one task works on
-CHUNK = 1 << 18                                   # rows a task looks at together
+CHUNK = 1 << 18                                   # points a task looks at together
 CELL = "pair int, bx bigint, by bigint, w double, wx double, wy double, wxy double"
 
 
@@ -46,11 +45,11 @@ class Axis:
     def mean_of_single(self, values: np.ndarray, block: np.ndarray) -> np.ndarray:
         return self.mean_distance(values, (self.rows_below + self.rows)[block], (self.sum_below + self.sums)[block])
 
-    def mean_in_block(self, values: np.ndarray, block: int) -> np.ndarray:
+    def mean_in_block(self, values: np.ndarray, w: np.ndarray, block: int) -> np.ndarray:
         at = np.argsort(values, kind="stable")
         out = np.empty(len(values))
-        out[at] = self.mean_distance(values[at], self.rows_below[block] + np.arange(1, len(at) + 1),
-                                     self.sum_below[block] + np.cumsum(values[at]))
+        out[at] = self.mean_distance(values[at], self.rows_below[block] + np.cumsum(w[at]),
+                                     self.sum_below[block] + np.cumsum((w * values)[at]))
         return out
 
 
@@ -90,49 +89,49 @@ def dominance(order: np.ndarray, y: np.ndarray, terms: np.ndarray) -> float:
     return total
 
 
-def _row_terms(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.stack([np.ones(len(x)), x, y, x * y])
+def _point_terms(w: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.stack([w, w * x, w * y, w * x * y])
 
 
 def _column(table: pa.Table | pa.RecordBatch, name: str) -> np.ndarray:
     return table.column(name).to_numpy(zero_copy_only=False) if isinstance(table, pa.RecordBatch) else table[name].to_numpy()
 
 
-def _axes(scaled: DataFrame, columns: list[str], n: int, per_block: int, own: int) -> list[Axis]:
-    """The ranges of every column: each of at most about ``per_block`` rows, or of one value that alone holds more than
-    one part in ``own`` of the rows.
+def _axes(points: DataFrame, columns: int, n: int, per_block: int, own: int) -> list[Axis]:
+    """The ranges of every column: each of at most about ``per_block`` points, or of one value that alone holds more than
+    one part in ``own`` of the points.
 
     Equal values are counted on the map side and range-partitioned; each task cuts its values, in order.
-    What comes to the driver has at most n / per_block + 2·own + tasks entries a column.
+    What comes to the driver has at most points / per_block + 2·own + tasks entries a column.
     """
-    numbered = scaled.select(*[F.col(f"`{c}`").alias(str(i)) for i, c in enumerate(columns)])
-    counts = melt(numbered, [], [str(i) for i in range(len(columns))]).groupBy(
-        F.col("feature").cast("int").alias("c"), (F.col("value") + F.lit(0.0)).alias("v")).agg(F.count(F.lit(1)).alias("w"))
-    tasks = int(scaled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = points.select("w", *[F.col(f"v{i}").alias(str(i)) for i in range(columns)])
+    counts = melt(numbered, ["w"], [str(i) for i in range(columns)]).groupBy(
+        F.col("feature").cast("int").alias("c"), F.col("value").alias("v")).agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("m"))
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = counts.repartitionByRange(tasks, "c", "v").sortWithinPartitions("c", "v")
     frequent = max(n / own, 1.0)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_, last = None, (-1, -1, True, 0)  # the last value's column, range, frequent or not, and rows up to it
+        open_, last = None, (-1, -1, True, 0)  # the last value's column, range, frequent or not, and points up to it
         def give(parts):
             names = ["c", "low", "rows", "sums", "different"]
             return pa.RecordBatch.from_arrays([pa.array(list(x)) for x in zip(*parts)], names)
 
         for batch in batches:
-            c, v, w = (_column(batch, x) for x in ("c", "v", "w"))
+            c, v, w, m = (_column(batch, x) for x in ("c", "v", "w", "m"))
             if not len(c):
                 continue
-            upto = np.cumsum(w)
+            upto = np.cumsum(m)
             starts = np.concatenate([[c[0] != last[0]], c[1:] != c[:-1]])
-            base = np.maximum.accumulate(np.where(starts, upto - w, 0))
+            base = np.maximum.accumulate(np.where(starts, upto - m, 0))
             carried = np.where(np.cumsum(starts) == 0, last[3], 0)
-            range_ = (upto - w - base + carried) // per_block
-            hot = w > frequent
+            range_ = (upto - m - base + carried) // per_block
+            hot = m > frequent
             new = starts | hot | np.concatenate([[last[2] or range_[0] != last[1]], hot[:-1] | (range_[1:] != range_[:-1])])
             begins = np.flatnonzero(new)
             if not len(begins) or begins[0] > 0:  # goes on with the open range
                 upper = begins[0] if len(begins) else len(c)
-                open_ = (open_[0], open_[1], open_[2] + int(w[:upper].sum()), open_[3] + float((w * v)[:upper].sum()), open_[4] + int(upper))
+                open_ = (open_[0], open_[1], open_[2] + float(w[:upper].sum()), open_[3] + float((w * v)[:upper].sum()), open_[4] + int(upper))
             if len(begins):
                 done = [open_] if open_ else []
                 rows, sums = np.add.reduceat(w, begins), np.add.reduceat(w * v, begins)
@@ -146,23 +145,23 @@ def _axes(scaled: DataFrame, columns: list[str], n: int, per_block: int, own: in
         if open_:
             yield give([open_])
 
-    found = ordered.mapInArrow(cut, "c bigint, low double, rows bigint, sums double, different bigint").toArrow().sort_by(
+    found = ordered.mapInArrow(cut, "c bigint, low double, rows double, sums double, different bigint").toArrow().sort_by(
         [("c", "ascending"), ("low", "ascending")])
     out = []
-    for i in range(len(columns)):
+    for i in range(columns):
         mine = found.filter(pa.compute.equal(found["c"], i))
-        rows, sums = mine["rows"].to_numpy().astype(float), mine["sums"].to_numpy()
+        rows, sums = mine["rows"].to_numpy(), mine["sums"].to_numpy()
         out.append(Axis(mine["low"].to_numpy(), np.cumsum(rows) - rows, np.cumsum(sums) - sums, rows, sums,
                         mine["different"].to_numpy() == 1))
     return out
 
 
 def _moved(rows: DataFrame, c: int, axes: list[Axis], pairs: list[tuple[int, int]]) -> DataFrame:
-    """The rows with ``m{c}``, their mean distance along column ``c``, and rows (pair, found): the sums over row pairs that
-    meet in one range of ``c``.
+    """The points with ``m{c}``, their mean distance along column ``c``, and rows (pair, found): the sums over pairs of points
+    that meet in one range of ``c``.
 
-    Rows go to the task of their range; those whose value has a range of its own need no company and stay in small bundles.
-    Along a pair's first column every two rows of a range are compared; along its second, those in different
+    Points go to the task of their range; those whose value has a range of its own need no company and stay in small bundles.
+    Along a pair's first column every two points of a range are compared; along its second, those in different
     ranges of the first.
     """
     sent = rows.sparkSession.sparkContext.broadcast(axes)
@@ -178,18 +177,18 @@ def _moved(rows: DataFrame, c: int, axes: list[Axis], pairs: list[tuple[int, int
 
     def meet(table: pa.Table) -> pa.Table:
         axes_ = sent.value
-        axis, block, v = axes_[c], int(table["block"][0].as_py()), _column(table, f"v{c}")
+        axis, block, v, w = axes_[c], int(table["block"][0].as_py()), _column(table, f"v{c}"), _column(table, "w")
         if block < 0:
             mean, sums = axis.mean_of_single(v, axis.block(v)), []
         else:
-            mean, sums = axis.mean_in_block(v, block), []
+            mean, sums = axis.mean_in_block(v, w, block), []
             for p, (a, b) in enumerate(pairs):
                 if c == a:
                     y = _column(table, f"v{b}")
-                    sums.append((p, dominance(v, y, _row_terms(v, y))))
+                    sums.append((p, dominance(v, y, _point_terms(w, v, y))))
                 elif c == b:
                     x = _column(table, f"v{a}")
-                    sums.append((p, dominance(axes_[a].block(x), v, _row_terms(x, v))))
+                    sums.append((p, dominance(axes_[a].block(x), v, _point_terms(w, x, v))))
         told = table.drop_columns(["block"]).append_column(f"m{c}", pa.array(mean))
         told = told.append_column("pair", pa.nulls(len(v), pa.int32())).append_column("found", pa.nulls(len(v), pa.float64()))
         if not sums:
@@ -215,18 +214,18 @@ def _cells(rows: DataFrame, axes: list[Axis], pairs: list[tuple[int, int]], move
 
         def sums(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
             table = pa.Table.from_batches(parts)
-            v = {c: _column(table, f"v{c}") for c in used}
+            w, v = _column(table, "w"), {c: _column(table, f"v{c}") for c in used}
             blocks = {c: axes_[c].block(v[c]) for c in used}
             means = {c: _column(table, f"m{c}") if c in moved else axes_[c].mean_of_single(v[c], blocks[c]) for c in used}
             for c in used:
-                moments[:, c] += means[c].sum(), means[c] @ means[c], v[c] @ v[c]
+                moments[:, c] += w @ means[c], (w * means[c]) @ means[c], (w * v[c]) @ v[c]
             out = []
             for p, (a, b) in enumerate(pairs):
-                cross[:, p] += means[a] @ means[b], v[a] @ v[b]
+                cross[:, p] += (w * means[a]) @ means[b], (w * v[a]) @ v[b]
                 width = len(axes_[b].low)
                 cell, at = np.unique(blocks[a] * width + blocks[b], return_inverse=True)
                 out.append([np.full(len(cell), p, np.int32), cell // width, cell % width,
-                            *(np.bincount(at, t, len(cell)) for t in _row_terms(v[a], v[b]))])
+                            *(np.bincount(at, t, len(cell)) for t in _point_terms(w, v[a], v[b]))])
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["pair", "bx", "by", "w", "wx", "wy", "wxy"])
 
         held, n = [], 0
@@ -288,31 +287,39 @@ def _by_cells(cells: DataFrame, sizes: list[tuple[int, int]], limit: int) -> dic
 
 
 def pair_distance_correlation(df: DataFrame, pairs: list[tuple[str, str]], block_rows: int | None = None, own_block: int = OWN_BLOCK,
-                              cells: int = CELLS) -> DataFrame:
+                              cells: int = CELLS, weight: str | None = None) -> DataFrame:
     """Exact distance correlation ``(feature_x, feature_y, dcor)`` of the given column pairs without pairs of rows.
 
     With a = |xᵢ−xⱼ| and b = |yᵢ−yⱼ|, dCov² = mean(ab) − 2·mean(āᵢ·b̄ᵢ) + ā·b̄.  The mean distances ā of a row come from
     counts and sums up to its value, once per column.  For the cross term, Σab = 2·C − S over unordered row pairs,
     where S is the signed sum (from plain moments) and C sums (xᵢ−xⱼ)(yᵢ−yⱼ) over concordant row pairs.
 
-    Each column's values are cut into ranges of about ``block_rows`` rows; a frequent value is a range of its own,
-    in which no pair of rows adds anything.  So rows travel only along columns that have ranges of several values, once
+    Equal rows are one point that counts as often as it occurs; ``weight`` names the column that holds this number where
+    the rows have been counted before.
+
+    Each column's values are cut into ranges of about ``block_rows`` points; a frequent value is a range of its own,
+    in which no pair of rows adds anything.  So points travel only along columns that have ranges of several values, once
     per such column, whatever the number of pairs.  C is the sum over row pairs that meet in a range of either column,
     plus the sum over pairs of occupied grid cells (``_by_cells``).
     """
     columns = sorted({c for pair in pairs for c in pair})
     at = {c: i for i, c in enumerate(columns)}
     schema = "feature_x string, feature_y string, dcor double"
-    scaled = fit_scaler(df, "standard", columns).apply(df.select(*[F.col(f"`{c}`") for c in columns]))
-    n = scaled.count()
-    if not n or not pairs:
+    values = [(F.col(f"`{c}`").cast("double") + F.lit(0.0)).alias(f"v{i}") for i, c in enumerate(columns)]
+    counted = df.select(*values, F.col(f"`{weight}`").cast("double").alias("w")) if weight else stage(
+        df.select(*values).groupBy(*[f"v{i}" for i in range(len(columns))]).agg(F.count(F.lit(1)).cast("double").alias("w")), "points")
+    v = [F.col(f"v{i}") for i in range(len(columns))]
+    size = counted.agg(F.count(F.lit(1)).alias("points"), F.sum("w").alias("n"), *[(F.sum(F.col("w") * x) / F.sum("w")) for x in v]).first()
+    if not size["points"] or not pairs:
         return df.sparkSession.createDataFrame([], schema)
-    per_block = block_rows or max(BLOCK_ROWS, min(MOST_BLOCK_ROWS, n // own_block))
-    axes = _axes(scaled, columns, n, per_block, own_block)
+    n, means = size["n"], size[2:]
+    spreads = counted.agg(*[F.sqrt(F.sum(F.col("w") * (x - F.lit(m)) * (x - F.lit(m))) / F.lit(n)) for x, m in zip(v, means)]).first()
+    rows = counted.select(*[((x - F.lit(m)) / F.lit(d or 1.0)).alias(f"v{i}") for i, (x, m, d) in enumerate(zip(v, means, spreads))], "w")
+    per_block = block_rows or max(BLOCK_ROWS, min(MOST_BLOCK_ROWS, size["points"] // own_block))
+    axes = _axes(rows, len(columns), size["points"], per_block, own_block)
     several = [i for i, axis in enumerate(axes) if not axis.single.all()]
     # Where one column of a pair has single values only, it goes first: rows then meet by its ranges alone.
     numbered = [(b, a) if a in several and b not in several else (a, b) for a, b in ((at[x], at[y]) for x, y in pairs)]
-    rows = scaled.select(*[(F.col(f"`{c}`") + F.lit(0.0)).alias(f"v{i}") for i, c in enumerate(columns)])
     concordant = np.zeros(len(pairs))
     for c in several:
         done = _moved(rows, c, axes, numbered)

@@ -155,6 +155,8 @@ def component_correlation(df: DataFrame, columns: list[str] | None = None, thres
     """Distance correlation of every feature with every kept component."""
     fitted = Components(df, columns, spec)
     k = fitted.count_for(threshold)
-    projected = stage(fitted.project(df, k).select(*fitted.columns, *[f"PC_{i + 1}" for i in range(k)]), "components")
+    # Equal rows have equal components: they are projected, and told apart from other rows, once.
+    counted = (drop_any_missing(df, fitted.columns).groupBy(*fitted.columns).agg(F.count(F.lit(1)).alias("__rows")))
+    projected = stage(fitted.project(counted, k), "components")
     return pair_distance_correlation(
-        projected, [(c, f"PC_{i + 1}") for c in fitted.columns for i in range(k)], block_rows)
+        projected, [(c, f"PC_{i + 1}") for c in fitted.columns for i in range(k)], block_rows, weight="__rows")

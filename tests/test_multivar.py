@@ -62,6 +62,19 @@ def test_rows_travel_once_per_column_of_many_values(wide, monkeypatch):
     assert moved == [1, 2]
 
 
+def test_equal_rows_travel_as_one_point(wide, monkeypatch):
+    data, df = wide
+    copies = df.select("x", "noise", "square").withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(F.col("x") > 0, 9).otherwise(2))))
+    told, whole = [], dcor._moved
+    monkeypatch.setattr(dcor, "_moved", lambda rows, c, *rest: told.append(rows.count()) or whole(rows, c, *rest))
+    got = dcor.pair_distance_correlation(copies, [("x", "noise"), ("noise", "square")], 60).collect()
+    assert told == [df.select("x", "noise", "square").distinct().count()] * 3
+    often = np.where(data["x"] > 0, 9, 2)
+    for r in got:
+        expected = brute_dcor(*[np.repeat(data[r[c]], often) for c in ("feature_x", "feature_y")])
+        assert r["dcor"] == pytest.approx(expected, abs=1e-7)
+
+
 def test_distance_correlation_of_constants_and_order(wide):
     _, df = wide
     flat = df.withColumn("flat", F.lit(3.0))
