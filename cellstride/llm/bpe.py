@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import json
 import re
+import string
 import sys
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -18,8 +21,10 @@ from . import common
 
 #: Splits a text into the pieces that merges stay within (fixed value of this tokenizer family).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Encoded pieces a worker remembers before it starts afresh.
-REMEMBERED = 150_000
+#: Encoded units, and judged pairs of tokens, that a worker remembers before it starts afresh.
+REMEMBERED = 300_000
+#: Bytes of texts that are cut and encoded at once; a longer text is taken alone.
+CUT_BYTES = 4 << 20
 
 
 def _byte_letters() -> dict[str, int]:
@@ -58,12 +63,36 @@ def later_letters() -> str:
     return "".join(sorted(out))
 
 
-def _latin(text: str) -> bool:
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return True
+def _byte_kinds() -> dict[str, np.ndarray]:
+    """What a byte alone tells: a lone 80 to 8A, 9F, A0, A8, A9 or AF may end a white-space character, C2 and E1 to E3 may begin one."""
+    every = np.arange(256)
+    shown = (every > 0x20) & (every < 0x7F)
+    word = np.isin(every, np.frombuffer(string.ascii_letters.encode() + string.digits.encode(), np.uint8))
+    ends = [*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]
+    return {"space": np.isin(every, [0x20, 0x0A]), "line": every == 0x0A, "word": word, "mark": shown & ~word, "pair": (every > 0xC2) & (every < 0xE0),
+            "solid": shown | (every > 0x7F) & (every < 0xC0) & ~np.isin(every, ends),
+            "begins": shown | (every > 0xC2) & ~np.isin(every, [0xE1, 0xE2, 0xE3])}
+
+
+KINDS = _byte_kinds()
+
+
+def cuts(text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where units of UTF-8 bytes begin, and the end: at ``at``, and at some places that no piece of ``PIECES`` reaches over.
+
+    Those are a blank or line end behind what is surely no white space, what follows a lone line end, and a mark behind a letter
+    or digit.  What is doubtful is not cut, so that a unit holds whole pieces, and gives the same ones by itself.
+    """
+    n = len(text)
+    cut = np.zeros(n + 1, bool)
+    if n > 1:
+        kind = {name: of[text] for name, of in KINDS.items()}
+        solid = kind["solid"]
+        solid[1:] |= kind["pair"][:-1]
+        cut[1:n] = kind["space"][1:] & solid[:-1] | kind["mark"][1:] & kind["word"][:-1]
+        cut[2:n] |= kind["line"][1:-1] & solid[:-2] & kind["begins"][2:]
+    cut[at] = cut[n] = True
+    return np.flatnonzero(cut)
 
 
 class Decoder:
@@ -103,16 +132,15 @@ class Codec(Decoder):
             self.shorter[i] = next((by_text[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in by_text), None)
         self.matches.make_automaton()
         self.fits: dict[int, bool] = {}
-        self.known: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
-        self.doubled = regex.compile(r"\s\s|^\s|\s$|\s\Z")
+        self.units: dict[bytes, bytes] = {}
         self.pieces = regex.compile(PIECES)
         later = vocabulary["later"]
-        # Most texts hold nothing from the first of these letters on, which a plain range tells fast.
+        # Most units hold nothing from the first of these letters on, which a plain range tells fast.
         self.high = re.compile(f"[{later[0]}-\U0010ffff]") if later else None
         self.later = regex.compile(f"[{later}]") if later else None
         names = sorted(self.special, key=len, reverse=True)
-        self.split = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
+        self.names = {x.encode(): np.int32(i).tobytes() for x, i in self.special.items()}
+        self.split = re.compile(b"|".join(re.escape(x.encode()) for x in names)) if names else None
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether the merges leave these two tokens side by side.
@@ -187,49 +215,72 @@ class Codec(Decoder):
                     continue
             token = shorter[token]
 
-    def _pieces(self, text: str, spans: list[tuple[int, int]] | None = None) -> bytes:
-        known, out = self.known, []
-        for piece in self.pieces.findall(text) if spans is None else [text[a:b] for a, b in spans]:
-            ids = known.get(piece)
-            if ids is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                ids = np.array(self.encode_piece(piece), np.int32).tobytes()
-                if len(piece) <= 64:
-                    known[piece] = ids
-            out.append(ids)
-        return b"".join(out)
-
-    def _plain(self, text: str) -> bytes:
-        """A piece never reaches over a lone space: text between such spaces is encoded, and remembered, by itself."""
-        if self.high and not _latin(text) and self.high.search(text) and self.later.search(text):
-            return self._pieces(text, [m.span() for m in self.pieces.finditer(self.later.sub("§", text))])
-        if self.doubled.search(text):
-            return self._pieces(text)
-        words, units = text.split(" "), self.units
-        first = self._pieces(words[0])
-        out = [units.get(w) for w in words[1:]]
+    def _unit(self, unit: bytes) -> bytes:
+        """The ids of a unit, piece by piece."""
+        if unit in self.names:
+            return self.names[unit]
+        if unit.isalpha() or unit[:1] == b" " and unit[1:].isalpha():
+            return array("i", self.encode_piece(unit.decode())).tobytes()
+        text = unit.decode()
+        pieces = self.pieces.findall(text)
+        if self.high and self.high.search(text) and self.later.search(text):
+            pieces = [text[m.start():m.end()] for m in self.pieces.finditer(self.later.sub("§", text))]
+        return array("i", [i for x in pieces for i in self.encode_piece(x)]).tobytes()
+
+    def _units(self, units: list[bytes]) -> list[bytes]:
+        """The ids of different units; short ones are remembered."""
+        known = self.units
+        if len(known) > REMEMBERED:
+            known.clear()
+        out = [known.get(x) for x in units]
         for i, ids in enumerate(out):
             if ids is None:
-                word = words[i + 1]
-                ids = units.get(word)
-                if ids is None:
-                    if len(units) >= REMEMBERED:
-                        units.clear()
-                    ids = self._pieces(" " + word)
-                    if len(word) <= 64:
-                        units[word] = ids
-                out[i] = ids
-        return first + b"".join(out)
+                unit = units[i]
+                out[i] = ids = self._unit(unit)
+                if len(unit) <= 64:
+                    known[unit] = ids
+        return out
+
+    def _encode_cut(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Cut the texts into units, encode the different ones, and lay their ids out in the order of the texts."""
+        _, ends, data = texts.buffers()
+        ends = np.frombuffer(ends, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        ends, text = ends - ends[0], np.frombuffer(data or b"", np.uint8)[ends[0]:ends[-1]]
+        named = {i for x in self.special for i in np.flatnonzero(pc.match_substring(texts, x).to_numpy(zero_copy_only=False))}
+        names = [(ends[i] + m.start(), ends[i] + m.end())
+                 for i in named for m in self.split.finditer(text[ends[i]:ends[i + 1]].tobytes())]
+        at = cuts(text, np.concatenate([ends, np.array(names, np.int64).ravel()]))
+        if names:
+            within = np.zeros(len(text) + 1, bool)
+            for a, b in names:
+                within[a + 1:b] = True
+            at = at[~within[at]]
+        units = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(text)])
+        units = units.dictionary_encode()
+        ids = self._units(units.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        which = units.indices.to_numpy()
+        n = sizes[which]
+        until = np.concatenate([[0], np.cumsum(n)])
+        place = np.arange(until[-1]) - np.repeat(until[:-1] - (np.cumsum(sizes) - sizes)[which], n)
+        return np.frombuffer(b"".join(ids), np.int32)[place], until[np.searchsorted(at, ends)]
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and where each text's begin (and the last end); a null text has none."""
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        bytes_until = np.cumsum(pc.binary_length(texts).to_numpy())
+        ids, until, i = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], 0
+        while i < len(texts):
+            limit = CUT_BYTES + (bytes_until[i - 1] if i else 0)
+            n = max(1, int(np.searchsorted(bytes_until, limit, "right")) - i)
+            some, ends = self._encode_cut(texts.slice(i, n))
+            ids.append(some)
+            until.append(ends[1:] + until[-1][-1])
+            i += n
+        return np.concatenate(ids), np.concatenate(until)
 
     def encode(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int32)
-        if self.split is None:
-            return np.frombuffer(self._plain(text), np.int32)
-        parts = [np.array([self.special[x]], np.int32).tobytes() if i % 2 else self._plain(x)
-                 for i, x in enumerate(self.split.split(text)) if x]
-        return np.frombuffer(b"".join(parts), np.int32)
+        return self.encode_all(pa.array([text], pa.string()))[0]
 
 
 #: The codec of this Python worker: one, kept from task to task.
@@ -264,9 +315,8 @@ def _over(df: DataFrame, path: str, source: str, out: list[T.StructField], kind:
 
 
 def _encode_column(codec: Codec, texts: pa.Array) -> pa.Array:
-    ids = [codec.encode(x.as_py()) for x in texts]
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*ids, np.zeros(0, np.int32)])))
+    ids, until = codec.encode_all(texts)
+    return pa.ListArray.from_arrays(until.astype(np.int32), pa.array(ids))
 
 
 def _decode_column(codec: Decoder, ids: pa.Array) -> pa.Array:

@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 import tokenizers
@@ -75,6 +76,47 @@ def test_forgetting_changes_nothing(library, monkeypatch):
         assert small.encode(t).tolist() == library.encode(t, add_special_tokens=False).ids
 
 
+def test_a_batch_encodes_every_piece_once(library, monkeypatch):
+    """However little is remembered and however often a word comes back, with whatever mark or line end behind it."""
+    monkeypatch.setattr(bpe, "REMEMBERED", 5)
+    small, rnd, calls = bpe.Codec(bpe.load_vocabulary(bpe.default_path())), random.Random(7), []
+    encode_piece = small.encode_piece
+    monkeypatch.setattr(small, "encode_piece", lambda piece: calls.append(piece) or encode_piece(piece))
+    words = ["".join(rnd.choices("abcdeinorst", k=rnd.randint(2, 9))) for _ in range(60)]
+    texts = ["".join(rnd.choice(words) + rnd.choice([" ", " ", ", ", ".\n"]) for _ in range(80)) for _ in range(100)]
+    got = bpe._encode_column(small, pa.array(texts))
+    assert got.to_pylist() == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(calls) == len(set(calls))
+
+
+def test_cuts_keep_pieces_whole():
+    rnd, whole = random.Random(9), regex.compile(bpe.PIECES)
+    spaces = [chr(c) for c in range(0x10000) if regex.match(r"\s", chr(c)) or 0x1C <= c < 0x20]
+    pool = [*spaces, *"    \n\n\n'''''.,|_aaaZ19éàßĠ§漢字😀²٣", "'s", "'ll", " 's", "​", "᠎", "ŉ", "\x00", "\x7f"]
+    for t in awkward_texts() + ["".join(rnd.choices(pool, k=rnd.randint(1, 12))) for _ in range(60_000)]:
+        b = t.encode()
+        at = bpe.cuts(np.frombuffer(b, np.uint8), np.array([0]))
+        assert [p for i, j in zip(at[:-1], at[1:]) for p in whole.findall(b[i:j].decode())] == whole.findall(t), t
+    some = b"the cat, and\nthe dog."
+    at = bpe.cuts(np.frombuffer(some, np.uint8), np.array([0]))
+    assert [some[i:j] for i, j in zip(at[:-1], at[1:])] == [b"the", b" cat", b",", b" and", b"\n", b"the", b" dog", b"."]
+
+
+def test_columns_of_awkward_texts(codec, library, monkeypatch):
+    """Nulls, slices, texts longer than what is cut at once, and special tokens within a text, but not across two."""
+    texts = [None, "", "a <|endof", "text|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> \n<|endoftext|>y", None, *awkward_texts(400),
+             "", "é" * 3000, None]
+    ids = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for size in (64, 1000, bpe.CUT_BYTES):
+        monkeypatch.setattr(bpe, "CUT_BYTES", size)
+        for kind in (pa.string(), pa.large_string()):
+            column = pa.array(texts, kind)
+            assert bpe._encode_column(codec, column).to_pylist() == ids
+            assert bpe._encode_column(codec, column.slice(3, 300)).to_pylist() == ids[3:303]
+            assert bpe._encode_column(codec, column.slice(3, 0)).to_pylist() == []
+            assert bpe._encode_column(codec, pa.array([None, None], kind)).to_pylist() == [[], []]
+
+
 def test_token_columns(spark, library):
     rows = [(1, "Hello there", "en", "s", "x", "y", 1), (1, "Hello there", "en", "s", "x", "y", 1), (None, None, None, None, None, None, None),
             (3, "", None, None, None, None, None), (4, "é" * 40_000, None, None, None, None, None)]
