@@ -22,9 +22,9 @@ from . import common
 #: Splits a text into the pieces that merges stay within (fixed value of this tokenizer family).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Encoded units, and judged pairs of tokens, that a worker remembers before it starts afresh.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Bytes of texts that are cut and encoded at once; a longer text is taken alone.
-CUT_BYTES = 4 << 20
+CUT_BYTES = 1 << 20
 
 
 def _byte_letters() -> dict[str, int]:
