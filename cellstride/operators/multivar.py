@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 from math import pi, sqrt
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from ..series import SeriesSpec, numeric_columns
-from ..sources.staging import stage
 from .dcor import pair_distance_correlation
 from .project import drop_any_missing
 from .scale import fit_scaler
@@ -138,16 +138,16 @@ class Components:
         return int(np.argmax(reached)) + 1 if reached.any() else len(self.ratios)
 
     def project(self, df: DataFrame, k: int | None = None) -> DataFrame:
-        """Append ``PC_1…PC_k``; the largest loading of each component is made positive."""
+        """Append ``PC_1…PC_k``, sums of the standardised features by loadings; the largest loading of each component is made positive."""
         k = k or self.count_for()
         loadings = self.model.pc.toArray()
         signs = [1.0 if loadings[np.argmax(np.abs(loadings[:, i])), i] >= 0 else -1.0 for i in range(k)]
         full = drop_any_missing(df, self.columns)
         scaled = self.scaler.apply(full.select("*", *[F.col(c).alias(f"__raw_{c}") for c in self.columns]))
-        scored = self.model.transform(self._assembler.transform(scaled)).withColumn("__v", vector_to_array("__pc"))
-        return scored.select(
+        scores = [reduce(add, [F.col(c) * F.lit(float(x)) for c, x in zip(self.columns, loadings[:, i] * signs[i])]) for i in range(k)]
+        return scaled.select(
             *[F.col(f"__raw_{c}").alias(c) if c in self.columns else F.col(c) for c in df.columns],
-            *[(F.get("__v", i) * signs[i]).alias(f"PC_{i + 1}") for i in range(k)])
+            *[score.alias(f"PC_{i + 1}") for i, score in enumerate(scores)])
 
 
 def component_correlation(df: DataFrame, columns: list[str] | None = None, threshold: float = 0.95,
@@ -157,6 +157,6 @@ def component_correlation(df: DataFrame, columns: list[str] | None = None, thres
     k = fitted.count_for(threshold)
     # Equal rows have equal components: they are projected, and told apart from other rows, once.
     counted = (drop_any_missing(df, fitted.columns).groupBy(*fitted.columns).agg(F.count(F.lit(1)).alias("__rows")))
-    projected = stage(fitted.project(counted, k), "components")
     return pair_distance_correlation(
-        projected, [(c, f"PC_{i + 1}") for c in fitted.columns for i in range(k)], block_rows, weight="__rows")
+        counted, [(c, f"PC_{i + 1}") for c in fitted.columns for i in range(k)], block_rows, weight="__rows",
+        derive=lambda rows: fitted.project(rows, k))

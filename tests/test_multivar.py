@@ -1,5 +1,6 @@
 """Multivariate statistics against brute force."""
 
+import os
 from itertools import combinations
 
 import numpy as np
@@ -8,6 +9,8 @@ from pyspark.sql import functions as F
 
 from cellstride.operators import dcor, multivar
 from cellstride.plans import jobs
+from cellstride.session import scratch_root
+from cellstride.sources import staging
 from helpers import series_table
 
 
@@ -150,3 +153,28 @@ def test_profile_has_every_table(spark):
     tables = jobs.profile_tables(df, max_lag=3)
     assert all(t.count() > 0 for t in tables.values())
     assert set(tables) >= {"quality", "statistics", "pacf", "distance_correlation", "density", "components"}
+
+
+def test_correlation_with_components_stores_rows_once(wide, monkeypatch):
+    """Components are neither stored nor moved, one column's mean distances are kept, and nothing is left behind."""
+    _, df = wide
+    columns = ["x", "square", "noise", "coin"]
+    spark, told, whole = df.sparkSession, [], staging.Scratch.stage
+    before = set(os.listdir(scratch_root(spark)))
+    monkeypatch.setattr(staging.Scratch, "stage", lambda self, rows, name: told.append((name, rows.columns)) or whole(self, rows, name))
+    assert len(multivar.component_correlation(df, columns, 0.95).collect()) == 16
+    stored = {name: [c for c in names if c not in dcor.SUMS] for name, names in told}
+    assert stored["points"] == [*columns, "__w"]
+    assert all(not c.startswith(("PC_", "__v")) for _, names in told for c in names)
+    assert sum(c.startswith("__m") for c in max((names for _, names in told), key=len)) <= 3
+    assert set(os.listdir(scratch_root(spark))) == before
+
+
+def test_shuffles_of_a_scratch_table_go_with_its_write(spark, tmp_path):
+    name = staging.Scratch.CLEANUP
+    was = spark.conf.get(name)
+    with staging.Scratch(spark) as scratch:
+        kept = scratch.stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+        assert kept.count() == 7 and os.listdir(scratch.paths[id(kept)][1])
+        path = scratch.paths[id(kept)][1]
+    assert not os.path.exists(path) and spark.conf.get(name) == was
