@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..plans.layout import Layout, plan_layout
 from ..series import SeriesSpec, numeric_columns
 from .lags import lag_columns, mark_split, row_lags
-from .linear import as_model, fit_linear
+from .linear import as_model, fit_linear_each
 from .metrics import long_predictions
 
 SPEC = SeriesSpec()
@@ -174,23 +174,28 @@ def fit_forecaster(df: DataFrame, config: ForecastConfig = ForecastConfig(), spe
     patient = config.kind == "gbt" and config.patience is not None
     if config.kind != "gbt" or not (config.early_stop or patient):
         usable = usable.where("is_train")
-    ready = assembler.transform(usable).select("__x", "__is_val", *config.targets).persist()
-    try:
-        pairs = [_with_patience(ready, config, t) if patient else (_fitted(ready, config, t), None) for t in config.targets]
-    finally:
-        ready.unpersist()
+    ready = assembler.transform(usable).select("__x", "__is_val", *config.targets)
+    if _own(config):
+        found = fit_linear_each(ready, list(config.targets), config.loss, config.norm1, config.norm2)
+        pairs = [(as_model(ready.sparkSession, *model, "__x", f"__p_{t}"), None) for t, model in zip(config.targets, found)]
+    else:
+        ready.persist()
+        try:
+            pairs = [_with_patience(ready, config, t) if patient else (config.estimator(t).fit(ready), None) for t in config.targets]
+        finally:
+            ready.unpersist()
     history = tuple(h for _, h in pairs if h)
     return Forecaster(config, features, PipelineModel([assembler, *[m for m, _ in pairs]]), spec, history)
 
 
-def _fitted(ready: DataFrame, config: ForecastConfig, target: str):
-    estimator = config.estimator(target)
-    if config.kind == "linear" and (config.loss == "l1" or config.norm1 or config.norm2):
-        if config.l1 or config.l2:
-            raise ValueError("l1 and l2 are MLlib's, for squared loss alone; use norm1 and norm2")
-        found = fit_linear(ready, target, config.loss, config.norm1, config.norm2)
-        return as_model(ready.sparkSession, *found, "__x", f"__p_{target}")
-    return estimator.fit(ready)
+def _own(config: ForecastConfig) -> bool:
+    """Whether the model is one that MLlib does not fit: absolute loss or plain norms, linear."""
+    if config.kind != "linear" or not (config.loss == "l1" or config.norm1 or config.norm2):
+        return False
+    config.estimator(config.targets[0])
+    if config.l1 or config.l2:
+        raise ValueError("l1 and l2 are MLlib's, for squared loss alone; use norm1 and norm2")
+    return True
 
 
 def naive_forecast(df: DataFrame, targets: list[str], spec: SeriesSpec = SPEC,

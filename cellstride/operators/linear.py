@@ -14,19 +14,42 @@ from pyspark.sql import DataFrame, functions as F
 #: Step lengths that one pass over the rows tries, and the widths, beside the residuals' spread, at which |r| is rounded off.
 STEPS = (1.0, 0.5, 0.2, 0.05, 0.01)
 WIDTHS = (1.0, 0.1, 0.01, 0.001)
+BLOCK_BYTES = 1 << 20  # rows that meet in a pass; their terms stay near the core
+TASKS_PER_CORE = 3     # of a pass, which takes little longer than to start its tasks
 
 
-def _sums(rows: DataFrame, size: int, of) -> np.ndarray:
-    """``size`` numbers: ``of(x with a column of ones, y)`` added over all rows."""
+def _packed(rows: DataFrame, targets: list[str], features: str) -> DataFrame:
+    """The rows in blocks ``(width, data)``: a matrix of doubles with a row per feature, then one per target.
+
+    A pass then takes a block at a time and no row by itself.
+    """
+    narrow = rows.select(vector_to_array(features).alias("x"), *[F.col(t).cast("double").alias(f"y{i}") for i, t in enumerate(targets)])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size)
         for batch in batches:
             if batch.num_rows:
                 x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-                total += of(np.column_stack([x, np.ones(len(x))]), batch.column(1).to_numpy(zero_copy_only=False))
+                whole = np.vstack([x.T, *(y.to_numpy(zero_copy_only=False) for y in batch.columns[1:])])
+                step = max(1, BLOCK_BYTES // (8 * len(whole)))
+                for i in range(0, batch.num_rows, step):
+                    yield pa.RecordBatch.from_arrays([pa.array([len(whole)], pa.int32()), pa.array([whole[:, i:i + step].tobytes()], pa.binary())],
+                                                     ["width", "data"])
+
+    return narrow.mapInArrow(run, "width int, data binary")
+
+
+def _sums(blocks: DataFrame, targets: int, target: int, size: int, of) -> np.ndarray:
+    """``size`` numbers: ``of(x with a row of ones, y)`` added over all blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for width, data in zip(batch.column(0), batch.column(1)):
+                block = np.frombuffer(data.as_buffer()).reshape(width.as_py(), -1)
+                d = len(block) - targets
+                total += of(np.vstack([block[:d], np.ones(block.shape[1])]), block[d + target])
         yield pa.RecordBatch.from_arrays([pa.array([total])], ["v"])
 
-    added = rows.mapInArrow(run, "v array<double>").select(F.posexplode("v").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v"))
+    added = blocks.mapInArrow(run, "v array<double>").select(F.posexplode("v").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v"))
     out = np.zeros(size)
     for r in added.collect():
         out[r["i"]] = r["v"]
@@ -72,46 +95,65 @@ def fit_linear(rows: DataFrame, target: str, loss: str = "mse", norm1: float = 0
 
     Squared loss needs one pass for the products of the columns.  Absolute loss is minimised as sqrt(r² + e²) − e with e falling to
     a thousandth of the residuals' spread, by Newton steps from the squared solution; a pass gives loss, gradient and
-    curvature at several step lengths.  Rows are never gathered; a task returns sums of the size of the
-    curvature matrix.
+    curvature at several step lengths.  Rows are never gathered: they are computed once, kept by the executors in blocks, and a task
+    returns sums of the size of the curvature matrix.
     """
-    narrow = rows.select(vector_to_array(features).alias("x"), F.col(target).cast("double").alias("y"))
-    first = narrow.first()
+    return fit_linear_each(rows, [target], loss, norm1, norm2, features, max_iter)[0]
+
+
+def fit_linear_each(rows: DataFrame, targets: list[str], loss: str = "mse", norm1: float = 0.0, norm2: float = 0.0, features: str = "__x",
+                    max_iter: int = 60) -> list[tuple[np.ndarray, float]]:
+    """``fit_linear`` for several targets of the same rows."""
+    blocks = _packed(rows, targets, features).persist()
+    few = blocks.coalesce(TASKS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism)
+    try:
+        return [_fit(few, len(targets), i, loss, norm1, norm2, max_iter) for i in range(len(targets))]
+    finally:
+        blocks.unpersist()
+
+
+def _fit(blocks: DataFrame, targets: int, target: int, loss: str, norm1: float, norm2: float, max_iter: int) -> tuple[np.ndarray, float]:
+    first = blocks.first()
     if first is None:
         raise ValueError("no rows to fit")
-    d = len(first["x"]) + 1
-    means = _sums(narrow, d + 2, lambda x, y: np.concatenate([x.sum(0), [y.sum(), (y * y).sum()]]))
+    d = first["width"] - targets + 1
+
+    def added(size: int, of) -> np.ndarray:
+        return _sums(blocks, targets, target, size, of)
+
+    means = added(d + 2, lambda x, y: np.concatenate([x.sum(1), [y.sum(), y @ y]]))
     n = means[d - 1]
     centre = np.append(means[:d - 1] / n, 0.0)
 
     def products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        z = x - centre
-        return np.concatenate([(z.T @ z).ravel(), z.T @ y, [y @ y]])
+        z = x - centre[:, None]
+        return np.concatenate([(z @ z.T).ravel(), z @ y, [y @ y]])
 
-    moments = _sums(narrow, d * d + d + 1, products) / n
+    moments = added(d * d + d + 1, products) / n
     h, c = 2 * moments[:d * d].reshape(d, d), 2 * moments[d * d:-1]
     w = minimise_quadratic(h, c, norm1, norm2, np.zeros(d))
     if loss == "l1":
         spread = float(np.sqrt(max(moments[-1] + w @ h @ w / 2 - c @ w, 0.0)))
         for width in WIDTHS if spread else ():
-            w = _newton(narrow, centre, n, w, width * spread, norm1, norm2, max_iter)
+            w = _newton(added, centre, n, w, width * spread, norm1, norm2, max_iter)
     elif loss != "mse":
         raise ValueError(f"unknown loss {loss}")
     return w[:-1], float(w[-1] - w[:-1] @ centre[:-1])
 
 
-def _newton(rows: DataFrame, centre: np.ndarray, n: float, w: np.ndarray, e: float, norm1: float, norm2: float, max_iter: int) -> np.ndarray:
+def _newton(added, centre: np.ndarray, n: float, w: np.ndarray, e: float, norm1: float, norm2: float, max_iter: int) -> np.ndarray:
     d, size = len(w), 1 + len(w) + len(w) ** 2
 
     def at(points: np.ndarray):
         def of(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-            z, out = x - centre, []
+            z, out = x - centre[:, None], []
             for p in points:
-                r = z @ p - y
+                r = p @ z - y
                 root = np.sqrt(r * r + e * e)
-                out.append(np.concatenate([[(root - e).sum()], z.T @ (r / root), ((z * (e * e / root ** 3)[:, None]).T @ z).ravel()]))
+                curve = e * e / (root * root * root)
+                out.append(np.concatenate([[(root - e).sum()], z @ (r / root), ((z * curve) @ z.T).ravel()]))
             return np.concatenate(out)
-        return (_sums(rows, size * len(points), of) / n).reshape(len(points), size)
+        return (added(size * len(points), of) / n).reshape(len(points), size)
 
     def penalty(p: np.ndarray) -> float:
         return norm1 * float(np.abs(p[:-1]).sum()) + norm2 * float(np.linalg.norm(p[:-1]))

@@ -1,11 +1,13 @@
 """Losses, penalties and patience of the forecasters against numpy."""
 
+import uuid
+
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 
 from cellstride.operators.forecast import ForecastConfig, fit_forecaster, load_forecaster, stopping_round
-from cellstride.operators.linear import fit_linear
+from cellstride.operators.linear import fit_linear, fit_linear_each
 from helpers import series_table
 
 RNG = np.random.default_rng(8)
@@ -55,6 +57,29 @@ def test_linear_losses(points, loss, norm1):
         assert abs(np.mean(np.sign(y - x @ w - b))) < 0.02
 
 
+def test_rows_are_computed_once_for_all_passes(points, tmp_path):
+    x, y, df = points
+
+    def seen(batches):
+        (tmp_path / uuid.uuid4().hex).touch()
+        yield from batches
+    rows = df.select("a", "b", "c", "y").mapInArrow(seen, "a double, b double, c double, y double")
+    w, b = fit_linear(VectorAssembler(inputCols=["a", "b", "c"], outputCol="__x").transform(rows), "y", "l1", 0.05)
+    assert len(list(tmp_path.iterdir())) == df.rdd.getNumPartitions()
+    expected, intercept = fit_linear(df, "y", "l1", 0.05)
+    np.testing.assert_allclose(w, expected, atol=1e-9)
+
+
+def test_targets_are_fitted_together(points):
+    x, y, df = points
+    both = df.withColumn("z", 3 - 2 * df.y)
+    found = fit_linear_each(both, ["y", "z"], "l1", 0.01)
+    for (w, b), target in zip(found, ["y", "z"]):
+        alone, intercept = fit_linear(both, target, "l1", 0.01)
+        np.testing.assert_allclose(w, alone, atol=1e-9)
+        assert b == pytest.approx(intercept, abs=1e-7)
+
+
 @pytest.mark.parametrize("loss", ["mse", "l1"])
 def test_euclidean_norm_is_optimal(points, loss):
     """No nearby point has a lower cost, and a strong penalty leaves nothing."""
