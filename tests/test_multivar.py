@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from cellstride.operators import dcor, multivar
 from cellstride.plans import jobs
-from cellstride.session import scratch_root
 from cellstride.sources import staging
 from helpers import series_table
 
@@ -159,15 +158,21 @@ def test_correlation_with_components_stores_rows_once(wide, monkeypatch):
     """Components are neither stored nor moved, one column's mean distances are kept, and nothing is left behind."""
     _, df = wide
     columns = ["x", "square", "noise", "coin"]
-    spark, told, whole = df.sparkSession, [], staging.Scratch.stage
-    before = set(os.listdir(scratch_root(spark)))
-    monkeypatch.setattr(staging.Scratch, "stage", lambda self, rows, name: told.append((name, rows.columns)) or whole(self, rows, name))
+    told, paths, whole = [], set(), staging.Scratch.stage
+
+    def stage(self, rows, name):
+        told.append((name, rows.columns))
+        out = whole(self, rows, name)
+        paths.add(self.paths[id(out)][1])
+        assert os.path.exists(self.paths[id(out)][1])
+        return out
+    monkeypatch.setattr(staging.Scratch, "stage", stage)
     assert len(multivar.component_correlation(df, columns, 0.95).collect()) == 16
     stored = {name: [c for c in names if c not in dcor.SUMS] for name, names in told}
     assert stored["points"] == [*columns, "__w"]
     assert all(not c.startswith(("PC_", "__v")) for _, names in told for c in names)
     assert sum(c.startswith("__m") for c in max((names for _, names in told), key=len)) <= 3
-    assert set(os.listdir(scratch_root(spark))) == before
+    assert len(paths) == len(told) and not any(os.path.exists(p) for p in paths)
 
 
 def test_shuffles_of_a_scratch_table_go_with_its_write(spark, tmp_path):
